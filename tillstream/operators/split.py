@@ -1,0 +1,85 @@
+"""Cutting oversized groups into consecutive pieces.
+
+A window over one key runs in one task, so a key that holds a large part of all rows would
+decide the run time. Such keys are found by counting, and the rows of only those keys are cut
+along the arrival order into pieces of bounded size. Operators work inside the pieces and then
+carry what must cross from one piece to the next.
+"""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
+
+PIECE = "_piece"
+# Rows one window group may hold before it is cut.
+GROUP_ROWS = 20_000_000
+# At most this many keys are cut, each into at most this many pieces. Both lists live on the
+# driver, hence the limit; a key beyond it holds less than a ten-thousandth of all rows.
+MAX_SPLITS = 10_000
+
+
+class Pieces(NamedTuple):
+    rows: DataFrame
+    is_cut: Column | None
+    """True for rows of a key that was cut; None when no key had to be."""
+
+
+def heavy_keys(df: DataFrame, key: str, group_rows: int) -> dict:
+    """The heaviest keys above ``group_rows`` rows, with their counts (at most MAX_SPLITS)."""
+    counts = (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > group_rows)
+        .orderBy(F.desc("n"), key)
+        .limit(MAX_SPLITS)
+    )
+    return {row[key]: row["n"] for row in counts.collect()}
+
+
+def cut_heavy_keys(df: DataFrame, key: str, order: str, group_rows: int = GROUP_ROWS) -> Pieces:
+    """Number the pieces of heavy keys in ``_piece``, ascending along ``order``; 0 elsewhere.
+
+    The cuts are quantiles of ``order`` over the heavy rows, so a piece stays near
+    ``group_rows`` however unevenly the rows arrived. They are constants in the plan: every
+    use of the result, and every recomputed task, sees the same pieces.
+    """
+    heavy = heavy_keys(df, key, group_rows)
+    if not heavy:
+        return Pieces(df.withColumn(PIECE, F.lit(0.0)), None)
+
+    is_cut = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
+    position = _position(df, order)
+    n = min(MAX_SPLITS, -(-sum(heavy.values()) // group_rows))
+    cuts = (
+        df.where(is_cut)
+        .select(position.alias("position"))
+        .approxQuantile("position", [i / n for i in range(1, n)], 0.25 / n)
+    )
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    if len(splits) < 3:
+        return Pieces(df.withColumn(PIECE, F.lit(0.0)), None)
+    bucketizer = Bucketizer(
+        splits=splits, inputCol="_position", outputCol="_bucket", handleInvalid="keep"
+    )
+    rows = (
+        bucketizer.transform(df.withColumn("_position", position))
+        .withColumn(PIECE, F.when(is_cut, F.col("_bucket")).otherwise(F.lit(0.0)))
+        .drop("_position", "_bucket")
+    )
+    return Pieces(rows, is_cut)
+
+
+def _position(df: DataFrame, order: str) -> Column:
+    dtype = df.schema[order].dataType
+    column = F.col(order)
+    if isinstance(dtype, TimestampNTZType):
+        column = column.cast("timestamp")
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        column = F.unix_micros(column)
+    return column.cast("double")
