@@ -225,6 +225,7 @@ FROM w LEFT JOIN countries c ON w.customer_country = c.customer_country""",
 SELECT transaction_id, {_PAYMENT} AS payment_label, {_CATEGORY} AS category_icon,
        {_PRODUCT} AS product_icon FROM e""",
     "parse_transactions": f"{_WITH_R} {_ACCEPTED}",
+    "stream_parse": f"{_WITH_R} {_ACCEPTED}",
     "rejected_transactions": f"{_WITH_R} SELECT seq, reason FROM r WHERE reason IS NOT NULL",
     "transaction_documents": f"{_WITH_E} SELECT transaction_id AS doc_id, {_DOCUMENT} AS body FROM e",
     "bulk_lines": f"""{_WITH_E}

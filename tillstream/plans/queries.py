@@ -16,7 +16,7 @@ from tillstream.operators.enrich import enrich_country, enrich_product, with_lab
 from tillstream.operators.fraud import alert_text, fraud_alerts
 from tillstream.operators.kpi import kpi_summary, recent_log, recent_transactions
 from tillstream.operators.latest import latest_per_key
-from tillstream.operators.parse import classify_messages, parse_transactions
+from tillstream.operators.parse import accepted, classify_messages, parse_transactions
 from tillstream.operators.project import (
     to_sink_columns,
     transaction_text,
@@ -308,7 +308,8 @@ def q_stream_parse(spark, sf_dir):
     make_folder(spark, f"{folder}/parsed")
     messages = testdata.raw_messages(_event_stream(spark, sf_dir))
     start_parse(messages, f"{folder}/parsed", f"{folder}/checkpoint", AVAILABLE_NOW)
-    return _plain(spark.read.parquet(f"{folder}/parsed").select(*COLUMNS, "seq", "reason"))
+    good = accepted(spark.read.parquet(f"{folder}/parsed"))
+    return _plain(good.select(*COLUMNS, "seq"))
 
 
 def registry() -> dict[str, Query]:

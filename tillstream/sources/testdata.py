@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.values import cut_to_millis, money
 from tillstream.schema import COLUMNS, FIELDS
 from tillstream.sources import dims
+from tillstream.sources.messages import file_source
 
 LINE_SEQ = ("seq_date", "seq_part", "seq_supplier")
 PERTURBED_SEQ = ("seq", "seq_tie")
@@ -24,8 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """The table's files as a stream; a pattern, because a table may be a file or a folder."""
+    schema = table(spark, sf_dir, name).schema
+    return file_source(spark, f"{sf_dir}/{name}.parque[t]", schema)
 
 
 def _ordered(df: DataFrame, *extra: str) -> DataFrame:

@@ -100,28 +100,37 @@ def customer_runs(batch: DataFrame, seq: Sequence[str]) -> DataFrame:
     )
 
 
-def _carry(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Pair the first row of every run with the last row of the run before it."""
-    runs = pd.concat(list(frames)).sort_values("batch_id").drop_duplicates("batch_id")
-    seen = state.get if state.exists else None
-    if seen is not None:
-        # A batch that was written twice is known already.
-        runs = runs[runs["batch_id"] > seen[0]]
-    if runs.empty:
-        return
+def _carrier() -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """The state function; as a closure it travels with the task, without this package."""
     last_columns = [f"last_{name}" for name in _NAMES]
-    last = runs.iloc[-1][["batch_id", *last_columns]]
-    state.update(tuple(None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in last))
-
-    previous = runs[last_columns].astype(object).shift(1)
-    if seen is not None:
-        previous.iloc[0] = list(seen[1:])
-    previous.columns = [f"previous_{name}" for name in _NAMES]
-    links = pd.concat([runs.drop(columns=["batch_id", *last_columns]), previous], axis=1)
-    if seen is None:
-        links = links.iloc[1:]
+    previous_columns = [f"previous_{name}" for name in _NAMES]
     types = {"previous_ms": "Int64", "previous_amount": "Float64"}
-    yield links.astype(types)
+
+    def plain(value):
+        return None if pd.isna(value) else getattr(value, "item", lambda: value)()
+
+    def carry(
+        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        """Pair the first row of every run with the last row of the run before it."""
+        runs = pd.concat(list(frames)).sort_values("batch_id").drop_duplicates("batch_id")
+        seen = state.get if state.exists else None
+        if seen is not None:
+            # A batch that was written twice is known already.
+            runs = runs[runs["batch_id"] > seen[0]]
+        if runs.empty:
+            return
+        newest = runs.iloc[-1]
+        state.update(tuple(plain(newest[name]) for name in ("batch_id", *last_columns)))
+
+        previous = runs[last_columns].astype(object).shift(1)
+        previous.columns = previous_columns
+        if seen is not None:
+            previous.iloc[0] = list(seen[1:])
+        links = pd.concat([runs.drop(columns=["batch_id", *last_columns]), previous], axis=1)
+        yield (links if seen is not None else links.iloc[1:]).astype(types)
+
+    return carry
 
 
 def link_runs(runs: DataFrame, order: _Order) -> DataFrame:
@@ -130,7 +139,7 @@ def link_runs(runs: DataFrame, order: _Order) -> DataFrame:
         (f"{CUSTOMER} string", _prefixed("first"), order.schema(), _prefixed("previous"))
     )
     linked = runs.groupBy(CUSTOMER).applyInPandasWithState(
-        _carry, output, _STATE, "append", GroupStateTimeout.NoTimeout
+        _carrier(), output, _STATE, "append", GroupStateTimeout.NoTimeout
     )
     return linked.select(
         CUSTOMER,
