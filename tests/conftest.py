@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tillstream.session import local_session  # noqa: E402
+
+TESTDATA = "/root/testdata"
+START = dt.datetime(2025, 1, 1)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(8, memory="4g", app="tillstream-tests")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture
+def transactions(spark):
+    """Build a transaction DataFrame from dicts; what is not given gets a default."""
+    schema = (
+        "transaction_id string, product_id string, product_name string, product_category string, "
+        "product_price double, product_quantity int, product_brand string, total_amount double, "
+        "currency string, customer_id string, transaction_date timestamp_ntz, "
+        "payment_method string, customer_country string, seq bigint, ingest_ts timestamp_ntz"
+    )
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def build(rows):
+        complete = []
+        for number, given in enumerate(rows):
+            row = {
+                "transaction_id": f"t{number}", "product_id": "product1", "product_name": "Laptop",
+                "product_category": "electronics", "product_price": 10.0, "product_quantity": 1,
+                "product_brand": "Apple", "total_amount": 10.0, "currency": "USD",
+                "customer_id": "c", "transaction_date": START, "payment_method": "credit_card",
+                "customer_country": "USA", "seq": number,
+            }
+            row.update(given)
+            row.setdefault("ingest_ts", row["transaction_date"])
+            complete.append(tuple(row[name] for name in names))
+        df = spark.createDataFrame(complete, schema)
+        return df.withColumns(
+            {name: df[name].cast("timestamp") for name in ("transaction_date", "ingest_ts")}
+        )
+
+    return build

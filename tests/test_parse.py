@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+
+from tillstream.operators.parse import parse_transactions
+from tillstream.schema import COLUMNS, FIELDS
+
+GOOD = {
+    "transactionId": "t1", "productId": "product1", "productName": "Laptop",
+    "productCategory": "electronics", "productPrice": 1.5, "productQuantity": 3,
+    "productBrand": "Apple", "totalAmount": 4.5, "currency": "USD", "customerId": "c1",
+    "transactionDate": "2025-01-01T00:00:01.123Z", "paymentMethod": "credit_card",
+    "customerCountry": "USA",
+}
+AT = dt.datetime(2025, 1, 1, 0, 0, 1, 123000)
+
+
+def message(**changes):
+    return json.dumps({**GOOD, **changes})
+
+
+def without(*names):
+    return json.dumps({k: v for k, v in GOOD.items() if k not in names})
+
+
+ACCEPTED = {
+    "plain": (message(), {}),
+    "microseconds": (message(transactionDate="2025-01-01T00:00:01.123456+0000"), {}),
+    "offset": (message(transactionDate="2025-01-01T07:00:01.123+07:00"), {}),
+    "short offset": (message(transactionDate="2025-01-01T07:00:01.123+07"), {}),
+    "no zone": (message(transactionDate="2025-01-01T00:00:01.123"), {}),
+    "epoch number": (message(transactionDate=1735689601123), {}),
+    "epoch text": (message(transactionDate="1735689601123"), {}),
+    "date only": (
+        message(transactionDate="2025-01-01"), {"transaction_date": dt.datetime(2025, 1, 1)}
+    ),
+    "no seconds": (
+        message(transactionDate="2025-01-01T00:05Z"),
+        {"transaction_date": dt.datetime(2025, 1, 1, 0, 5)},
+    ),
+    "fraction for int": (message(productQuantity=3.7), {}),
+    "quoted numbers": (message(productQuantity="3", productPrice="1.5"), {}),
+    "null number": (message(productQuantity=None), {"product_quantity": 0}),
+    "empty number": (message(productPrice=""), {"product_price": 0.0}),
+    "missing number": (without("productPrice"), {"product_price": 0.0}),
+    "missing country": (without("customerCountry"), {"customer_country": None}),
+    "null text": (message(productName=None), {"product_name": None}),
+    "duplicate": ('{"customerCountry":"UK",' + message()[1:], {}),
+    "trailing text": (message() + " tail", {}),
+    "trailing object": (message() + message(customerId="other"), {}),
+    "surrounding space": ("  \n" + message() + "\n", {}),
+    "exponent": (message(totalAmount=1.5e3), {"total_amount": 1500.0}),
+    "escapes": (message(productBrand="Levi's \"x\" ü"), {"product_brand": "Levi's \"x\" ü"}),
+}
+REJECTED = {
+    "broken": ("{bad", "corrupt"),
+    "cut": (message()[:50], "corrupt"),
+    "array": ("[]", "corrupt"),
+    "array of one": (f"[{message()}]", "corrupt"),
+    "text": ('"x"', "corrupt"),
+    "empty": ("", "corrupt"),
+    "no value": (None, "corrupt"),
+    "single quotes": ("{'transactionId':'t1'}", "corrupt"),
+    "extra": (message(zzz=1), "unknown_property"),
+    "wrong case": (message(TransactionId="t"), "unknown_property"),
+    "word for int": (message(productQuantity="many"), "bad_number"),
+    "int too large": (message(productQuantity=3_000_000_000), "bad_number"),
+    "boolean number": (message(productPrice=True), "bad_number"),
+    "not a number": (message(totalAmount="NaN"), "bad_number"),
+    "infinite": (message(totalAmount="-Infinity"), "bad_number"),
+    "beyond money": (message(totalAmount=1e17), "bad_number"),
+    "empty date": (message(transactionDate=""), "null_event_time"),
+    "null date": (message(transactionDate=None), "null_event_time"),
+    "missing date": (without("transactionDate"), "null_event_time"),
+    "word for date": (message(transactionDate="yesterday"), "bad_date"),
+    "impossible date": (message(transactionDate="2025-02-30T00:00:00Z"), "bad_date"),
+    "far epoch": (message(transactionDate=10**17), "bad_date"),
+    "null customer": (message(customerId=None), "null_customer"),
+    "null category": (message(productCategory=None), "null_category"),
+    "missing id": (without("transactionId"), "null_id"),
+}
+
+
+@pytest.fixture(scope="module")
+def split(spark):
+    rows = [(name, value) for name, (value, _) in {**ACCEPTED, **REJECTED}.items()]
+    rows += [("literal null", "null"), ("spaced null", " null ")]
+    good, rejects = parse_transactions(spark.createDataFrame(rows, "name string, value string"))
+    return {r["name"]: r for r in good.collect()}, {r["name"]: r for r in rejects.collect()}
+
+
+def test_every_message_has_one_place(split):
+    good, rejects = split
+    assert set(good) == set(ACCEPTED) and set(rejects) == set(REJECTED)
+
+
+@pytest.mark.parametrize("name", sorted(ACCEPTED))
+def test_accepted(split, name):
+    expected = {f.column: GOOD[f.wire] for f in FIELDS} | {"transaction_date": AT}
+    expected |= ACCEPTED[name][1]
+    assert {c: split[0][name][c] for c in COLUMNS} == expected
+
+
+@pytest.mark.parametrize("name", sorted(REJECTED))
+def test_rejected(split, name):
+    value, reason = REJECTED[name]
+    row = split[1][name]
+    assert (row["value"], row["reason"]) == (value, reason)
+
+
+def test_types(spark):
+    good, _ = parse_transactions(spark.createDataFrame([(message(),)], "value string"))
+    assert {f.name: f.dataType.simpleString() for f in good.schema} == {
+        f.column: f.type for f in FIELDS
+    }
+
+
+def test_failfast(spark):
+    df = spark.createDataFrame([(message(),), ("null",)], "value string")
+    assert parse_transactions(df, "failfast")[0].count() == 1
+    bad = df.union(spark.createDataFrame([("{bad",)], "value string"))
+    with pytest.raises(Exception, match="unusable message: corrupt"):
+        parse_transactions(bad, "failfast")[0].count()
+    with pytest.raises(ValueError):
+        parse_transactions(df, "lenient")
+
+
+def test_session_time_zone_does_not_matter(spark):
+    df = spark.createDataFrame([(message(transactionDate="2025-01-01T00:00:01.123"),)], "value string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+    try:
+        [row] = parse_transactions(df)[0].selectExpr("unix_millis(transaction_date) AS ms").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.ms == 1735689601123

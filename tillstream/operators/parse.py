@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.values import MONEY_LIMIT, cut_to_millis
+from tillstream.operators.computed import with_computed
 from tillstream.schema import FIELDS
 
 _CORRUPT = "_corrupt"
@@ -73,13 +74,13 @@ def classify_messages(df: DataFrame) -> DataFrame:
 
     A message that is the JSON literal ``null`` is no transaction and no error: it is left out.
     """
-    read = df.where(F.coalesce(~F.col("value").rlike(r"^\s*null\s*$"), F.lit(True))).select(
-        "*",
+    read = with_computed(
+        df.where(F.coalesce(~F.col("value").rlike(r"^\s*null\s*$"), F.lit(True))),
         F.from_json("value", _RAW_SCHEMA, _JSON_OPTIONS).alias("_raw"),
         F.json_object_keys("value").alias("_keys"),
     )
-    typed = read.select(
-        "*", *[_CASTS[f.type](F.col(f"_raw.{f.wire}")).alias(f.column) for f in FIELDS]
+    typed = with_computed(
+        read, *[_CASTS[f.type](F.col(f"_raw.{f.wire}")).alias(f.column) for f in FIELDS]
     )
 
     known = F.array(*[F.lit(f.wire) for f in FIELDS])

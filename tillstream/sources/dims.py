@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,13 +79,21 @@ COUNTRIES = {
     ),
 }
 
-PRODUCT_SCHEMA = (
-    "product_id string, product_name string, product_category string, product_brand string, "
-    "price_range array<int>, currency string, payment_method string"
+_PRODUCT_SCHEMA = pa.schema(
+    {
+        "product_id": pa.string(),
+        "product_name": pa.string(),
+        "product_category": pa.string(),
+        "product_brand": pa.string(),
+        "price_range": pa.list_(pa.int32()),
+        "currency": pa.string(),
+        "payment_method": pa.string(),
+    }
 )
-COUNTRY_MAP_SCHEMA = (
-    "by_country map<string, struct<customers: array<string>, flag: string, location: string>>"
+_COUNTRY = pa.struct(
+    {"customers": pa.list_(pa.string()), "flag": pa.string(), "location": pa.string()}
 )
+_COUNTRY_MAP_SCHEMA = pa.schema({"by_country": pa.map_(pa.string(), _COUNTRY)})
 
 
 def products(spark: SparkSession) -> DataFrame:
@@ -93,12 +102,17 @@ def products(spark: SparkSession) -> DataFrame:
         (f"product{i}", name, category, brand, [low, high], currency, payment)
         for i, (name, category, brand, low, high, currency, payment) in enumerate(PRODUCTS, 1)
     ]
-    return spark.createDataFrame(rows, PRODUCT_SCHEMA).coalesce(1)
+    columns = [list(column) for column in zip(*rows)]
+    return spark.createDataFrame(pa.table(columns, schema=_PRODUCT_SCHEMA))
 
 
 def country_map(spark: SparkSession) -> DataFrame:
     """One row, one map column: country to its customers, flag and location."""
-    return spark.createDataFrame([(COUNTRIES,)], COUNTRY_MAP_SCHEMA).coalesce(1)
+    entries = [
+        (country, {"customers": customers, "flag": flag, "location": location})
+        for country, (customers, flag, location) in COUNTRIES.items()
+    ]
+    return spark.createDataFrame(pa.table([[entries]], schema=_COUNTRY_MAP_SCHEMA))
 
 
 def countries(spark: SparkSession) -> DataFrame:

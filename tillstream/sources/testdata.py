@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.values import cut_to_millis, money
+from tillstream.operators.computed import with_computed
 from tillstream.schema import COLUMNS, FIELDS
 from tillstream.sources import dims
 from tillstream.sources.messages import file_source
@@ -195,7 +196,9 @@ def raw_messages(transactions: DataFrame) -> DataFrame:
     )
     # concat is null, and thus left out by concat_ws, where the value is missing.
     properties = [F.concat(F.lit(f'"{f.wire}":'), values[f.wire]) for f in FIELDS]
-    body = F.concat(F.lit("{"), F.concat_ws(",", extra, *properties), F.lit("}"))
+    body = F.concat(F.lit("{"), F.concat_ws(",", extra, *properties), F.lit("}")).alias("body")
+    transactions = with_computed(transactions, body)
+    body = F.col("body")
     value = choose(
         {
             5: null,
@@ -205,4 +208,4 @@ def raw_messages(transactions: DataFrame) -> DataFrame:
         },
         body,
     )
-    return transactions.select(value.alias("value"), "seq")
+    return with_computed(transactions, value.alias("value")).select("value", "seq")
