@@ -55,8 +55,11 @@ def send_bulk(
     to_bulk_lines(documents, index).foreachPartition(deliver)
 
 
-def to_messages(df: DataFrame) -> DataFrame:
-    """(key, value): the transaction as published, keyed by its id, the date as ISO text in UTC."""
+def to_messages(df: DataFrame, *extra: str) -> DataFrame:
+    """(key, value): the transaction as published, keyed by its id, the date as ISO text.
+
+    ``extra`` columns are passed on.
+    """
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
     properties = [
         (F.date_format(f.column, iso) if f.type == "timestamp" else F.col(f.column)).alias(f.wire)
@@ -64,7 +67,7 @@ def to_messages(df: DataFrame) -> DataFrame:
     ]
     value = F.to_json(F.struct(*properties), _KEEP_NULLS)
     return df.where(F.col("transaction_id").isNotNull()).select(
-        F.col("transaction_id").alias("key"), value.alias("value")
+        F.col("transaction_id").alias("key"), value.alias("value"), *extra
     )
 
 
