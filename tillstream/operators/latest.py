@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -19,10 +20,11 @@ def latest_per_key(
 ) -> DataFrame:
     """For every key the row with the greatest ``seq``.
 
-    An aggregate rather than a ranking: each task reduces a key to one row before the shuffle,
-    so a key with very many writes moves no more data than any other.
+    Spark turns "first row of each window" into a limit per key that every task applies before
+    the shuffle, so a key with very many writes moves no more data than any other.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order_value(seq)).alias("_last"))
-    return last.select(*keys, "_last.*").select(*df.columns)
+    names = [seq] if isinstance(seq, str) else list(seq)
+    newest_first = W.partitionBy(*keys).orderBy(*[F.desc(name) for name in names])
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillstream.functions.values import money, money_sum
+from tillstream.functions.values import as_amount, cents, money_sum
 from tillstream.operators.latest import order_value
 from tillstream.operators.split import GROUP_ROWS, PIECE, cut_heavy_keys
 
@@ -48,14 +48,14 @@ def sales_per_category(
     if mode == "calendar":
         return df.groupBy(day, category).agg(money_sum("total_amount").alias("total_sales"))
     # The window sees one row per date and category, never the transactions.
-    per_day = df.groupBy(day, category).agg(F.sum(money("total_amount")).alias("_sum"))
+    per_day = df.groupBy(day, category).agg(F.sum(cents("total_amount")).alias("_sum"))
     so_far = W.partitionBy("category").orderBy("transaction_date").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
     return per_day.select(
         "transaction_date",
         "category",
-        F.sum("_sum").over(so_far).cast("double").alias("total_sales"),
+        as_amount(F.sum("_sum").over(so_far)).alias("total_sales"),
     )
 
 
@@ -118,9 +118,9 @@ def running_totals(
     so_far = (
         W.partitionBy(key, PIECE).orderBy(*names).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    running = F.sum(money(amount)).over(so_far)
+    running = F.sum(cents(amount)).over(so_far)
     if is_cut is None:
-        return rows.withColumn("running_total", running.cast("double")).drop(PIECE)
+        return rows.withColumn("running_total", as_amount(running)).drop(PIECE)
 
     earlier_pieces = (
         W.partitionBy(key).orderBy(PIECE).rowsBetween(W.unboundedPreceding, -1)
@@ -128,7 +128,7 @@ def running_totals(
     carried = (
         rows.where(is_cut)
         .groupBy(key, PIECE)
-        .agg(F.sum(money(amount)).alias("_sum"))
+        .agg(F.sum(cents(amount)).alias("_sum"))
         .select(key, PIECE, F.sum("_sum").over(earlier_pieces).alias("_carried"))
     )
     return (
@@ -136,7 +136,7 @@ def running_totals(
         .join(carried, [key, PIECE], "left")
         .withColumn(
             "running_total",
-            (F.col("_running") + F.coalesce("_carried", F.lit(0))).cast("double"),
+            as_amount(F.col("_running") + F.coalesce("_carried", F.lit(0))),
         )
         .select(*df.columns, "running_total")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.functions.values import cut_to_millis, money
+from tillstream.functions.values import as_amount, cents, cut_to_millis
 from tillstream.operators.computed import with_computed
 from tillstream.schema import COLUMNS, FIELDS
 from tillstream.sources import dims
@@ -44,7 +44,7 @@ def _event_sales(events: DataFrame) -> DataFrame:
         F.concat(F.lit("product"), number).alias("product_id"),
         F.col("value").alias("product_price"),
         (F.col("event_id") % 10 + 1).cast("int").alias("product_quantity"),
-        (money("value") * (F.col("event_id") % 10 + 1)).cast("double").alias("total_amount"),
+        as_amount(cents("value") * (F.col("event_id") % 10 + 1)).alias("total_amount"),
         cut_to_millis(F.col("ts").cast("timestamp")).alias("transaction_date"),
         F.get_json_object("props", "$.k").cast("int").alias("_k"),
         F.col("user_id").alias("_user"),
