@@ -18,7 +18,7 @@ from tillstream.operators.sales import sales_per_category, sales_per_day, sales_
 from tillstream.session import scratch_folder
 from tillstream.sinks.documents import to_messages
 from tillstream.sinks.tables import FolderTables
-from tillstream.sources.messages import file_source
+from tillstream.sources.messages import KAFKA_SEQ, file_source
 from tillstream.streaming import pipeline
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.run import AVAILABLE_NOW
@@ -89,18 +89,29 @@ def test_fraud_ignores_a_run_written_twice(spark, transactions, tmp_path):
     assert alert_rows(spark.read.parquet(alerts)) == alert_rows(fraud_alerts(df))
 
 
-def test_fraud_with_composite_time_order(spark, transactions, tmp_path):
+def test_fraud_in_kafka_order(spark, transactions, tmp_path):
     rows = random_rows(7, 120)
     for row in rows:
         row["ingest_ts"] = at(row["seq"] // 3)
-    df = transactions(rows)
-    seq = ("ingest_ts", "seq")
+    df = transactions(rows).withColumnRenamed("ingest_ts", "timestamp").withColumns(
+        {"partition": (F.col("seq") % 2).cast("int"), "offset": F.col("seq")}
+    )
     messages, alerts = str(tmp_path / "in"), str(tmp_path / "alerts")
     write_slices(df, messages, [0, 60, 10**9])
     stream = file_source(spark, messages, df.schema, max_files=1)
-    start_fraud_alerts(stream, pipeline.folder_alerts(alerts), str(tmp_path / "work"), seq, AVAILABLE_NOW)
-    columns = ("customer_id", "previous_date", "date", "ingest_ts", "seq")
-    assert rows_of(spark.read.parquet(alerts), *columns) == rows_of(fraud_alerts(df, seq), *columns)
+    start_fraud_alerts(
+        stream, pipeline.folder_alerts(alerts), str(tmp_path / "work"), KAFKA_SEQ, AVAILABLE_NOW
+    )
+    columns = ("customer_id", "previous_date", "date", *KAFKA_SEQ)
+    assert rows_of(spark.read.parquet(alerts), *columns) == rows_of(
+        fraud_alerts(df, KAFKA_SEQ), *columns
+    )
+
+
+def test_console_alerts(transactions, capfd):
+    df = transactions([{"customer_country": "UK"}, {"transaction_date": at(1000)}])
+    pipeline.console_alerts()(fraud_alerts(df), "inside", 0)
+    assert "0 phút 1 giây" in capfd.readouterr().out
 
 
 @pytest.mark.parametrize("table", sorted(pipeline.SALES))

@@ -67,8 +67,10 @@ def cut_heavy_keys(df: DataFrame, key: str, order: str, group_rows: int = GROUP_
     bucketizer = Bucketizer(
         splits=splits, inputCol="_position", outputCol="_bucket", handleInvalid="keep"
     )
+    # Rows without a position come first in the order, so they belong to the first piece.
+    known = F.coalesce(position, F.lit(float("-inf")))
     rows = (
-        bucketizer.transform(df.withColumn("_position", position))
+        bucketizer.transform(df.withColumn("_position", known))
         .withColumn(PIECE, F.when(is_cut, F.col("_bucket")).otherwise(F.lit(0.0)))
         .drop("_position", "_bucket")
     )

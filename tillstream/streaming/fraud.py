@@ -73,7 +73,7 @@ class _Order:
 
     def schema(self) -> str:
         return ", ".join(
-            f"{name} {'bigint' if self._is_time(name) else self.types[name].simpleString()}"
+            f"`{name}` {'bigint' if self._is_time(name) else self.types[name].simpleString()}"
             for name in self.names
         )
 

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tillstream.operators.fraud import alert_text
 from tillstream.operators.latest import latest_per_key
 from tillstream.operators.parse import accepted, classify_messages, rejected
 from tillstream.operators.project import to_sink_columns
 from tillstream.operators.sales import sales_per_category, sales_per_day, sales_per_month
 from tillstream.sinks.documents import to_documents, write_bulk
 from tillstream.sinks.tables import FolderTables, JdbcTables
+from tillstream.sources.messages import file_source
 from tillstream.streaming.fraud import WriteAlerts, start_fraud_alerts
 from tillstream.streaming.run import Trigger, make_folder, run
 
@@ -63,6 +65,16 @@ def folder_alerts(root: str) -> WriteAlerts:
     return write
 
 
+def console_alerts(rows: int = 20) -> WriteAlerts:
+    """Print the alert boxes, at most ``rows`` per micro-batch; add a lasting target for the rest."""
+
+    def write(alerts: DataFrame, part: str, batch_id: int) -> None:
+        for row in alert_text(alerts).select("alert").limit(rows).collect():
+            print(row.alert)
+
+    return write
+
+
 def start_sales(
     transactions: DataFrame,
     table: str,
@@ -128,11 +140,13 @@ def start_pipeline(
     folder: str,
     seq: Sequence[str] = ("seq",),
     trigger: Trigger = "5 seconds",
+    max_files: int | None = None,
 ) -> list[StreamingQuery]:
     """Start every query; ``folder`` keeps the parsed messages and the checkpoints.
 
     ``messages`` is a stream with ``value`` and the ordering columns ``seq``, which must grow
-    with arrival. Restarting with the same folder goes on where the queries stopped.
+    with arrival. ``max_files`` bounds how many parsed files one later micro-batch takes, for
+    working off a backlog. Restarting with the same folder goes on where the queries stopped.
     """
     spark = messages.sparkSession
     parsed = f"{folder}/parsed"
@@ -141,7 +155,7 @@ def start_pipeline(
     queries = [start_parse(messages, parsed, f"{folder}/checkpoints/parse", trigger)]
 
     schema = classify_messages(messages).schema
-    classified = spark.readStream.schema(schema).parquet(parsed)
+    classified = file_source(spark, parsed, schema, max_files=max_files)
     transactions = accepted(classified)
     queries.append(start_raw(classified, targets, f"{folder}/checkpoints/raw", seq, trigger))
     for table in SALES:
