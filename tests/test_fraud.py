@@ -5,7 +5,9 @@ import random
 
 import pytest
 from conftest import START
+from pyspark.sql import functions as F
 
+from tillstream.operators import fraud, split
 from tillstream.operators.fraud import alert_text, fraud_alerts
 
 
@@ -95,15 +97,44 @@ def test_cut_customers_give_the_same_alerts(transactions, group_rows):
     assert found == expected_alerts(rows) and found
 
 
-def test_all_arrivals_at_one_number(transactions):
-    """Nothing to cut along: the customer stays whole, ordered by the second column."""
-    rows = random_rows(3, 60)
+def record_cuts(monkeypatch):
+    """Record the pieces and their sizes for every cut."""
+    sizes = []
+
+    def recording(*args):
+        pieces = split.cut_heavy_keys(*args)
+        grouped = pieces.rows.where(pieces.is_cut).groupBy(*args[1:2], split.PIECE)
+        sizes.extend(row["count"] for row in grouped.count().collect())
+        return pieces
+
+    monkeypatch.setattr(fraud, "cut_heavy_keys", recording)
+    return sizes
+
+
+@pytest.mark.parametrize("shared", [1.0, 0.4, 0.05])
+def test_many_arrivals_at_one_number(transactions, monkeypatch, shared):
+    """A number that many rows share is cut along the second column."""
+    rng = random.Random(4)
+    rows = random_rows(3, 400)
     for number, row in enumerate(rows):
         row["seq"] = number
-    df = transactions(rows).selectExpr("*", "0L AS lead")
-    alerts = fraud_alerts(df, ["lead", "seq"], group_rows=5).collect()
+    start = rng.randrange(0, int(400 * (1 - shared)) + 1)
+    end = start + int(400 * shared)
+    lead = F.when(F.col("seq").between(start, end), start).otherwise(F.col("seq"))
+    df = transactions(rows).withColumn("lead", lead)
+    sizes = record_cuts(monkeypatch)
+    alerts = fraud_alerts(df, ["lead", "seq"], group_rows=20).collect()
     found = sorted((a.customer_id, a.previous_date, a.date, a.seq) for a in alerts)
     assert found == expected_alerts(rows)
+    assert len(sizes) > 5 and max(sizes) <= 45
+
+
+def test_order_that_cannot_be_cut(transactions):
+    rows = random_rows(9, 80)
+    df = transactions(rows).withColumn("text", F.format_string("%09d", "seq"))
+    alerts = fraud_alerts(df, "text", group_rows=5).collect()
+    found = sorted((a.customer_id, a.previous_date, a.date) for a in alerts)
+    assert found == [alert[:3] for alert in expected_alerts(rows)]
 
 
 def test_timestamps_as_order(transactions):

@@ -67,7 +67,7 @@ def fraud_alerts(
     slim = df.where(F.col(CUSTOMER).isNotNull()).select(
         CUSTOMER, *names, remembered().alias("current")
     )
-    rows, is_cut = cut_heavy_keys(slim, CUSTOMER, names[0], group_rows)
+    rows, is_cut = cut_heavy_keys(slim, CUSTOMER, names, group_rows)
     in_piece = W.partitionBy(CUSTOMER, PIECE).orderBy(*names)
     linked = rows.withColumn("previous", F.lag("current").over(in_piece))
     alert = is_alert("previous", "current", max_minutes)
@@ -79,9 +79,9 @@ def fraud_alerts(
             .withColumn("_edge", starts | (is_cut & ~F.col("_has_next")))
             .where(F.col("_edge") | alert)
         )
-        across = W.partitionBy(
-            CUSTOMER, F.when(F.col("_edge"), F.lit(-1.0)).otherwise(F.col(PIECE))
-        ).orderBy(*names)
+        # All edges of a customer meet; the alerts found already stay apart in their pieces.
+        group = F.when(~F.col("_edge"), F.col(PIECE))
+        across = W.partitionBy(CUSTOMER, "_edge", group).orderBy(*names)
         linked = survivors.withColumn(
             "previous",
             F.when(starts, F.lag("current").over(across)).otherwise(F.col("previous")),

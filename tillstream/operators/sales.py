@@ -114,7 +114,7 @@ def running_totals(
     piece plus the sum of the key's earlier pieces.
     """
     names = [seq] if isinstance(seq, str) else list(seq)
-    rows, is_cut = cut_heavy_keys(df, key, names[0], group_rows)
+    rows, is_cut = cut_heavy_keys(df, key, names, group_rows)
     so_far = (
         W.partitionBy(key, PIECE).orderBy(*names).rowsBetween(W.unboundedPreceding, W.currentRow)
     )

@@ -8,12 +8,14 @@ carry what must cross from one piece to the next.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 PIECE = "_piece"
 # Rows one window group may hold before it is cut.
@@ -42,46 +44,70 @@ def heavy_keys(df: DataFrame, key: str, group_rows: int) -> dict:
     return {row[key]: row["n"] for row in counts.collect()}
 
 
-def cut_heavy_keys(df: DataFrame, key: str, order: str, group_rows: int = GROUP_ROWS) -> Pieces:
-    """Number the pieces of heavy keys in ``_piece``, ascending along ``order``; 0 elsewhere.
+def cut_heavy_keys(
+    df: DataFrame, key: str, order: Sequence[str], group_rows: int = GROUP_ROWS
+) -> Pieces:
+    """Name the pieces of heavy keys in ``_piece``, ascending along ``order``; null elsewhere.
 
-    The cuts are quantiles of ``order`` over the heavy rows, so a piece stays near
-    ``group_rows`` however unevenly the rows arrived. They are constants in the plan: every
-    use of the result, and every recomputed task, sees the same pieces.
+    The cuts are quantiles of the first ordering column over the heavy rows, so a piece stays
+    near ``group_rows`` however unevenly the rows arrived. A value that many rows share is cut
+    along the next ordering column. Only numbers and times can be cut along. The cuts are
+    constants in the plan: every use of the result, and every recomputed task, sees the same
+    pieces.
     """
     heavy = heavy_keys(df, key, group_rows)
     if not heavy:
-        return Pieces(df.withColumn(PIECE, F.lit(0.0)), None)
+        return Pieces(df.withColumn(PIECE, F.lit(None).cast("int")), None)
 
     is_cut = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))
-    position = _position(df, order)
     n = min(MAX_SPLITS, -(-sum(heavy.values()) // group_rows))
-    cuts = (
-        df.where(is_cut)
-        .select(position.alias("position"))
-        .approxQuantile("position", [i / n for i in range(1, n)], 0.25 / n)
-    )
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) < 3:
-        return Pieces(df.withColumn(PIECE, F.lit(0.0)), None)
-    bucketizer = Bucketizer(
-        splits=splits, inputCol="_position", outputCol="_bucket", handleInvalid="keep"
-    )
-    # Rows without a position come first in the order, so they belong to the first piece.
+    rows, parts, open_rows = df, [], is_cut
+    for level, name in enumerate(order):
+        position = _position(df, name)
+        if position is None:
+            break
+        cuts = (
+            df.where(open_rows)
+            .select(position.alias("position"))
+            .approxQuantile("position", [i / n for i in range(1, n)], 0.25 / n)
+        )
+        bucket = f"_bucket{level}"
+        rows = _with_bucket(rows, position, sorted(set(cuts)), bucket)
+        # A shared value is the lower end of its bucket: its rows come first.
+        shared = sorted(cut for cut, times in Counter(cuts).items() if times > 1)
+        is_shared = F.coalesce(position.isin(shared), F.lit(False))
+        parts += [
+            F.when(open_rows, F.col(bucket)).alias(bucket),
+            F.when(open_rows, ~is_shared).alias(f"_beyond{level}"),
+        ]
+        if not shared:
+            break
+        open_rows = open_rows & is_shared
+    if not parts:
+        return Pieces(df.withColumn(PIECE, F.lit(None).cast("int")), None)
+    pieces = rows.withColumn(PIECE, F.when(is_cut, F.struct(*parts)))
+    return Pieces(pieces.select(*df.columns, PIECE), is_cut)
+
+
+def _with_bucket(rows: DataFrame, position: Column, cuts: list[float], name: str) -> DataFrame:
+    if not cuts:
+        return rows.withColumn(name, F.lit(0.0))
+    # Rows without a position come first in the order, so they belong to the first bucket.
     known = F.coalesce(position, F.lit(float("-inf")))
-    rows = (
-        bucketizer.transform(df.withColumn("_position", known))
-        .withColumn(PIECE, F.when(is_cut, F.col("_bucket")).otherwise(F.lit(0.0)))
-        .drop("_position", "_bucket")
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")],
+        inputCol="_position",
+        outputCol=name,
+        handleInvalid="keep",
     )
-    return Pieces(rows, is_cut)
+    return bucketizer.transform(rows.withColumn("_position", known)).drop("_position")
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    dtype = df.schema[order].dataType
-    column = F.col(order)
-    if isinstance(dtype, TimestampNTZType):
-        column = column.cast("timestamp")
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        column = F.unix_micros(column)
-    return column.cast("double")
+def _position(df: DataFrame, name: str) -> Column | None:
+    """The ordering column as a number; None if it is neither number nor time."""
+    dtype, column = df.schema[name].dataType, F.col(name)
+    if isinstance(dtype, NumericType):
+        return column.cast("double")
+    if isinstance(dtype, (DateType, TimestampNTZType, TimestampType)):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    return None
