@@ -32,7 +32,7 @@ def rows_of(table) -> tuple[dict[str, str], list[tuple]]:
 def compare(spark_df, connection, sql: str) -> list[str]:
     """Differences, none if the two agree."""
     ours_types, ours = rows_of(spark_df.toArrow())
-    their_types, theirs = rows_of(connection.execute(sql).to_arrow_table())
+    their_types, theirs = rows_of(connection.sql(sql).to_arrow_table())
     problems = []
     if ours_types != their_types:
         problems.append(f"types: {ours_types} != {their_types}")

@@ -33,7 +33,7 @@ def test_bulk_files(transactions, tmp_path):
     documents = to_documents(transactions([{}, {}]))
     for _ in range(2):
         write_bulk(documents, str(tmp_path / "bulk"))
-    lines = [line for f in glob.glob(str(tmp_path / "bulk" / "part-*")) for line in open(f)]
+    lines = [line for f in sorted(glob.glob(str(tmp_path / "bulk" / "part-*"))) for line in open(f)]
     assert len(lines) == 4
     assert json.loads(lines[0]) == {"index": {"_index": "transactions", "_id": "t0"}}
     assert json.loads(lines[1])["transactionId"] == "t0"
