@@ -225,6 +225,33 @@ def test_pipeline(spark, transactions, tmp_path):
     assert {i: d["totalAmount"] for i, d in documents.items()} == amounts
 
 
+def test_pipeline_live(spark, transactions, tmp_path):
+    """All queries at once on an interval; each is waited for in the order of the data's way."""
+    rows = random_rows(12, 80)
+    for row in rows:
+        row["customer_id"] = row["customer_id"] or "e"
+    df = transactions(rows)
+    messages = to_messages(df, "seq").select("seq", "value")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_slices(messages, source, [0, 20])
+    stream = file_source(spark, source, messages.schema, max_files=1)
+    targets = pipeline.folder_targets(out)
+    queries = pipeline.start_pipeline(stream, targets, str(tmp_path / "work"), trigger="1 second")
+    try:
+        assert len(queries) == 7 and all(query.isActive for query in queries)
+        write_slices(messages, source, [20, 10**9])
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    expected = sales_per_day(df)
+    found = targets.tables.read(spark, "sales_per_day")
+    assert rows_of(found, *expected.columns) == rows_of(expected, *expected.columns)
+    assert targets.tables.read(spark, "transactions").count() == 80
+    assert alert_rows(spark.read.parquet(f"{out}/alerts")) == alert_rows(fraud_alerts(df))
+
+
 class ClusterSession:
     """Stands in for a session on a cluster; the setting is fixed when a real one starts."""
 
