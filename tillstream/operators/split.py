@@ -23,6 +23,7 @@ GROUP_ROWS = 20_000_000
 # At most this many keys are cut, each into at most this many pieces. Both lists live on the
 # driver, hence the limit; a key beyond it holds less than a ten-thousandth of all rows.
 MAX_SPLITS = 10_000
+HASH_BUCKETS = 65_536
 
 
 class Pieces(NamedTuple):
@@ -32,11 +33,19 @@ class Pieces(NamedTuple):
 
 
 def heavy_keys(df: DataFrame, key: str, group_rows: int) -> dict:
-    """The heaviest keys above ``group_rows`` rows, with their counts (at most MAX_SPLITS)."""
+    """The heaviest keys above ``group_rows`` rows, with their counts (at most MAX_SPLITS).
+
+    Keys are first counted by hash bucket, which shuffles next to nothing; only buckets that are
+    large enough to hold a heavy key, usually none, are counted by key.
+    """
+    keyed = df.where(F.col(key).isNotNull()).select(key)
+    bucket = F.pmod(F.xxhash64(key), F.lit(HASH_BUCKETS))
+    large = _counts(keyed.select(bucket.alias("bucket")), "bucket").where(F.col("n") > group_rows)
+    buckets = [row["bucket"] for row in large.collect()]
+    if not buckets:
+        return {}
     counts = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
+        _counts(keyed.where(bucket.isin(buckets)), key)
         .where(F.col("n") > group_rows)
         .orderBy(F.desc("n"), key)
         .limit(MAX_SPLITS)
@@ -44,6 +53,10 @@ def heavy_keys(df: DataFrame, key: str, group_rows: int) -> dict:
     return {row[key]: row["n"] for row in counts.collect()}
 
 
+def _counts(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
 def cut_heavy_keys(
     df: DataFrame, key: str, order: Sequence[str], group_rows: int = GROUP_ROWS
 ) -> Pieces:
@@ -66,11 +79,7 @@ def cut_heavy_keys(
         position = _position(df, name)
         if position is None:
             break
-        cuts = (
-            df.where(open_rows)
-            .select(position.alias("position"))
-            .approxQuantile("position", [i / n for i in range(1, n)], 0.25 / n)
-        )
+        cuts = _quantiles(df.where(open_rows), position, n)
         bucket = f"_bucket{level}"
         rows = _with_bucket(rows, position, sorted(set(cuts)), bucket)
         # A shared value is the lower end of its bucket: its rows come first.
@@ -89,6 +98,14 @@ def cut_heavy_keys(
     return Pieces(pieces.select(*df.columns, PIECE), is_cut)
 
 
+def _quantiles(df: DataFrame, position: Column, n: int) -> list[float]:
+    """The values that divide the rows into ``n`` parts, each off by a quarter part at most."""
+    if n < 2:
+        return []
+    shares = [i / n for i in range(1, n)]
+    return df.agg(F.percentile_approx(position, shares, 4 * n)).first()[0] or []
+
+
 def _with_bucket(rows: DataFrame, position: Column, cuts: list[float], name: str) -> DataFrame:
     if not cuts:
         return rows.withColumn(name, F.lit(0.0))
