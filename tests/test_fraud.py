@@ -129,6 +129,17 @@ def test_many_arrivals_at_one_number(transactions, monkeypatch, shared):
     assert len(sizes) > 5 and max(sizes) <= 45
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 65_536])
+def test_heavy_keys(transactions, monkeypatch, buckets):
+    monkeypatch.setattr(split, "HASH_BUCKETS", buckets)
+    sizes = {"a": 30, "b": 12, "c": 11, "d": 10, "e": 1, None: 40}
+    df = transactions([{"customer_id": k} for k, n in sizes.items() for _ in range(n)])
+    assert split.heavy_keys(df, "customer_id", 10) == {"a": 30, "b": 12, "c": 11}
+    assert split.heavy_keys(df, "customer_id", 30) == {}
+    monkeypatch.setattr(split, "MAX_SPLITS", 2)
+    assert split.heavy_keys(df, "customer_id", 5) == {"a": 30, "b": 12}
+
+
 def test_order_that_cannot_be_cut(transactions):
     rows = random_rows(9, 80)
     df = transactions(rows).withColumn("text", F.format_string("%09d", "seq"))
