@@ -141,12 +141,15 @@ def start_pipeline(
     seq: Sequence[str] = ("seq",),
     trigger: Trigger = "5 seconds",
     max_files: int | None = None,
+    time_col: str = "transaction_date",
 ) -> list[StreamingQuery]:
     """Start every query; ``folder`` keeps the parsed messages and the checkpoints.
 
     ``messages`` is a stream with ``value`` and the ordering columns ``seq``, which must grow
     with arrival. ``max_files`` bounds how many parsed files one later micro-batch takes, for
-    working off a backlog. Restarting with the same folder goes on where the queries stopped.
+    working off a backlog. ``time_col`` decides the day and month of a sale; it may be an arrival
+    time that came with the message. Restarting with the same folder goes on where the queries
+    stopped.
     """
     spark = messages.sparkSession
     parsed = f"{folder}/parsed"
@@ -160,7 +163,11 @@ def start_pipeline(
     queries.append(start_raw(classified, targets, f"{folder}/checkpoints/raw", seq, trigger))
     for table in SALES:
         checkpoint = f"{folder}/checkpoints/{table}"
-        queries.append(start_sales(transactions, table, targets.tables, checkpoint, trigger))
+        queries.append(
+            start_sales(
+                transactions, table, targets.tables, checkpoint, trigger, time_col=time_col
+            )
+        )
     queries += start_fraud_alerts(
         transactions, targets.alerts, f"{folder}/fraud", seq, trigger
     )
