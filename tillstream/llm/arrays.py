@@ -46,6 +46,11 @@ def mapped(path: str, kind: type) -> np.ndarray:
     return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """The same numbers in as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def shard_count(keys: int) -> int:
     return max(1, -(-keys // SHARD_KEYS))
 
@@ -114,7 +119,7 @@ def write_arrays(
         facts = seen(keys, counts)
         keep = counts >= least
         save(f"{folder}/{shard}.keys", keys[keep])
-        save(f"{folder}/{shard}.counts", counts[keep])
+        save(f"{folder}/{shard}.counts", narrow(counts[keep]))
         row = [shard, int(keep.sum()), *facts]
         return pa.table({n: pa.array([v], pa.int64()) for n, v in zip(["shard", "n", *columns], row, strict=True)})
 
@@ -137,6 +142,12 @@ class HashArrays:
     def __len__(self) -> int:
         return int(self.starts[-1])
 
+    def shard(self, s: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of one shard; the files' sizes tell how wide the counts are."""
+        keys, counts = f"{self.folder}/{s}.keys", f"{self.folder}/{s}.counts"
+        width = 8 * os.path.getsize(counts) // max(1, os.path.getsize(keys))
+        return mapped(keys, np.uint64), mapped(counts, np.dtype(f"u{width or 1}"))
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place (-1 if absent) and count (0 if absent) of each of some ascending keys."""
         place, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
@@ -145,9 +156,7 @@ class HashArrays:
         cuts = np.searchsorted(shards_of(keys, self.shards), np.arange(self.shards + 1))
         for s in np.flatnonzero((cuts[1:] > cuts[:-1]) & (self.sizes > 0)):
             if s not in self.open:
-                self.open[s] = (
-                    mapped(f"{self.folder}/{s}.keys", np.uint64), mapped(f"{self.folder}/{s}.counts", np.int64)
-                )
+                self.open[s] = self.shard(s)
             there, counts = self.open[s]
             asked = keys[cuts[s]:cuts[s + 1]]
             at = np.minimum(np.searchsorted(there, asked), len(there) - 1)

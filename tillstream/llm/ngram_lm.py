@@ -155,9 +155,11 @@ def parts(place: np.ndarray, weight: list[np.ndarray], numbers: list[int]) -> It
     sums = [np.bincount(back, w, len(distinct)).astype(np.int64) for w in weight]
     cuts = np.flatnonzero(np.diff(distinct // BLOCK, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(distinct)], strict=True):
-        at = (distinct[a:b] % BLOCK).astype(np.int32).tobytes()
+        at = (distinct[a:b] % BLOCK).astype(np.int32)
         for k, s in zip(numbers, sums, strict=True):
-            yield int(distinct[a] // BLOCK), k, at, s[a:b].tobytes()
+            some = np.flatnonzero(s[a:b])
+            values = arrays.narrow(s[a:b][some])
+            yield int(distinct[a] // BLOCK), k, at[some].tobytes(), values.dtype.str, values.tobytes()
 
 
 def word_stats(bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
@@ -172,30 +174,31 @@ def word_stats(bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
             for shard in batch.column(0).to_pylist():
                 if not bigrams.sizes[shard]:
                     continue
-                pair = unmix(arrays.mapped(f"{bigrams.folder}/{shard}.keys", np.uint64))
-                counts = arrays.mapped(f"{bigrams.folder}/{shard}.counts", np.int64)
+                keys, counts = bigrams.shard(shard)
+                pair = unmix(keys)
                 before = (pair >> np.uint64(32)).astype(np.int64)
                 after = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 rows = [
                     *parts(before, [counts, counts == 1, counts == 2, counts >= 3], [0, 1, 2, 3]),
                     *parts(after, [np.ones(len(after))], [4]),
                 ]
+                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
-                    ["block", "stat", "places", "sums"],
+                    [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    ["block", "stat", "places", "kind", "sums"],
                 )
 
     def write(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
         values = np.zeros((len(STATS), BLOCK), np.int64)
-        for stat, at, s in zip(*(table[c].to_pylist() for c in ("stat", "places", "sums")), strict=True):
-            values[stat, np.frombuffer(at, np.int32)] += np.frombuffer(s, np.int64)
+        for stat, at, kind, s in zip(*(table[c].to_pylist() for c in table.column_names[1:]), strict=True):
+            values[stat, np.frombuffer(at, np.int32)] += np.frombuffer(s, kind).astype(np.int64)
         for k, kind in enumerate(STATS):
             arrays.save(f"{folder}/{block}.{kind}", values[k])
         return pa.table({f"n{k}": pa.array([n], pa.int64()) for k, n in enumerate(count_of_counts(values[4]), 1)})
 
     found = (
-        shards.mapInArrow(sums, "block long, stat int, places binary, sums binary")
+        shards.mapInArrow(sums, "block long, stat int, places binary, kind string, sums binary")
         .groupBy("block").applyInArrow(write, "n1 long, n2 long, n3 long, n4 long").collect()
     )
     written = -(-(n_words + 1) // BLOCK)

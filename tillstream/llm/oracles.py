@@ -2,6 +2,37 @@
 
 from __future__ import annotations
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# The same characters as words.SPACES.
+SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def kept_lines(documents: str) -> str:
+    """Common table expressions up to shortened(doc_id, n_lines, n_dropped, kept)."""
+    return f"""
+    lines AS (
+        SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM {documents})
+    ),
+    keyed AS (SELECT *, translate(trim(line, {SPACES}), '{UPPER}', '{LOWER}') AS k FROM lines),
+    shared AS (
+        SELECT k, min(doc_id) AS holder FROM keyed WHERE length(k) >= 10
+        GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+    ),
+    marked AS (
+        SELECT doc_id, i, line, holder IS NOT NULL AND holder <> doc_id AS gone
+        FROM keyed LEFT JOIN shared USING (k)
+    ),
+    shortened AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept
+        FROM marked GROUP BY doc_id
+    )"""
+
 
 def registry() -> dict[str, str]:
-    return {}
+    return {
+        "op9_line_dedup": f"""
+            WITH {kept_lines("documents")}
+            SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM shortened""",
+    }

@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import ngram_lm
+from tillstream.llm import bpe, line_dedup, ngram_join, ngram_lm, quality, token_files
 from tillstream.llm.words import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
-def on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(read_documents(spark, sf_dir))
+
+def on_documents(operator: Callable[..., DataFrame], *more: str) -> Query:
+    return lambda spark, sf_dir: operator(read_documents(spark, sf_dir), *more)
 
 
 def registry() -> dict[str, Query]:
     return {
+        "op2_quality_rules": on_documents(quality.op2_quality_rules),
+        "op5_ngram_join": on_documents(ngram_join.op5_ngram_join),
+        "op6_bpe": on_documents(bpe.op6_bpe, WORD_BPE),
+        "op7_token_files": on_documents(token_files.op7_token_files, BYTE_BPE),
+        "op9_line_dedup": on_documents(line_dedup.op9_line_dedup),
         "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm),
     }

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 # Python's bytes.split() cuts at exactly these characters, so words are [^\x20\x09-\x0D]+.
 SPACES = b" \t\n\x0b\x0c\r"
-CACHED_WORDS = 400_000
-CHUNK_WORDS = 1_500_000
+CACHED_WORDS = 250_000
+CHUNK_WORDS = 1_000_000
 
 
 class WordHashes(dict):
