@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain, pairwise
@@ -32,6 +34,10 @@ CHUNK_BYTES = 4 << 20
 CACHED_PIECES = 300_000
 FINAL = 256  # added to the byte that ends a word
 NEVER = np.int64(1) << 40
+LONG_WORD = 64
+# Lower-case ASCII and Latin letters, and the file's word pattern for such text, which re finds faster than regex.
+LATIN = re.compile("[\t-\r -~À-ÖØ-öø-ɏ]*")
+LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-zÀ-ɏ]+|[0-9]|[^\sA-Za-zÀ-ɏ0-9]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -74,7 +80,7 @@ class Codec:
         keys = np.array([a * size + b for a, b in self.merges], np.int64)
         order = np.argsort(keys)
         self.size, self.pair_keys = size, keys[order]
-        self.pair_ranks = np.array([r for r, _ in self.merges.values()], np.int64)[order]
+        self.pair_ranks, self.pair_tokens = np.array(list(self.merges.values()), np.int64)[order].T.copy()
 
         # The prefix tree: a sorted array of state * 512 + symbol, the state it leads to, the state's token.
         edges: dict[int, int] = {}
@@ -114,14 +120,53 @@ class Codec:
                     heapq.heappush(queue, (self.merges[p][0], a, p))
         return [t for t in ids if t >= 0]
 
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of merging each pair, NEVER if they do not merge, and the place of the pair."""
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER), at
+
+    def merged_together(self, words: list[np.ndarray]) -> list[list[int]]:
+        """Like merged for many words in step: in each round every word merges its best pair."""
+        out: list[list[int]] = [[] for _ in words]
+        tokens = self.symbol[np.concatenate(words)] if words else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        best = np.full(len(tokens), NEVER)
+        here = np.flatnonzero(owner[1:] == owner[:-1])
+        best[here] = self.ranks(tokens[here], tokens[here + 1])[0]
+        while len(tokens):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            least = np.minimum.reduceat(best, first)
+            word = np.cumsum(np.diff(owner, prepend=-1) > 0) - 1
+            done = (least == NEVER)[word]
+            if done.any():
+                ended = np.flatnonzero(least == NEVER)
+                ends = np.append(first[1:], len(tokens))
+                for k in ended.tolist():
+                    out[owner[first[k]]] = tokens[first[k]:ends[k]].tolist()
+                tokens, owner, best, least, word = tokens[~done], owner[~done], best[~done], least, word[~done]
+                if not len(tokens):
+                    break
+            hits = np.flatnonzero(best == least[word])
+            hits = hits[np.diff(word[hits], prepend=-1) > 0]  # the leftmost of each word
+            tokens[hits] = self.pair_tokens[self.ranks(tokens[hits], tokens[hits + 1])[1]]
+            keep = np.ones(len(tokens), bool)
+            keep[hits + 1] = False
+            tokens, owner, best = tokens[keep], owner[keep], best[keep]
+            at = hits - np.arange(len(hits))
+            for place in (at, at[at > 0] - 1):
+                inside = (place + 1 < len(tokens)) & (owner[np.minimum(place + 1, len(tokens) - 1)] == owner[place])
+                best[place[~inside]] = NEVER
+                place = place[inside]
+                best[place] = self.ranks(tokens[place], tokens[place + 1])[0]
+        return out
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves the border between a and b, for many pairs."""
         fine, live = np.ones(len(a), bool), np.arange(len(a))
         a, b, limit = a.copy(), b.copy(), np.full(len(a), NEVER)
         while len(live):
-            key = a * self.size + b
-            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            rank = np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
+            rank, _ = self.ranks(a, b)
             fine[live[rank < limit]] = False
             ra, rb = self.rank[a], self.rank[b]
             on = (rank >= limit) & ((ra >= 0) | (rb >= 0))
@@ -163,7 +208,7 @@ class Codec:
         order = np.argsort(words, kind="stable")
         return words[order], np.concatenate([*tokens, np.zeros(0, np.int64)])[order], stuck
 
-    def encode_words(self, words: list[str]) -> tuple[list[tuple[int, ...]], int]:
+    def encode_words(self, words: list[str]) -> tuple[list[list[int]], int]:
         """Ids of each word, and how many words needed exact merging."""
         raw = [w.encode() for w in words]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -177,10 +222,16 @@ class Codec:
         failed[word[inside[~fine]]] = True
         cuts = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
         token = token.tolist()
-        return [
-            tuple(self.merged(symbols[a:b].tolist())) if bad else tuple(token[i:j])
-            for bad, a, b, i, j in zip(failed.tolist(), starts[:-1], starts[1:], cuts, cuts[1:], strict=False)
-        ], int(failed.sum())
+        out = [token[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        # A very long word has as many rounds as letters: it is merged alone.
+        wrong = np.flatnonzero(failed)
+        short = wrong[lengths[wrong] <= LONG_WORD]
+        together = self.merged_together([symbols[starts[k]:starts[k + 1]] for k in short.tolist()])
+        for k, ids in zip(short.tolist(), together, strict=True):
+            out[k] = ids
+        for k in wrong[lengths[wrong] > LONG_WORD].tolist():
+            out[k] = self.merged(symbols[starts[k]:starts[k + 1]].tolist())
+        return out, len(wrong)
 
 
 class Encoder:
@@ -190,8 +241,9 @@ class Encoder:
         self.codec = codec
         self.words = regex.compile(codec.pattern)
         self.special = regex.compile("(" + "|".join(map(regex.escape, codec.special)) + ")")
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.named = {"\0" + s: ((i,), s) for s, i in codec.special.items()}
+        # Ids (as bytes) and decoded text of each word.
+        self.ids: dict[str, bytes] = {}
+        self.texts: dict[str, str] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Words and special tokens of a text in order; a special token is marked by a leading NUL."""
@@ -202,24 +254,29 @@ class Encoder:
 
     def plain(self, text: str) -> list[str]:
         # Each letter is lowered by itself, so a final sigma is like any other.
-        return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return LATIN_WORDS.findall(low) if LATIN.fullmatch(low) else self.words.findall(low)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """Ids and decoded text of each text."""
         cut = [self.pieces(t) for t in texts]
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        self.known |= self.named
-        new = list(set(chain.from_iterable(cut)) - self.known.keys())
+        if len(self.ids) > CACHED_PIECES:
+            self.ids.clear()
+            self.texts.clear()
+        for name, i in self.codec.special.items():
+            self.ids["\0" + name], self.texts["\0" + name] = struct.pack("<i", i), name
+        new = list(set(chain.from_iterable(cut)) - self.ids.keys())
         strings = self.codec.strings
-        for w, ids in zip(new, self.codec.encode_words(new)[0], strict=True):
-            self.known[w] = (ids, " ".join([strings[i] for i in ids]))
-        out = []
-        for words in cut:
-            found = [self.known[w] for w in words]
-            ids = np.fromiter(chain.from_iterable([f[0] for f in found]), np.int32)
-            out.append((ids, " ".join([f[1] for f in found])))
-        return out
+        for word, ids in zip(new, self.codec.encode_words(new)[0], strict=True):
+            self.ids[word] = struct.pack(f"<{len(ids)}i", *ids)
+            self.texts[word] = " ".join([strings[i] for i in ids])
+        return [
+            (
+                np.frombuffer(b"".join(map(self.ids.__getitem__, words)), "<i4"),
+                " ".join(map(self.texts.__getitem__, words)),
+            )
+            for words in cut
+        ]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -262,13 +319,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """What the query returns of ids and decoded, and more columns."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
     )
 
 

@@ -30,8 +30,85 @@ def kept_lines(documents: str) -> str:
     )"""
 
 
+def quality_verdicts(documents: str) -> str:
+    """Common table expressions up to verdicts(doc_id, the counts, base_failed, kept)."""
+    # (least, greatest threshold) of each rule, as the quality rules state them.
+    rules = {"symbol_rate": (50, 300), "line_rate": (300, 700), "repeat_rate": (100, 200), "letter_rate": (120, 400)}
+    space = "[ \\t\\n\\x0B\\f\\r]"
+    levels = {"s": ("l, s, ", 100), "l": ("l, ", 100), "a": ("", 0)}
+    fences = []
+    for name, (keys, least) in levels.items():
+        by = keys + "rule"
+        picks = ", ".join(
+            f"max(CASE WHEN rule = '{r}' THEN least(greatest(mid + 4 * (high - mid), {a}), {b}) END) AS {r}"
+            for r, (a, b) in rules.items()
+        )
+        group = f"GROUP BY {keys[:-2]}" if keys else ""
+        fences.append(f"""
+    cut_{name} AS (
+        SELECT {by}, bucket, sum(sum(n)) OVER (PARTITION BY {by}) AS docs,
+               sum(sum(n)) OVER (PARTITION BY {by} ORDER BY bucket) AS upto
+        FROM sketch GROUP BY {by}, bucket
+    ),
+    limit_{name} AS (
+        SELECT {by}, max(docs) AS docs, min(bucket) FILTER (100 * upto >= 50 * docs) AS mid,
+               min(bucket) FILTER (100 * upto >= 75 * docs) AS high
+        FROM cut_{name} GROUP BY {by}
+    ),
+    fence_{name} AS (SELECT {keys}{picks} FROM limit_{name} WHERE docs >= {least} {group})""")
+    fine = " AND ".join(f"r.{r} <= coalesce(fs.{r}, fl.{r}, fa.{r})" for r in rules)
+    long = " UNION ALL ".join(f"SELECT l, s, '{r}' AS rule, {r} AS v FROM rated" for r in rules)
+    return f"""
+    numbered AS (
+        SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS l,
+               coalesce(source, '') AS s
+        FROM {documents}
+    ),
+    split AS (
+        SELECT *, list_filter(regexp_split_to_array(text, '{space}+'), lambda w: w <> '') AS words,
+               list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS lines
+        FROM numbered
+    ),
+    starts AS (
+        SELECT row, p, array_to_string(words[p:p + 4], ' ') AS w
+        FROM (SELECT row, words, unnest(range(1, len(words) - 3)) AS p FROM split)
+    ),
+    again AS (SELECT row, w FROM starts GROUP BY row, w HAVING count(*) > 1),
+    covered AS (
+        SELECT row, count(DISTINCT p + k) AS n
+        FROM starts JOIN again USING (row, w), (SELECT unnest(range(5)) AS k) GROUP BY row
+    ),
+    counted AS (
+        SELECT row, doc_id, l, s, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+               length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+               coalesce(covered.n, 0) AS n_repeat_words
+        FROM split LEFT JOIN covered USING (row)
+    ),
+    rated AS (
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               1000 * n_symbols // greatest(word_chars, 1) AS symbol_rate,
+               1000 * n_dup_lines // greatest(n_lines, 1) AS line_rate,
+               1000 * n_repeat_words // greatest(n_words, 1) AS repeat_rate,
+               10 * word_chars // greatest(n_words, 1) AS letter_rate
+        FROM counted
+    ),
+    long AS ({long}),
+    sketch AS (
+        SELECT l, s, rule, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS bucket,
+               count(*) AS n
+        FROM long GROUP BY ALL
+    ),{",".join(fences)},
+    verdicts AS (
+        SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND {fine} AS kept
+        FROM rated r LEFT JOIN fence_s fs USING (l, s) LEFT JOIN fence_l fl ON r.l = fl.l, fence_a fa
+    )"""
+
+
 def registry() -> dict[str, str]:
     return {
+        "op2_quality_rules": f"WITH {quality_verdicts('documents')} SELECT * FROM verdicts",
         "op9_line_dedup": f"""
             WITH {kept_lines("documents")}
             SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM shortened""",

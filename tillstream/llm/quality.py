@@ -56,7 +56,7 @@ def with_counts(docs: DataFrame, prefix: str = "") -> DataFrame:
     )
     # Hash in the high bits, place in the low ones: sorted numbers put equal windows side by side.
     bits = F.length(F.bin(F.size(windows).cast("long")))
-    mask = F.shiftleft(F.lit(1).cast("long"), bits) - 1
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
     out = out.withColumn("_mask", mask)
     packed = F.sort_array(
         F.transform(windows, lambda h, i: h.bitwiseAND(F.bitwise_not("_mask")).bitwiseOR(i.cast("long")))
@@ -137,24 +137,27 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, the counts, base_failed and kept (which replace columns of that name)."""
+def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """The columns to carry (all), the counts, base_failed and kept, which replace columns of that name."""
     new = [*COUNTS, "base_failed", "kept"]
-    docs = docs.drop(*new)
+    carry = [c for c in carry or docs.columns if c not in new]
     keys = {"_lang": F.coalesce("lang", F.lit("")), "_source": F.coalesce("source", F.lit(""))}
-    rated = with_counts(docs, "_c_").withColumns(keys)
+    # Carried columns travel in one struct, out of the way of the working columns.
+    packed = docs.select(F.struct(*(F.col(c) for c in carry)).alias("_row"), "text", "lang", "source")
+    rated = with_counts(packed, "_c_").withColumns(keys)
     rated = rated.withColumns({"_" + name: rate for name, rate in rates("_c_").items()})
     # Counting is the costly part: it is done once, both the sketches and the verdicts read the table.
+    rated = rated.select("_row", *keys, *("_c_" + c for c in (*COUNTS, "n_lines")), *("_" + r for r in RANGES))
     rated = written(rated, f"{shared_folder(docs.sparkSession, 'quality')}/rated")
     joined = rated.join(thresholds(sketches(rated)), ["_lang", "_source"])
     fine = ~base_failed("_c_")
     for rule in RANGES:
         fine = fine & (F.col("_" + rule) <= F.col("_most_" + rule))
     return joined.select(
-        *(F.col(c) for c in docs.columns), *(F.col("_c_" + c).alias(c) for c in COUNTS),
+        "_row.*", *(F.col("_c_" + c).alias(c) for c in COUNTS),
         base_failed("_c_").alias("base_failed"), fine.alias("kept"),
     )
 
 
 def op2_quality_rules(docs: DataFrame) -> DataFrame:
-    return judge(docs.select("doc_id", "text", "lang", "source")).drop("text", "lang", "source")
+    return judge(docs, ["doc_id"])

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import bpe, line_dedup, ngram_join, ngram_lm, quality, token_files
+from tillstream.llm import (
+    bpe, decontaminate, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan, token_files, toxicity,
+)
 from tillstream.llm.words import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +24,14 @@ def on_documents(operator: Callable[..., DataFrame], *more: str) -> Query:
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_decontaminate": decontaminate.op1_decontaminate,
         "op2_quality_rules": on_documents(quality.op2_quality_rules),
+        "op3_language_id": on_documents(language.op3_language_id),
+        "op4_secret_scan": on_documents(secret_scan.op4_secret_scan),
         "op5_ngram_join": on_documents(ngram_join.op5_ngram_join),
         "op6_bpe": on_documents(bpe.op6_bpe, WORD_BPE),
         "op7_token_files": on_documents(token_files.op7_token_files, BYTE_BPE),
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_line_dedup": on_documents(line_dedup.op9_line_dedup),
         "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm),
     }

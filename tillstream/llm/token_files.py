@@ -15,37 +15,41 @@ Null and empty texts have the end id alone.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillstream.llm.arrays import shared_folder
+from tillstream.llm.bpe import byte_letters
 from tillstream.llm.words import by_chunk, id_and_bytes, text_bytes
 
 MAGIC = 0x31534449444B4F54
 BLOCK_IDS = 8192
-FILE_BYTES = 32 << 20  # of text
-CHUNK_BYTES = 4 << 20
-CACHED_PIECES = 300_000
+FILE_BYTES = 16 << 20  # of text
+CHUNK_BYTES = 2 << 20
+CACHED_PIECES = 250_000
 END_ID = 0
 
-# Fixed value: the file's own word pattern. A word's ids do not depend on its neighbours.
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Where both regex engines agree on the pattern: ASCII text and Latin letters.
-PLAIN = regex.compile("[\t-\r -~À-ɏ]*")
+# Where Python's regular expressions surely agree with the library's: ASCII text and Latin letters.
+PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ɏ]*")
+# Fixed value: the file's own word pattern, for such text. A word's ids do not depend on its neighbours.
+PIECE = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ɏ0-9]+|\s+(?!\S)|\s+"
+)
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
-    bits = (ids.astype(np.uint32)[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    bits = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    return np.packbits(bits[:, :width], bitorder="little").tobytes()
 
 
 def unpack(data: np.ndarray, n: int, width: int) -> np.ndarray:
@@ -120,17 +124,20 @@ class Reader:
 
 
 class Pieces(dict):
-    """Ids of a word as bytes, by the library; starts anew when full."""
+    """Ids of a word as bytes, by the library's model; starts anew when full."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.model = tokenizer.model
+        self.letters = byte_letters()
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHED_PIECES:
             self.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        value = self[piece] = np.array(ids, "<u4").tobytes()
+        # The byte alphabet of the file: what its word splitter hands to the model.
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        ids = [token.id for token in self.model.tokenize(spelled)]
+        value = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return value
 
 

@@ -48,13 +48,16 @@ def held_out(folds: int) -> Column:
 def by_chunk(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple]]:
     """Rows of the batches as tuples, in lists of about ``size`` bytes of text (column 1)."""
     rows, n = [], 0
-    for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            rows.append(row)
-            n += len(row[1] or b"")
-            if n >= size:
-                yield rows
-                rows, n = [], 0
+    for whole in batches:
+        # Only a part of a batch is turned into Python objects at a time.
+        step = max(1, int(whole.num_rows * size / max(1, whole.column(1).nbytes)))
+        for batch in (whole.slice(a, step) for a in range(0, whole.num_rows, step)):
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                rows.append(row)
+                n += len(row[1] or b"")
+                if n >= size:
+                    yield rows
+                    rows, n = [], 0
     if rows:
         yield rows
 
