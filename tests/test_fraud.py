@@ -7,8 +7,8 @@ import pytest
 from conftest import START
 from pyspark.sql import functions as F
 
-from tillstream.operators import fraud, split
 from tillstream.operators.fraud import alert_text, fraud_alerts
+from tillstream.operators.ranges import PIECE, in_ranges
 
 
 def at(ms):
@@ -89,72 +89,41 @@ def random_rows(seed, n=600):
     ]
 
 
-@pytest.mark.parametrize("group_rows", [1, 2, 7, 50, 10_000])
-def test_cut_customers_give_the_same_alerts(transactions, group_rows):
-    rows = random_rows(group_rows)
-    alerts = fraud_alerts(transactions(rows), group_rows=group_rows).collect()
+@pytest.mark.parametrize("ranges", [1, 2, 7, 50, 400])
+def test_any_number_of_pieces_gives_the_same_alerts(transactions, ranges):
+    rows = random_rows(ranges)
+    alerts = fraud_alerts(transactions(rows), ranges=ranges).collect()
     found = sorted((a.customer_id, a.previous_date, a.date, a.seq) for a in alerts)
     assert found == expected_alerts(rows) and found
 
 
-def record_cuts(monkeypatch):
-    """Record the pieces and their sizes for every cut."""
-    sizes = []
-
-    def recording(*args):
-        pieces = split.cut_heavy_keys(*args)
-        grouped = pieces.rows.where(pieces.is_cut).groupBy(*args[1:2], split.PIECE)
-        sizes.extend(row["count"] for row in grouped.count().collect())
-        return pieces
-
-    monkeypatch.setattr(fraud, "cut_heavy_keys", recording)
-    return sizes
-
-
-@pytest.mark.parametrize("shared", [1.0, 0.4, 0.05])
-def test_many_arrivals_at_one_number(transactions, monkeypatch, shared):
-    """A number that many rows share is cut along the second column."""
-    rng = random.Random(4)
-    rows = random_rows(3, 400)
-    for number, row in enumerate(rows):
-        row["seq"] = number
-    start = rng.randrange(0, int(400 * (1 - shared)) + 1)
-    end = start + int(400 * shared)
-    lead = F.when(F.col("seq").between(start, end), start).otherwise(F.col("seq"))
-    df = transactions(rows).withColumn("lead", lead)
-    sizes = record_cuts(monkeypatch)
-    alerts = fraud_alerts(df, ["lead", "seq"], group_rows=20).collect()
+ORDERS = {
+    "text": "format_string('%09d', seq)",
+    "struct": "named_struct('x', 'x', 'seq', seq)",
+    "beyond a double's precision": "1152921504606846976 + seq",
+    "decimal": "cast(100000000000000000000 + seq as decimal(30,0))",
+    "time": "timestamp_seconds(seq)",
+    "shared by many": "if(seq < 300, 0, seq)",
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_orders_of_every_type(transactions, kind):
+    rows = random_rows(9, 400)
+    df = transactions(rows).withColumn("lead", F.expr(ORDERS[kind]))
+    alerts = fraud_alerts(df, ["lead", "seq"], ranges=30).collect()
     found = sorted((a.customer_id, a.previous_date, a.date, a.seq) for a in alerts)
     assert found == expected_alerts(rows)
-    assert len(sizes) > 5 and max(sizes) <= 45
-
-
-@pytest.mark.parametrize("buckets", [1, 3, 65_536])
-def test_heavy_keys(transactions, monkeypatch, buckets):
-    monkeypatch.setattr(split, "HASH_BUCKETS", buckets)
-    sizes = {"a": 30, "b": 12, "c": 11, "d": 10, "e": 1, None: 40}
-    df = transactions([{"customer_id": k} for k, n in sizes.items() for _ in range(n)])
-    assert split.heavy_keys(df, "customer_id", 10) == {"a": 30, "b": 12, "c": 11}
-    assert split.heavy_keys(df, "customer_id", 30) == {}
-    monkeypatch.setattr(split, "MAX_SPLITS", 2)
-    assert split.heavy_keys(df, "customer_id", 5) == {"a": 30, "b": 12}
-
-
-def test_order_that_cannot_be_cut(transactions):
-    rows = random_rows(9, 80)
-    df = transactions(rows).withColumn("text", F.format_string("%09d", "seq"))
-    alerts = fraud_alerts(df, "text", group_rows=5).collect()
-    found = sorted((a.customer_id, a.previous_date, a.date) for a in alerts)
-    assert found == [alert[:3] for alert in expected_alerts(rows)]
-
-
-def test_timestamps_as_order(transactions):
-    rows = random_rows(11, 200)
-    for row in rows:
-        row["ingest_ts"] = at(row["seq"])
-    alerts = fraud_alerts(transactions(rows), "ingest_ts", group_rows=10).collect()
-    found = sorted((a.customer_id, a.previous_date, a.date) for a in alerts)
-    assert found == [alert[:3] for alert in expected_alerts(rows)]
+
+
+@pytest.mark.parametrize("key,order", [("customer_id", "seq"), ("nothing", "seq"), ("customer_id", "text")])
+def test_no_piece_is_large(transactions, key, order):
+    """One customer, or the null key, holds most rows."""
+    df = transactions(random_rows(3, 2000)).withColumns(
+        {"text": F.expr(ORDERS["text"]), "nothing": F.lit(None).cast("string")}
+    )
+    pieces = in_ranges(df, key, [order], 20).groupBy(PIECE).count().collect()
+    assert len(pieces) >= 15 and max(p["count"] for p in pieces) <= 3 * 2000 / 20
 
 
 def test_alert_text(transactions):

@@ -6,9 +6,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry_points
+from tillstream.plans import oracles, queries
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = queries.registry()
+ORACLES = oracles.registry()
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +26,10 @@ def test_query(spark, sf_dir, duck, name):
     assert compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
+def test_entry_points_hold_all_queries():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 13

@@ -7,6 +7,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import START
 
 from tillstream.operators.sales import (
@@ -121,13 +122,43 @@ def test_unknown_mode(transactions):
         sales_per_day(transactions([]), "weekly")
 
 
-@pytest.mark.parametrize("group_rows", [1, 9, 40, 10_000])
-def test_running_totals(transactions, group_rows):
-    rows = random_rows(group_rows)
+def test_sums_keep_fractions_of_a_cent_and_large_amounts(transactions):
+    def total(*amounts):
+        return sales_per_day(transactions([{"total_amount": a} for a in amounts])).first().total_sales
+
+    assert total(*[0.004] * 1000) == 4.0
+    assert total(*[9.9e15] * 10) == 9.9e16
+    assert total(1e16, -1e16, 0.25) == 0.25
+    assert total(*[-0.1] * 10) == -1.0
+    assert total(1e300, 1.0) == 1e300
+    assert total(*[2.0**61] * 100) == 100 * 2.0**61
+
+
+@pytest.mark.parametrize("ranges", [1, 9, 40, 300])
+def test_running_totals(transactions, ranges):
+    rows = random_rows(ranges)
     sums, expected = {}, {}
     for row in rows:
         key = row["product_category"]
         sums[key] = sums.get(key, Decimal(0)) + Decimal(str(row["total_amount"]))
         expected[row["seq"]] = float(sums[key])
-    found = running_totals(transactions(rows), "product_category", group_rows=group_rows).collect()
+    found = running_totals(transactions(rows), "product_category", ranges=ranges).collect()
     assert {r.seq: r.running_total for r in found} == expected
+
+
+@pytest.mark.parametrize("kind", ["long", "text", "struct"])
+@pytest.mark.parametrize("key", ["same", "nothing"])
+def test_running_totals_of_one_key(transactions, kind, key):
+    """One key for all rows, or no key at all, in orders that a double cannot tell apart."""
+    df = transactions([{"total_amount": 1.0 + i} for i in range(400)]).withColumns(
+        {
+            "same": F.lit("k"),
+            "nothing": F.lit(None).cast("string"),
+            "long": F.lit(1 << 60) + F.col("seq"),
+            "text": F.format_string("%09d", "seq"),
+            "struct": F.struct("seq"),
+            "down": -F.col("seq"),
+        }
+    )
+    found = running_totals(df, key, [kind, "down"], ranges=25).collect()
+    assert {r.seq: r.running_total for r in found} == {i: i + i * (i + 1) / 2 + 1.0 for i in range(400)}

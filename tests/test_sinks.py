@@ -83,6 +83,21 @@ def test_folder_tables(spark, tmp_path):
     assert sorted(tuple(r) for r in found) == [(2025, 1, 1.0), (2025, 2, 5.0), (2025, 3, 3.0)]
 
 
+def test_compaction_keeps_the_newest_rows(spark, tmp_path):
+    target = FolderTables(str(tmp_path))
+    for batch in range(4):
+        target.upsert(totals(spark, (2025, 1, float(batch)), (2025, 2 + batch, 1.0)), "sales_per_month", batch)
+    before = sorted(tuple(r) for r in target.read(spark, "sales_per_month").collect())
+    for _ in range(2):
+        target.compact(spark, "sales_per_month")
+        assert sorted(tuple(r) for r in target.read(spark, "sales_per_month").collect()) == before
+    assert [p.name for p in (tmp_path / "sales_per_month").iterdir()] == ["batch_id=3"]
+    target.upsert(totals(spark, (2025, 1, 9.0)), "sales_per_month", 4)
+    assert (2025, 1, 9.0) in {tuple(r) for r in target.read(spark, "sales_per_month").collect()}
+    assert target.read_before(spark, "sales_per_month", 4).count() == len(before)
+    assert target.read_before(spark, "sales_per_day", 4) is None
+
+
 def test_batches_count_as_numbers(spark, tmp_path):
     target = FolderTables(str(tmp_path))
     for batch in (2, 10):

@@ -19,7 +19,7 @@ from tillstream.session import scratch_folder
 from tillstream.sinks.documents import to_messages
 from tillstream.sinks.tables import FolderTables
 from tillstream.sources.messages import KAFKA_SEQ, file_source
-from tillstream.streaming import pipeline
+from tillstream.streaming import headline, pipeline
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.run import AVAILABLE_NOW
 
@@ -58,7 +58,7 @@ def test_fraud_over_many_batches(spark, transactions, tmp_path):
 
     def run():
         stream = file_source(spark, messages, df.schema, max_files=1)
-        start_fraud_alerts(stream, write, str(tmp_path / "work"), trigger=AVAILABLE_NOW, group_rows=20)
+        start_fraud_alerts(stream, write, str(tmp_path / "work"), trigger=AVAILABLE_NOW, ranges=9)
 
     bounds = [0, 40, 41, 150, 5300, 50300, 10**9]
     write_slices(df, messages, bounds[:4])
@@ -108,10 +108,76 @@ def test_fraud_in_kafka_order(spark, transactions, tmp_path):
     )
 
 
-def test_console_alerts(transactions, capfd):
-    df = transactions([{"customer_country": "UK"}, {"transaction_date": at(1000)}])
-    pipeline.console_alerts()(fraud_alerts(df), "inside", 0)
-    assert "0 phút 1 giây" in capfd.readouterr().out
+def test_printed_and_stored_alert_texts(spark, transactions, tmp_path, capfd):
+    """More alerts in every batch than any preview shows, from both parts; none is lost, no batch fails."""
+    rows = [
+        {"customer_id": f"c{c}", "customer_country": f"L{visit}", "transaction_date": at(visit * 1000), "seq": visit * 100 + c}
+        for visit in range(6) for c in range(100)
+    ]
+    df = transactions(rows)
+    messages = str(tmp_path / "in")
+    write_slices(df, messages, [0, 200, 300, 600])
+    for name, target in (("print", pipeline.console_alerts()), ("text", pipeline.text_alerts(str(tmp_path / "texts")))):
+        stream = file_source(spark, messages, df.schema, max_files=1)
+        start_fraud_alerts(stream, target, str(tmp_path / name), trigger=AVAILABLE_NOW)
+    assert capfd.readouterr().out.count("0 phút 1 giây") == 500
+    lines = spark.read.text(str(tmp_path / "texts")).where(F.col("value").contains("0 phút 1 giây"))
+    assert {(r.part, r["count"]) for r in lines.groupBy("part").count().collect()} == {("inside", 300), ("across", 200)}
+
+
+def test_file_limits_change_no_alert(spark, transactions, tmp_path):
+    """One commit in several files that are not in order: a later query takes it whole."""
+    rows = random_rows(13, 200)
+    for number, row in enumerate(rows):
+        row["customer_id"] = row["customer_id"] or "e"
+        row["transaction_id"] = f"t{number}"
+    df = transactions(rows)
+    messages = to_messages(df, "seq").select("seq", "value").repartition(6, "value")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    messages.write.parquet(source)
+    stream = file_source(spark, source, messages.schema)
+    pipeline.start_pipeline(stream, pipeline.folder_targets(out), str(tmp_path / "work"), trigger=AVAILABLE_NOW)
+    assert alert_rows(spark.read.parquet(f"{out}/alerts")) == alert_rows(fraud_alerts(df))
+
+
+def test_headline_over_many_batches(spark, tmp_path):
+    schema = "seq long, reason string, total_amount double"
+    rows = [(i, "bad" if i % 4 == 0 else None, 0.1) for i in range(60)]
+    df = spark.createDataFrame(rows, schema)
+    messages, folder = str(tmp_path / "in"), str(tmp_path)
+    assert headline.read_newest(spark, f"{folder}/kpi") is None
+    for bounds in ([0, 10, 25], [25, 60]):
+        write_slices(df, messages, bounds)
+        stream = file_source(spark, messages, df.schema, max_files=1)
+        headline.start_kpi(stream, f"{folder}/kpi", f"{folder}/c1", AVAILABLE_NOW)
+        headline.start_recent(stream, f"{folder}/recent", f"{folder}/c2", n=7, trigger=AVAILABLE_NOW)
+    assert tuple(headline.read_newest(spark, f"{folder}/kpi").first()) == (60, 45, 15, 4.5)
+    assert rows_of(headline.read_newest(spark, f"{folder}/recent"), "seq") == [(i,) for i in range(53, 60)]
+
+
+def test_state_function_speed():
+    """Calls per second for customers with one run each, without the state store."""
+    import time
+
+    import pandas as pd
+
+    from tillstream.streaming import fraud
+
+    columns = ["customer_id", *(f"{e}_{n}" for e in ("first", "last") for n in fraud._NAMES), "seq", "batch_id"]
+    carry = fraud._carrier(columns, ["customer_id", *(f"first_{n}" for n in fraud._NAMES), "seq"], 360_000)
+    frame = pd.DataFrame([["c", "A", 1, "p", 1.0, "A", 1, "p", 1.0, 1, 5]], columns=columns)
+
+    class State:
+        exists, get = True, (4, "A", 0, "p", 1.0)
+
+        def update(self, value):
+            self.value = value
+
+    state, start = State(), time.perf_counter()
+    for _ in range(300):
+        assert list(carry(("c",), iter([frame]), state)) == []
+    assert state.value == (5, "A", 1, "p", 1.0)
+    assert 300 / (time.perf_counter() - start) > 1000
 
 
 @pytest.mark.parametrize("table", sorted(pipeline.SALES))
@@ -138,15 +204,17 @@ def test_sales_over_many_batches(spark, transactions, tmp_path, table):
 
 
 def test_as_written_streams(spark, transactions, tmp_path):
+    """Batches across midnight, and one millisecond in two batches."""
     rows = [
-        {"transaction_date": at(i * 86_400_000 * 40), "total_amount": 1.0 + i,
-         "product_category": "home" if i % 2 else "beauty"}
+        {"transaction_date": at(i // 2 * 86_400_000 * 40 + i // 3), "total_amount": 1.0 + i,
+         "product_category": "home" if i % 3 else "beauty"}
         for i in range(16)
     ]
     df = transactions(rows)
     messages = str(tmp_path / "in")
-    write_slices(df, messages, list(range(17)))
+    write_slices(df, messages, [0, 1, 4, 5, 11, 16])
     for table, batch in (
+        ("sales_per_day", sales_per_day(df, "as_written")),
         ("sales_per_category", sales_per_category(df, "as_written")),
         ("sales_per_month", sales_per_month(df, "as_written")),
     ):
@@ -156,8 +224,6 @@ def test_as_written_streams(spark, transactions, tmp_path):
             stream, table, tables, str(tmp_path / f"c_{table}"), AVAILABLE_NOW, mode="as_written"
         )
         assert rows_of(tables.read(spark, table), *batch.columns) == rows_of(batch, *batch.columns)
-    with pytest.raises(ValueError):
-        sales_per_day(file_source(spark, messages, df.schema), "as_written")
 
 
 def test_watermark_is_optional(spark, transactions, tmp_path):
@@ -238,7 +304,7 @@ def test_pipeline_live(spark, transactions, tmp_path):
     targets = pipeline.folder_targets(out)
     queries = pipeline.start_pipeline(stream, targets, str(tmp_path / "work"), trigger="1 second")
     try:
-        assert len(queries) == 7 and all(query.isActive for query in queries)
+        assert len(queries) == 9 and all(query.isActive for query in queries)
         write_slices(messages, source, [20, 10**9])
         for query in queries:
             query.processAllAvailable()

@@ -23,6 +23,7 @@ from tillstream.sinks.tables import FolderTables, JdbcTables
 from tillstream.sources.dims import countries, country_map, customer_countries, products
 from tillstream.sources.messages import KAFKA_SEQ, file_source, kafka_source
 from tillstream.streaming.fraud import start_fraud_alerts
+from tillstream.streaming.headline import read_newest, start_kpi, start_recent
 from tillstream.streaming.pipeline import (
     Targets,
     console_alerts,
@@ -30,6 +31,7 @@ from tillstream.streaming.pipeline import (
     folder_targets,
     start_pipeline,
     start_sales,
+    text_alerts,
 )
 from tillstream.streaming.run import AVAILABLE_NOW
 
@@ -58,6 +60,7 @@ __all__ = [
     "parse_transactions",
     "products",
     "publish",
+    "read_newest",
     "recent_log",
     "recent_transactions",
     "running_totals",
@@ -67,7 +70,10 @@ __all__ = [
     "send_bulk",
     "start_fraud_alerts",
     "start_pipeline",
+    "start_kpi",
+    "start_recent",
     "start_sales",
+    "text_alerts",
     "to_documents",
     "to_messages",
     "to_sink_columns",

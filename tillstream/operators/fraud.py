@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions import text
 from tillstream.functions.values import elapsed_ms, remaining_seconds, whole_minutes
-from tillstream.operators.split import GROUP_ROWS, PIECE, cut_heavy_keys
+from tillstream.operators.ranges import PIECE, in_ranges
 
 MAX_MINUTES = 5
 CUSTOMER = "customer_id"
@@ -54,38 +54,40 @@ def fraud_alerts(
     df: DataFrame,
     seq: str | Sequence[str] = "seq",
     max_minutes: int = MAX_MINUTES,
-    group_rows: int = GROUP_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Compare every transaction with the same customer's previous one in arrival order.
 
     Batch only; ``tillstream.streaming.fraud`` is the stream form. The previous row is whatever
-    arrived before, also when its date is later or its country unknown. Customers with more than
-    ``group_rows`` rows are cut along the arrival order: alerts inside a piece are found in the
-    piece, and only the first and last row of each piece meet in a second, small window.
+    arrived before, also when its date is later or its country unknown. The rows are range-partitioned by
+    (customer, seq), so a customer of any size is spread over pieces: alerts inside a piece are found
+    there, and the first and last row of each piece meet in a second, small window.
     """
     names = [seq] if isinstance(seq, str) else list(seq)
     slim = df.where(F.col(CUSTOMER).isNotNull()).select(
         CUSTOMER, *names, remembered().alias("current")
     )
-    rows, is_cut = cut_heavy_keys(slim, CUSTOMER, names, group_rows)
-    in_piece = W.partitionBy(CUSTOMER, PIECE).orderBy(*names)
-    linked = rows.withColumn("previous", F.lag("current").over(in_piece))
+    order = (CUSTOMER, *names)
+    in_piece = W.partitionBy(PIECE).orderBy(*order)
+    row = F.struct(F.col(CUSTOMER).alias("customer"), "current")
+
+    def same_customer(before: str) -> Column:
+        return F.when(F.col(f"{before}.customer") == F.col(CUSTOMER), F.col(f"{before}.current"))
+
+    linked = in_ranges(slim, CUSTOMER, names, ranges).withColumns(
+        {"_before": F.lag(row).over(in_piece), "_last": F.lead(F.lit(True)).over(in_piece).isNull()}
+    )
+    linked = linked.withColumns(
+        {"previous": same_customer("_before"), "_first": F.col("_before").isNull()}
+    )
     alert = is_alert("previous", "current", max_minutes)
-    if is_cut is not None:
-        starts = is_cut & F.col("previous").isNull()
-        has_next = F.lead(F.lit(True), 1, False).over(in_piece)
-        survivors = (
-            linked.withColumn("_has_next", has_next)
-            .withColumn("_edge", starts | (is_cut & ~F.col("_has_next")))
-            .where(F.col("_edge") | alert)
-        )
-        # All edges of a customer meet; the alerts found already stay apart in their pieces.
-        group = F.when(~F.col("_edge"), F.col(PIECE))
-        across = W.partitionBy(CUSTOMER, "_edge", group).orderBy(*names)
-        linked = survivors.withColumn(
-            "previous",
-            F.when(starts, F.lag("current").over(across)).otherwise(F.col("previous")),
-        )
+    survivors = linked.where(F.col("_first") | F.col("_last") | alert)
+    # Two rows per piece meet; the alerts found already stay apart in their pieces.
+    group = F.when(~(F.col("_first") | F.col("_last")), F.col(PIECE))
+    survivors = survivors.withColumn("_before", F.lag(row).over(W.partitionBy(group).orderBy(*order)))
+    linked = survivors.withColumn(
+        "previous", F.when(F.col("_first"), same_customer("_before")).otherwise(F.col("previous"))
+    )
     return linked.where(alert).select(*alert_columns("previous", "current"), *names)
 
 

@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions import text
-from tillstream.functions.values import as_amount, cents
+from tillstream.functions.values import money_sum
 
 
 def kpi_summary(df: DataFrame, ok: Column | str = "ok") -> DataFrame:
     """One row: how many transactions, successes and failures, and the successes' revenue."""
     ok = F.coalesce(F.col(ok) if isinstance(ok, str) else ok, F.lit(False))
-    revenue = F.sum(cents(F.when(ok, F.col("total_amount"))))
+    revenue = money_sum(F.when(ok, F.col("total_amount")))
     return df.agg(
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(ok).alias("success_transactions"),
         F.count_if(~ok).alias("failed_transactions"),
-        as_amount(F.coalesce(revenue, F.lit(0))).alias("total_revenue"),
+        F.coalesce(revenue, F.lit(0.0)).alias("total_revenue"),
     )
 
 

@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.values import MONEY_LIMIT, cut_to_millis
+from tillstream.functions.values import cut_to_millis
 from tillstream.operators.computed import with_computed
 from tillstream.schema import FIELDS
 
-_CORRUPT = "_corrupt"
 # Every property is read as text first: the accepted spellings of numbers and dates are wider
-# than what a typed JSON read takes.
-_RAW_SCHEMA = ", ".join([f"{f.wire} string" for f in FIELDS] + [f"{_CORRUPT} string"])
+# than what a typed JSON read takes. One read gives names and values alike.
 _JSON_OPTIONS = {
     "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": _CORRUPT,
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
 }
@@ -34,8 +31,10 @@ def _is_blank(text: Column) -> Column:
 
 
 def _double(text: Column) -> Column:
-    """Missing is 0; unreadable is null."""
-    return F.when(text.isNull() | _is_blank(text), F.lit(0.0)).otherwise(text.try_cast("double"))
+    """Missing is 0; unreadable or not finite is null. NaN compares above infinity."""
+    number = text.try_cast("double")
+    finite = F.when(F.abs(number) < float("inf"), number)
+    return F.when(text.isNull() | _is_blank(text), F.lit(0.0)).otherwise(finite)
 
 
 def _int(text: Column) -> Column:
@@ -69,6 +68,11 @@ def _timestamp(text: Column) -> Column:
 _CASTS = {"double": _double, "int": _int, "timestamp": _timestamp, "string": lambda text: text}
 
 
+def _property(name: str) -> Column:
+    """The text of a property, null if it is missing; array positions count from 1."""
+    return F.get("_values", (F.array_position("_keys", name) - 1).cast("int"))
+
+
 def classify_messages(df: DataFrame) -> DataFrame:
     """Add the 13 typed columns and ``reason`` (null for a usable row) to every message.
 
@@ -76,25 +80,27 @@ def classify_messages(df: DataFrame) -> DataFrame:
     """
     read = with_computed(
         df.where(F.coalesce(~F.col("value").rlike(r"^\s*null\s*$"), F.lit(True))),
-        F.from_json("value", _RAW_SCHEMA, _JSON_OPTIONS).alias("_raw"),
-        F.json_object_keys("value").alias("_keys"),
+        F.from_json("value", "map<string,string>", _JSON_OPTIONS).alias("_raw"),
+    )
+    # Reversed, so that the first place of a name is its last occurrence.
+    read = with_computed(
+        read,
+        F.reverse(F.map_keys("_raw")).alias("_keys"),
+        F.reverse(F.map_values("_raw")).alias("_values"),
     )
     typed = with_computed(
-        read, *[_CASTS[f.type](F.col(f"_raw.{f.wire}")).alias(f.column) for f in FIELDS]
+        read, *[_CASTS[f.type](_property(f.wire)).alias(f.column) for f in FIELDS]
     )
 
     known = F.array(*[F.lit(f.wire) for f in FIELDS])
-    raw_date = F.col("_raw.transactionDate")
-    # NaN compares above every number, so it fails the range check too.
+    raw_date = _property("transactionDate")
     bad_number = (
         F.col("product_price").isNull()
         | F.col("product_quantity").isNull()
         | F.col("total_amount").isNull()
-        | (F.abs("total_amount") >= MONEY_LIMIT)
     )
-    corrupt = F.col("_keys").isNull() | F.col(f"_raw.{_CORRUPT}").isNotNull()
     reason = (
-        F.when(F.col("value").isNull() | corrupt, "corrupt")
+        F.when(F.col("_raw").isNull(), "corrupt")
         .when(F.size(F.array_except("_keys", known)) > 0, "unknown_property")
         .when(bad_number, "bad_number")
         .when(raw_date.isNull() | _is_blank(raw_date), "null_event_time")
@@ -103,7 +109,10 @@ def classify_messages(df: DataFrame) -> DataFrame:
         .when(F.col("product_category").isNull(), "null_category")
         .when(F.col("transaction_id").isNull(), "null_id")
     )
-    return typed.withColumn("reason", reason).drop("_raw", "_keys")
+    classified = typed.withColumn("reason", reason).drop("_raw", "_keys", "_values")
+    # What could be read of a broken text is no data.
+    whole = F.coalesce(F.col("reason") != "corrupt", F.lit(True))
+    return classified.withColumns({f.column: F.when(whole, F.col(f.column)) for f in FIELDS})
 
 
 def accepted(classified: DataFrame) -> DataFrame:

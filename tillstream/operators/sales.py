@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillstream.functions.values import as_amount, cents, money_sum
+from tillstream.functions.values import money_parts, money_sum, money_total
 from tillstream.operators.latest import order_value
-from tillstream.operators.split import GROUP_ROWS, PIECE, cut_heavy_keys
+from tillstream.operators.ranges import PIECE, in_ranges
+from tillstream.session import scratch_folder
 
 _MODES = ("calendar", "as_written")
+_PARTS = ("_high", "_low", "_millionths", "_huge")
 
 
 def _check(mode: str) -> None:
@@ -31,50 +33,43 @@ def _check(mode: str) -> None:
 def sales_per_category(
     df: DataFrame, mode: str = "calendar", time_col: str | None = None
 ) -> DataFrame:
-    """(transaction_date, category, total_sales); batch or stream.
+    """(transaction_date, category, total_sales); batch, or ``calendar`` on a stream.
 
-    On a stream, ``as_written`` emits a category's total under the latest arrival date of the
-    micro-batch, so a micro-batch across midnight leaves out the earlier date's last value.
+    ``tillstream.streaming.as_written`` keeps the other mode on a stream.
     """
     _check(mode)
     day = F.to_date(_time(time_col, mode)).alias("transaction_date")
     category = F.col("product_category").alias("category")
-    if mode == "as_written" and df.isStreaming:
-        return (
-            df.groupBy(category)
-            .agg(F.max(day).alias("transaction_date"), money_sum("total_amount").alias("total_sales"))
-            .select("transaction_date", "category", "total_sales")
-        )
     if mode == "calendar":
         return df.groupBy(day, category).agg(money_sum("total_amount").alias("total_sales"))
     # The window sees one row per date and category, never the transactions.
-    per_day = df.groupBy(day, category).agg(F.sum(cents("total_amount")).alias("_sum"))
+    per_day = df.groupBy(day, category).agg(
+        *(F.sum(part).alias(name) for name, part in zip(_PARTS, money_parts("total_amount")))
+    )
     so_far = W.partitionBy("category").orderBy("transaction_date").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
     return per_day.select(
         "transaction_date",
         "category",
-        as_amount(F.sum("_sum").over(so_far)).alias("total_sales"),
+        money_total(*(F.sum(part).over(so_far) for part in _PARTS)).alias("total_sales"),
     )
 
 
 def sales_per_day(df: DataFrame, mode: str = "calendar", time_col: str | None = None) -> DataFrame:
-    """(transaction_date, total_sales); ``as_written`` is for batches only."""
+    """(transaction_date, total_sales); batch, or ``calendar`` on a stream (see ``streaming.as_written``)."""
     _check(mode)
     time = _time(time_col, mode)
     day = F.to_date(time).alias("transaction_date")
     total = money_sum("total_amount").alias("total_sales")
     if mode == "calendar":
         return df.groupBy(day).agg(total)
-    if df.isStreaming:
-        raise ValueError("as_written day totals need one state per millisecond: batch only")
     # Only the last millisecond of a date counts. Finding it first saves a shuffle of all rows by
-    # millisecond. The calendar bounds the broadcast: one row of two numbers per date.
+    # millisecond. Spark decides by size whether the one row per date is broadcast.
     stamped = df.select(day, F.unix_millis(time).alias("_ms"), "total_amount")
     last = stamped.groupBy("transaction_date").agg(F.max("_ms").alias("_ms"))
     return (
-        stamped.join(F.broadcast(last), ["transaction_date", "_ms"], "left_semi")
+        stamped.join(last, ["transaction_date", "_ms"], "left_semi")
         .groupBy("transaction_date")
         .agg(total)
     )
@@ -106,37 +101,45 @@ def running_totals(
     key: str,
     seq: str | Sequence[str] = "seq",
     amount: str = "total_amount",
-    group_rows: int = GROUP_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``running_total``: the key's total up to and including the row, in ``seq`` order.
 
-    Batch only. Heavy keys are cut along the order; a row's total is then the sum inside its
-    piece plus the sum of the key's earlier pieces.
+    Batch only. The rows are range-partitioned by (key, seq) and written with their totals inside the piece; a row's
+    total is that plus what the key had when the piece began. One row per piece carries that over, so neither
+    heavy keys nor null keys meet in one task.
     """
     names = [seq] if isinstance(seq, str) else list(seq)
-    rows, is_cut = cut_heavy_keys(df, key, names, group_rows)
     so_far = (
-        W.partitionBy(key, PIECE).orderBy(*names).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    running = F.sum(cents(amount)).over(so_far)
-    if is_cut is None:
-        return rows.withColumn("running_total", as_amount(running)).drop(PIECE)
-
-    earlier_pieces = (
-        W.partitionBy(key).orderBy(PIECE).rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy(PIECE, key).orderBy(*names).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    carried = (
-        rows.where(is_cut)
-        .groupBy(key, PIECE)
-        .agg(F.sum(cents(amount)).alias("_sum"))
-        .select(key, PIECE, F.sum("_sum").over(earlier_pieces).alias("_carried"))
+    parts = dict(zip(_PARTS, money_parts(amount)))
+    rows = in_ranges(df, key, names, ranges)
+    rows = rows.withColumns({name: F.sum(part).over(so_far) for name, part in parts.items()})
+    # The table fixes the pieces for both of its readers.
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession, "running")
+    rows.write.parquet(folder)
+    rows = spark.read.parquet(folder)
+
+    last = F.max_by(F.struct(F.col(key).alias("k"), *_PARTS), F.struct(key, *names)).alias("last")
+    ends = rows.groupBy(PIECE).agg(last).select(PIECE, "last.*")
+    earlier = W.partitionBy("k").orderBy(PIECE)
+    carried = ends.select(
+        F.lead(PIECE).over(W.orderBy(PIECE)).alias("_next"),
+        "k",
+        *(F.sum(part).over(earlier).alias(f"_c{part}") for part in _PARTS),
     )
-    return (
-        rows.withColumn("_running", running)
-        .join(carried, [key, PIECE], "left")
-        .withColumn(
-            "running_total",
-            as_amount(F.col("_running") + F.coalesce("_carried", F.lit(0))),
-        )
-        .select(*df.columns, "running_total")
+    carried = carried.where(F.col("_next").isNotNull())
+    joined = rows.join(
+        carried, (F.col(PIECE) == F.col("_next")) & F.col(key).eqNullSafe(F.col("k")), "left"
     )
+    nothing = F.lit(0).cast("bigint")
+
+    def both(part: str) -> Column:
+        own, before = F.col(part), F.col(f"_c{part}")
+        if part == _PARTS[-1]:
+            return F.when(own.isNotNull() | before.isNotNull(), F.coalesce(own, F.lit(0.0)) + F.coalesce(before, F.lit(0.0)))
+        return F.when(own.isNotNull() | before.isNotNull(), F.coalesce(own, nothing) + F.coalesce(before, nothing))
+
+    total = money_total(*(both(part) for part in _PARTS)).alias("running_total")
+    return joined.select(*df.columns, total)

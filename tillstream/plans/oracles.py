@@ -1,4 +1,8 @@
-"""The same results in plain SQL, written independently of the library's operators."""
+"""The same results in plain SQL, written independently of the library's operators.
+
+Only the fixed tables (products, countries, labels, the alert box) are shared with the library; a wrong entry there would
+show on neither side.
+"""
 
 from __future__ import annotations
 
@@ -124,6 +128,18 @@ def _json(date: str) -> str:
     return " || ".join(parts)
 
 
+
+
+def _document_of_accepted() -> str:
+    """Like _json; the country may be missing, and the price is 0.0 then."""
+    body = _json("CAST(epoch_ms(transaction_date) AS VARCHAR)")
+    country = "'\",\"customerCountry\":\"' || customer_country || '\"}'"
+    assert body.endswith(country)
+    return body.removesuffix(country) + (
+        "'\",\"customerCountry\":' || coalesce('\"' || customer_country || '\"', 'null') || '}'"
+    )
+
+
 _DOCUMENT = _json("CAST(epoch_ms(transaction_date) AS VARCHAR)")
 _MESSAGE = _json("strftime(transaction_date, '\"%Y-%m-%dT%H:%M:%S.%gZ\"')")
 
@@ -175,19 +191,62 @@ _ALERT_ARGUMENTS = ", ".join(
     )
 )
 
-_ORACLES = {
-    "sales_per_day": _PER_DAY,
-    "sales_per_day_as_written": f"""{_WITH_E}
+# A corrupt message has no data; the others show what could be read.
+_SHOWN = "CASE WHEN reason IS DISTINCT FROM 'corrupt' THEN {} END"
+_RECENT = f"""{_WITH_R}, shown AS (
+  SELECT seq, reason,
+         CASE WHEN seq % 32 NOT IN (6, 7, 14, 18) THEN transaction_id END AS transaction_id,
+         {_SHOWN.format("product_name")} AS product_name, {_SHOWN.format("product_brand")} AS product_brand,
+         CASE WHEN seq % 32 NOT IN (6, 7, 13) THEN product_category END AS product_category,
+         CASE WHEN seq % 32 NOT IN (6, 7, 12) THEN customer_id END AS customer_id,
+         CASE WHEN seq % 32 NOT IN (6, 7, 24) THEN customer_country END AS customer_country,
+         CASE WHEN seq % 32 = 4 THEN 0 WHEN seq % 32 NOT IN (6, 7, 16) THEN product_quantity END AS product_quantity,
+         CASE WHEN seq % 32 = 4 THEN 0.0 WHEN seq % 32 NOT IN (6, 7) THEN product_price END AS product_price,
+         {_SHOWN.format("payment_method")} AS payment_method,
+         CASE WHEN seq % 32 NOT IN (6, 7, 23) THEN total_amount END AS total_amount,
+         CASE WHEN seq % 32 IN (6, 7, 10, 17) THEN NULL WHEN seq % 32 = 22 THEN date_trunc('minute', transaction_date)
+              ELSE transaction_date END AS transaction_date
+  FROM r
+)
+SELECT seq, substr(transaction_id, 1, 8) || '...' AS short_id,
+       CASE WHEN reason IS NULL THEN {_literal(text.SUCCESS_LABEL)} ELSE {_literal(text.FAILED_LABEL)} END AS status,
+       strftime(transaction_date, '%H:%M:%S %-d/%-m/%Y') AS local_date,
+       coalesce(product_name, '') || ' (' || coalesce(product_brand, '') || ')' AS product,
+       {_CATEGORY} AS category_icon, customer_id, customer_country, product_quantity, product_price,
+       {_PAYMENT} AS payment_label, total_amount
+FROM shown ORDER BY seq DESC LIMIT 20"""
+_KPI = f"""{_WITH_R}
+SELECT count(*) AS total_transactions, count(*) FILTER (reason IS NULL) AS success_transactions,
+       count(*) FILTER (reason IS NOT NULL) AS failed_transactions,
+       CAST(sum(CAST(total_amount AS DECIMAL(18,2))) FILTER (reason IS NULL) AS DOUBLE) AS total_revenue
+FROM r"""
+_PER_DAY_AS_WRITTEN = f"""{_WITH_E}
 SELECT CAST(ts AS DATE) AS transaction_date, CAST(arg_max(total, ts) AS DOUBLE) AS total_sales
 FROM (SELECT transaction_date AS ts, sum(CAST(total_amount AS DECIMAL(18,2))) AS total
       FROM e GROUP BY transaction_date)
-GROUP BY CAST(ts AS DATE)""",
-    "sales_per_category": _PER_CATEGORY,
-    "sales_per_category_as_written": f"""WITH o AS ({_O}),
+GROUP BY CAST(ts AS DATE)"""
+_PER_CATEGORY_AS_WRITTEN = f"""WITH o AS ({_O}),
 d AS (SELECT day, category, sum(amount) AS amount FROM o GROUP BY day, category)
 SELECT day AS transaction_date, category,
        CAST(sum(amount) OVER (PARTITION BY category ORDER BY day) AS DOUBLE) AS total_sales
-FROM d""",
+FROM d"""
+_ACTION = """'{"index":{"_index":"transactions","_id":"' || transaction_id || '"}}'"""
+_TOTAL = "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
+_PIPELINE = f"""{_WITH_R}, g AS ({_ACCEPTED}), a AS ({_fraud("g", "seq")})
+SELECT 'transactions' AS sink, count(*) AS n, {_TOTAL} AS total FROM g
+UNION ALL SELECT 'sales_per_category',
+  count(DISTINCT CAST(transaction_date AS DATE)::VARCHAR || product_category), {_TOTAL} FROM g
+UNION ALL SELECT 'sales_per_day', count(DISTINCT CAST(transaction_date AS DATE)), {_TOTAL} FROM g
+UNION ALL SELECT 'sales_per_month', count(DISTINCT date_trunc('month', transaction_date)), {_TOTAL} FROM g
+UNION ALL SELECT 'rejects', count(*), NULL FROM r WHERE reason IS NOT NULL
+UNION ALL SELECT 'alerts', count(*), CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) FROM a
+UNION ALL SELECT 'documents', 2 * count(*), NULL FROM g"""
+
+_ORACLES = {
+    "sales_per_day": _PER_DAY,
+    "sales_per_day_as_written": _PER_DAY_AS_WRITTEN,
+    "sales_per_category": _PER_CATEGORY,
+    "sales_per_category_as_written": _PER_CATEGORY_AS_WRITTEN,
     "sales_per_month": _PER_MONTH,
     "sales_per_month_as_written": _PER_MONTH_AS_WRITTEN,
     "running_category_totals": _running("product_category", "product_category"),
@@ -232,22 +291,11 @@ SELECT transaction_id, {_PAYMENT} AS payment_label, {_CATEGORY} AS category_icon
 SELECT '{{"index":{{"_index":"transactions","_id":"' || transaction_id || '"}}}}' || chr(10)
        || {_DOCUMENT} AS value FROM e""",
     "keyed_messages": f"{_WITH_E} SELECT transaction_id AS key, {_MESSAGE} AS value FROM e",
-    "kpi_summary": f"""{_WITH_R}
-SELECT count(*) AS total_transactions, count(*) FILTER (reason IS NULL) AS success_transactions,
-       count(*) FILTER (reason IS NOT NULL) AS failed_transactions,
-       CAST(sum(CAST(total_amount AS DECIMAL(18,2))) FILTER (reason IS NULL) AS DOUBLE) AS total_revenue
-FROM r""",
+    "kpi_summary": _KPI,
     "message_status": f"""{_WITH_R}
 SELECT seq, CASE WHEN reason IS NULL THEN {_literal(text.SUCCESS_LABEL)}
             ELSE {_literal(text.FAILED_LABEL)} END AS status FROM r""",
-    "recent_transactions": f"""{_WITH_W}
-SELECT seq, substr(transaction_id, 1, 8) || '...' AS short_id,
-       {_literal(text.SUCCESS_LABEL)} AS status,
-       strftime(transaction_date, '%H:%M:%S %-d/%-m/%Y') AS local_date,
-       product_name || ' (' || product_brand || ')' AS product, {_CATEGORY} AS category_icon,
-       customer_id, customer_country, product_quantity, product_price,
-       {_PAYMENT} AS payment_label, total_amount
-FROM w ORDER BY seq DESC LIMIT 20""",
+    "recent_transactions": _RECENT,
     "latest_transactions": _LATEST,
     "stream_sales_per_day": _PER_DAY,
     "stream_sales_per_category": _PER_CATEGORY,
@@ -255,6 +303,20 @@ FROM w ORDER BY seq DESC LIMIT 20""",
     "stream_sales_per_month_as_written": _PER_MONTH_AS_WRITTEN,
     "stream_fraud_alerts": _ALERTS,
     "stream_latest_transactions": _LATEST,
+    "stream_sales_per_day_as_written": _PER_DAY_AS_WRITTEN,
+    "stream_sales_per_category_as_written": _PER_CATEGORY_AS_WRITTEN,
+    "stream_alert_text": f"""WITH a AS ({_ALERTS}),
+t AS (SELECT printf({_literal(text.ALERT_TEMPLATE)}, {_ALERT_ARGUMENTS}) AS alert FROM a)
+SELECT unnest(string_split(alert, chr(10))) AS value FROM t""",
+    "stream_raw_transactions": f"""{_WITH_R}, g AS ({_ACCEPTED})
+SELECT * EXCLUDE (customer_country, seq) FROM g""",
+    "stream_rejects": f"{_WITH_R} SELECT seq, reason FROM r WHERE reason IS NOT NULL",
+    "stream_bulk_lines": f"""{_WITH_R}, g AS ({_ACCEPTED})
+SELECT {_ACTION} AS value FROM g UNION ALL
+SELECT {_document_of_accepted()} FROM g""",
+    "stream_kpi_summary": _KPI,
+    "stream_recent_transactions": _RECENT,
+    "stream_pipeline": _PIPELINE,
 }
 
 

@@ -6,12 +6,14 @@ Timestamps leave as TIMESTAMP_NTZ in UTC, so results compare without a session t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from tillstream.functions.text import status_label
+from tillstream.functions.values import money_sum
 from tillstream.operators.enrich import enrich_country, enrich_product, with_labels
 from tillstream.operators.fraud import alert_text, fraud_alerts
 from tillstream.operators.kpi import kpi_summary, recent_log, recent_transactions
@@ -34,15 +36,25 @@ from tillstream.session import configure, scratch_folder
 from tillstream.sinks.documents import to_bulk_lines, to_documents, to_messages
 from tillstream.sinks.tables import FolderTables
 from tillstream.sources import testdata
-from tillstream.sources.testdata import LINE_SEQ, PERTURBED_SEQ, table, table_stream
+from tillstream.sources.messages import file_source
+from tillstream.sources.testdata import LINE_SEQ, PERTURBED_SEQ, table
 from tillstream.streaming.fraud import start_fraud_alerts
-from tillstream.streaming.pipeline import folder_alerts, start_parse, start_sales
+from tillstream.streaming.headline import read_newest, start_kpi, start_recent
+from tillstream.streaming.pipeline import (
+    folder_alerts,
+    folder_targets,
+    start_parse,
+    start_pipeline,
+    start_raw,
+    start_sales,
+    text_alerts,
+)
 from tillstream.streaming.run import AVAILABLE_NOW, make_folder, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small enough that the test tables have customers and categories to cut.
-SMALL_GROUP_ROWS = 500
+# More pieces than the test tables have large customers and categories.
+MANY_RANGES = 40
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,26 +81,62 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testdata.raw_messages(_events(spark, sf_dir))
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.event_transactions(
-        table_stream(spark, sf_dir, "events"), table(spark, sf_dir, "nation")
+# A stream query reads its table in this many parts, each a micro-batch of a restarted query.
+PARTS = 3
+
+
+def _in_parts(
+    rows: DataFrame, order: Column, folder: str, start: Callable[[DataFrame], object]
+) -> None:
+    """Stream the table in parts along ``order``: store a part, run the query on what is new, and so on."""
+    shares = [i / PARTS for i in range(1, PARTS)]
+    cuts = rows.agg(F.percentile_approx(order, shares, 1000)).first()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    source = f"{folder}/source"
+    for low, high in zip(bounds, bounds[1:]):
+        above = F.lit(True) if low is None else order > low
+        # A row without a position belongs to the first part.
+        upto = F.lit(True) if high is None else F.coalesce(order <= high, F.lit(low is None))
+        rows.where(above & upto).write.mode("append").parquet(source)
+        start(file_source(rows.sparkSession, source, rows.schema))
+
+
+def _event_parts(
+    spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame], object]
+) -> None:
+    nation = table(spark, sf_dir, "nation")
+    _in_parts(
+        table(spark, sf_dir, "events"), F.col("event_id"), folder,
+        lambda events: start(testdata.event_transactions(events, nation)),
     )
 
 
-def _order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.order_transactions(
-        table_stream(spark, sf_dir, "orders"),
-        table(spark, sf_dir, "customer"),
-        table(spark, sf_dir, "nation"),
+def _order_parts(
+    spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame], object]
+) -> None:
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    _in_parts(
+        table(spark, sf_dir, "orders"), F.unix_micros(F.col("o_orderdate").cast("timestamp")), folder,
+        lambda orders: start(testdata.order_transactions(orders, customer, nation)),
     )
 
 
-def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.line_transactions(
-        table_stream(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+def _line_parts(
+    spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame], object]
+) -> None:
+    part = table(spark, sf_dir, "part")
+    _in_parts(
+        table(spark, sf_dir, "lineitem"), F.unix_micros(F.col("l_shipdate").cast("timestamp")), folder,
+        lambda lines: start(testdata.line_transactions(lines, part)),
     )
 
 
+def _message_parts(
+    spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame], object]
+) -> None:
+    _event_parts(spark, sf_dir, folder, lambda rows: start(testdata.raw_messages(rows)))
+
+
 def _plain(df: DataFrame) -> DataFrame:
     zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampType)]
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
@@ -130,7 +178,7 @@ def q_running_category_totals(spark, sf_dir):
 
 
 def q_running_category_totals_cut(spark, sf_dir):
-    return _running(_events(spark, sf_dir), "product_category", group_rows=SMALL_GROUP_ROWS)
+    return _running(_events(spark, sf_dir), "product_category", ranges=MANY_RANGES)
 
 
 def q_running_day_totals(spark, sf_dir):
@@ -140,7 +188,7 @@ def q_running_day_totals(spark, sf_dir):
 
 def q_running_month_totals(spark, sf_dir):
     months = _events(spark, sf_dir).withColumn("month", F.month("transaction_date"))
-    return _running(months, "month", group_rows=SMALL_GROUP_ROWS)
+    return _running(months, "month", ranges=MANY_RANGES)
 
 
 # Fraud
@@ -155,7 +203,7 @@ def q_fraud_alerts_out_of_order(spark, sf_dir):
 
 
 def q_fraud_alerts_shared_customer(spark, sf_dir):
-    return _plain(fraud_alerts(_web(spark, sf_dir), group_rows=SMALL_GROUP_ROWS))
+    return _plain(fraud_alerts(_web(spark, sf_dir), ranges=MANY_RANGES))
 
 
 def q_fraud_alert_text(spark, sf_dir):
@@ -239,12 +287,16 @@ def q_message_status(spark, sf_dir):
     return classified.select("seq", status_label(F.col("reason").isNull()).alias("status"))
 
 
+_RECENT = (
+    "seq", "short_id", "status", "local_date", "product", "category_icon", "customer_id",
+    "customer_country", "product_quantity", "product_price", "payment_label", "total_amount",
+)
+
+
 def q_recent_transactions(spark, sf_dir):
-    newest = recent_log(recent_transactions(_web(spark, sf_dir)), F.lit(True))
-    return newest.select(
-        "seq", "short_id", "status", "local_date", "product", "category_icon", "customer_id",
-        "customer_country", "product_quantity", "product_price", "payment_label", "total_amount",
-    )
+    """Accepted and failed messages."""
+    newest = recent_transactions(classify_messages(_messages(spark, sf_dir)))
+    return recent_log(newest, F.col("reason").isNull()).select(*_RECENT)
 
 
 # Keyed tables
@@ -254,41 +306,60 @@ def q_latest_transactions(spark, sf_dir):
     return _plain(to_sink_columns(latest_per_key(_lines(spark, sf_dir), "transaction_id", LINE_SEQ)))
 
 
-# Streams: read everything there is through the streaming engine, then look at the result
+# Streams: part after part through a restarted streaming query, then a look at the result
 
 
-def _streamed_sales(spark, transactions, name, **options):
+def _streamed_sales(spark, sf_dir, parts, name, **options):
     folder = scratch_folder(spark, f"stream_{name}")
     tables = FolderTables(f"{folder}/tables")
-    start_sales(transactions, name, tables, f"{folder}/checkpoint", AVAILABLE_NOW, **options)
+    parts(
+        spark, sf_dir, folder,
+        lambda rows: start_sales(rows, name, tables, f"{folder}/checkpoint", AVAILABLE_NOW, **options),
+    )
     return tables.read(spark, name)
 
 
 def q_stream_sales_per_day(spark, sf_dir):
-    return _streamed_sales(spark, _event_stream(spark, sf_dir), "sales_per_day")
+    return _streamed_sales(spark, sf_dir, _event_parts, "sales_per_day")
+
+
+def q_stream_sales_per_day_as_written(spark, sf_dir):
+    return _streamed_sales(spark, sf_dir, _event_parts, "sales_per_day", mode="as_written")
 
 
 def q_stream_sales_per_category(spark, sf_dir):
-    return _streamed_sales(spark, _order_stream(spark, sf_dir), "sales_per_category")
+    return _streamed_sales(spark, sf_dir, _order_parts, "sales_per_category")
+
+
+def q_stream_sales_per_category_as_written(spark, sf_dir):
+    return _streamed_sales(spark, sf_dir, _order_parts, "sales_per_category", mode="as_written")
 
 
 def q_stream_sales_per_month(spark, sf_dir):
-    return _streamed_sales(spark, _order_stream(spark, sf_dir), "sales_per_month")
+    return _streamed_sales(spark, sf_dir, _order_parts, "sales_per_month")
 
 
 def q_stream_sales_per_month_as_written(spark, sf_dir):
-    return _streamed_sales(
-        spark, _order_stream(spark, sf_dir), "sales_per_month", mode="as_written"
-    )
+    return _streamed_sales(spark, sf_dir, _order_parts, "sales_per_month", mode="as_written")
 
 
-def q_stream_fraud_alerts(spark, sf_dir):
+def _streamed_alerts(spark, sf_dir, target):
     folder = scratch_folder(spark, "stream_fraud")
-    alerts = f"{folder}/alerts"
-    start_fraud_alerts(
-        _event_stream(spark, sf_dir), folder_alerts(alerts), folder, trigger=AVAILABLE_NOW
+    write = target(f"{folder}/alerts")
+    _event_parts(
+        spark, sf_dir, folder, lambda rows: start_fraud_alerts(rows, write, folder, trigger=AVAILABLE_NOW)
     )
-    return _plain(spark.read.parquet(alerts).drop("part", "batch_id"))
+    return f"{folder}/alerts"
+
+
+def q_stream_fraud_alerts(spark, sf_dir):
+    found = spark.read.parquet(_streamed_alerts(spark, sf_dir, folder_alerts))
+    return _plain(found.drop("part", "batch_id"))
+
+
+def q_stream_alert_text(spark, sf_dir):
+    """The lines of all alert boxes."""
+    return spark.read.text(_streamed_alerts(spark, sf_dir, text_alerts)).select("value")
 
 
 def q_stream_latest_transactions(spark, sf_dir):
@@ -298,18 +369,105 @@ def q_stream_latest_transactions(spark, sf_dir):
     def store(batch: DataFrame, batch_id: int) -> None:
         tables.upsert(to_sink_columns(batch, *LINE_SEQ), "transactions", batch_id, LINE_SEQ)
 
-    writer = _line_stream(spark, sf_dir).writeStream.foreachBatch(store)
-    run(writer, f"{folder}/checkpoint", AVAILABLE_NOW)
+    _line_parts(
+        spark, sf_dir, folder,
+        lambda rows: run(rows.writeStream.foreachBatch(store), f"{folder}/checkpoint", AVAILABLE_NOW),
+    )
+    tables.compact(spark, "transactions")
     return _plain(to_sink_columns(tables.read(spark, "transactions")))
 
 
 def q_stream_parse(spark, sf_dir):
     folder = scratch_folder(spark, "stream_parse")
-    make_folder(spark, f"{folder}/parsed")
-    messages = testdata.raw_messages(_event_stream(spark, sf_dir))
-    start_parse(messages, f"{folder}/parsed", f"{folder}/checkpoint", AVAILABLE_NOW)
-    good = accepted(spark.read.parquet(f"{folder}/parsed"))
-    return _plain(good.select(*COLUMNS, "seq"))
+    parsed = f"{folder}/parsed"
+    make_folder(spark, parsed)
+    _message_parts(
+        spark, sf_dir, folder,
+        lambda messages: start_parse(messages, parsed, f"{folder}/checkpoint", AVAILABLE_NOW),
+    )
+    return _plain(accepted(spark.read.parquet(parsed)).select(*COLUMNS, "seq"))
+
+
+def _streamed_raw(spark, sf_dir):
+    """Raw table, documents and rejects of the messages, below the returned folder."""
+    folder = scratch_folder(spark, "stream_raw")
+    targets = folder_targets(f"{folder}/out")
+    _message_parts(
+        spark, sf_dir, folder,
+        lambda messages: start_raw(
+            classify_messages(messages), targets, f"{folder}/checkpoint", ["seq"], AVAILABLE_NOW
+        ),
+    )
+    return targets, f"{folder}/out"
+
+
+def q_stream_raw_transactions(spark, sf_dir):
+    targets, _ = _streamed_raw(spark, sf_dir)
+    return _plain(to_sink_columns(targets.tables.read(spark, "transactions")))
+
+
+def q_stream_rejects(spark, sf_dir):
+    _, out = _streamed_raw(spark, sf_dir)
+    return spark.read.parquet(f"{out}/rejects").select("seq", "reason")
+
+
+def q_stream_bulk_lines(spark, sf_dir):
+    _, out = _streamed_raw(spark, sf_dir)
+    return spark.read.text(f"{out}/documents").select("value")
+
+
+def q_stream_kpi_summary(spark, sf_dir):
+    folder = scratch_folder(spark, "stream_kpi")
+    _message_parts(
+        spark, sf_dir, folder,
+        lambda messages: start_kpi(
+            classify_messages(messages), f"{folder}/kpi", f"{folder}/checkpoint", AVAILABLE_NOW
+        ),
+    )
+    return read_newest(spark, f"{folder}/kpi")
+
+
+def q_stream_recent_transactions(spark, sf_dir):
+    folder = scratch_folder(spark, "stream_recent")
+    _message_parts(
+        spark, sf_dir, folder,
+        lambda messages: start_recent(
+            classify_messages(messages), f"{folder}/recent", f"{folder}/checkpoint", trigger=AVAILABLE_NOW
+        ),
+    )
+    newest = read_newest(spark, f"{folder}/recent")
+    return recent_log(newest, F.col("reason").isNull()).select(*_RECENT)
+
+
+def q_stream_pipeline(spark, sf_dir):
+    """What every sink of the whole pipeline holds: (sink, n, total)."""
+    folder = scratch_folder(spark, "stream_pipeline")
+    targets = folder_targets(f"{folder}/out")
+    _message_parts(
+        spark, sf_dir, folder,
+        lambda messages: start_pipeline(messages, targets, f"{folder}/work", trigger=AVAILABLE_NOW),
+    )
+
+    def held(rows: DataFrame, sink: str, amount: str | None = None) -> DataFrame:
+        total = money_sum(amount) if amount else F.lit(None).cast("double")
+        return rows.agg(F.count(F.lit(1)).alias("n"), total.alias("total")).select(
+            F.lit(sink).alias("sink"), "n", "total"
+        )
+
+    out = f"{folder}/out"
+    found = [
+        held(targets.tables.read(spark, name), name, amount)
+        for name, amount in (
+            ("transactions", "total_amount"), ("sales_per_category", "total_sales"),
+            ("sales_per_day", "total_sales"), ("sales_per_month", "total_sales"),
+        )
+    ]
+    found += [
+        held(spark.read.parquet(f"{out}/rejects"), "rejects"),
+        held(spark.read.parquet(f"{out}/alerts"), "alerts", "amount"),
+        held(spark.read.text(f"{out}/documents"), "documents"),
+    ]
+    return reduce(DataFrame.unionAll, found)
 
 
 def registry() -> dict[str, Query]:

@@ -10,6 +10,7 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstream.operators.latest import latest_per_key
 from tillstream.schema import TABLES, TableDef
@@ -47,6 +48,35 @@ class FolderTables:
         written = spark.read.parquet(self.path(table))
         return latest_per_key(written, self.tables[table].keys, "batch_id").drop("batch_id")
 
+    def read_before(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
+        """The table as it was before a batch; None if nothing was stored. For targets that build on it."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return None
+        written = spark.read.parquet(self.path(table)).where(F.col("batch_id") < batch_id)
+        return latest_per_key(written, self.tables[table].keys, "batch_id").drop("batch_id")
+
+    def compact(self, spark: SparkSession, table: str) -> None:
+        """Replace all batches of a table by one with the newest row per key, named like the last batch.
+
+        Call it while no query writes the table. The new folder is complete before an old one goes; a call that
+        was interrupted is finished by the next one.
+        """
+        path_of, path = spark._jvm.org.apache.hadoop.fs.Path, self.path(table)
+        files = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        spare = f"{self.root}/_compacted_{table}"
+        if not files.exists(path_of(f"{spare}/_SUCCESS")):
+            last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+            merged = self.read(spark, table).withColumn("batch_id", F.lit(last))
+            merged.write.mode("overwrite").partitionBy("batch_id").parquet(spare)
+        names = [status.getPath().getName() for status in files.listStatus(path_of(spare))]
+        for status in files.listStatus(path_of(path)) if files.exists(path_of(path)) else ():
+            files.delete(status.getPath(), True)
+        for name in names:
+            if name.startswith("batch_id="):
+                files.rename(path_of(f"{spare}/{name}"), path_of(f"{path}/{name}"))
+        files.delete(path_of(spare), True)
+
 
 def create_table_sql(table: str) -> str:
     definition = TABLES[table]
@@ -113,7 +143,8 @@ class JdbcTables:
         # One row per key: a merge refuses to touch a row twice.
         rows = latest_per_key(df, definition.keys, seq) if seq else df
         staging = f"{table}_staging"
-        self._stage(rows.select(*[name for name, _ in definition.columns]), staging)
+        staged = rows.select(*[name for name, _ in definition.columns])
+        self._retry(lambda: self._stage(staged, staging))
         merge = merge_sql(table, staging, self.dialect)
         self._retry(lambda: self._execute(df.sparkSession, merge))
 

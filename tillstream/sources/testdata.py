@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.functions.values import as_amount, cents, cut_to_millis
+from tillstream.functions.values import cut_to_millis
 from tillstream.operators.computed import with_computed
 from tillstream.schema import COLUMNS, FIELDS
 from tillstream.sources import dims
-from tillstream.sources.messages import file_source
 
 LINE_SEQ = ("seq_date", "seq_part", "seq_supplier")
 PERTURBED_SEQ = ("seq", "seq_tie")
@@ -25,12 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's files as a stream; a pattern, because a table may be a file or a folder."""
-    schema = table(spark, sf_dir, name).schema
-    return file_source(spark, f"{sf_dir}/{name}.parque[t]", schema)
-
-
 def _ordered(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*COLUMNS, *extra, "ingest_ts")
 
@@ -44,7 +37,8 @@ def _event_sales(events: DataFrame) -> DataFrame:
         F.concat(F.lit("product"), number).alias("product_id"),
         F.col("value").alias("product_price"),
         (F.col("event_id") % 10 + 1).cast("int").alias("product_quantity"),
-        as_amount(cents("value") * (F.col("event_id") % 10 + 1)).alias("total_amount"),
+        (F.col("value").cast("decimal(18,2)") * (F.col("event_id") % 10 + 1).cast("int"))
+        .cast("double").alias("total_amount"),
         cut_to_millis(F.col("ts").cast("timestamp")).alias("transaction_date"),
         F.get_json_object("props", "$.k").cast("int").alias("_k"),
         F.col("user_id").alias("_user"),
@@ -57,7 +51,7 @@ def event_transactions(events: DataFrame, nation: DataFrame) -> DataFrame:
     """Fixture E: the country comes from the event's properties (always 25 nations)."""
     nations = nation.select(F.col("n_nationkey").alias("_nation"), F.col("n_name"))
     sales = _event_sales(events)
-    joined = sales.join(F.broadcast(nations), F.col("_k") % 25 == F.col("_nation"))
+    joined = sales.join(nations, F.col("_k") % 25 == F.col("_nation"))
     return _ordered(
         joined.withColumn("customer_id", F.col("_user").cast("string")).withColumnRenamed(
             "n_name", "customer_country"
@@ -89,7 +83,7 @@ def order_transactions(orders: DataFrame, customer: DataFrame, nation: DataFrame
     """Fixture O: market segments as categories; arrival follows the order date."""
     nations = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     buyers = customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(
-        F.broadcast(nations), "c_nationkey"
+        nations, "c_nationkey"
     )
     date = F.col("o_orderdate").cast("timestamp")
     return orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(

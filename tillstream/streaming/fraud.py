@@ -29,7 +29,6 @@ from tillstream.operators.fraud import (
     is_alert,
 )
 from tillstream.operators.latest import order_value
-from tillstream.operators.split import GROUP_ROWS
 from tillstream.streaming.run import Trigger, make_folder, run
 
 WriteAlerts = Callable[[DataFrame, str, int], None]
@@ -100,46 +99,62 @@ def customer_runs(batch: DataFrame, seq: Sequence[str]) -> DataFrame:
     )
 
 
-def _carrier() -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    """The state function; as a closure it travels with the task, without this package."""
-    last_columns = [f"last_{name}" for name in _NAMES]
+def _carrier(
+    columns: Sequence[str], kept: Sequence[str], max_ms: int
+) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """The state function over the runs' ``columns``; as a closure it travels with the task, without this package.
+
+    Most calls see one row, so rows are plain tuples and a frame is built for alerts only.
+    """
+    batch, size = columns.index("batch_id"), len(_NAMES)
+    first, last = columns.index(f"first_{_NAMES[0]}"), columns.index(f"last_{_NAMES[0]}")
+    passed_on = [columns.index(name) for name in kept]
     previous_columns = [f"previous_{name}" for name in _NAMES]
     types = {"previous_ms": "Int64", "previous_amount": "Float64"}
 
     def plain(value):
-        return None if pd.isna(value) else getattr(value, "item", lambda: value)()
+        return None if value is None or value != value else value
 
     def carry(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         """Pair the first row of every run with the last row of the run before it."""
-        runs = pd.concat(list(frames)).sort_values("batch_id").drop_duplicates("batch_id")
         seen = state.get if state.exists else None
-        if seen is not None:
+        known = None if seen is None else seen[0]
+        rows = [row for frame in frames for row in zip(*(frame[c].tolist() for c in columns))]
+        rows.sort(key=lambda row: row[batch])
+        alerts = []
+        for row in rows:
             # A batch that was written twice is known already.
-            runs = runs[runs["batch_id"] > seen[0]]
-        if runs.empty:
-            return
-        newest = runs.iloc[-1]
-        state.update(tuple(plain(newest[name]) for name in ("batch_id", *last_columns)))
-
-        previous = runs[last_columns].astype(object).shift(1)
-        previous.columns = previous_columns
-        if seen is not None:
-            previous.iloc[0] = list(seen[1:])
-        links = pd.concat([runs.drop(columns=["batch_id", *last_columns]), previous], axis=1)
-        yield (links if seen is not None else links.iloc[1:]).astype(types)
+            if known is not None and row[batch] <= known:
+                continue
+            country, ms = plain(row[first]), row[first + 1]
+            if seen is not None and country is not None and seen[1] not in (None, country):
+                if 0 < ms - seen[2] < max_ms:
+                    alerts.append((*(plain(row[i]) for i in passed_on), *seen[1:]))
+            known = row[batch]
+            values = [plain(value) for value in row[last:last + size]]
+            # A column with a null comes as floats.
+            values[1] = None if values[1] is None else int(values[1])
+            seen = (known, *values)
+        if rows and seen is not None:
+            state.update(seen)
+        if alerts:
+            found = pd.DataFrame(alerts, columns=[*kept, *previous_columns], dtype=object)
+            yield found.astype(types)
 
     return carry
 
 
-def link_runs(runs: DataFrame, order: _Order) -> DataFrame:
-    """(customer, previous, current, seq): consecutive runs of each customer, on a stream."""
+def link_runs(runs: DataFrame, order: _Order, max_minutes: int = MAX_MINUTES) -> DataFrame:
+    """(customer, previous, current, seq): consecutive runs of a customer that make an alert, on a stream."""
     output = ", ".join(
         (f"{CUSTOMER} string", _prefixed("first"), order.schema(), _prefixed("previous"))
     )
+    kept = [CUSTOMER, *(f"first_{name}" for name in _NAMES), *order.names]
+    carry = _carrier(runs.columns, kept, (max_minutes + 1) * 60000)
     linked = runs.groupBy(CUSTOMER).applyInPandasWithState(
-        _carrier(), output, _STATE, "append", GroupStateTimeout.NoTimeout
+        carry, output, _STATE, "append", GroupStateTimeout.NoTimeout
     )
     return linked.select(
         CUSTOMER,
@@ -156,9 +171,9 @@ def start_fraud_alerts(
     seq: Sequence[str] = ("seq",),
     trigger: Trigger = "5 seconds",
     max_minutes: int = MAX_MINUTES,
-    group_rows: int = GROUP_ROWS,
+    ranges: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start both queries; ``folder`` keeps the runs and the checkpoints.
+    """Start both queries; ``folder`` keeps the runs, the alerts across batches and the checkpoints.
 
     Every customer's last row stays in the state for good: the check has no time-out.
     """
@@ -170,7 +185,7 @@ def start_fraud_alerts(
     def inside_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            write_alerts(fraud_alerts(batch, seq, max_minutes, group_rows), "inside", batch_id)
+            write_alerts(fraud_alerts(batch, seq, max_minutes, ranges), "inside", batch_id)
             customer_runs(batch, seq).write.mode("overwrite").parquet(
                 f"{folder}/runs/batch_id={batch_id}"
             )
@@ -178,7 +193,10 @@ def start_fraud_alerts(
             batch.unpersist()
 
     def across_batches(links: DataFrame, batch_id: int) -> None:
-        write_alerts(links, "across", batch_id)
+        # Every partition of the stateful query must run to its end, whatever the target reads.
+        path = f"{folder}/links/batch_id={batch_id}"
+        links.write.mode("overwrite").parquet(path)
+        write_alerts(spark.read.schema(links.schema).parquet(path), "across", batch_id)
 
     make_folder(spark, f"{folder}/runs")
     inside = run(slim.writeStream.foreachBatch(inside_batch), f"{folder}/inside", trigger)
@@ -191,7 +209,7 @@ def start_fraud_alerts(
         .option("ignoreMissingFiles", "true")
         .parquet(f"{folder}/runs")
     )
-    alerts = link_runs(runs, order).where(is_alert("previous", "current", max_minutes))
+    alerts = link_runs(runs, order, max_minutes).where(is_alert("previous", "current", max_minutes))
     across = run(
         alerts.select(*alert_columns("previous", "current"), *seq)
         .writeStream.outputMode("append")

@@ -5,6 +5,7 @@ queries stream from that folder and read only the columns they need:
 
 * ``raw``: raw table, documents and rejects, from one persisted micro-batch;
 * ``sales_per_category``, ``sales_per_day``, ``sales_per_month``: running totals as upserts;
+* ``kpi``, ``recent``: headline figures and the newest messages;
 * ``fraud``: alerts (two chained queries).
 """
 
@@ -25,7 +26,9 @@ from tillstream.operators.sales import sales_per_category, sales_per_day, sales_
 from tillstream.sinks.documents import to_documents, write_bulk
 from tillstream.sinks.tables import FolderTables, JdbcTables
 from tillstream.sources.messages import file_source
+from tillstream.streaming.as_written import start_category_as_written, start_day_as_written
 from tillstream.streaming.fraud import WriteAlerts, start_fraud_alerts
+from tillstream.streaming.headline import start_kpi, start_recent
 from tillstream.streaming.run import Trigger, make_folder, run
 
 WriteBatch = Callable[[DataFrame, int], None]
@@ -34,6 +37,11 @@ SALES = {
     "sales_per_day": sales_per_day,
     "sales_per_month": sales_per_month,
 }
+# Totals stored under another key than they are summed under need more than one aggregation.
+AS_WRITTEN = {
+    "sales_per_category": start_category_as_written,
+    "sales_per_day": start_day_as_written,
+}
 
 
 @dataclass
@@ -65,11 +73,21 @@ def folder_alerts(root: str) -> WriteAlerts:
     return write
 
 
-def console_alerts(rows: int = 20) -> WriteAlerts:
-    """Print the alert boxes, at most ``rows`` per micro-batch; add a lasting target for the rest."""
+def text_alerts(root: str) -> WriteAlerts:
+    """Store every alert box as text, one file line per line of the box."""
+
+    def write(alerts: DataFrame, part: str, batch_id: int) -> None:
+        path = f"{root}/part={part}/batch_id={batch_id}"
+        alert_text(alerts).select("alert").write.mode("overwrite").text(path)
+
+    return write
+
+
+def console_alerts() -> WriteAlerts:
+    """Print every alert box; the driver holds one partition of texts at a time."""
 
     def write(alerts: DataFrame, part: str, batch_id: int) -> None:
-        for row in alert_text(alerts).select("alert").limit(rows).collect():
+        for row in alert_text(alerts).select("alert").toLocalIterator():
             print(row.alert)
 
     return write
@@ -88,6 +106,9 @@ def start_sales(
     def store(totals: DataFrame, batch_id: int) -> None:
         tables.upsert(totals, table, batch_id)
 
+    mode, time_col = options.get("mode", "calendar"), options.get("time_col")
+    if mode == "as_written" and table in AS_WRITTEN:
+        return AS_WRITTEN[table](transactions, store, checkpoint, time_col or "ingest_ts", trigger)
     totals = SALES[table](transactions, **options)
     return run(totals.writeStream.outputMode("update").foreachBatch(store), checkpoint, trigger)
 
@@ -140,15 +161,15 @@ def start_pipeline(
     folder: str,
     seq: Sequence[str] = ("seq",),
     trigger: Trigger = "5 seconds",
-    max_files: int | None = None,
     time_col: str = "transaction_date",
+    mode: str = "calendar",
 ) -> list[StreamingQuery]:
     """Start every query; ``folder`` keeps the parsed messages and the checkpoints.
 
     ``messages`` is a stream with ``value`` and the ordering columns ``seq``, which must grow
-    with arrival. ``max_files`` bounds how many parsed files one later micro-batch takes, for
-    working off a backlog. ``time_col`` decides the day and month of a sale; it may be an arrival
-    time that came with the message. Restarting with the same folder goes on where the queries
+    with arrival. A later query takes whole commits of the parsing one, never a part of one, so that the order
+    inside a commit stays ``seq``; bound a backlog at the source. ``time_col`` decides the day and month of
+    a sale; it may be an arrival time that came with the message. ``mode`` is that of the sales tables. Restarting with the same folder goes on where the queries
     stopped.
     """
     spark = messages.sparkSession
@@ -158,16 +179,21 @@ def start_pipeline(
     queries = [start_parse(messages, parsed, f"{folder}/checkpoints/parse", trigger)]
 
     schema = classify_messages(messages).schema
-    classified = file_source(spark, parsed, schema, max_files=max_files)
+    classified = file_source(spark, parsed, schema)
     transactions = accepted(classified)
     queries.append(start_raw(classified, targets, f"{folder}/checkpoints/raw", seq, trigger))
     for table in SALES:
         checkpoint = f"{folder}/checkpoints/{table}"
         queries.append(
             start_sales(
-                transactions, table, targets.tables, checkpoint, trigger, time_col=time_col
+                transactions, table, targets.tables, checkpoint, trigger, time_col=time_col, mode=mode
             )
         )
+    headline = f"{folder}/headline"
+    queries.append(start_kpi(classified, f"{headline}/kpi", f"{folder}/checkpoints/kpi", trigger))
+    queries.append(
+        start_recent(classified, f"{headline}/recent", f"{folder}/checkpoints/recent", seq, trigger=trigger)
+    )
     queries += start_fraud_alerts(
         transactions, targets.alerts, f"{folder}/fraud", seq, trigger
     )
