@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.words import CACHED_WORDS, by_chunk, id_and_bytes, mix, read_documents, starts_of
+from tillstream.llm.words import by_chunk, id_and_bytes, mix, read_documents, starts_of
 
 WINDOW = 5
 LITERALS = 3
@@ -34,6 +34,7 @@ SHARE = 50  # per cent of an item's windows
 BLOCK_WORDS = 1_000_000
 CHUNK_BYTES = 6 << 20
 FILTER_BITS = 22
+KNOWN_WORDS = 500_000
 FACTOR = np.uint64(pow(0x9E3779B97F4A7C15, 5, 1 << 64))
 
 # What counts as a unit after a number.
@@ -45,6 +46,7 @@ UNITS = frozenset(
     "stunde stunden tag tage woche wochen jahr jahre meter heure heures jour jours hora horas dia dias".split()
 )
 NUMBER = regex.compile(r"[-+$€£]?\d[\d.,:/]*(%|[a-z]{1,3})?")
+MARKS = ".,;:!?\"'()[]{}*#&|<>"
 EDGES = regex.compile(r"^[^\p{L}\p{N}$€£+\-]+|[^\p{L}\p{N}%]+$")
 NUM, UNIT, CAPITAL, STOP = 1, 2, 4, 8
 PLACEHOLDERS = {NUM: b"<num>", UNIT: b"<unit>", CAPITAL: b"<name>"}
@@ -53,37 +55,36 @@ for _kind, _name in PLACEHOLDERS.items():
     HOLDER[_kind] = xxhash.xxh3_64_intdigest(_name)
 
 
-class Vocabulary:
-    """Number of each word form seen, with its hash and flags; starts anew when it holds CACHED_WORDS."""
+class Vocabulary(dict):
+    """Number of each word form seen, with its hash and flags; a chunk begins anew after KNOWN_WORDS words."""
 
     def __init__(self):
-        self.clear()
+        super().__init__()
+        self.hashes, self.flags = np.zeros(KNOWN_WORDS, np.uint64), np.zeros(KNOWN_WORDS, np.uint8)
 
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.hashes, self.flags = np.zeros(CACHED_WORDS, np.uint64), np.zeros(CACHED_WORDS, np.uint8)
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = len(self)
+        if k == len(self.flags):
+            self.hashes = np.concatenate([self.hashes, np.zeros(k, np.uint64)])
+            self.flags = np.concatenate([self.flags, np.zeros(k, np.uint8)])
+        self.hashes[k], self.flags[k] = describe(word)
+        return k
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        new = set(words) - self.number.keys()
-        if len(self.number) + len(new) > CACHED_WORDS:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
-            new = set(words)
-            if len(new) > CACHED_WORDS:  # one chunk or text with more forms than that
-                self.hashes, self.flags = np.zeros(len(new), np.uint64), np.zeros(len(new), np.uint8)
-        for word in new:
-            k = self.number[word] = len(self.number)
-            self.hashes[k], self.flags[k] = describe(word)
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def bare(word: bytes) -> str:
-    return EDGES.sub("", word.decode())
+    text = word.decode().strip(MARKS)
+    return text if text.isalpha() else EDGES.sub("", text)
 
 
 def describe(word: bytes) -> tuple[int, int]:
     core = bare(word)
     low = core.lower()
-    flags = NUM if NUMBER.fullmatch(low) else UNIT if low in UNITS else 0
+    flags = UNIT if low in UNITS else 0 if low.isalpha() else NUM if NUMBER.fullmatch(low) else 0
     if not flags & NUM and len(core) > 1 and core[0].isupper() and core[1:].islower():
         flags |= CAPITAL
     if word.rstrip(b"\"')]").endswith((b".", b"!", b"?", b":")):
