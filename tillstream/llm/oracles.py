@@ -95,7 +95,7 @@ def quality_verdicts(documents: str) -> str:
     ),
     long AS ({long}),
     sketch AS (
-        SELECT l, s, rule, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS bucket,
+        SELECT l, s, rule, (((v >> greatest(length(bin(v)) - 5, 0)) + 1) << greatest(length(bin(v)) - 5, 0)) - 1 AS bucket,
                count(*) AS n
         FROM long GROUP BY ALL
     ),{",".join(fences)},

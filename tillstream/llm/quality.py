@@ -102,8 +102,10 @@ def sketches(rated: DataFrame) -> DataFrame:
     long = rated.select(
         "_lang", "_source", F.explode(F.create_map(*(x for r in RANGES for x in (F.lit(r), F.col("_" + r))))).alias("rule", "v")
     )
-    low = F.expr("shiftleft(shiftright(v, greatest(length(bin(v)) - 5, 0)), greatest(length(bin(v)) - 5, 0))")
-    return long.groupBy("_lang", "_source", "rule", low.alias("bucket")).agg(F.count("*").alias("n"))
+    # Only the five highest binary digits count: a bucket is named by its greatest value.
+    cut = "greatest(length(bin(v)) - 5, 0)"
+    most = F.expr(f"shiftleft(shiftright(v, {cut}) + 1, {cut}) - 1")
+    return long.groupBy("_lang", "_source", "rule", most.alias("bucket")).agg(F.count("*").alias("n"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
