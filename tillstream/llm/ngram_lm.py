@@ -16,12 +16,13 @@ Word numbers take 32 bits, so a vocabulary of 2^32 words or more is refused.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import arrays
@@ -77,6 +78,7 @@ class Model:
     words: HashArrays
     bigrams: HashArrays
     folder: str  # of the dense arrays
+    block: int  # word numbers in one of them
     tokens: int
     bigram_discounts: np.ndarray
     word_discounts: np.ndarray
@@ -85,11 +87,11 @@ class Model:
     def stats(self, ids: np.ndarray, kinds: tuple[str, ...]) -> list[np.ndarray]:
         """The given numbers of some ascending word numbers."""
         out = [np.zeros(len(ids), np.int64) for _ in kinds]
-        block = ids // BLOCK
+        block = ids // self.block
         for b in np.unique(block):
             here = block == b
             for values, kind in zip(out, kinds, strict=True):
-                values[here] = arrays.mapped(f"{self.folder}/{b}.{kind}", np.int64)[ids[here] % BLOCK]
+                values[here] = arrays.mapped(f"{self.folder}/{b}.{kind}", np.int64)[ids[here] % self.block]
         return out
 
     def log10(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -149,25 +151,22 @@ def count_bigrams(docs: DataFrame, words: HashArrays, folder: str) -> tuple[Hash
     return HashArrays(folder, arrays.sizes_of(found), shards), [arrays.total(found, n) for n in names]
 
 
-def parts(place: np.ndarray, weight: list[np.ndarray], numbers: list[int]) -> Iterator[tuple]:
+def parts(place: np.ndarray, weight: list[np.ndarray], numbers: list[int], block: int) -> Iterator[tuple]:
     """Sums of the weights by word number, cut into blocks of word numbers."""
     distinct, back = np.unique(place, return_inverse=True)
     sums = [np.bincount(back, w, len(distinct)).astype(np.int64) for w in weight]
-    cuts = np.flatnonzero(np.diff(distinct // BLOCK, prepend=-1))
+    cuts = np.flatnonzero(np.diff(distinct // block, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(distinct)], strict=True):
-        at = (distinct[a:b] % BLOCK).astype(np.int32)
+        at = (distinct[a:b] % block).astype(np.int32)
         for k, s in zip(numbers, sums, strict=True):
             some = np.flatnonzero(s[a:b])
             values = arrays.narrow(s[a:b][some])
-            yield int(distinct[a] // BLOCK), k, at[some].tobytes(), values.dtype.str, values.tobytes()
+            yield int(distinct[a] // block), k, at[some].tobytes(), values.dtype.str, values.tobytes()
 
 
-def word_stats(bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
+def word_stats(spark: SparkSession, bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
     """The dense arrays, block by block; returns how many words have 1 to 4 different predecessors."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    shards = spark.range(0, bigrams.shards, 1, bigrams.shards)
+    shards, size = spark.range(0, bigrams.shards, 1, bigrams.shards), BLOCK
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,8 +178,8 @@ def word_stats(bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
                 before = (pair >> np.uint64(32)).astype(np.int64)
                 after = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 rows = [
-                    *parts(before, [counts, counts == 1, counts == 2, counts >= 3], [0, 1, 2, 3]),
-                    *parts(after, [np.ones(len(after))], [4]),
+                    *parts(before, [counts, counts == 1, counts == 2, counts >= 3], [0, 1, 2, 3], size),
+                    *parts(after, [np.ones(len(after))], [4], size),
                 ]
                 kinds = (pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -190,7 +189,7 @@ def word_stats(bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
 
     def write(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        values = np.zeros((len(STATS), BLOCK), np.int64)
+        values = np.zeros((len(STATS), size), np.int64)
         for stat, at, kind, s in zip(*(table[c].to_pylist() for c in table.column_names[1:]), strict=True):
             values[stat, np.frombuffer(at, np.int32)] += np.frombuffer(s, kind).astype(np.int64)
         for k, kind in enumerate(STATS):
@@ -201,13 +200,11 @@ def word_stats(bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
         shards.mapInArrow(sums, "block long, stat int, places binary, kind string, sums binary")
         .groupBy("block").applyInArrow(write, "n1 long, n2 long, n3 long, n4 long").collect()
     )
-    written = -(-(n_words + 1) // BLOCK)
+    written = -(-(n_words + 1) // size)
     for block in range(written):  # a block without any bigram cannot be, save at the very start token alone
         for kind in STATS:
-            try:
-                arrays.mapped(f"{folder}/{block}.{kind}", np.int64)
-            except FileNotFoundError:
-                arrays.save(f"{folder}/{block}.{kind}", np.zeros(BLOCK, np.int64))
+            if not os.path.exists(f"{folder}/{block}.{kind}"):
+                arrays.save(f"{folder}/{block}.{kind}", np.zeros(size, np.int64))
     return [arrays.total(found, f"n{k}") for k in (1, 2, 3, 4)]
 
 
@@ -219,7 +216,7 @@ def train(docs: DataFrame) -> Model:
         raise ValueError("the vocabulary has 2^32 words or more")
     bigrams, n = count_bigrams(docs, words, arrays.shared_folder(spark, "lm-bigrams"))
     folder = arrays.shared_folder(spark, "lm-stats")
-    m = word_stats(bigrams, len(words), folder)
+    m = word_stats(spark, bigrams, len(words), folder)
     d = discounts(m)
     ones, twos = m[0], m[1]
     # Words with three or more different predecessors: all words but the rare ones.
@@ -228,7 +225,7 @@ def train(docs: DataFrame) -> Model:
     unknown = spread / max(1, len(bigrams)) / (len(words) + 1)
     if len(words) and not unknown:  # no word is discounted: keep a share for the unknown word
         unknown = 1 / (len(bigrams) + 1) / (len(words) + 1)
-    return Model(words, bigrams, folder, n_tokens, discounts(n), d, unknown)
+    return Model(words, bigrams, folder, BLOCK, n_tokens, discounts(n), d, unknown)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

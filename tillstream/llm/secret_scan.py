@@ -127,7 +127,9 @@ class Describer:
             chars += len(text[at:a].decode())
             at = a
             before, after = text[max(0, a - NEAR):a], text[b:b + NEAR]
-            named, denied = bool(NAMES.search(before)), bool(DENIALS.search(before) or DENIALS.search(after))
+            # The words next to the candidate: four before it, two after it.
+            words = b" ".join(before.split()[-4:]), b" ".join(after[1:].split()[:2])
+            named, denied = bool(NAMES.search(words[0])), any(map(DENIALS.search, words))
             assigned, quoted = bool(ASSIGNED.search(before)), before[-1:] in (b'"', b"'") and before[-1:] == after[:1]
             own = self.own(match[0]) if len(match[0]) < 80 else self.of_candidate(match[0])
             near = (named, denied, assigned, quoted)
