@@ -96,9 +96,9 @@ def test_quality_against_sql(request, table):
 
 
 def test_quality_thresholds_follow_the_group(spark):
-    plain = [(i, " ".join(f"w{i}x{k}" for k in range(60)), "en", "a") for i in range(150)]
-    tagged = [(200 + i, " ".join(f"w{i}y{k} #" for k in range(60)), "en", "b") for i in range(150)]
-    odd_one = [(999, " ".join(f"w{k} #" for k in range(60)), "en", "a")]
+    plain = [(i, " ".join(f"w{i:03}x{k:02}" for k in range(60)), "en", "a") for i in range(150)]
+    tagged = [(200 + i, " ".join(f"w{i:03}y{k:02} #" for k in range(60)), "en", "b") for i in range(150)]
+    odd_one = [(999, " ".join(f"w999z{k:02} #" for k in range(60)), "en", "a")]
     df = spark.createDataFrame(plain + tagged + odd_one, "doc_id long, text string, lang string, source string")
     kept = {r["doc_id"]: r["kept"] for r in quality.op2_quality_rules(df).collect()}
     assert not kept[999] and all(kept[i] for i in range(150)) and all(kept[200 + i] for i in range(150))

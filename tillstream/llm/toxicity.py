@@ -30,7 +30,7 @@ SAMPLE = 20_000
 FEATURES = 2_048
 LEAST_DOCS = 5
 LEAST_G = 25.0
-RIDGE = 3e-5
+RIDGE = 1e-5
 COUNTERFACTUAL = 10.0
 STEPS = 3_000
 CHUNK_BYTES = 4 << 20

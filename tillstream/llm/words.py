@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +12,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.llm.arrays import shared_folder
+
 # Python's bytes.split() cuts at exactly these characters, so words are [^\x20\x09-\x0D]+.
 SPACES = b" \t\n\x0b\x0c\r"
 CACHED_WORDS = 250_000
 CHUNK_WORDS = 1_000_000
+_SHIPPED: set[str] = set()
 
 
 class WordHashes(dict):
@@ -33,8 +38,25 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application: they need not have it installed."""
+    context, package = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if context.applicationId in _SHIPPED or not os.path.isdir(package):
+        return
+    archive = f"{shared_folder(spark, 'code')}/package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = f"{folder}/{name}"
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def id_and_bytes(docs: DataFrame, *more: Column) -> DataFrame:
     """The two columns most operators read; bytes spare Python the decoding."""
+    ship_package(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *more
     )
