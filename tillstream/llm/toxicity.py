@@ -107,7 +107,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 ["doc_id", "words", "toxic"],
             )
 
-    found = id_and_bytes(docs).join(chosen, "doc_id")
+    # At most SAMPLE rows of two numbers: the documents need no shuffle.
+    found = id_and_bytes(docs).join(F.broadcast(chosen), "doc_id")
     return found.mapInArrow(split, "doc_id long, words array<string>, toxic int")
 
 
