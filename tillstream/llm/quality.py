@@ -150,8 +150,11 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     rated = rated.withColumns({"_" + name: rate for name, rate in rates("_c_").items()})
     # Counting is the costly part: it is done once, both the sketches and the verdicts read the table.
     rated = rated.select("_row", *keys, *("_c_" + c for c in (*COUNTS, "n_lines")), *("_" + r for r in RANGES))
-    rated = written(rated, f"{shared_folder(docs.sparkSession, 'quality')}/rated")
-    joined = rated.join(thresholds(sketches(rated)), ["_lang", "_source"])
+    folder = shared_folder(docs.sparkSession, "quality")
+    rated = written(rated, f"{folder}/rated")
+    # As a table the thresholds have a known size: few groups are broadcast, many are joined by a shuffle.
+    limits = written(thresholds(sketches(rated)), f"{folder}/thresholds")
+    joined = rated.join(limits, ["_lang", "_source"])
     fine = ~base_failed("_c_")
     for rule in RANGES:
         fine = fine & (F.col("_" + rule) <= F.col("_most_" + rule))
