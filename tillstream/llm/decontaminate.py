@@ -26,6 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.llm.arrays import shared_folder
+from tillstream.llm.components import written
 from tillstream.llm.words import by_chunk, id_and_bytes, mix, read_documents, starts_of
 
 WINDOW = 5
@@ -229,6 +231,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that contain an item; rows without doc_id stay."""
     bad = contamination(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
+    # As a table the list has a known size: a short one is broadcast, and the documents stay where they are.
+    bad = written(bad, f"{shared_folder(docs.sparkSession, 'contaminated')}/ids")
     return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
 
 
