@@ -31,6 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates the document with the least doc_id."""
     copies = ngram_join.component_table(docs.select("doc_id", "text")).where("component_id <> doc_id")
     copies = copies.select(F.col("doc_id").alias("_copy")).distinct()
+    # As a table the list has a known size: a short one is broadcast, and the documents stay where they are.
+    copies = written(copies, f"{shared_folder(spark, 'copies')}/ids")
     return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
 
 
