@@ -35,8 +35,8 @@ from tillstream.llm.words import by_chunk, id_and_bytes, text_bytes
 MAGIC = 0x31534449444B4F54
 BLOCK_IDS = 8192
 FILE_BYTES = 16 << 20  # of text
-CHUNK_BYTES = 2 << 20
-CACHED_PIECES = 250_000
+CHUNK_BYTES = 1 << 20
+CACHED_PIECES = 150_000
 END_ID = 0
 
 # Where Python's regular expressions surely agree with the library's: ASCII text and Latin letters.
@@ -124,16 +124,21 @@ class Reader:
 
 
 class Pieces(dict):
-    """Ids of a word as bytes, by the library's model; starts anew when full."""
+    """Ids of a word as bytes, by the library's model. When full, it keeps one older generation to draw from."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.model = tokenizer.model
         self.letters = byte_letters()
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHED_PIECES:
+            self.older = dict(self)
             self.clear()
+        if piece in self.older:
+            value = self[piece] = self.older[piece]
+            return value
         # The byte alphabet of the file: what its word splitter hands to the model.
         spelled = piece.encode().decode("latin-1").translate(self.letters)
         ids = [token.id for token in self.model.tokenize(spelled)]
