@@ -3,8 +3,8 @@
 Candidates are runs of 16 or more letters, digits and + / = _ - in every whole text. Each is described by its length, how
 probable its character transitions are in the corpus, how much of it dictionary words cover, its kinds of characters and
 entropy, the path it comes from, and the words and signs next to it. A random forest trained on labelled findings gives the
-probability of a secret. Transitions and dictionary come from all documents; the dictionary is the DICTIONARY words
-of 4 to 12 letters found in most documents.
+probability of a secret. Transitions and dictionary come from all documents; the dictionary holds the words of 4 to 12
+letters found in most documents, at most DICTIONARY of them (whole classes of similar frequency).
 
 Labelled findings are an input (doc_id, start, label). Where there are none, ``context_labels`` makes some from what stands
 around a candidate: quoted and assigned to a name such as token or password, and no sample value, is a secret. The
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tillstream.llm.arrays import shared_folder
 from tillstream.llm.components import written
-from tillstream.llm.words import by_chunk, held_out, id_and_bytes
+from tillstream.llm.words import by_chunk, held_out, id_and_bytes, least_hashes
 
 CANDIDATE = regex.compile(rb"[A-Za-z0-9+/=_\-]{16,}")
 CHUNK_BYTES = 4 << 20
@@ -82,8 +82,18 @@ def dictionary(docs: DataFrame) -> frozenset[bytes]:
             )
 
     counted = id_and_bytes(docs).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    best = counted.where("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY)
-    return frozenset(bytes(r["word"]) for r in best.collect())
+    counted = written(counted.where("n > 1"), f"{shared_folder(docs.sparkSession, 'dictionary')}/words")
+    # How many words are how frequent, by the four highest binary digits: at most some hundred rows.
+    cut = "greatest(length(bin(n)) - 4, 0)"
+    classes = counted.groupBy(F.expr(f"shiftleft(shiftright(n, {cut}), {cut})").alias("least")).count()
+    least, total = None, 0
+    for row in sorted(classes.collect(), key=lambda r: -r["least"]):
+        total += row["count"]
+        if total > DICTIONARY:
+            break
+        least = row["least"]
+    best = counted.where(F.col("n") >= least).collect() if least else []
+    return frozenset(bytes(r["word"]) for r in best)
 
 
 class Describer:
@@ -163,8 +173,7 @@ def context_labels(found: DataFrame) -> DataFrame:
 def with_scores(found: DataFrame, labelled: DataFrame) -> DataFrame:
     """Candidates with the forest's score and is_secret."""
     joined = found.join(labelled.where("label is not null"), ["doc_id", "start"]).select("x", "label", "candidate", "doc_id", "start")
-    spread = [F.xxhash64("candidate", "doc_id", "start"), "doc_id", "start"]
-    few = [joined.where(F.col("label") == k).orderBy(*spread).limit(SAMPLE) for k in (0, 1)]
+    few = [least_hashes(joined.where(F.col("label") == k), SAMPLE, "candidate", "doc_id", "start") for k in (0, 1)]
     sample = few[0].unionAll(few[1]).select(array_to_vector("x").alias("features"), F.col("label").cast("double")).persist()
     seen = [int(r["label"]) for r in sample.select("label").distinct().collect()]
     if len(seen) < 2:

@@ -7,7 +7,7 @@ a quadratic penalty, and COUNTERFACTUAL times the squared change of the score wh
 sentence are swapped, each for the next term of its list, and left out. Swaps have no other effect, so a mention of a group
 moves the score as little as no mention does.
 
-The sample is bounded: the SAMPLE labelled rows of the training folds with the least hash of their doc_id. Scoring covers
+The sample is bounded: the SAMPLE labelled rows of the training folds with the least hash of doc_id and label. Scoring covers
 all whole texts: every word of a text is looked up in the broadcast weights (at most FEATURES + the group terms).
 Null labels are left out, a document labelled twice counts twice, empty and null texts score as the intercept says.
 Without labels, or with one class only, all scores are the share of toxic labels (0 without any).
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm.words import by_chunk, held_out, id_and_bytes, read_documents
+from tillstream.llm.words import by_chunk, held_out, id_and_bytes, least_hashes, read_documents
 
 SAMPLE = 20_000
 FEATURES = 2_048
@@ -90,11 +90,10 @@ class Classifier:
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, words (distinct) and toxic of the sample."""
-    chosen = (
-        labels.where(~held_out(5) & F.col("toxic").isNotNull())
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(SAMPLE)
+    usable = labels.where(~held_out(5) & F.col("toxic").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")
     )
+    chosen = least_hashes(usable, SAMPLE, "doc_id", "toxic")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_chunk(batches, CHUNK_BYTES):
