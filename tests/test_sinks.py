@@ -60,6 +60,10 @@ def test_messages(transactions):
     assert json.loads(row.value)["transactionDate"] == "2025-01-01T00:00:00.000Z"
 
 
+def test_kafka_group():
+    assert kafka_options("host:1", group="mine")["kafka.group.id"] == "mine"
+
+
 def test_kafka_options():
     assert kafka_options("host:1", max_offsets=10) == {
         "kafka.bootstrap.servers": "host:1", "subscribe": "financial_transactions",

@@ -5,7 +5,9 @@ from __future__ import annotations
 import glob
 import json
 import random
+import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_fraud import at, random_rows
@@ -155,12 +157,35 @@ def test_headline_over_many_batches(spark, tmp_path):
     assert rows_of(headline.read_newest(spark, f"{folder}/recent"), "seq") == [(i,) for i in range(53, 60)]
 
 
-def test_state_function_speed():
-    """Calls per second for customers with one run each, without the state store."""
-    import time
+def test_fraud_state_can_be_forgotten(spark, transactions, tmp_path):
+    from tillstream.streaming import fraud
+
+    class State:
+        hasTimedOut, exists, gone, kept_for = True, True, False, None
+        get = (4, "A", 0, "p", 1.0)
+
+        def remove(self):
+            self.gone = True
 
-    import pandas as pd
+        def update(self, value):
+            self.value = value
 
+        def setTimeoutDuration(self, ms):
+            self.kept_for = ms
+
+    columns = ["customer_id", *(f"{e}_{n}" for e in ("first", "last") for n in fraud._NAMES), "seq", "batch_id"]
+    carry, state = fraud._carrier(columns, ["customer_id"], 360_000, 5_000), State()
+    assert list(carry(("c",), iter([]), state)) == [] and state.gone
+    frame = pd.DataFrame([["c", "B", 1, "p", 1.0, "B", 1, "p", 1.0, 1, 5]], columns=columns)
+    state.hasTimedOut = False
+    [found] = carry(("c",), iter([frame]), state)
+    assert len(found) == 1 and state.kept_for == 5_000
+    with pytest.raises(ValueError):
+        start_fraud_alerts(transactions([{}]), None, str(tmp_path), trigger=AVAILABLE_NOW, forget_ms=1)
+
+
+def test_state_function_speed():
+    """Calls per second for customers with one run each, without the state store."""
     from tillstream.streaming import fraud
 
     columns = ["customer_id", *(f"{e}_{n}" for e in ("first", "last") for n in fraud._NAMES), "seq", "batch_id"]

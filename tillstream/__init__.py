@@ -18,7 +18,14 @@ from tillstream.operators.sales import (
     sales_per_month,
 )
 from tillstream.session import configure
-from tillstream.sinks.documents import publish, send_bulk, to_documents, to_messages, write_bulk
+from tillstream.sinks.documents import (
+    publish,
+    send_bulk,
+    start_publish,
+    to_documents,
+    to_messages,
+    write_bulk,
+)
 from tillstream.sinks.tables import FolderTables, JdbcTables
 from tillstream.sources.dims import countries, country_map, customer_countries, products
 from tillstream.sources.messages import KAFKA_SEQ, file_source, kafka_source
@@ -71,6 +78,7 @@ __all__ = [
     "start_fraud_alerts",
     "start_pipeline",
     "start_kpi",
+    "start_publish",
     "start_recent",
     "start_sales",
     "text_alerts",

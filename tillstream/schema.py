@@ -33,6 +33,7 @@ COLUMNS = tuple(f.column for f in FIELDS)
 # The relational table leaves the country out.
 SINK_COLUMNS = tuple(c for c in COLUMNS if c != "customer_country")
 
+# The names of the topic and the document index.
 TOPIC = "financial_transactions"
 DOCUMENT_INDEX = "transactions"
 

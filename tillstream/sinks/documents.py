@@ -7,8 +7,10 @@ from itertools import islice
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.schema import DOCUMENT_INDEX, FIELDS, TOPIC
+from tillstream.streaming.run import Trigger, run
 
 BULK_ACTIONS = 1000
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -75,6 +77,14 @@ def message_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
+def start_publish(
+    messages: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC, trigger: Trigger = "5 seconds"
+) -> StreamingQuery:
+    """Keep publishing a stream of messages; a message may be sent again after a failure, under its key."""
+    writer = messages.writeStream.format("kafka").options(**message_options(servers, topic))
+    return run(writer, checkpoint, trigger)
+
+
 def publish(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
     """Write a batch of messages to the topic; needs Spark's Kafka package."""
     messages.write.format("kafka").options(**message_options(servers, topic)).save()

@@ -13,7 +13,11 @@ KAFKA_SEQ = ("timestamp", "partition", "offset")
 
 
 def kafka_options(
-    servers: str, topic: str = TOPIC, starting: str = "earliest", max_offsets: int | None = None
+    servers: str,
+    topic: str = TOPIC,
+    starting: str = "earliest",
+    max_offsets: int | None = None,
+    group: str | None = None,
 ) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": servers,
@@ -22,6 +26,8 @@ def kafka_options(
     }
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if group is not None:
+        options["kafka.group.id"] = group
     return options
 
 
@@ -32,13 +38,15 @@ def kafka_source(
     starting: str = "earliest",
     bounded: bool = False,
     max_offsets: int | None = None,
+    group: str | None = None,
 ) -> DataFrame:
     """The topic as (value, timestamp, partition, offset); needs Spark's Kafka package.
 
-    ``bounded`` reads what the topic holds now as a batch, otherwise the stream never ends.
+    ``bounded`` reads what the topic holds now as a batch, otherwise the stream never ends. ``group`` is the consumer
+    group that the broker sees; the stream's position is in its checkpoint, so each query needs a group of its own.
     """
     reader = spark.read if bounded else spark.readStream
-    options = kafka_options(servers, topic, starting, None if bounded else max_offsets)
+    options = kafka_options(servers, topic, starting, None if bounded else max_offsets, group)
     return (
         reader.format("kafka")
         .options(**options)

@@ -29,7 +29,7 @@ from tillstream.operators.fraud import (
     is_alert,
 )
 from tillstream.operators.latest import order_value
-from tillstream.streaming.run import Trigger, make_folder, run
+from tillstream.streaming.run import AVAILABLE_NOW, Trigger, make_folder, run
 
 WriteAlerts = Callable[[DataFrame, str, int], None]
 """Receives alerts, the part that found them and the batch id; must be safe to repeat."""
@@ -100,7 +100,7 @@ def customer_runs(batch: DataFrame, seq: Sequence[str]) -> DataFrame:
 
 
 def _carrier(
-    columns: Sequence[str], kept: Sequence[str], max_ms: int
+    columns: Sequence[str], kept: Sequence[str], max_ms: int, forget_ms: int | None = None
 ) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     """The state function over the runs' ``columns``; as a closure it travels with the task, without this package.
 
@@ -119,6 +119,9 @@ def _carrier(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         """Pair the first row of every run with the last row of the run before it."""
+        if forget_ms and state.hasTimedOut:
+            state.remove()
+            return
         seen = state.get if state.exists else None
         known = None if seen is None else seen[0]
         rows = [row for frame in frames for row in zip(*(frame[c].tolist() for c in columns))]
@@ -139,6 +142,8 @@ def _carrier(
             seen = (known, *values)
         if rows and seen is not None:
             state.update(seen)
+            if forget_ms:
+                state.setTimeoutDuration(forget_ms)
         if alerts:
             found = pd.DataFrame(alerts, columns=[*kept, *previous_columns], dtype=object)
             yield found.astype(types)
@@ -146,15 +151,18 @@ def _carrier(
     return carry
 
 
-def link_runs(runs: DataFrame, order: _Order, max_minutes: int = MAX_MINUTES) -> DataFrame:
+def link_runs(
+    runs: DataFrame, order: _Order, max_minutes: int = MAX_MINUTES, forget_ms: int | None = None
+) -> DataFrame:
     """(customer, previous, current, seq): consecutive runs of a customer that make an alert, on a stream."""
     output = ", ".join(
         (f"{CUSTOMER} string", _prefixed("first"), order.schema(), _prefixed("previous"))
     )
     kept = [CUSTOMER, *(f"first_{name}" for name in _NAMES), *order.names]
-    carry = _carrier(runs.columns, kept, (max_minutes + 1) * 60000)
+    carry = _carrier(runs.columns, kept, (max_minutes + 1) * 60000, forget_ms)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if forget_ms else GroupStateTimeout.NoTimeout
     linked = runs.groupBy(CUSTOMER).applyInPandasWithState(
-        carry, output, _STATE, "append", GroupStateTimeout.NoTimeout
+        carry, output, _STATE, "append", timeout
     )
     return linked.select(
         CUSTOMER,
@@ -172,11 +180,16 @@ def start_fraud_alerts(
     trigger: Trigger = "5 seconds",
     max_minutes: int = MAX_MINUTES,
     ranges: int | None = None,
+    forget_ms: int | None = None,
 ) -> list[StreamingQuery]:
     """Start both queries; ``folder`` keeps the runs, the alerts across batches and the checkpoints.
 
-    Every customer's last row stays in the state for good: the check has no time-out.
+    Every customer's last row stays in the state for good, unless ``forget_ms`` says for how long without a
+    transaction (by the clock) it is kept; a customer's next transaction then counts as the first. That needs a
+    live trigger: a query that stops when all is read would wait for its time-outs for ever.
     """
+    if forget_ms and trigger == AVAILABLE_NOW:
+        raise ValueError("forget_ms needs a live trigger")
     spark = transactions.sparkSession
     seq = list(seq)
     order = _Order(transactions, seq)
@@ -209,7 +222,7 @@ def start_fraud_alerts(
         .option("ignoreMissingFiles", "true")
         .parquet(f"{folder}/runs")
     )
-    alerts = link_runs(runs, order, max_minutes).where(is_alert("previous", "current", max_minutes))
+    alerts = link_runs(runs, order, max_minutes, forget_ms).where(is_alert("previous", "current", max_minutes))
     across = run(
         alerts.select(*alert_columns("previous", "current"), *seq)
         .writeStream.outputMode("append")
