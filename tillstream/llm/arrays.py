@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillstream.session import scratch_folder
 
@@ -172,7 +171,3 @@ def sizes_of(rows: list) -> dict[int, int]:
 
 def total(rows: list, column: str) -> int:
     return sum(r[column] for r in rows)
-
-
-def distinct_ids(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()

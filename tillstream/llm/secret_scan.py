@@ -45,7 +45,6 @@ FEATURES = (
     "length", "transition", "dictionary", "digits", "upper", "hex", "changes", "entropy", "path_depth", "path_words",
     "named", "denied", "assigned", "quoted",
 )
-SPAN = "doc_id long, start long, candidate string, path string, x array<double>, transition_text string"
 FOUND = "doc_id long, start long, candidate string, x array<double>, named boolean, denied boolean, bound boolean"
 
 

@@ -7,7 +7,8 @@ Documents are range-partitioned by doc_id, sorted, and each partition is encoded
 * a trailer of six little-endian 64-bit numbers: magic, width, documents, ids, blocks, offset of the table.
 
 Any run of ids is read by unpacking its blocks only. The order over all files is ascending doc_id (null first),
-then a hash of the text, then the text; repeated rows are kept. The driver gets two numbers per file and hands every file the ids before it.
+then a hash of the text, then the text; repeated rows are kept. The driver gets two numbers per file and hands
+every file the ids before it.
 Files are written under another name and renamed, so a repeated task leaves the same file.
 Null and empty texts have the end id alone.
 """

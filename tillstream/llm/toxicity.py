@@ -2,10 +2,10 @@
 
 Features of a text are its lower-cased letter runs and the first 5, 6 and 7 letters of longer ones; each counts once
 per document. Spark counts in how many toxic and other documents of the sample each feature occurs and keeps the most
-telling ones (G statistic); the rest of the fit is small: the sample's documents as lists of kept features go to the driver. The loss is the logistic loss of the labels,
-a quadratic penalty, and COUNTERFACTUAL times the squared change of the score when the group terms of a labelled
-sentence are swapped, each for the next term of its list, and left out. Swaps have no other effect, so a mention of a group
-moves the score as little as no mention does.
+telling ones (G statistic); the rest of the fit is small: the sample's documents as lists of kept features go to the
+driver. The loss is the logistic loss of the labels, a quadratic penalty, and COUNTERFACTUAL times the squared change
+of the score when the group terms of a labelled sentence are swapped, each for the next term of its list, and left out.
+Swaps have no other effect, so a mention of a group moves the score as little as no mention does.
 
 The sample is bounded: the SAMPLE labelled rows of the training folds with the least hash of doc_id and label. Scoring covers
 all whole texts: every word of a text is looked up in the broadcast weights (at most FEATURES + the group terms).
