@@ -169,8 +169,8 @@ def start_pipeline(
     ``messages`` is a stream with ``value`` and the ordering columns ``seq``, which must grow
     with arrival. A later query takes whole commits of the parsing one, never a part of one, so that the order
     inside a commit stays ``seq``; bound a backlog at the source. ``time_col`` decides the day and month of
-    a sale; it may be an arrival time that came with the message. ``mode`` is that of the sales tables. Restarting with the same folder goes on where the queries
-    stopped.
+    a sale; it may be an arrival time that came with the message. ``mode`` is that of the sales tables.
+    Restarting with the same folder goes on where the queries stopped.
     """
     spark = messages.sparkSession
     parsed = f"{folder}/parsed"
