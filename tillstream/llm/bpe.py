@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from tillstream.llm.words import by_chunk, id_and_bytes
 
-CHUNK_BYTES = 4 << 20
-CACHED_PIECES = 300_000
+CHUNK_BYTES = 2 << 20
+CACHED_PIECES = 120_000
 FINAL = 256  # added to the byte that ends a word
 NEVER = np.int64(1) << 40
 LONG_WORD = 64

@@ -34,9 +34,9 @@ WINDOW = 5
 LITERALS = 3
 SHARE = 50  # per cent of an item's windows
 BLOCK_WORDS = 1_000_000
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 FILTER_BITS = 22
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 250_000
 FACTOR = np.uint64(pow(0x9E3779B97F4A7C15, 5, 1 << 64))
 
 # What counts as a unit after a number.

@@ -16,7 +16,7 @@ from tillstream.llm.arrays import shared_folder
 
 # Python's bytes.split() cuts at exactly these characters, so words are [^\x20\x09-\x0D]+.
 SPACES = b" \t\n\x0b\x0c\r"
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 CHUNK_WORDS = 1_000_000
 _SHIPPED: set[str] = set()
 
