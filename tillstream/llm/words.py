@@ -18,6 +18,8 @@ from tillstream.llm.arrays import shared_folder
 SPACES = b" \t\n\x0b\x0c\r"
 CACHED_WORDS = 150_000
 CHUNK_WORDS = 1_000_000
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -39,7 +41,12 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application: they need not have it installed."""
+    """Give the Python workers this package, once per application: they need not have it installed.
+
+    Documents go to them in batches of BATCH_ROWS, as the default of 10,000 long texts would fill their memory.
+    """
+    if int(spark.conf.get(_BATCH_SETTING, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context, package = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if context.applicationId in _SHIPPED or not os.path.isdir(package):
         return
@@ -93,6 +100,8 @@ def by_chunk(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tupl
                     rows, n = [], 0
     if rows:
         yield rows
+    # A worker waits for its next task: what Arrow no longer needs goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(docs: DataFrame) -> int:
