@@ -471,6 +471,22 @@ def test_decontamination_against_plain_search(spark, docs, sf_dir):
     assert set(rows(decontaminate.contamination(docs, full), "doc_id", "item_id")) == want
 
 
+def found_pairs(spark, items, documents):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(documents)), "doc_id long, text string")
+    return set(rows(decontaminate.contamination(df, bench), "doc_id", "item_id"))
+
+
+def test_decontamination_finds_items_of_placeholders(spark):
+    items = [
+        "12 + 30 = 42", "3 km + 5 km = 8 km", "Anna Miller Peter Smith Carla Jones Henry Brown Julia Stone and Robert Field",
+        "Anna Miller Peter and Carla Jones Henry met Julia Stone Robert and",
+    ]
+    renamed = items[3].replace("Henry", "Thomas").replace("Julia", "Sarah")
+    documents = [f"as it was said before {item} and so on" for item in [*items, "13 + 31 = 44", renamed]]
+    assert found_pairs(spark, items, documents) == {(0, 0), (1, 1), (2, 2), (3, 3), (5, 3)}
+
+
 # Toxicity
 
 

@@ -1,12 +1,17 @@
 """Benchmark decontamination by templates: numbers, units and names become typed placeholders.
 
 A word loses its case and the punctuation around it; then a number is <num>, a unit after a number <unit>, a
-capitalised word inside a sentence <name>. Each window of five such tokens with at least three literal ones is hashed.
-The windows of a block of benchmark items (item id, place, values behind the placeholders) go to all tasks, which look
-up the windows of every document there. Matching windows of one item vote for one document value per item value
-and kind; only windows that agree with the vote count, so a template filled at random does not match, and a question
-with other numbers throughout does. A document is contaminated by an item when the agreeing windows are at least half
-of the item's.
+capitalised word inside a sentence <name>. Each window of five such tokens is hashed; one with fewer than three literal
+tokens is hashed by its words instead, so arithmetic, conversions and lists of names are found as they stand. Of an item
+that has three literals but no such window the least wider windows are hashed too.
+The windows of a block of benchmark items go to all tasks, which look up the windows of every document there. Equal
+windows tell where an item may begin in the document, and all its windows are compared there. One with few literals
+fits if its words are the item's own, or if the wider span around it that has three literals fits.
+At each such place the fitting windows vote for one document value per item value and kind; only windows that agree with
+the vote count, so a template filled at random does not match, a question with other numbers throughout does, and
+copies with different values do not disturb each other. A document is contaminated by an item when the agreeing windows
+at one place, or at all places under a common vote, are at least half of the item's. Slots are values in windows with
+three literals.
 
 Benchmarks are read in blocks of BLOCK_WORDS words, one pass over the documents for each, so what is broadcast is
 bounded. Items with fewer than five words make one window of all their tokens. Null or empty items and texts match
@@ -95,27 +100,123 @@ def describe(word: bytes) -> tuple[int, int]:
 
 
 def templates(words: list[list[bytes]], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash and placeholder kind (0: literal) of every token of the texts, and where each text begins."""
+    """Hash of the bare word and placeholder kind (0: literal) of every token of the texts, and where each text begins."""
     starts = starts_of(np.array([len(w) for w in words], np.int64))
     number = vocabulary.numbers([w for ws in words for w in ws])
-    hashes, flags = vocabulary.hashes[number], vocabulary.flags[number]
+    plain, flags = vocabulary.hashes[number], vocabulary.flags[number]
     before = np.concatenate((np.zeros(1, np.uint8), flags[:-1])) if len(flags) else flags
     before = before.copy()
     before[starts[:-1][starts[:-1] < len(flags)]] = STOP
     kind = np.where(flags & NUM, NUM, 0)
     kind = np.where((flags & UNIT > 0) & (before & NUM > 0), UNIT, kind)
     kind = np.where((kind == 0) & (flags & CAPITAL > 0) & (before & STOP == 0), CAPITAL, kind)
-    return np.where(kind > 0, HOLDER[kind], hashes), kind, starts
+    return plain, kind, starts
 
 
-def windows(tokens: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the window that begins at each token, and whether it has enough literal tokens."""
-    n = max(0, len(tokens) - size + 1)
-    out, literal = np.full(n, size, np.uint64), np.zeros(n, np.int64)
+def rolled(tokens: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    out = np.full(len(at), size, np.uint64)
+    for k in range(size):
+        out = out * FACTOR + tokens[at + k]
+    return mix(out)
+
+
+def windows(plain: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all windows: of the template, or of the words themselves where few tokens are literal."""
+    n = max(0, len(plain) - size + 1)
+    tokens, literal = np.where(kind > 0, HOLDER[kind], plain), literals(kind, size)
+    out = np.full(n, size, np.uint64)
     for k in range(size):
         out = out * FACTOR + tokens[k:k + n]
-        literal += kind[k:k + n] == 0
-    return mix(out), literal >= min(size, LITERALS)
+    out = mix(out)
+    few = np.flatnonzero(literal < min(size, LITERALS))
+    out[few] = rolled(plain, few, size)
+    return np.arange(n), out
+
+
+def literals(kind: np.ndarray, size: int) -> np.ndarray:
+    """How many tokens of each window are literal."""
+    upto = starts_of((kind == 0).astype(np.int64))
+    return upto[size:] - upto[:len(upto) - size] if size < len(upto) else np.zeros(0, np.int64)
+
+
+def all_of(good: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Whether all tokens of each span (begin, end) are good; an empty span is not."""
+    upto = starts_of(good.astype(np.int64))
+    size = spans[:, 1] - spans[:, 0]
+    return (size > 0) & (upto[spans[:, 1]] - upto[spans[:, 0]] == size)
+
+
+class Item:
+    """A benchmark item: its tokens, and the span that decides about each of its windows."""
+
+    def __init__(self, item_id: int, words: list[bytes], plain: np.ndarray, kind: np.ndarray):
+        self.id, self.plain, self.kind = item_id, plain, kind
+        self.size = min(WINDOW, len(words))
+        self.values = {k: (int(kind[k]), bare(words[k]).lower()) for k in np.flatnonzero(kind).tolist()}
+        literal = literals(kind, self.size) if self.size else np.zeros(0, np.int64)
+        self.total = len(literal)
+        first = np.arange(self.total)
+        self.spans = np.stack((first, first + self.size), axis=1)
+        self.rich = literal >= min(self.size, LITERALS)
+        # A window with few literal tokens is judged with its neighbours, until there are enough of them. Where the
+        # whole item has too few, only the item's own values count.
+        self.wide = self.spans.copy()
+        upto, enough = starts_of((kind == 0).astype(np.int64)), min(self.size, LITERALS)
+        for p in np.flatnonzero(~self.rich).tolist():
+            a, b = p, p + self.size
+            while upto[b] - upto[a] < enough and (a > 0 or b < len(kind)):
+                a, b = max(0, a - 1), min(len(kind), b + 1)
+            self.wide[p] = (a, b) if upto[b] - upto[a] >= enough else (0, 0)
+
+    def enough(self, agree: np.ndarray) -> bool:
+        return 100 * int(agree.sum()) >= SHARE * self.total
+
+    def sizes(self) -> list[int]:
+        """Windows to look up: the usual ones, and if none has enough literal tokens the least wider ones that do."""
+        if not self.size or self.rich.any() or int((self.kind == 0).sum()) < LITERALS:
+            return [self.size] if self.size else []
+        size = self.size + 1
+        while not (literals(self.kind, size) >= LITERALS).any():
+            size += 1
+        return [self.size, size]
+
+
+class Spot:
+    """A place of a document where an item may begin: which of its tokens stand there, and which values."""
+
+    def __init__(self, item: Item, words: list[bytes], plain: np.ndarray, kind: np.ndarray, begin: int):
+        a, b = max(0, -begin), min(len(item.plain), len(words) - begin)
+        there = slice(begin + a, begin + b)
+        self.item, self.words, self.begin = item, words, begin
+        self.equal = np.zeros(len(item.plain), bool)
+        self.equal[a:b] = item.plain[a:b] == plain[there]
+        self.fits = self.equal.copy()
+        self.fits[a:b] |= (item.kind[a:b] > 0) & (item.kind[a:b] == kind[there])
+        self.windows = all_of(self.fits, item.spans)
+        self.others: dict[int, str] = {}
+
+    def read(self) -> None:
+        """The document's values behind the placeholders, of fitting windows only."""
+        covered = np.zeros(len(self.fits), bool)
+        for a, b in self.item.spans[self.windows].tolist():
+            covered[a:b] = True
+        self.others = {k: bare(self.words[self.begin + k]).lower() for k in self.item.values if covered[k]}
+
+    def agreeing(self, chosen: dict[tuple, str]) -> np.ndarray:
+        """The item's windows that agree with the chosen values."""
+        good = self.fits.copy()
+        for k, other in self.others.items():
+            good[k] = chosen[self.item.values[k]] == other
+        return all_of(good, self.item.wide) | all_of(good & self.equal, self.item.spans)
+
+
+def chosen_values(item: Item, spots: list[Spot]) -> dict[tuple, str]:
+    votes: dict[tuple, Counter] = defaultdict(Counter)
+    for spot in spots:
+        for k, other in spot.others.items():
+            votes[item.values[k]][other] += 1
+    # The most frequent value; of several the item's own, then the least.
+    return {v: min(c, key=lambda o, c=c, v=v: (-c[o], o != v[1], o)) for v, c in votes.items()}
 
 
 class Items:
@@ -123,17 +224,17 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, bytes]]):
         words = [text.split() for _, text in rows]
-        tokens, kind, starts = templates(words, Vocabulary())
-        found: list[tuple[int, int, int]] = []
-        self.ids, self.total, self.words, self.kinds = [r[0] for r in rows], [], words, []
-        for i, (a, b) in enumerate(zip(starts, starts[1:], strict=False)):
-            self.kinds.append(kind[a:b])
-            size = min(WINDOW, int(b - a))
-            hashes, fit = windows(tokens[a:b], kind[a:b], size) if size else (np.zeros(0, np.uint64), np.zeros(0, bool))
-            self.total.append(int(fit.sum()))
-            found += [(int(h), i, int(p)) for p, h in enumerate(hashes) if fit[p]]
+        plain, kind, starts = templates(words, Vocabulary())
+        self.items = [
+            Item(row[0], w, plain[a:b], kind[a:b]) for row, w, a, b in zip(rows, words, starts, starts[1:], strict=False)
+        ]
+        found = [
+            (int(h), i, int(p))
+            for i, item in enumerate(self.items) for size in item.sizes()
+            for p, h in zip(*windows(item.plain, item.kind, size), strict=True)
+        ]
         found.sort()
-        self.sizes = sorted({min(WINDOW, len(w)) for w in words} - {0})
+        self.sizes = sorted({size for item in self.items for size in item.sizes()})
         self.hashes = np.array([h for h, _, _ in found], np.uint64)
         self.item = np.array([i for _, i, _ in found], np.int64)
         self.place = np.array([p for _, _, p in found], np.int64)
@@ -141,42 +242,46 @@ class Items:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
 
-    def hits(self, hashes: np.ndarray, fit: np.ndarray) -> list[tuple[int, int]]:
+    def hits(self, places: np.ndarray, hashes: np.ndarray) -> list[tuple[int, int]]:
         """(place in the document, row of the item windows) of all equal windows."""
-        maybe = np.flatnonzero(fit & self.filter[(hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
+        maybe = np.flatnonzero(self.filter[(hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
         low, high = (np.searchsorted(self.hashes, hashes[maybe], side) for side in ("left", "right"))
         return [
             (int(at), row)
-            for at, a, b in zip(maybe[high > low], low[high > low], high[high > low], strict=True)
+            for at, a, b in zip(places[maybe[high > low]], low[high > low], high[high > low], strict=True)
             for row in range(a, b)
         ]
 
-    def matches(self, words: list[bytes], kind: np.ndarray, hits: list[tuple[int, int]]) -> Iterator[tuple]:
+    def matches(
+        self, words: list[bytes], plain: np.ndarray, kind: np.ndarray, hits: set[tuple[int, int]]
+    ) -> Iterator[tuple]:
         """(item id, its windows, agreeing windows, slots, slots with another value) above the share."""
-        by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at, row in hits:
-            by_item[int(self.item[row])].append((at, int(self.place[row])))
-        for i, pairs in by_item.items():
-            if 100 * len({p for _, p in pairs}) < SHARE * self.total[i]:
+        by_item: dict[int, list[int]] = defaultdict(list)
+        for i, begin in sorted(hits):
+            by_item[i].append(begin)
+        for i, begins in by_item.items():
+            item = self.items[i]
+            spots = [Spot(item, words, plain, kind, begin) for begin in begins]
+            if not item.enough(np.logical_or.reduce([spot.windows for spot in spots])):
                 continue
-            own, size = self.words[i], min(WINDOW, len(self.words[i]))
-            slots = [
-                [
-                    ((int(self.kinds[i][p + k]), bare(own[p + k]).lower()), bare(words[at + k]).lower())
-                    for k in range(size) if self.kinds[i][p + k]
-                ]
-                for at, p in pairs
-            ]
-            votes: dict[tuple, Counter] = defaultdict(Counter)
-            for window in slots:
-                for value, other in window:
-                    votes[value][other] += 1
-            # The most frequent value; of several the item's own, then the least.
-            chosen = {v: min(c, key=lambda o, c=c, v=v: (-c[o], o != v[1], o)) for v, c in votes.items()}
-            agree = {p for (_, p), window in zip(pairs, slots, strict=True) if all(chosen[v] == o for v, o in window)}
-            if 100 * len(agree) >= SHARE * self.total[i]:
-                changed = sum(v[1] != o for v, o in chosen.items())
-                yield self.ids[i], self.total[i], len(agree), len(chosen), changed
+            for spot in spots:
+                spot.read()
+            # Every copy has values of its own; parts that lie apart are taken together with one value for all of them.
+            groups = [[spot] for spot in spots] + [spots] * (len(spots) > 1)
+            best = None
+            for group in groups:
+                chosen = chosen_values(item, group)
+                agree = np.logical_or.reduce([spot.agreeing(chosen) for spot in group])
+                if item.enough(agree) and (best is None or agree.sum() > best[0].sum()):
+                    best = agree, group, chosen
+            if best:
+                agree, group, chosen = best
+                rich = np.zeros(len(item.kind), bool)
+                for a, b in item.spans[item.rich].tolist():
+                    rich[a:b] = True
+                slots = {item.values[k] for spot in group for k in spot.others if rich[k]}
+                changed = sum(v[1] != chosen[v] for v in slots)
+                yield item.id, item.total, int(agree.sum()), len(slots), changed
 
 
 MATCHES = "doc_id long, item_id long, item_windows long, matched_windows long, slots long, changed_slots long"
@@ -189,18 +294,17 @@ def matches_of_block(docs: DataFrame, items: Items) -> DataFrame:
         vocabulary, items = Vocabulary(), block.value
         for rows in by_chunk(batches, CHUNK_BYTES):
             words = [(r[1] or b"").split() for r in rows]
-            tokens, kind, starts = templates(words, vocabulary)
-            hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            plain, kind, starts = templates(words, vocabulary)
+            hits: dict[int, set[tuple[int, int]]] = defaultdict(set)
             for size in items.sizes:
-                for at, row in items.hits(*windows(tokens, kind, size)):
+                for at, row in items.hits(*windows(plain, kind, size)):
                     doc = int(np.searchsorted(starts, at, "right")) - 1
-                    item_size = min(WINDOW, len(items.words[int(items.item[row])]))
-                    if item_size == size and at + size <= starts[doc + 1]:
-                        hits[doc].append((int(at - starts[doc]), row))
+                    if at + size <= starts[doc + 1]:
+                        hits[doc].add((int(items.item[row]), int(at - starts[doc] - items.place[row])))
             out = [
                 (rows[d][0], *found)
-                for d, pairs in hits.items()
-                for found in items.matches(words[d], kind[starts[d]:starts[d + 1]], pairs)
+                for d, spots in hits.items()
+                for found in items.matches(words[d], *(x[starts[d]:starts[d + 1]] for x in (plain, kind)), spots)
             ]
             if out:
                 yield pa.RecordBatch.from_arrays(
