@@ -487,6 +487,15 @@ def test_decontamination_finds_items_of_placeholders(spark):
     assert found_pairs(spark, items, documents) == {(0, 0), (1, 1), (2, 2), (3, 3), (5, 3)}
 
 
+def test_decontamination_finds_parts_of_long_items(spark):
+    item = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)]
+    question = "how many of the red boxes did the old driver leave at the last station of the line"
+    items = [" ".join(item), " ".join(item[75:]) + " " + question]
+    apart = " ".join(" ".join(item[k:k + 9]) + " and" for k in range(0, 60, 12))
+    documents = ["it says " + " ".join(item[5:65]) + " there", f"she asked {question} yesterday", apart]
+    assert found_pairs(spark, items, documents) == {(0, 0), (1, 1)}
+
+
 # Toxicity
 
 

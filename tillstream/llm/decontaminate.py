@@ -10,8 +10,8 @@ fits if its words are the item's own, or if the wider span around it that has th
 At each such place the fitting windows vote for one document value per item value and kind; only windows that agree with
 the vote count, so a template filled at random does not match, a question with other numbers throughout does, and
 copies with different values do not disturb each other. A document is contaminated by an item when the agreeing windows
-at one place, or at all places under a common vote, are at least half of the item's. Slots are values in windows with
-three literals.
+at one place, or at all places under a common vote, are at least half of the item's, or when agreeing windows in a row at
+one place cover RUN_WORDS words, however long the item is. Slots are values in windows with three literals.
 
 Benchmarks are read in blocks of BLOCK_WORDS words, one pass over the documents for each, so what is broadcast is
 bounded. Items with fewer than five words make one window of all their tokens. Null or empty items and texts match
@@ -38,6 +38,7 @@ from tillstream.llm.words import by_chunk, id_and_bytes, mix, read_documents, st
 WINDOW = 5
 LITERALS = 3
 SHARE = 50  # per cent of an item's windows
+RUN_WORDS = 13  # words in a row, whatever the item's length
 BLOCK_WORDS = 1_000_000
 CHUNK_BYTES = 3 << 20
 FILTER_BITS = 22
@@ -146,6 +147,11 @@ def all_of(good: np.ndarray, spans: np.ndarray) -> np.ndarray:
     return (size > 0) & (upto[spans[:, 1]] - upto[spans[:, 0]] == size)
 
 
+def longest_run(marks: np.ndarray) -> int:
+    gaps = np.flatnonzero(~marks)
+    return int(np.diff(gaps, prepend=-1, append=len(marks)).max()) - 1
+
+
 class Item:
     """A benchmark item: its tokens, and the span that decides about each of its windows."""
 
@@ -169,6 +175,10 @@ class Item:
             self.wide[p] = (a, b) if upto[b] - upto[a] >= enough else (0, 0)
 
     def enough(self, agree: np.ndarray) -> bool:
+        """Whether these windows of one place are half of all, or enough in a row."""
+        return self.half(agree) or longest_run(agree) + self.size - 1 >= RUN_WORDS
+
+    def half(self, agree: np.ndarray) -> bool:
         return 100 * int(agree.sum()) >= SHARE * self.total
 
     def sizes(self) -> list[int]:
@@ -255,15 +265,16 @@ class Items:
     def matches(
         self, words: list[bytes], plain: np.ndarray, kind: np.ndarray, hits: set[tuple[int, int]]
     ) -> Iterator[tuple]:
-        """(item id, its windows, agreeing windows, slots, slots with another value) above the share."""
+        """(item id, its windows, agreeing windows, slots, slots with another value) of the items found."""
         by_item: dict[int, list[int]] = defaultdict(list)
         for i, begin in sorted(hits):
             by_item[i].append(begin)
         for i, begins in by_item.items():
             item = self.items[i]
             spots = [Spot(item, words, plain, kind, begin) for begin in begins]
-            if not item.enough(np.logical_or.reduce([spot.windows for spot in spots])):
-                continue
+            if not any(item.enough(spot.windows) for spot in spots):
+                if not item.half(np.logical_or.reduce([spot.windows for spot in spots])):
+                    continue
             for spot in spots:
                 spot.read()
             # Every copy has values of its own; parts that lie apart are taken together with one value for all of them.
@@ -272,7 +283,8 @@ class Items:
             for group in groups:
                 chosen = chosen_values(item, group)
                 agree = np.logical_or.reduce([spot.agreeing(chosen) for spot in group])
-                if item.enough(agree) and (best is None or agree.sum() > best[0].sum()):
+                found = item.enough(agree) if len(group) == 1 else item.half(agree)
+                if found and (best is None or agree.sum() > best[0].sum()):
                     best = agree, group, chosen
             if best:
                 agree, group, chosen = best
