@@ -496,6 +496,24 @@ def test_decontamination_finds_parts_of_long_items(spark):
     assert found_pairs(spark, items, documents) == {(0, 0), (1, 1)}
 
 
+def test_decontamination_reads_sentence_openers_both_ways(spark):
+    item = "Anna has 12 apples. Anna gives 5 to Ben. Anna eats 2. How many apples are left?"
+    asked = item.replace("Anna", "Julia")
+    lower = item.replace(". How", ", how").replace("Anna", "Julia")
+    assert found_pairs(spark, [item], [asked, f"a text says {asked}", lower]) == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_decontamination_votes_for_each_copy(spark):
+    item = "take 12 red balls and 7 blue ones then 12 old men and 7 young men carry 12 boxes and 7 lids away"
+    copies = [item.replace("12", str(a)).replace("7", str(b)) for a, b in ((20, 55), (20, 66), (41, 31), (73, 31))]
+    mixed = "take 1 red balls and 2 blue ones then 3 old men and 4 young men carry 5 boxes and 6 lids away"
+    found = decontaminate.contamination(
+        spark.createDataFrame([(0, " \n".join([*copies, item])), (1, mixed)], "doc_id long, text string"),
+        spark.createDataFrame([(0, item)], "item_id long, text string"),
+    )
+    assert rows(found, "doc_id", "matched_windows", "item_windows", "changed_slots") == [(0, 19, 19, 0)]
+
+
 # Toxicity
 
 

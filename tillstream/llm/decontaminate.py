@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates: numbers, units and names become typed placeholders.
 
 A word loses its case and the punctuation around it; then a number is <num>, a unit after a number <unit>, a
-capitalised word inside a sentence <name>. Each window of five such tokens is hashed; one with fewer than three literal
+capitalised word <name>; one that opens a sentence may be a name or not and is read both ways. Each window of five such tokens is hashed; one with fewer than three literal
 tokens is hashed by its words instead, so arithmetic, conversions and lists of names are found as they stand. Of an item
 that has three literals but no such window the least wider windows are hashed too.
 The windows of a block of benchmark items go to all tasks, which look up the windows of every document there. Equal
@@ -100,8 +100,9 @@ def describe(word: bytes) -> tuple[int, int]:
     return xxhash.xxh3_64_intdigest(low.encode()), flags
 
 
-def templates(words: list[list[bytes]], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of the bare word and placeholder kind (0: literal) of every token of the texts, and where each text begins."""
+def templates(words: list[list[bytes]], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the bare word and placeholder kind (0: literal) of every token of the texts, whether it may be a name or a
+    literal word, and where each text begins."""
     starts = starts_of(np.array([len(w) for w in words], np.int64))
     number = vocabulary.numbers([w for ws in words for w in ws])
     plain, flags = vocabulary.hashes[number], vocabulary.flags[number]
@@ -110,8 +111,8 @@ def templates(words: list[list[bytes]], vocabulary: Vocabulary) -> tuple[np.ndar
     before[starts[:-1][starts[:-1] < len(flags)]] = STOP
     kind = np.where(flags & NUM, NUM, 0)
     kind = np.where((flags & UNIT > 0) & (before & NUM > 0), UNIT, kind)
-    kind = np.where((kind == 0) & (flags & CAPITAL > 0) & (before & STOP == 0), CAPITAL, kind)
-    return plain, kind, starts
+    kind = np.where((kind == 0) & (flags & CAPITAL > 0), CAPITAL, kind)
+    return plain, kind, (kind == CAPITAL) & (before & STOP > 0), starts
 
 
 def rolled(tokens: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -121,8 +122,9 @@ def rolled(tokens: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
-def windows(plain: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of all windows: of the template, or of the words themselves where few tokens are literal."""
+def windows(plain: np.ndarray, kind: np.ndarray, opens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of all windows: of the template, or of the words themselves where few tokens are literal. A
+    window with words that open sentences has a second hash, with these words as literal ones."""
     n = max(0, len(plain) - size + 1)
     tokens, literal = np.where(kind > 0, HOLDER[kind], plain), literals(kind, size)
     out = np.full(n, size, np.uint64)
@@ -131,7 +133,10 @@ def windows(plain: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray,
     out = mix(out)
     few = np.flatnonzero(literal < min(size, LITERALS))
     out[few] = rolled(plain, few, size)
-    return np.arange(n), out
+    opening = size - literals(opens, size)
+    both = np.flatnonzero((opening > 0) & (literal + opening >= min(size, LITERALS)))
+    second = rolled(np.where(opens, plain, tokens), both, size)
+    return np.concatenate((np.arange(n), both)), np.concatenate((out, second))
 
 
 def literals(kind: np.ndarray, size: int) -> np.ndarray:
@@ -155,8 +160,8 @@ def longest_run(marks: np.ndarray) -> int:
 class Item:
     """A benchmark item: its tokens, and the span that decides about each of its windows."""
 
-    def __init__(self, item_id: int, words: list[bytes], plain: np.ndarray, kind: np.ndarray):
-        self.id, self.plain, self.kind = item_id, plain, kind
+    def __init__(self, item_id: int, words: list[bytes], plain: np.ndarray, kind: np.ndarray, opens: np.ndarray):
+        self.id, self.plain, self.kind, self.opens = item_id, plain, kind, opens
         self.size = min(WINDOW, len(words))
         self.values = {k: (int(kind[k]), bare(words[k]).lower()) for k in np.flatnonzero(kind).tolist()}
         literal = literals(kind, self.size) if self.size else np.zeros(0, np.int64)
@@ -164,6 +169,9 @@ class Item:
         first = np.arange(self.total)
         self.spans = np.stack((first, first + self.size), axis=1)
         self.rich = literal >= min(self.size, LITERALS)
+        self.covered = np.zeros(len(words), bool)
+        for a, b in self.spans[self.rich].tolist():
+            self.covered[a:b] = True
         # A window with few literal tokens is judged with its neighbours, until there are enough of them. Where the
         # whole item has too few, only the item's own values count.
         self.wide = self.spans.copy()
@@ -234,14 +242,15 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, bytes]]):
         words = [text.split() for _, text in rows]
-        plain, kind, starts = templates(words, Vocabulary())
+        plain, kind, opens, starts = templates(words, Vocabulary())
         self.items = [
-            Item(row[0], w, plain[a:b], kind[a:b]) for row, w, a, b in zip(rows, words, starts, starts[1:], strict=False)
+            Item(row[0], w, plain[a:b], kind[a:b], opens[a:b])
+            for row, w, a, b in zip(rows, words, starts, starts[1:], strict=False)
         ]
         found = [
             (int(h), i, int(p))
             for i, item in enumerate(self.items) for size in item.sizes()
-            for p, h in zip(*windows(item.plain, item.kind, size), strict=True)
+            for p, h in zip(*windows(item.plain, item.kind, item.opens, size), strict=True)
         ]
         found.sort()
         self.sizes = sorted({size for item in self.items for size in item.sizes()})
@@ -283,17 +292,12 @@ class Items:
             for group in groups:
                 chosen = chosen_values(item, group)
                 agree = np.logical_or.reduce([spot.agreeing(chosen) for spot in group])
-                found = item.enough(agree) if len(group) == 1 else item.half(agree)
-                if found and (best is None or agree.sum() > best[0].sum()):
-                    best = agree, group, chosen
+                if item.enough(agree) if len(group) == 1 else item.half(agree):
+                    slots = {item.values[k] for spot in group for k in spot.others if item.covered[k]}
+                    changed = sum(v[1] != chosen[v] for v in slots)
+                    best = max(best or (0, 0, 0), (int(agree.sum()), -changed, len(slots)))
             if best:
-                agree, group, chosen = best
-                rich = np.zeros(len(item.kind), bool)
-                for a, b in item.spans[item.rich].tolist():
-                    rich[a:b] = True
-                slots = {item.values[k] for spot in group for k in spot.others if rich[k]}
-                changed = sum(v[1] != chosen[v] for v in slots)
-                yield item.id, item.total, int(agree.sum()), len(slots), changed
+                yield item.id, item.total, best[0], best[2], -best[1]
 
 
 MATCHES = "doc_id long, item_id long, item_windows long, matched_windows long, slots long, changed_slots long"
@@ -306,10 +310,10 @@ def matches_of_block(docs: DataFrame, items: Items) -> DataFrame:
         vocabulary, items = Vocabulary(), block.value
         for rows in by_chunk(batches, CHUNK_BYTES):
             words = [(r[1] or b"").split() for r in rows]
-            plain, kind, starts = templates(words, vocabulary)
+            plain, kind, opens, starts = templates(words, vocabulary)
             hits: dict[int, set[tuple[int, int]]] = defaultdict(set)
             for size in items.sizes:
-                for at, row in items.hits(*windows(plain, kind, size)):
+                for at, row in items.hits(*windows(plain, kind, opens, size)):
                     doc = int(np.searchsorted(starts, at, "right")) - 1
                     if at + size <= starts[doc + 1]:
                         hits[doc].add((int(items.item[row]), int(at - starts[doc] - items.place[row])))
