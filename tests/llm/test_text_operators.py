@@ -401,6 +401,62 @@ def test_language_model_without_training(spark, empty):
     assert ngram_lm.op10_ngram_lm(empty).count() == 0
 
 
+def trigram_scores(train, asked):
+    """log10 scores of the trigram model by the formulas, with dictionaries."""
+    trigrams = Counter()
+    for text in train:
+        t = [*words(text), b""]
+        trigrams.update(zip([(None, None), (None, t[0]), *zip(t, t[1:], strict=False)], t, strict=False))
+    pairs = Counter((u[1], w) for u, w in trigrams)
+    before = Counter(w for _, w in pairs)
+    n, v = len(pairs), len(before)
+
+    def level(counts):
+        k = [0, *(sum(c == i for c in counts.values()) for i in (1, 2, 3, 4))]
+        y = k[1] / (k[1] + 2 * k[2]) if k[1] else 0
+        d = [min(max(i - (i + 1) * y * k[i + 1] / k[i], 0), i) if k[i] else 0 for i in (1, 2, 3)]
+        cut = lambda c: d[min(c, 3) - 1] if c else 0
+        return cut, sum(cut(c) for c in counts.values())
+
+    def mixed(counts):
+        cut, _ = level(counts)
+        context, spread = Counter(), Counter()
+        for (u, _), c in counts.items():
+            context[u] += c
+            spread[u] += cut(c)
+        return lambda u, w, low: (counts[u, w] - cut(counts[u, w]) + spread[u] * low) / context[u] if context[u] else low
+
+    cut, spare = level(before)
+    spare = spare / n / (v + 1) or 1 / (n + 1) / (v + 1)
+    by_pair, by_word = mixed(trigrams), mixed(pairs)
+    out = []
+    for text in asked:
+        t, total = [*words(text), b""], 0.0
+        for u, w in zip([(None, None), (None, t[0]), *zip(t, t[1:], strict=False)], t, strict=False):
+            total += np.log10(by_pair(u, w, by_word(u[1], w, (before[w] - cut(before[w])) / n + spare)))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("table", ["odd", "docs"])
+def test_trigram_model_against_brute_force(request, table, monkeypatch):
+    monkeypatch.setattr(arrays, "SHARD_KEYS", 10_000)
+    monkeypatch.setattr(ngram_lm, "BLOCK", 3_000)
+    df = request.getfixturevalue(table)
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
+    data = sorted(texts(df), key=key)
+    want = trigram_scores([t for i, t in data if not held(i)], [t for _, t in data])
+    got = sorted((tuple(r) for r in ngram_lm.op10_ngram_lm(df, 3).select("doc_id", "score").collect()), key=key)
+    assert [r[0] for r in got] == [i for i, _ in data]
+    assert np.allclose([r[1] for r in got], want, rtol=1e-9)
+
+
+def test_trigram_model_without_training(spark, empty):
+    df = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
+    assert [r["score"] for r in ngram_lm.op10_ngram_lm(df, 3).collect()] == [0.0]
+    assert ngram_lm.op10_ngram_lm(empty, 3).count() == 0
+
+
 # Decontamination
 
 

@@ -147,6 +147,14 @@ class HashArrays:
         width = 8 * os.path.getsize(counts) // max(1, os.path.getsize(keys))
         return mapped(keys, np.uint64), mapped(counts, np.dtype(f"u{width or 1}"))
 
+    def keys_at(self, places: np.ndarray) -> np.ndarray:
+        """The keys at some ascending places."""
+        out = np.zeros(len(places), np.uint64)
+        cuts = np.searchsorted(places, self.starts)
+        for s in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            out[cuts[s]:cuts[s + 1]] = self.shard(s)[0][places[cuts[s]:cuts[s + 1]] - self.starts[s]]
+        return out
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place (-1 if absent) and count (0 if absent) of each of some ascending keys."""
         place, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)

@@ -1,17 +1,19 @@
-"""LM scoring: an interpolated modified Kneser-Ney bigram model over the whole corpus.
+"""LM scoring: an interpolated modified Kneser-Ney model of order 2 or 3 over the whole corpus.
 
-Tokens are the words of the lower-cased (A-Z) text and one end token per document. Spark counts words, then
-bigrams of word numbers; both are sorted hash arrays in the shared folder (``arrays``) that the scoring tasks map
-into memory, next to dense arrays with five numbers per word: how often it is a context, with how many
-words it was seen once, twice and more often, and how many different words came before it. The
-driver holds only totals, a few numbers for each shard.
+Tokens are the words of the lower-cased (A-Z) text and one end token per document. Spark counts words, bigrams of
+word numbers and (order 3) trigrams, each the number of its first bigram and a word number; all are sorted hash arrays
+in the shared folder (``arrays``) that the scoring tasks map into memory, next to dense arrays with five numbers per
+context (word or bigram): how often it is a context, with how many words it was seen once, twice and more often, and how
+many different words came before it. The driver holds only totals, a few numbers for each shard.
 
 A word's probability after u is (c(u w) - D(c)) / c(u) + g(u) * p(w), where p(w) has the same form over the number
-of different words before w, and mixes with 1 / (V + 1), the unknown word included. D1, D2 and D3 come from the
-numbers of bigrams (or continuations) counted 1 to 4 times. After an unseen context p(w) is used alone.
+of different words before w, and mixes with 1 / (V + 1), the unknown word included. After u v it is
+(c(u v w) - D(c)) / c(u v) + g(u v) * p(w | v), where p(w | v) counts, instead of v w, the different words before v w.
+The first token follows one and the second two places before the text. D1, D2 and D3 come from the numbers of
+trigrams, bigrams or continuations counted 1 to 4 times. After an unseen context the next shorter one is used alone.
 
 Empty and null texts are one end token. Without any training document every token has probability 1 / (V + 1) = 1.
-Word numbers take 32 bits, so a vocabulary of 2^32 words or more is refused.
+Word numbers take 32 bits, so a vocabulary of 2^32 words or more is refused; bigram and word number together take 64.
 """
 
 from __future__ import annotations
@@ -60,8 +62,36 @@ def contexts(ids: np.ndarray, starts: np.ndarray, begin: int) -> np.ndarray:
     return before
 
 
-def bigram_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return mix((before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64))
+def gram_keys(before: np.ndarray, ids: np.ndarray, bits: int = 32) -> np.ndarray:
+    return mix((before.astype(np.uint64) << np.uint64(bits)) | ids.astype(np.uint64))
+
+
+def split_keys(keys: np.ndarray, bits: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """Context and word numbers of the keys."""
+    pair = unmix(keys)
+    return (pair >> np.uint64(bits)).astype(np.int64), (pair & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def found_grams(before: np.ndarray, ids: np.ndarray, grams: HashArrays, bits: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """Place (-1 if unknown) and count of each context and token."""
+    place, count = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+    known = (ids >= 0) & (before >= 0)
+    keys, back = np.unique(gram_keys(before[known], ids[known], bits), return_inverse=True)
+    places, counts = grams.find(keys)
+    place[known], count[known] = places[back], counts[back]
+    return place, count
+
+
+def dense(folder: str, size: int, ids: np.ndarray, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The given numbers of some ascending context numbers, from dense arrays of ``size`` numbers each."""
+    out = [np.zeros(len(ids), np.int64) for _ in kinds]
+    block = ids // size
+    cuts = np.flatnonzero(np.diff(block, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True):
+        for values, kind in zip(out, kinds, strict=True):
+            path = f"{folder}/{block[a]}.{kind}"
+            values[a:b] = arrays.mapped(path, np.dtype(f"u{os.path.getsize(path) // size}"))[ids[a:b] % size]
+    return out
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -73,47 +103,50 @@ def discounts(n: list[int]) -> np.ndarray:
     return np.array([0.0, *(min(max(d, 0.0), k) for k, d in enumerate(found, 1))])
 
 
+@dataclass
+class Level:
+    """Bigrams or trigrams."""
+
+    grams: HashArrays
+    folder: str  # of the dense arrays of their contexts
+    discounts: np.ndarray
+    bits: int = 32  # of the word number in a key
+    before: str = ""  # dense arrays whose numbers of words before take the place of the counts
+
+
 @dataclass
 class Model:
     words: HashArrays
-    bigrams: HashArrays
-    folder: str  # of the dense arrays
-    block: int  # word numbers in one of them
+    levels: list[Level]  # bigrams and, if the order is 3, trigrams
+    block: int  # context numbers in one dense array
     tokens: int
-    bigram_discounts: np.ndarray
     word_discounts: np.ndarray
     unknown: float  # probability that p(w) gives to a word without any predecessor
 
-    def stats(self, ids: np.ndarray, kinds: tuple[str, ...]) -> list[np.ndarray]:
-        """The given numbers of some ascending word numbers."""
-        out = [np.zeros(len(ids), np.int64) for _ in kinds]
-        block = ids // self.block
-        for b in np.unique(block):
-            here = block == b
-            for values, kind in zip(out, kinds, strict=True):
-                values[here] = arrays.mapped(f"{self.folder}/{b}.{kind}", np.int64)[ids[here] % self.block]
-        return out
-
-    def log10(self, ids: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability after the one before it; unknown words are -1."""
+    def log10(self, ids: np.ndarray, *before: np.ndarray) -> np.ndarray:
+        """log10 of each token's probability after its contexts, a number for each level; unknown ones are -1."""
         if not len(self.words):
             return np.zeros(len(ids))
         known, back = np.unique(np.maximum(ids, 0), return_inverse=True)
-        (seen,) = self.stats(known, ("before",))
+        (seen,) = dense(self.levels[0].folder, self.block, known, ("before",))
         seen = np.where(ids < 0, 0, seen[back])
         d = self.word_discounts[np.minimum(seen, 3)]
-        low = (seen - d) / max(1, len(self.bigrams)) + self.unknown
+        p = (seen - d) / max(1, len(self.levels[0].grams)) + self.unknown
+        for level, context in zip(self.levels, before, strict=True):
+            p = self.mixed(level, ids, context, p)
+        return np.log10(p)
 
+    def mixed(self, level: Level, ids: np.ndarray, before: np.ndarray, low: np.ndarray) -> np.ndarray:
         known, back = np.unique(np.maximum(before, 0), return_inverse=True)
-        context, once, twice, more = self.stats(known, STATS[:4])
-        spread = once * self.bigram_discounts[1] + twice * self.bigram_discounts[2] + more * self.bigram_discounts[3]
+        context, once, twice, more = dense(level.folder, self.block, known, STATS[:4])
+        spread = once * level.discounts[1] + twice * level.discounts[2] + more * level.discounts[3]
         context = np.where(before < 0, 0, context[back])
-        both = (ids >= 0) & (context > 0)
-        keys, places = np.unique(bigram_keys(before[both], ids[both]), return_inverse=True)
-        count = np.zeros(len(ids), np.int64)
-        count[both] = self.bigrams.find(keys)[1][places]
-        high = (count - self.bigram_discounts[np.minimum(count, 3)] + spread[back] * low) / np.maximum(context, 1)
-        return np.log10(np.where(context > 0, high, low))
+        place, count = found_grams(np.where(context > 0, before, -1), ids, level.grams, level.bits)
+        if level.before:
+            there, at = np.unique(place[place >= 0], return_inverse=True)
+            count[place >= 0] = dense(level.before, self.block, there, ("before",))[0][at]
+        high = (count - level.discounts[np.minimum(count, 3)] + spread[back] * low) / np.maximum(context, 1)
+        return np.where(context > 0, high, low)
 
 
 def count_of_counts(counts: np.ndarray) -> list[int]:
@@ -134,7 +167,20 @@ def count_words(docs: DataFrame, folder: str) -> tuple[HashArrays, int]:
     return HashArrays(folder, arrays.sizes_of(found), shards), arrays.total(found, "tokens")
 
 
-def count_bigrams(docs: DataFrame, words: HashArrays, folder: str) -> tuple[HashArrays, list[int]]:
+def contexts_of(
+    ids: np.ndarray, starts: np.ndarray, begin: int, bigrams: HashArrays | None
+) -> list[np.ndarray]:
+    """The context number of each token for each level: the word before it, and the bigram of the two before it."""
+    before = contexts(ids, starts, begin)
+    if bigrams is None:
+        return [before]
+    return [before, contexts(found_grams(before, ids, bigrams)[0], starts, len(bigrams))]
+
+
+def count_grams(
+    docs: DataFrame, words: HashArrays, folder: str, bigrams: HashArrays | None = None, bits: int = 32
+) -> tuple[HashArrays, list[int]]:
+    """Bigrams, or with these the trigrams, and how many are counted 1 to 4 times."""
     begin, shards = len(words), words.shards
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +188,7 @@ def count_bigrams(docs: DataFrame, words: HashArrays, folder: str) -> tuple[Hash
         for rows in by_chunk(batches, CHUNK_BYTES):
             keys, starts = tokens(rows, hashes)
             ids, _ = numbered(keys, words)
-            yield from arrays.blocks(bigram_keys(contexts(ids, starts, begin), ids), shards)
+            yield from arrays.blocks(gram_keys(contexts_of(ids, starts, begin, bigrams)[-1], ids, bits), shards)
 
     names = ["n1", "n2", "n3", "n4"]
     found = arrays.write_arrays(
@@ -164,19 +210,33 @@ def parts(place: np.ndarray, weight: list[np.ndarray], numbers: list[int], block
             yield int(distinct[a] // block), k, at[some].tobytes(), values.dtype.str, values.tobytes()
 
 
-def word_stats(spark: SparkSession, bigrams: HashArrays, n_words: int, folder: str) -> list[int]:
-    """The dense arrays, block by block; returns how many words have 1 to 4 different predecessors."""
-    shards, size = spark.range(0, bigrams.shards, 1, bigrams.shards), BLOCK
+def context_stats(
+    spark: SparkSession, level: Level, n_contexts: int, begin: int = 0, bigrams: HashArrays | None = None
+) -> list[int]:
+    """The dense arrays of a level's contexts, block by block; returns how many have 1 to 4 different words before them.
+
+    Contexts of trigrams are bigrams, and a word comes before the bigram of their last two words.
+    """
+    grams, folder, size = level.grams, level.folder, BLOCK
+    shards = spark.range(0, grams.shards, 1, grams.shards)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                if not bigrams.sizes[shard]:
+                if not grams.sizes[shard]:
                     continue
-                keys, counts = bigrams.shard(shard)
-                pair = unmix(keys)
-                before = (pair >> np.uint64(32)).astype(np.int64)
-                after = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                keys, counts = grams.shard(shard)
+                if level.before:
+                    places = np.arange(grams.starts[shard], grams.starts[shard + 1])
+                    (counts,) = dense(level.before, size, places, ("before",))
+                before, after = split_keys(keys, level.bits)
+                if bigrams is not None:
+                    # The last word of the context; the place before a text has no bigram and ends in its word number.
+                    distinct, back = np.unique(before, return_inverse=True)
+                    last = np.full(len(distinct), begin, np.int64)
+                    real = distinct < len(bigrams)
+                    last[real] = split_keys(bigrams.keys_at(distinct[real]))[1]
+                    after = found_grams(last[back], after, bigrams)[0]
                 rows = [
                     *parts(before, [counts, counts == 1, counts == 2, counts >= 3], [0, 1, 2, 3], size),
                     *parts(after, [np.ones(len(after))], [4], size),
@@ -193,30 +253,40 @@ def word_stats(spark: SparkSession, bigrams: HashArrays, n_words: int, folder: s
         for stat, at, kind, s in zip(*(table[c].to_pylist() for c in table.column_names[1:]), strict=True):
             values[stat, np.frombuffer(at, np.int32)] += np.frombuffer(s, kind).astype(np.int64)
         for k, kind in enumerate(STATS):
-            arrays.save(f"{folder}/{block}.{kind}", values[k])
+            arrays.save(f"{folder}/{block}.{kind}", arrays.narrow(values[k]))
         return pa.table({f"n{k}": pa.array([n], pa.int64()) for k, n in enumerate(count_of_counts(values[4]), 1)})
 
     found = (
         shards.mapInArrow(sums, "block long, stat int, places binary, kind string, sums binary")
         .groupBy("block").applyInArrow(write, "n1 long, n2 long, n3 long, n4 long").collect()
     )
-    written = -(-(n_words + 1) // size)
+    written = -(-(n_contexts + 1) // size)
     for block in range(written):  # a block without any bigram cannot be, save at the very start token alone
         for kind in STATS:
             if not os.path.exists(f"{folder}/{block}.{kind}"):
-                arrays.save(f"{folder}/{block}.{kind}", np.zeros(size, np.int64))
+                arrays.save(f"{folder}/{block}.{kind}", np.zeros(size, np.uint8))
     return [arrays.total(found, f"n{k}") for k in (1, 2, 3, 4)]
 
 
-def train(docs: DataFrame) -> Model:
+def train(docs: DataFrame, order: int = 2) -> Model:
     """Count the model over all given documents."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
     words, n_tokens = count_words(docs, arrays.shared_folder(spark, "lm-words"))
     if len(words) >= 1 << 32:
         raise ValueError("the vocabulary has 2^32 words or more")
-    bigrams, n = count_bigrams(docs, words, arrays.shared_folder(spark, "lm-bigrams"))
-    folder = arrays.shared_folder(spark, "lm-stats")
-    m = word_stats(spark, bigrams, len(words), folder)
+    bigrams, n = count_grams(docs, words, arrays.shared_folder(spark, "lm-bigrams"))
+    levels = [Level(bigrams, arrays.shared_folder(spark, "lm-stats"), discounts(n))]
+    if order == 3:
+        bits = len(words).bit_length()
+        if bits + len(bigrams).bit_length() > 64:
+            raise ValueError("bigram and word number together take more than 64 bits")
+        trigrams, n = count_grams(docs, words, arrays.shared_folder(spark, "lm-trigrams"), bigrams, bits)
+        levels.append(Level(trigrams, arrays.shared_folder(spark, "lm-pairs"), discounts(n), bits))
+        n = context_stats(spark, levels[1], len(bigrams), len(words), bigrams)
+        levels[0].discounts, levels[0].before = discounts(n), levels[1].folder
+    m = context_stats(spark, levels[0], len(words))
     d = discounts(m)
     ones, twos = m[0], m[1]
     # Words with three or more different predecessors: all words but the rare ones.
@@ -225,12 +295,13 @@ def train(docs: DataFrame) -> Model:
     unknown = spread / max(1, len(bigrams)) / (len(words) + 1)
     if len(words) and not unknown:  # no word is discounted: keep a share for the unknown word
         unknown = 1 / (len(bigrams) + 1) / (len(words) + 1)
-    return Model(words, bigrams, folder, BLOCK, n_tokens, discounts(n), d, unknown)
+    return Model(words, levels, BLOCK, n_tokens, d, unknown)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out and the scores of each whole text."""
     words = model.words
+    bigrams = model.levels[0].grams if len(model.levels) > 1 else None
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -238,7 +309,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             keys, starts = tokens(rows, hashes)
             ids, count = numbered(keys, words)
             base = np.log10((count + BASE_ADD) / (model.tokens + BASE_ADD * (len(words) + 1)))
-            values = model.log10(ids, contexts(ids, starts, len(words)))
+            values = model.log10(ids, *contexts_of(ids, starts, len(words), bigrams))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
@@ -259,8 +330,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return id_and_bytes(docs, held_out(10).alias("held_out")).mapInArrow(scored, schema)
 
 
-def op10_ngram_lm(docs: DataFrame) -> DataFrame:
+def op10_ngram_lm(docs: DataFrame, order: int = 2) -> DataFrame:
     """Train on the documents outside the held-out fold, score all."""
-    return score(docs, train(docs.where(~held_out(10)))).withColumn(
+    return score(docs, train(docs.where(~held_out(10)), order)).withColumn(
         "perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
     )

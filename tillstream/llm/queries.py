@@ -18,7 +18,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def on_documents(operator: Callable[..., DataFrame], *more: str) -> Query:
+def on_documents(operator: Callable[..., DataFrame], *more: str | int) -> Query:
     return lambda spark, sf_dir: operator(read_documents(spark, sf_dir), *more)
 
 
@@ -33,5 +33,5 @@ def registry() -> dict[str, Query]:
         "op7_token_files": on_documents(token_files.op7_token_files, BYTE_BPE),
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_line_dedup": on_documents(line_dedup.op9_line_dedup),
-        "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm),
+        "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm, 3),
     }
