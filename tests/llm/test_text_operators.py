@@ -9,9 +9,11 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tillstream.llm import (
     arrays, bpe, decontaminate, language, line_dedup, ngram_join, ngram_lm, oracles, quality, secret_scan, token_files,
     toxicity,
@@ -264,6 +266,23 @@ def test_bpe_decode(spark):
     assert got == {1: library.decode([320, 1125], skip_special_tokens=False), 2: "", 3: None}
 
 
+def test_bpe_query_decodes_the_ids(spark, monkeypatch, sf_dir):
+    wrong = lambda docs, path: docs.selectExpr("doc_id", "array(320, 1125) AS ids", "'other' AS decoded")
+    monkeypatch.setattr(bpe, "encode", wrong)
+    df = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    text = Tokenizer.from_file(WORD_BPE).decode([320, 1125], skip_special_tokens=False)
+    want = {hashlib.sha256(text.encode()).hexdigest()}
+    assert {r["decoded_sha256"] for r in bpe.op6_bpe(df, WORD_BPE).collect()} == want
+    assert {r["decoded_sha256"] for r in corpus_pipeline.token_ids(spark, df, sf_dir).collect()} == want
+
+
+def test_bpe_decode_refuses_unknown_ids():
+    with pytest.raises(IndexError):
+        bpe.joined(pa.array([[0, -1]], pa.list_(pa.int32())), pa.array(["a", "b"], pa.large_string()))
+    ids = pa.array([[0], None, [], [1, 0]], pa.list_(pa.int32())).slice(1)
+    assert bpe.joined(ids, pa.array(["a", "b"], pa.large_string())).to_pylist() == [None, "", "b a"]
+
+
 # Token files
 
 

@@ -23,6 +23,7 @@ from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 from tillstream.llm.words import by_chunk, id_and_bytes
 
 CHUNK_BYTES = 2 << 20
+DECODED_IDS = 1 << 20
 CACHED_PIECES = 120_000
 FINAL = 256  # added to the byte that ends a word
 NEVER = np.int64(1) << 40
@@ -241,9 +243,8 @@ class Encoder:
         self.codec = codec
         self.words = regex.compile(codec.pattern)
         self.special = regex.compile("(" + "|".join(map(regex.escape, codec.special)) + ")")
-        # Ids (as bytes) and decoded text of each word.
+        # Ids (as bytes) of each word.
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, str] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Words and special tokens of a text in order; a special token is marked by a leading NUL."""
@@ -257,48 +258,37 @@ class Encoder:
         low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return LATIN_WORDS.findall(low) if LATIN.fullmatch(low) else self.words.findall(low)
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
-        """Ids and decoded text of each text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
         cut = [self.pieces(t) for t in texts]
         if len(self.ids) > CACHED_PIECES:
             self.ids.clear()
-            self.texts.clear()
         for name, i in self.codec.special.items():
-            self.ids["\0" + name], self.texts["\0" + name] = struct.pack("<i", i), name
+            self.ids["\0" + name] = struct.pack("<i", i)
         new = list(set(chain.from_iterable(cut)) - self.ids.keys())
-        strings = self.codec.strings
         for word, ids in zip(new, self.codec.encode_words(new)[0], strict=True):
             self.ids[word] = struct.pack(f"<{len(ids)}i", *ids)
-            self.texts[word] = " ".join([strings[i] for i in ids])
-        return [
-            (
-                np.frombuffer(b"".join(map(self.ids.__getitem__, words)), "<i4"),
-                " ".join(map(self.texts.__getitem__, words)),
-            )
-            for words in cut
-        ]
+        return [np.frombuffer(b"".join(map(self.ids.__getitem__, words)), "<i4") for words in cut]
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array of int) and decoded (the text decoded from the ids) of each whole text."""
+    """doc_id and ids (array of int) of each whole text."""
     codec = docs.sparkSession.sparkContext.broadcast(Codec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(codec.value)
         for rows in by_chunk(batches, CHUNK_BYTES):
             found = encoder.encode([(r[1] or b"").decode() for r in rows])
-            starts = np.concatenate(([0], np.cumsum([len(ids) for ids, _ in found]))).astype(np.int32)
-            ids = np.concatenate([ids for ids, _ in found])
+            starts = np.concatenate(([0], np.cumsum([len(ids) for ids in found]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(starts), pa.array(ids, pa.int32())),
-                    pa.array([text for _, text in found], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(found), pa.int32())),
                 ],
-                ["doc_id", "ids", "decoded"],
+                ["doc_id", "ids"],
             )
 
-    return id_and_bytes(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return id_and_bytes(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -309,16 +299,31 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array([strings.value.get(i) for i in range(max(strings.value) + 1)], pa.large_string())
         for batch in batches:
-            texts = [
-                None if ids is None else " ".join([strings.value[i] for i in ids])
-                for ids in batch.column(at).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+            sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // DECODED_IDS
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True):
+                rows = batch.slice(a, b - a)
+                texts = joined(rows.column(at), words)
+                yield pa.RecordBatch.from_arrays([*rows.columns, texts], schema.names)
 
     return encoded.mapInArrow(run, schema)
 
 
+def joined(ids: pa.ListArray, words: pa.Array) -> pa.Array:
+    """The words of each list with spaces between them."""
+    # Ids beyond the vocabulary, negative ones too, are an error of take.
+    found = words.take(ids.flatten())
+    if found.null_count:
+        raise ValueError("an id that is null or not in the vocabulary")
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), found), pa.scalar(" ", words.type))
+    return pc.if_else(ids.is_valid(), texts, pa.scalar(None, texts.type)).cast(pa.string())
+
+
 def digests(encoded: DataFrame, *more: str) -> DataFrame:
     """What the query returns of ids and decoded, and more columns."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -332,4 +337,4 @@ def digests(encoded: DataFrame, *more: str) -> DataFrame:
 
 
 def op6_bpe(docs: DataFrame, path: str) -> DataFrame:
-    return digests(encode(docs, path))
+    return digests(decode(encode(docs, path), path))
