@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
-    bpe, decontaminate, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan, token_files, toxicity,
+    bpe, decontaminate, fim, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan, token_files, toxicity,
 )
 from tillstream.llm.words import read_documents
 
@@ -34,4 +34,5 @@ def registry() -> dict[str, Query]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_line_dedup": on_documents(line_dedup.op9_line_dedup),
         "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm, 3),
+        "op13_fim": on_documents(fim.op13_fim),
     }
