@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from tillstream.llm import fim
+from tillstream.llm import fim, hard_negatives, oracles
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -73,3 +77,94 @@ def test_fim_settings_and_empty_table(spark):
     assert {r.form for r in fim.fill_in_middle(docs, fim=100, spm=0).collect()} == {"psm"}
     assert {r.form for r in fim.fill_in_middle(docs, fim=100, spm=100).collect()} == {"spm"}
     assert fim.op13_fim(documents(spark, [])).collect() == []
+
+
+# Hard negatives
+
+VECTORS = "vec_id long, embedding array<float>, label int, score string, part string"
+
+
+def plain_negatives(rows, scale=256, k=5):
+    """The contract with whole sorted lists; equal (score, id) pairs of an anchor count once."""
+    usable = []
+    for i, vector, label in dict.fromkeys((r[0], None if r[1] is None else tuple(r[1]), r[2]) for r in rows):
+        if i is None or label is None or vector is None:
+            continue
+        if any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        label = math.fmod(label + 1, 10) if i % 7 == 0 else label
+        whole = [math.floor(scale * x) for x in vector]
+        if sum(float(x) ** 2 for x in whole) < 2.0**62:
+            usable.append((i, int(label), whole))
+    out = []
+    for i, label, vector in (r for r in usable if r[0] % 100 == 0):
+        scored = [(sum(a * b for a, b in zip(vector, other)), j, kind) for j, kind, other in usable]
+        best = lambda found: sorted(set(found), key=lambda x: (-x[0], x[1]))[:k]
+        for p, j in best((s, j) for s, j, kind in scored if kind == label and j != i):
+            inside = ((s, n) for s, n, kind in scored if kind != label and 80 * p <= 100 * s <= 100 * p)
+            out += [(i, j, rank, n, p, s) for rank, (s, n) in enumerate(best(inside), 1)]
+    return sorted(out)
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(*row, "mine", "mine") for row in rows], VECTORS)
+
+
+def mined(spark, rows):
+    return sorted(map(tuple, hard_negatives.op11_hard_negatives(vectors(spark, rows)).collect()))
+
+
+def near_vectors(n, dim, seed, labels=10):
+    rnd = random.Random(seed)
+    centres = [[rnd.gauss(0, 0.2) for _ in range(dim)] for _ in range(4)]
+    return [
+        (i, [x + rnd.gauss(0, 0.1) for x in rnd.choice(centres)], rnd.randrange(labels)) for i in range(n)
+    ]
+
+
+def test_hard_negatives_against_plain_python(spark):
+    rows = near_vectors(700, 12, 1)
+    rows += [(900 + i, rows[0][1], i % 3) for i in range(250)]  # a hot vector
+    rows += [rows[100], rows[100], (100, rows[101][1], 3), (200, rows[200][1], -7), (-700, rows[5][1], -1)]
+    rows += [(1300, None, 1), (1301, rows[1][1], None), (None, rows[1][1], 1), (1400, [0.1, None], 1),
+             (1500, [math.nan, 1.0], 2), (1600, [math.inf], 2), (1700, [], 2), (1701, [], 3), (1800, [0.5, -0.5], 2),
+             (1900, [0.3] * 40, 2), (1901, [3e38, 1.0], 2), (2000, [3e6, -2e6, 1e6], 1), (2001, [3e6, -2e6, 2e6], 1),
+             (2002, [3e6, -2e6, 1.5e6], 2), (2003, [3e6, -2e6, 0.5], 2)]
+    found = mined(spark, rows)
+    assert found == plain_negatives(rows) and len(found) > 100
+
+
+def test_hard_negatives_in_many_cells_and_stripes(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "STRIPE_BYTES", 400)
+    monkeypatch.setattr(hard_negatives, "CELL_BYTES", 3_000)
+    monkeypatch.setattr(hard_negatives, "FAN_IN", 3)
+    rows = near_vectors(900, 10, 2, labels=3)
+    df = vectors(spark, rows).repartition(16)
+    found = sorted(map(tuple, hard_negatives.op11_hard_negatives(df).collect()))
+    assert found == plain_negatives(rows) and found
+
+
+def test_hard_negatives_of_empty_tables(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, [0.1], 1)]) == [] and mined(spark, [(100, [0.1], 1)]) == []
+    assert mined(spark, [(100, None, 1), (101, None, 2)]) == []
+
+
+def test_packed_scores_are_exact():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    for size in (1, 3, 200, 40_000, 2**20, 2**26):
+        for dim in (0, 1, 64):
+            a, b = rnd.integers(-size, size + 1, (7, dim)), rnd.integers(-size, size + 1, (301, dim))
+            found = np.concatenate([s for _, s in hard_negatives.Packed(a, b).parts()], axis=1)
+            assert (found == a @ b.T).all()
+    assert hard_negatives.Packed(a[:, :1] // 2**20, b[:, :1] // 2**20).fields > 2
+
+
+def test_hard_negatives_against_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    found = con.sql(oracles.registry()["op11_hard_negatives"])
+    got = hard_negatives.op11_hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    assert sorted(map(tuple, got.select(*found.columns).collect())) == sorted(found.fetchall())

@@ -14,7 +14,7 @@ import __spark_entry__ as entry_points
 from tillstream.llm import oracles, queries
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-NUMBERS = [*range(1, 11), 13]
+NUMBERS = [*range(1, 12), 13]
 
 
 def test_every_operator_is_registered():
@@ -26,7 +26,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(oracles.registry()))
 def test_query_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels"):
+    for table in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     found = con.sql(oracles.registry()[name])
     got = queries.registry()[name](spark, sf_dir)

@@ -106,10 +106,37 @@ def quality_verdicts(documents: str) -> str:
     )"""
 
 
+HARD_NEGATIVES = """
+    WITH vectors AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+               CAST(list_dot_product(a.parts, b.parts) AS BIGINT) AS score
+        FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (
+               PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+           other_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 5"""
+
+
 def registry() -> dict[str, str]:
     return {
         "op2_quality_rules": f"WITH {quality_verdicts('documents')} SELECT * FROM verdicts",
         "op9_line_dedup": f"""
             WITH {kept_lines("documents")}
             SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM shortened""",
+        "op11_hard_negatives": HARD_NEGATIVES,
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
-    bpe, decontaminate, fim, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan, token_files, toxicity,
+    bpe, decontaminate, fim, hard_negatives, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan, token_files, toxicity,
 )
 from tillstream.llm.words import read_documents
 
@@ -22,6 +22,10 @@ def on_documents(operator: Callable[..., DataFrame], *more: str | int) -> Query:
     return lambda spark, sf_dir: operator(read_documents(spark, sf_dir), *more)
 
 
+def on_embeddings(operator: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -34,5 +38,6 @@ def registry() -> dict[str, Query]:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_line_dedup": on_documents(line_dedup.op9_line_dedup),
         "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm, 3),
+        "op11_hard_negatives": on_embeddings(hard_negatives.op11_hard_negatives),
         "op13_fim": on_documents(fim.op13_fim),
     }
