@@ -8,10 +8,12 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillstream.llm import fim, hard_negatives, oracles
+from tillstream.llm import fim, hard_negatives, oracles, suffix_dedup
+from tillstream.llm.suffix_array import common_prefixes, suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -151,8 +153,6 @@ def test_hard_negatives_of_empty_tables(spark):
 
 
 def test_packed_scores_are_exact():
-    import numpy as np
-
     rnd = np.random.default_rng(3)
     for size in (1, 3, 200, 40_000, 2**20, 2**26):
         for dim in (0, 1, 64):
@@ -168,3 +168,116 @@ def test_hard_negatives_against_sql(spark, sf_dir):
     found = con.sql(oracles.registry()["op11_hard_negatives"])
     got = hard_negatives.op11_hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     assert sorted(map(tuple, got.select(*found.columns).collect())) == sorted(found.fetchall())
+
+
+# Suffix arrays and repeated strings
+
+
+def test_suffix_arrays_against_sorting():
+    rnd = random.Random(4)
+    for _ in range(300):
+        size = rnd.choice([1, 2, 3, 5, 200])
+        text = np.array([rnd.randrange(size) for _ in range(rnd.randrange(80))], np.uint16)
+        assert suffix_array(text, size).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+    text = np.array([1 + i % 7 for i in range(5_000)] + [1] * 3_000, np.int32)
+    assert suffix_array(text, 8).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
+def test_common_prefixes_against_comparing():
+    rnd = random.Random(5)
+    whole = "".join(rnd.choice("ab") for _ in range(300))
+    text = np.frombuffer("\0".join([whole, whole[20:90], whole[100:250], whole[:50] + "x" * 50, ""]).encode(), np.uint8)
+    suffixes = suffix_array(text.astype(np.uint16), 256)
+    ends = np.flatnonzero(text == 0)
+    asked = ends[np.searchsorted(ends, np.arange(len(text))).clip(max=len(ends) - 1)] - np.arange(len(text)) >= 30
+    found = common_prefixes(text, suffixes, asked, 30)
+    for before, here in zip(suffixes[:-1], suffixes[1:]):
+        a, b = bytes(text[before:]), bytes(text[here:])
+        shared = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert found[here] == (min(30, shared) if asked[here] else 0)
+
+
+def plain_dedup(rows):
+    """Every string of 100 bytes in a dictionary with its first place."""
+    rows = [(i, (t or "").encode()) for i, t in rows]
+    order = lambda i: (i is None, i or 0)
+    first = {}
+    for i, text in rows:
+        for k in range(len(text) - 99):
+            here = (*order(i), k)
+            first[text[k:k + 100]] = min(first.get(text[k:k + 100], here), here)
+    out = []
+    for i, text in rows:
+        lost = np.zeros(len(text) + 1, bool)
+        for k in range(len(text) - 99):
+            if first[text[k:k + 100]] < (*order(i), k):
+                lost[k:k + 100] = True
+        spans = int((lost[1:] & ~lost[:-1]).sum() + (len(text) > 0 and lost[0]))
+        kept = bytes(b for b, gone in zip(text, lost) if not gone)
+        out.append((i, len(text), int(lost.sum()), spans, sha(kept)))
+    return sorted(out, key=lambda r: (*order(r[0]), r[1:]))
+
+
+def found_dedup(df, **options):
+    found = suffix_dedup.dedup_substrings(df, **options).collect()
+    rows = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in found]
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+def repeating_texts():
+    rnd = random.Random(6)
+    words = lambda n: " ".join(rnd.choice("alpha beta gamma délta epsilon 日本 zeta").strip() + str(rnd.randrange(99))
+                               for _ in range(n))
+    passage, other = words(60), words(25)
+    texts = [words(rnd.randrange(120)) + passage[rnd.randrange(30):rnd.randrange(100, 180)] + words(rnd.randrange(80))
+             for _ in range(40)]
+    texts += [None, "", "short", passage, passage, passage[:100], passage[:99], passage + passage, other * 3,
+              "a" * 99, "a" * 100, "a" * 101, "a" * 5_000, "ab" * 900, "abc" * 35, "x" + "abcdefg" * 40, " " * 400,
+              "a" * 300 + passage + "a" * 300, words(400) + other + words(5) + other, "\n".join([other] * 5),
+              "".join(rnd.choice("ab") for _ in range(104)), "0123456789" * 10 + "0123456789"[:3]]
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    rows += [(None, passage), (None, "tail " + passage), (7, texts[7]), (7, texts[7]), (7, texts[8][5:]), (-5, other)]
+    return rows
+
+
+@pytest.mark.parametrize("extra", [False, True])
+@pytest.mark.parametrize("hot", [2_000, 3])
+def test_dedup_against_plain_python(spark, extra, hot):
+    rows = repeating_texts()
+    found = found_dedup(documents(spark, rows, extra).repartition(7), hot=hot)
+    assert found == plain_dedup(rows)
+    assert sum(r[2] for r in found) > 5_000
+
+
+def test_dedup_of_long_texts_in_segments(spark, monkeypatch):
+    """Segments and pieces are cut by the driver's own functions here."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 700)
+    rows = [(i, (t or "").encode()) for i, t in repeating_texts()]
+    for chunk in (rows, rows[::-1]):
+        for segment in suffix_dedup.segments(chunk):
+            assert len(segment.text) <= 50_000
+            keys, places, count = segment.pieces()
+            row, start = segment.where(places)
+            for r, s, n, p in zip(row, start, count, places):
+                assert chunk[r][1][s:s + n + 99] == segment.raw[p:p + n + 99] and len(chunk[r][1]) >= s + n + 99
+        total = sum(int(s.pieces()[2].sum()) for s in suffix_dedup.segments(chunk))
+        assert total == sum(max(0, len(t) - 99) for _, t in chunk)
+
+
+def test_dedup_of_a_very_long_text(spark):
+    rnd = random.Random(7)
+    line = " ".join(str(rnd.random()) for _ in range(60))
+    long = " ".join(str(rnd.random()) for _ in range(200_000))
+    rows = [(1, long[:4_000_000]), (2, line + long[3_145_628:3_145_828] + line), (3, "y" * 400_000)]
+    found = {r.doc_id: r for r in suffix_dedup.dedup_substrings(documents(spark, rows)).collect()}
+    assert found[1].n_removed == 0
+    assert (found[2].n_removed, found[2].n_spans) == (200 + len(line), 1)
+    assert found[3].n_removed == 399_999 and bytes(found[3].kept) == b"y"
+
+
+def test_dedup_of_the_documents_and_of_an_empty_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = suffix_dedup.op12_suffix_dedup(docs).collect()
+    assert sorted(map(tuple, found)) == plain_dedup([(r.doc_id, r.text) for r in docs.collect()])
+    assert suffix_dedup.op12_suffix_dedup(documents(spark, [])).collect() == []

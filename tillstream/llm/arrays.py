@@ -21,6 +21,7 @@ from tillstream.session import scratch_folder
 
 BLOCKS = "shard int, keys binary, counts binary"
 SHARD_KEYS = 1_500_000
+OPEN_SHARDS = 1_000  # per reader: the system allows a process some 65,000 maps
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -163,6 +164,8 @@ class HashArrays:
         cuts = np.searchsorted(shards_of(keys, self.shards), np.arange(self.shards + 1))
         for s in np.flatnonzero((cuts[1:] > cuts[:-1]) & (self.sizes > 0)):
             if s not in self.open:
+                if len(self.open) >= OPEN_SHARDS:
+                    self.open.pop(next(iter(self.open)))
                 self.open[s] = self.shard(s)
             there, counts = self.open[s]
             asked = keys[cuts[s]:cuts[s + 1]]

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.llm import (
-    bpe, decontaminate, fim, hard_negatives, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan, token_files, toxicity,
+    bpe, decontaminate, fim, hard_negatives, language, line_dedup, ngram_join, ngram_lm, quality, secret_scan,
+    suffix_dedup, token_files, toxicity,
 )
 from tillstream.llm.words import read_documents
 
@@ -39,5 +40,6 @@ def registry() -> dict[str, Query]:
         "op9_line_dedup": on_documents(line_dedup.op9_line_dedup),
         "op10_ngram_lm": on_documents(ngram_lm.op10_ngram_lm, 3),
         "op11_hard_negatives": on_embeddings(hard_negatives.op11_hard_negatives),
+        "op12_suffix_dedup": on_documents(suffix_dedup.op12_suffix_dedup),
         "op13_fim": on_documents(fim.op13_fim),
     }
