@@ -11,7 +11,7 @@ from tillstream.operators.enrich import enrich_country, enrich_product
 from tillstream.operators.fraud import fraud_alerts
 from tillstream.operators.kpi import recent_transactions
 from tillstream.operators.latest import latest_per_key
-from tillstream.operators.parse import parse_transactions
+from tillstream.operators.parse import classify_messages, parse_transactions, without_null_literals
 from tillstream.operators.sales import running_totals, sales_per_category, sales_per_day
 from tillstream.schema import COLUMNS
 
@@ -96,3 +96,14 @@ def test_message_is_read_once(spark, tmp_path):
     for df in (good.select(*COLUMNS), rejects, good.groupBy("customer_id").count()):
         assert plan(df).count("from_json") == 1
         assert "json_object_keys" not in plan(df)
+
+
+def test_recent_messages_are_chosen_before_they_are_parsed(spark, tmp_path):
+    rows = [(i, "null" if i % 3 else "{}") for i in range(100)]
+    spark.createDataFrame(rows, "seq long, value string").repartition(4).write.parquet(str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    df = classify_messages(recent_transactions(without_null_literals(stored), n=5))
+    text = plan(df)
+    assert text.index("from_json") < text.index("TakeOrdered")
+    later = recent_transactions(classify_messages(stored), n=5)
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, later.collect()), key=repr)

@@ -95,7 +95,9 @@ def test_compaction_keeps_the_newest_rows(spark, tmp_path):
     for _ in range(2):
         target.compact(spark, "sales_per_month")
         assert sorted(tuple(r) for r in target.read(spark, "sales_per_month").collect()) == before
-    assert [p.name for p in (tmp_path / "sales_per_month").iterdir()] == ["batch_id=3"]
+    # The newest batch stays by itself: it may be repeated.
+    now = target.snapshot(spark, "sales_per_month")
+    assert now.merged == 2 and list(now.batches) == [3]
     target.upsert(totals(spark, (2025, 1, 9.0)), "sales_per_month", 4)
     assert (2025, 1, 9.0) in {tuple(r) for r in target.read(spark, "sales_per_month").collect()}
     assert target.read_before(spark, "sales_per_month", 4).count() == len(before)
@@ -173,3 +175,152 @@ def test_jdbc_gives_up(spark, monkeypatch):
     with pytest.raises(OSError):
         target.upsert(totals(spark, (2025, 1, 1.0)), "sales_per_month", 0)
     assert len(calls) == tables.MAX_RETRIES + 1
+
+
+# Folder tables: repeated batches, interrupted calls, several writers
+
+
+def month_rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def three_batches(spark, target):
+    """Batches 0 and 1 of the months 1 and 2, and 2 and 3."""
+    target.upsert(totals(spark, (2025, 1, 1.0), (2025, 2, 2.0)), "sales_per_month", 0)
+    target.upsert(totals(spark, (2025, 2, 5.0), (2025, 3, 3.0)), "sales_per_month", 1)
+
+
+THREE = [(2025, 1, 1.0), (2025, 2, 5.0), (2025, 3, 3.0)]
+
+
+def test_a_batch_is_repeated_after_a_compaction(spark, tmp_path):
+    target = FolderTables(str(tmp_path))
+    three_batches(spark, target)
+    target.compact(spark, "sales_per_month")
+    target.upsert(totals(spark, (2025, 2, 5.0), (2025, 3, 3.0)), "sales_per_month", 1)
+    assert month_rows(target.read(spark, "sales_per_month")) == THREE
+    assert month_rows(target.read_before(spark, "sales_per_month", 1)) == [(2025, 1, 1.0), (2025, 2, 2.0)]
+    target.upsert(totals(spark, (2025, 4, 4.0)), "sales_per_month", 2)
+    target.compact(spark, "sales_per_month")
+    # A batch that was merged long ago changes nothing.
+    target.upsert(totals(spark, (2025, 1, 1.0), (2025, 2, 2.0)), "sales_per_month", 0)
+    assert month_rows(target.read(spark, "sales_per_month")) == [*THREE, (2025, 4, 4.0)]
+    with pytest.raises(ValueError):
+        target.read_before(spark, "sales_per_month", 1)
+
+
+@pytest.mark.parametrize("step", ["rows", "manifest", "half a manifest", "delete"])
+def test_a_compaction_is_interrupted(spark, tmp_path, monkeypatch, step):
+    """Broken off at any point, with a new batch before the next call: no row is lost."""
+    target = FolderTables(str(tmp_path), grace=0)
+    three_batches(spark, target)
+    target.upsert(totals(spark, (2025, 3, 7.0)), "sales_per_month", 2)
+
+    class Stopped(Exception):
+        pass
+
+    create, delete = tables.Files.create, tables.Files.delete
+
+    def stop(self, path, text="", overwrite=False):
+        if step == "half a manifest":
+            create(self, path, text[: len(text) // 2])
+        raise Stopped
+
+    with monkeypatch.context() as patched:
+        if step == "rows":
+            patched.setattr(FolderTables, "_commit", stop)
+        elif step == "delete":
+            patched.setattr(tables.Files, "delete", lambda self, path: stop(self, path))
+        else:
+            patched.setattr(tables.Files, "create", stop)
+        if step != "delete":
+            with pytest.raises(Stopped):
+                target.compact(spark, "sales_per_month")
+        else:
+            target.compact(spark, "sales_per_month")
+            with pytest.raises(Stopped):
+                target.upsert(totals(spark, (2025, 9, 9.0)), "sales_per_month", 3)
+    assert month_rows(target.read(spark, "sales_per_month")) == [*THREE[:2], (2025, 3, 7.0)]
+    target.upsert(totals(spark, (2025, 4, 4.0)), "sales_per_month", 3)
+    target.compact(spark, "sales_per_month")
+    target.upsert(totals(spark, (2025, 4, 4.0)), "sales_per_month", 3)
+    assert month_rows(target.read(spark, "sales_per_month")) == [*THREE[:2], (2025, 3, 7.0), (2025, 4, 4.0)]
+    assert delete is tables.Files.delete
+
+
+def test_a_write_is_interrupted(spark, tmp_path, monkeypatch):
+    """Rows without a manifest belong to no version; the repeated batch replaces them."""
+    target = FolderTables(str(tmp_path))
+    target.upsert(totals(spark, (2025, 1, 1.0)), "sales_per_month", 0)
+    with monkeypatch.context() as patched:
+        patched.setattr(FolderTables, "_commit", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            target.upsert(totals(spark, (2025, 2, 2.0)), "sales_per_month", 1)
+    assert month_rows(target.read(spark, "sales_per_month")) == [(2025, 1, 1.0)]
+
+
+def test_a_write_during_a_compaction(spark, tmp_path, monkeypatch):
+    """Whoever commits second builds upon the first: a new batch, the same compaction, a repeated batch."""
+    target = FolderTables(str(tmp_path))
+    three_batches(spark, target)
+    commit, calls = FolderTables._commit, []
+
+    def meanwhile(self, session, table, change):
+        if not calls:
+            calls.append(1)
+            self.compact(session, table)
+            self.upsert(totals(session, (2025, 2, 5.0), (2025, 3, 3.0)), table, 1)
+            self.upsert(totals(session, (2025, 4, 4.0)), table, 2)
+        commit(self, session, table, change)
+
+    monkeypatch.setattr(FolderTables, "_commit", meanwhile)
+    target.compact(spark, "sales_per_month")
+    assert month_rows(target.read(spark, "sales_per_month")) == [*THREE, (2025, 4, 4.0)]
+    now = target.snapshot(spark, "sales_per_month")
+    assert now.merged == 0 and sorted(now.batches) == [1, 2]
+
+
+def test_two_writers_take_different_versions(spark, tmp_path, monkeypatch):
+    target = FolderTables(str(tmp_path))
+    three_batches(spark, target)
+    create, calls = tables.Files.create, []
+
+    def late(self, path, text, overwrite=False):
+        if not calls:
+            calls.append(1)
+            create(self, path, tables.Snapshot(version=3).text())  # another writer's
+        return create(self, path, text, overwrite)
+
+    monkeypatch.setattr(tables.Files, "create", late)
+    target.upsert(totals(spark, (2025, 4, 4.0)), "sales_per_month", 2)
+    assert target.snapshot(spark, "sales_per_month").version == 4
+
+
+def test_an_open_reader_keeps_its_folders(spark, tmp_path):
+    now = [1000.0]
+    target = FolderTables(str(tmp_path), grace=60, clock=lambda: now[0])
+    three_batches(spark, target)
+    reader = target.read(spark, "sales_per_month")
+    target.compact(spark, "sales_per_month")
+    now[0] += 59
+    target.upsert(totals(spark, (2025, 4, 4.0)), "sales_per_month", 2)
+    assert month_rows(reader) == THREE
+    now[0] += 2
+    target.upsert(totals(spark, (2025, 5, 5.0)), "sales_per_month", 3)
+    held = {p.name for p in (tmp_path / "sales_per_month").iterdir()} - {"_manifests"}
+    assert held == set(target.snapshot(spark, "sales_per_month").folders())
+
+
+def test_merging_along_the_way_bounds_the_folders(spark, tmp_path):
+    target = FolderTables(str(tmp_path), compact_every=3, grace=0)
+    for batch in range(30):
+        for _ in range(1 + batch % 2):  # every second batch is repeated
+            target.upsert(totals(spark, (2025, batch % 4, float(batch)), (batch, 1, 1.0)), "sales_per_month", batch)
+        assert target.read_before(spark, "sales_per_month", batch + 1).count() == target.read(
+            spark, "sales_per_month"
+        ).count()
+        assert len(target.snapshot(spark, "sales_per_month").folders()) <= 5
+        assert len(list((tmp_path / "sales_per_month").iterdir())) <= 12
+    assert len(list((tmp_path / "sales_per_month" / "_manifests").iterdir())) <= 2 * (tables.KEPT_VERSIONS + 1)
+    found = {r[:2]: r[2] for r in month_rows(target.read(spark, "sales_per_month"))}
+    assert [found[2025, k] for k in range(4)] == [28.0, 29.0, 26.0, 27.0] and len(found) == 34

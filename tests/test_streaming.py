@@ -21,13 +21,13 @@ from tillstream.session import scratch_folder
 from tillstream.sinks.documents import to_messages
 from tillstream.sinks.tables import FolderTables
 from tillstream.sources.messages import KAFKA_SEQ, file_source
-from tillstream.streaming import headline, pipeline
+from tillstream.streaming import as_written, headline, pipeline
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.run import AVAILABLE_NOW
 
 
 def rows_of(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns).collect())
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=lambda r: [(v is not None, v) for v in r])
 
 
 def alert_rows(df):
@@ -251,6 +251,78 @@ def test_as_written_streams(spark, transactions, tmp_path):
         assert rows_of(tables.read(spark, table), *batch.columns) == rows_of(batch, *batch.columns)
 
 
+@pytest.fixture
+def one_partition(spark):
+    """For many tiny micro-batches."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("table", ["sales_per_day", "sales_per_category"])
+def test_as_written_state_stays_small(spark, transactions, tmp_path, monkeypatch, one_partition, table):
+    """Batches in and out of date order: bounded folders, the batch operator's rows."""
+    monkeypatch.setattr(as_written, "MERGE_EVERY", 3)
+    rng = random.Random(3)
+    rows = [
+        {"transaction_date": at((i // 4 + (-7 if i % 11 == 0 else 0)) * 43_200_000 + rng.randrange(9) * 3_600_000),
+         "total_amount": rng.choice([None, 0.001, 12.34, 99.999999, -3.1]),
+         "product_category": rng.choice(["home", "beauty", None])}
+        for i in range(120)
+    ]
+    df = transactions(rows)
+    tables, state = FolderTables(str(tmp_path / "tables")), as_written.state_tables(str(tmp_path / "c"))
+    name = {"sales_per_day": "last_ms", "sales_per_category": "category_days"}[table]
+    folders = []
+
+    class Store:
+        def upsert(self, totals, target, batch_id):
+            tables.upsert(totals, target, batch_id)
+            folders.append(len(state.snapshot(spark, name).folders()))
+
+    messages = str(tmp_path / "in")
+    write_slices(df, messages, list(range(0, 121, 10)))
+    stream = file_source(spark, messages, df.schema, max_files=1)
+    pipeline.start_sales(stream, table, Store(), str(tmp_path / "c"), AVAILABLE_NOW, mode="as_written")
+    expected = pipeline.SALES[table](df, "as_written", "transaction_date")
+    assert rows_of(tables.read(spark, table), *expected.columns) == rows_of(expected, *expected.columns)
+    # As many folders are read at the end as after the first few batches.
+    assert len(folders) == 12 and max(folders[-4:]) == max(folders[:6]) <= 5
+    assert len(glob.glob(f"{tmp_path}/c-state/{name}/*-*")) <= 8
+
+
+def test_late_dates_reach_the_scan(spark, transactions, tmp_path):
+    """A batch reads the stored dates from its earliest one on, not the whole state."""
+    state = as_written.state_tables(str(tmp_path / "c"))
+    for batch in range(2):
+        df = transactions([{"transaction_date": at(86_400_000 * (i + batch)), "product_category": "x"} for i in range(5)])
+        new = df.groupBy(F.to_date("transaction_date").alias("transaction_date"),
+                         F.col("product_category").alias("category")).agg(*as_written.part_sums())
+        sums = [F.col(p).alias(t) for p, t in zip(as_written.PARTS, as_written.TOTALS)]
+        state.upsert(new.select("*", *sums), "category_days", batch)
+    days = state.read_before(spark, "category_days", 2).where(F.col("transaction_date") >= F.lit(at(0).date()))
+    scan = days._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(transaction_date" in scan
+
+
+def test_sub_cent_sums_of_one_millisecond_stay_exact(spark):
+    """Ten thousand batches with a tenth of a millionth-exact cent each: parts add up where rounded doubles drift."""
+    amounts = spark.range(10_000).select(
+        F.lit(at(0).date()).alias("transaction_date"), F.lit(5).cast("long").alias("ms"),
+        F.lit(0.001).alias("total_amount"), F.col("id").alias("batch"),
+    )
+    per_batch = amounts.groupBy("transaction_date", "ms", "batch").agg(*as_written.part_sums()).drop("batch")
+    half = per_batch.limit(5_000)
+    found = as_written.last_ms_totals(per_batch.exceptAll(half).unionByName(half), None)
+    assert found.select(as_written.part_total().alias("t")).first().t == 10.0
+    # Batch after batch: what was stored meets the next one.
+    stored = None
+    for _ in range(20):
+        stored = as_written.last_ms_totals(per_batch.limit(1), stored)
+    assert stored.select(as_written.part_total().alias("t")).first().t == 0.02
+
+
 def test_watermark_is_optional(spark, transactions, tmp_path):
     df = transactions([{}])
     df.write.parquet(str(tmp_path / "in"))

@@ -68,18 +68,24 @@ def _timestamp(text: Column) -> Column:
 _CASTS = {"double": _double, "int": _int, "timestamp": _timestamp, "string": lambda text: text}
 
 
+def _text(wire: str) -> str:
+    return f"_text_{wire}"
+
+
 def _property(name: str) -> Column:
     """The text of a property, null if it is missing; array positions count from 1."""
     return F.get("_values", (F.array_position("_keys", name) - 1).cast("int"))
 
 
-def classify_messages(df: DataFrame) -> DataFrame:
-    """Add the 13 typed columns and ``reason`` (null for a usable row) to every message.
+def without_null_literals(df: DataFrame) -> DataFrame:
+    """A message that is the JSON literal ``null`` is no transaction and no error: it is left out."""
+    return df.where(F.coalesce(~F.col("value").rlike(r"^\s*null\s*$"), F.lit(True)))
 
-    A message that is the JSON literal ``null`` is no transaction and no error: it is left out.
-    """
+
+def classify_messages(df: DataFrame) -> DataFrame:
+    """Add the 13 typed columns and ``reason`` (null for a usable row) to every message that is not ``null``."""
     read = with_computed(
-        df.where(F.coalesce(~F.col("value").rlike(r"^\s*null\s*$"), F.lit(True))),
+        without_null_literals(df),
         F.from_json("value", "map<string,string>", _JSON_OPTIONS).alias("_raw"),
     )
     # Reversed, so that the first place of a name is its last occurrence.
@@ -88,12 +94,14 @@ def classify_messages(df: DataFrame) -> DataFrame:
         F.reverse(F.map_keys("_raw")).alias("_keys"),
         F.reverse(F.map_values("_raw")).alias("_values"),
     )
+    # Texts first, then casts: a cast looks at its text several times.
+    read = with_computed(read, *[_property(f.wire).alias(_text(f.wire)) for f in FIELDS])
     typed = with_computed(
-        read, *[_CASTS[f.type](_property(f.wire)).alias(f.column) for f in FIELDS]
+        read, *[_CASTS[f.type](F.col(_text(f.wire))).alias(f.column) for f in FIELDS]
     )
 
     known = F.array(*[F.lit(f.wire) for f in FIELDS])
-    raw_date = _property("transactionDate")
+    raw_date = F.col(_text("transactionDate"))
     bad_number = (
         F.col("product_price").isNull()
         | F.col("product_quantity").isNull()
@@ -109,7 +117,7 @@ def classify_messages(df: DataFrame) -> DataFrame:
         .when(F.col("product_category").isNull(), "null_category")
         .when(F.col("transaction_id").isNull(), "null_id")
     )
-    classified = typed.withColumn("reason", reason).drop("_raw", "_keys", "_values")
+    classified = typed.withColumn("reason", reason).drop("_raw", "_keys", "_values", *(_text(f.wire) for f in FIELDS))
     # What could be read of a broken text is no data.
     whole = F.coalesce(F.col("reason") != "corrupt", F.lit(True))
     return classified.withColumns({f.column: F.when(whole, F.col(f.column)) for f in FIELDS})

@@ -18,7 +18,7 @@ from tillstream.operators.enrich import enrich_country, enrich_product, with_lab
 from tillstream.operators.fraud import alert_text, fraud_alerts
 from tillstream.operators.kpi import kpi_summary, recent_log, recent_transactions
 from tillstream.operators.latest import latest_per_key
-from tillstream.operators.parse import accepted, classify_messages, parse_transactions
+from tillstream.operators.parse import accepted, classify_messages, parse_transactions, without_null_literals
 from tillstream.operators.project import (
     to_sink_columns,
     transaction_text,
@@ -294,8 +294,8 @@ _RECENT = (
 
 
 def q_recent_transactions(spark, sf_dir):
-    """Accepted and failed messages."""
-    newest = recent_transactions(classify_messages(_messages(spark, sf_dir)))
+    """Accepted and failed messages; only those on the list are parsed."""
+    newest = classify_messages(recent_transactions(without_null_literals(_messages(spark, sf_dir))))
     return recent_log(newest, F.col("reason").isNull()).select(*_RECENT)
 
 
@@ -363,11 +363,16 @@ def q_stream_alert_text(spark, sf_dir):
 
 
 def q_stream_latest_transactions(spark, sf_dir):
+    """The second batch comes again after a compaction, as after a crash before its commit; a third one follows."""
     folder = scratch_folder(spark, "stream_latest")
     tables = FolderTables(f"{folder}/tables")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert(to_sink_columns(batch, *LINE_SEQ), "transactions", batch_id, LINE_SEQ)
+        rows = to_sink_columns(batch, *LINE_SEQ)
+        tables.upsert(rows, "transactions", batch_id, LINE_SEQ)
+        if batch_id == 1:
+            tables.compact(spark, "transactions")
+            tables.upsert(rows, "transactions", batch_id, LINE_SEQ)
 
     _line_parts(
         spark, sf_dir, folder,

@@ -6,30 +6,82 @@ leaves the same table.
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillstream.operators.latest import latest_per_key
 from tillstream.schema import TABLES, TableDef
+from tillstream.sinks.files import Files
 
+BATCH = "batch_id"
 BATCH_ROWS = 1000
 MAX_RETRIES = 5
 FLUSH_SECONDS = 0.2
+GRACE_SECONDS = 600.0
+KEPT_VERSIONS = 20
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """What a table consists of: a merged folder, and a folder for each later batch.
+
+    ``merged`` is the last batch whose rows are in ``base``. ``old`` are folders of earlier snapshots that a
+    reader may still have open, with the time (in seconds) they were replaced.
+    """
+
+    version: int = 0
+    schema: str = ""
+    base: str | None = None
+    merged: int = -1
+    batches: dict[int, str] = field(default_factory=dict)
+    old: tuple[tuple[float, str], ...] = ()
+
+    def folders(self) -> list[str]:
+        return [*([self.base] if self.base else []), *self.batches.values()]
+
+    def text(self) -> str:
+        return json.dumps(asdict(self))
+
+    @staticmethod
+    def of(text: str) -> Snapshot:
+        found = json.loads(text)
+        batches = {int(k): v for k, v in found.pop("batches").items()}
+        return Snapshot(**found | {"batches": batches, "old": tuple(map(tuple, found["old"]))})
 
 
 class FolderTables:
-    """Tables as Parquet folders with one sub-folder per micro-batch.
+    """Tables as Parquet folders that a small manifest names.
+
+    A write puts its batch into a folder of its own and then a new version of the manifest next to the old one;
+    that file appears at once, so a reader sees the whole batch or nothing of it, and what an interrupted
+    write leaves behind belongs to no version. Reading keeps the newest batch's row per key.
 
-    A write only adds its own batch, whatever the table's size; reading keeps the newest batch's
-    row per key.
+    Merging never touches the newest batch: a batch that is repeated after a crash replaces its own folder,
+    before and after a compaction, and what was stored before it can still be read. A batch that was merged long ago and
+    comes again is left out, as the table holds its rows or later ones. With ``compact_every`` a write that finds
+    so many batches merges them first. Folders that are no longer named are deleted ``grace`` seconds later.
     """
 
-    def __init__(self, root: str, tables: dict[str, TableDef] | None = None):
+    def __init__(
+        self,
+        root: str,
+        tables: dict[str, TableDef] | None = None,
+        compact_every: int | None = None,
+        grace: float = GRACE_SECONDS,
+        clock: Callable[[], float] = time.time,
+    ):
         self.root = root.rstrip("/")
         self.tables = TABLES if tables is None else tables
+        self.compact_every = compact_every
+        self.grace = grace
+        self.clock = clock
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -39,43 +91,127 @@ class FolderTables:
 
     def upsert(self, df: DataFrame, table: str, batch_id: int, seq: Sequence[str] = ()) -> None:
         """Store a batch; with ``seq`` only its last row per key."""
-        rows = df
-        if seq:
-            rows = latest_per_key(df, self.tables[table].keys, seq).drop(*seq)
-        rows.write.mode("overwrite").parquet(f"{self.path(table)}/batch_id={batch_id}")
+        spark = df.sparkSession
+        # Batches before this one are complete, whatever happens to it.
+        if self.compact_every and self._before(self.snapshot(spark, table), batch_id) >= self.compact_every:
+            self._merge(spark, table, batch_id)
+        rows = latest_per_key(df, self.tables[table].keys, seq).drop(*seq) if seq else df
+        rows = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        folder = f"{batch_id}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path(table)}/{folder}")
+        schema = rows.schema.json()
+
+        def stored(now: Snapshot) -> Snapshot:
+            if batch_id <= now.merged:
+                return replace(now, old=(*now.old, (self.clock(), folder)))
+            gone = [(self.clock(), now.batches[batch_id])] if batch_id in now.batches else []
+            return replace(now, schema=schema, batches=now.batches | {batch_id: folder}, old=(*now.old, *gone))
+
+        self._commit(spark, table, stored)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        written = spark.read.parquet(self.path(table))
-        return latest_per_key(written, self.tables[table].keys, "batch_id").drop("batch_id")
+        """The table; a ValueError if nothing was ever stored."""
+        rows = self._rows(spark, table, self.snapshot(spark, table))
+        if rows is None:
+            raise ValueError(f"nothing is stored in {self.path(table)}")
+        return latest_per_key(rows, self.tables[table].keys, BATCH).drop(BATCH)
 
     def read_before(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
         """The table as it was before a batch; None if nothing was stored. For targets that build on it."""
-        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-            return None
-        written = spark.read.parquet(self.path(table)).where(F.col("batch_id") < batch_id)
-        return latest_per_key(written, self.tables[table].keys, "batch_id").drop("batch_id")
+        now = self.snapshot(spark, table)
+        if batch_id <= now.merged:
+            raise ValueError(f"batch {batch_id} of {self.path(table)} is merged with later ones")
+        rows = self._rows(spark, table, replace(now, batches={b: f for b, f in now.batches.items() if b < batch_id}))
+        return None if rows is None else latest_per_key(rows, self.tables[table].keys, BATCH).drop(BATCH)
+
+    def read_batch(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
+        """What one batch stored; it must not be merged yet."""
+        now = self.snapshot(spark, table)
+        return self._rows(spark, table, Snapshot(schema=now.schema, batches={0: now.batches[batch_id]})).drop(BATCH)
 
     def compact(self, spark: SparkSession, table: str) -> None:
-        """Replace all batches of a table by one with the newest row per key, named like the last batch.
+        """Merge all batches but the newest into one folder with the newest row per key.
 
-        Call it while no query writes the table. The new folder is complete before an old one goes; a call that
-        was interrupted is finished by the next one.
+        Queries may read and write the table meanwhile. The merged folder is named by a new version of the manifest
+        when it is complete; a call that was interrupted has changed nothing. It rewrites the table, so its
+        cost is that of the table, not of the batches.
         """
-        path_of, path = spark._jvm.org.apache.hadoop.fs.Path, self.path(table)
-        files = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        spare = f"{self.root}/_compacted_{table}"
-        if not files.exists(path_of(f"{spare}/_SUCCESS")):
-            last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-            merged = self.read(spark, table).withColumn("batch_id", F.lit(last))
-            merged.write.mode("overwrite").partitionBy("batch_id").parquet(spare)
-        names = [status.getPath().getName() for status in files.listStatus(path_of(spare))]
-        for status in files.listStatus(path_of(path)) if files.exists(path_of(path)) else ():
-            files.delete(status.getPath(), True)
-        for name in names:
-            if name.startswith("batch_id="):
-                files.rename(path_of(f"{spare}/{name}"), path_of(f"{path}/{name}"))
-        files.delete(path_of(spare), True)
+        batches = self.snapshot(spark, table).batches
+        if batches:
+            self._merge(spark, table, max(batches))
+
+    @staticmethod
+    def _before(now: Snapshot, batch_id: int) -> int:
+        return sum(b < batch_id for b in now.batches)
+
+    def _merge(self, spark: SparkSession, table: str, batch_id: int) -> None:
+        """Merge the batches before ``batch_id``."""
+        now = self.snapshot(spark, table)
+        taken = {b: f for b, f in now.batches.items() if b < batch_id}
+        if not taken:
+            return
+        rows = self._rows(spark, table, replace(now, batches=taken))
+        folder = f"base-{uuid.uuid4().hex}"
+        keys = self.tables[table].keys
+        # Sorted by the first key, so that a reader of some of its values skips the rest.
+        merged = latest_per_key(rows, keys, BATCH).sortWithinPartitions(keys[0])
+        merged.write.parquet(f"{self.path(table)}/{folder}")
+
+        def stored(then: Snapshot) -> Snapshot:
+            if (then.base, then.merged) != (now.base, now.merged):
+                # Another call was faster: its result stays.
+                return replace(then, old=(*then.old, (self.clock(), folder)))
+            # A batch that was written again meanwhile holds the same rows: the new folder goes, too.
+            gone = [then.base] if then.base else []
+            gone += [f for b, f in then.batches.items() if b in taken]
+            left = {b: f for b, f in then.batches.items() if b not in taken}
+            old = (*then.old, *((self.clock(), f) for f in gone))
+            return replace(then, base=folder, merged=max(taken), batches=left, old=old)
+
+        self._commit(spark, table, stored)
+
+    def _rows(self, spark: SparkSession, table: str, now: Snapshot) -> DataFrame | None:
+        folders = [f"{self.path(table)}/{folder}" for folder in now.folders()]
+        if not folders:
+            return None
+        return spark.read.schema(StructType.fromJson(json.loads(now.schema))).parquet(*folders)
+
+    def snapshot(self, spark: SparkSession, table: str) -> Snapshot:
+        """The newest version that is whole."""
+        files = Files(spark, self.root)
+        for version in sorted(self._versions(files, table), reverse=True):
+            try:
+                return Snapshot.of(files.read(self._manifest(table, version)))
+            except ValueError:
+                # Its writer was interrupted.
+                continue
+        return Snapshot()
+
+    def _manifest(self, table: str, version: int) -> str:
+        return f"{self.path(table)}/_manifests/{version}.json"
+
+    def _versions(self, files: Files, table: str) -> list[int]:
+        names = files.names(f"{self.path(table)}/_manifests")
+        return [int(name.removesuffix(".json")) for name in names if name.endswith(".json")]
+
+    def _commit(self, spark: SparkSession, table: str, change: Callable[[Snapshot], Snapshot]) -> None:
+        """Add a version; whoever else writes the table meanwhile is not overwritten but built upon."""
+        files = Files(spark, self.root)
+        while True:
+            now = self.snapshot(spark, table)
+            versions = self._versions(files, table)
+            version = max(versions, default=0) + 1
+            # A stored version has given them up already, and this one forgets them.
+            due = {folder for when, folder in now.old if when <= self.clock() - self.grace}
+            for folder in due:
+                files.delete(f"{self.path(table)}/{folder}")
+            new = change(now)
+            new = replace(new, version=version, old=tuple(x for x in new.old if x[1] not in due))
+            if files.create(self._manifest(table, version), new.text()):
+                break
+        for old in versions:
+            if old <= version - KEPT_VERSIONS:
+                files.delete(self._manifest(table, old))
 
 
 def create_table_sql(table: str) -> str:
