@@ -157,9 +157,11 @@ def test_jdbc_tables(spark, monkeypatch):
     )
     target.upsert(rows, "sales_per_month", 0, ["seq"])
     assert [(name, [tuple(r) for r in found]) for name, found in staged] == [
-        ("sales_per_month_staging", [(2025, 1, 2.0)])
+        ("sales_per_month_staging_0", [(2025, 1, 2.0)])
+    ]
+    assert statements[-2:] == [
+        merge_sql("sales_per_month", "sales_per_month_staging_0"), "DROP TABLE IF EXISTS sales_per_month_staging_0"
     ]
-    assert statements[-1] == merge_sql("sales_per_month", "sales_per_month_staging")
     assert target.write_options() == {"user": "u", "batchsize": "1000", "truncate": "true"}
 
 
@@ -324,3 +326,109 @@ def test_merging_along_the_way_bounds_the_folders(spark, tmp_path):
     assert len(list((tmp_path / "sales_per_month" / "_manifests").iterdir())) <= 2 * (tables.KEPT_VERSIONS + 1)
     found = {r[:2]: r[2] for r in month_rows(target.read(spark, "sales_per_month"))}
     assert [found[2025, k] for k in range(4)] == [28.0, 29.0, 26.0, 27.0] and len(found) == 34
+
+
+# Chunks: by size, by time, sent again
+
+
+def test_chunks_by_size_and_time():
+    now, sent, slept, failures = [0.0], [], [], []
+
+    def send(chunk):
+        if failures:
+            raise failures.pop()
+        sent.append(list(chunk))
+
+    def rows(*steps):
+        for number, step in enumerate(steps):
+            now[0] += step
+            yield number
+
+    def write(*steps):
+        sent.clear()
+        tables.chunk_writer(send, rows=3, seconds=0.2, clock=lambda: now[0], sleep=slept.append)(rows(*steps))
+        return [len(chunk) for chunk in sent]
+
+    assert write() == [] and write(0) == [1]
+    assert write(0, 0, 0, 0, 0, 0, 0) == [3, 3, 1]
+    # The chunk goes out with the row that finds its first one 0.2 s old.
+    assert write(0, 0.1, 0.1, 0, 0.1, 0.05) == [3, 3] and write(5, 0.25, 0.1, 0.1) == [2, 2]
+    failures += [OSError("lost"), OSError("lost")]
+    assert write(0, 0, 0, 0) == [3, 1] and slept == [0.2, 0.4]
+    failures += [OSError("lost")] * 6
+    with pytest.raises(OSError):
+        write(0, 0, 0, 0)
+    assert sent == []
+
+
+def test_connection_tables(spark, tmp_path):
+    """Rows arrive once per key and in chunks, although the first connection of each partition breaks."""
+    folder = str(tmp_path)
+
+    def connect():
+        import json
+        import os
+
+        class Connection:
+            def cursor(self):
+                self.rows = []
+                return self
+
+            def execute(self, sql):
+                with open(f"{folder}/created", "a") as out:
+                    out.write(sql + "\n")
+
+            def executemany(self, sql, rows):
+                self.rows = [(sql, *row) for row in rows]
+
+            def commit(self):
+                if self.rows and not os.path.exists(f"{folder}/broken-{os.getpid()}"):
+                    open(f"{folder}/broken-{os.getpid()}", "w").close()
+                    raise OSError("connection lost")
+                for k, row in enumerate(self.rows):
+                    with open(f"{folder}/row-{row[1]}-{row[2]}.json", "w") as out:
+                        json.dump([len(self.rows), *row], out)
+
+            def close(self):
+                pass
+
+        return Connection()
+
+    target = tables.ConnectionTables(connect, "?", rows=4, sleep=lambda s: None)
+    target.ensure_tables(spark)
+    assert len(open(f"{folder}/created").readlines()) == 4
+    rows = [(2000 + i // 12, i % 12 + 1, float(s), s) for i in range(40) for s in range(2)]
+    df = spark.createDataFrame(rows, "year int, month int, total_sales double, seq int").repartition(3)
+    for _ in range(2):
+        target.upsert(df, "sales_per_month", 0, ["seq"])
+    found = [json.load(open(f)) for f in glob.glob(f"{folder}/row-*.json")]
+    assert len(found) == 40 and max(row[0] for row in found) <= 4
+    assert {row[1] for row in found} == {tables.upsert_sql("sales_per_month", "?")}
+    assert {row[4] for row in found} == {1.0}
+    assert glob.glob(f"{folder}/broken-*")
+
+
+def test_bulk_results_per_document(transactions, tmp_path):
+    """Only what failed is sent again; what is refused is kept with its status."""
+    from tillstream.sinks.documents import file_transport
+
+    documents = to_documents(transactions([{"product_quantity": i % 5} for i in range(50)])).coalesce(2)
+    sent, rejects = str(tmp_path / "sent"), str(tmp_path / "rejects")
+    send_bulk(documents, file_transport(sent, '"productQuantity":3,', 3), actions=4, rejects=rejects, wait=0)
+    lines = [line for f in glob.glob(f"{sent}/*.txt") for line in open(f)]
+    ids = [json.loads(line)["index"]["_id"] for line in lines[::2]]
+    assert len(ids) == len(set(ids)) == 40
+    spark = documents.sparkSession
+    refused = spark.read.parquet(rejects).collect()
+    assert {r.doc_id for r in refused} == {f"t{i}" for i in range(50) if i % 5 == 3}
+    assert {r.status for r in refused} == {400} and all(r.value.startswith('{"index"') for r in refused)
+    with pytest.raises(Exception, match="refused"):
+        send_bulk(documents, file_transport(sent, '"productQuantity":3,'), actions=4, wait=0)
+
+
+def test_bulk_gives_up(transactions):
+    def send(body):
+        return [503] * (len(body.splitlines()) // 2)
+
+    with pytest.raises(Exception, match="were not taken"):
+        send_bulk(to_documents(transactions([{}])), send, retries=2, wait=0)

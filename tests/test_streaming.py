@@ -16,12 +16,12 @@ from tillstream.operators.fraud import fraud_alerts
 from tillstream.operators.latest import latest_per_key
 from tillstream.operators.parse import parse_transactions
 from tillstream.operators.project import to_sink_columns, transactions_view
-from tillstream.operators.sales import sales_per_category, sales_per_day, sales_per_month
+from tillstream.operators.sales import running_totals, sales_per_category, sales_per_day, sales_per_month
 from tillstream.session import scratch_folder
 from tillstream.sinks.documents import to_messages
 from tillstream.sinks.tables import FolderTables
 from tillstream.sources.messages import KAFKA_SEQ, file_source
-from tillstream.streaming import as_written, headline, pipeline
+from tillstream.streaming import as_written, headline, pipeline, progress, running
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.run import AVAILABLE_NOW
 
@@ -84,8 +84,8 @@ def test_fraud_ignores_a_run_written_twice(spark, transactions, tmp_path):
 
     write_slices(df, messages, [0, 30])
     run()
-    [batch] = glob.glob(f"{work}/runs/batch_id=*")
-    spark.read.parquet(batch).write.mode("append").parquet(batch)
+    runs = spark.read.parquet(f"{work}/runs").toPandas()
+    spark.createDataFrame(runs, spark.read.parquet(f"{work}/runs").schema).write.mode("append").parquet(f"{work}/runs")
     write_slices(df, messages, [30, 10**9])
     run()
     assert alert_rows(spark.read.parquet(alerts)) == alert_rows(fraud_alerts(df))
@@ -323,6 +323,105 @@ def test_sub_cent_sums_of_one_millisecond_stay_exact(spark):
     assert stored.select(as_written.part_total().alias("t")).first().t == 0.02
 
 
+@pytest.mark.parametrize("key", ["product_category", "seconds"])
+def test_running_totals_over_many_batches(spark, transactions, tmp_path, key):
+    """Null and heavy keys, missing amounts, repeated batches, a restart: the batch operator's totals, few folders."""
+    rng = random.Random(4)
+    rows = [
+        {"product_category": rng.choice(["home"] * 6 + ["beauty", None, "home x"]),
+         "total_amount": rng.choice([None, 0.01, 0.000001, 12.34, -7.5, 1e15]), "transaction_date": at(rng.randrange(5) * 1000)}
+        for _ in range(60)
+    ]
+    df = transactions(rows).withColumn("seconds", F.unix_seconds("transaction_date"))
+    messages, out, work = (str(tmp_path / n) for n in ("in", "out", "work"))
+
+    def store(found, batch_id):
+        found.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    def run():
+        stream = file_source(spark, messages, df.schema, max_files=1)
+        running.start_running_totals(stream, Repeating(store), work, key, trigger=AVAILABLE_NOW, ranges=3)
+
+    write_slices(df, messages, [0, 1, 20])
+    run()
+    sums = spark.read.parquet(f"{work}/sums")
+    spark.createDataFrame(sums.collect(), sums.schema).write.mode("append").parquet(f"{work}/sums")
+    write_slices(df, messages, [20, 45, 60])
+    run()
+    expected = running_totals(df, key)
+    columns = ("seq", key, "running_total")
+    assert rows_of(spark.read.parquet(out), *columns) == rows_of(expected, *columns)
+    assert len(glob.glob(f"{work}/rows/*")) <= 4 and len(glob.glob(f"{work}/before/*")) == 1
+
+
+def test_repeated_transactions_count_once(spark, transactions, tmp_path):
+    """Late rows count; a transaction that comes again, in the same or a later batch, does not."""
+    rows = [{"transaction_id": f"t{i}", "transaction_date": at(i * 40_000_000), "total_amount": 1.0} for i in range(12)]
+    df = transactions(rows)
+    again = df.withColumn("seq", F.col("seq") + 100)
+    messages = str(tmp_path / "in")
+    # Newest dates first, so the second slice is late; then everything once more.
+    write_slices(df, messages, [6, 12])
+    write_slices(df.union(df), messages, [0, 6])
+    write_slices(again, messages, [100, 112])
+    for replays, times in (("30 days", 1), (None, 2)):
+        tables = FolderTables(str(tmp_path / f"tables{times}"))
+        stream = file_source(spark, messages, df.schema, max_files=1)
+        pipeline.start_sales(
+            stream, "sales_per_day", tables, str(tmp_path / f"c{times}"), AVAILABLE_NOW, replays=replays
+        )
+        total = tables.read(spark, "sales_per_day").agg(F.sum("total_sales")).first()[0]
+        assert total == (12 if replays else 30)
+
+
+def test_pipeline_folders_stay_bounded(spark, transactions, tmp_path, one_partition):
+    """Batch after batch with restarts: parsed messages, runs, links and lists go, no row is lost, counts are stored."""
+    rows = random_rows(14, 120)
+    for number, row in enumerate(rows):
+        row["customer_id"], row["transaction_id"] = row["customer_id"] or "e", f"t{number}"
+    df = transactions(rows)
+    messages = to_messages(df, "seq").select("seq", "value").union(
+        spark.createDataFrame([(11, "{bad")], "seq bigint, value string")
+    )
+    source, out, work = (str(tmp_path / n) for n in ("in", "out", "work"))
+    targets = pipeline.folder_targets(out)
+    bounds = [0, 12, 24, 40, 60, 90, 10**9]
+    for low, high in ((0, 3), (2, 4), (3, 7)):
+        write_slices(messages, source, bounds[low:high])
+        stream = file_source(spark, source, messages.schema, max_files=1)
+        pipeline.start_pipeline(stream, targets, work, trigger=AVAILABLE_NOW)
+        assert glob.glob(f"{work}/parsed/parsed_at=*") == []
+        assert len(glob.glob(f"{work}/fraud/links/*")) <= 2
+        for name in ("kpi", "recent"):
+            assert len(glob.glob(f"{work}/headline/{name}/*")) <= headline.KEPT_BATCHES
+    assert targets.tables.read(spark, "transactions").count() == 120
+    expected = sales_per_day(df)
+    assert rows_of(targets.tables.read(spark, "sales_per_day"), *expected.columns) == rows_of(expected, *expected.columns)
+    assert alert_rows(spark.read.parquet(f"{out}/alerts")) == alert_rows(fraud_alerts(df))
+    assert headline.read_newest(spark, f"{work}/headline/kpi").first().total_transactions == 121
+    stored = progress.read_progress(spark, f"{work}/progress")
+    assert tuple(stored.agg(F.sum("messages"), F.sum("rejected")).first()) == (121, 1)
+    assert stored.count() >= 5
+
+
+def test_parsed_parts_wait_for_the_slowest_reader(spark, tmp_path):
+    """Nothing goes before every reader has it, also after a restart of the driver."""
+    folder, state = str(tmp_path / "parsed"), str(tmp_path / "reached.json")
+    for part in ("t1", "t2", "t3"):
+        (tmp_path / "parsed" / f"at={part}").mkdir(parents=True)
+    left = lambda: sorted(p.name for p in (tmp_path / "parsed").iterdir())
+    first = progress.Retention(spark, folder, "at", ["a", "b"], state)
+    first.seen("q", 0, None, {"a": {"upto": "t3"}, "other": {"upto": "t9"}})
+    first.seen("q", 1, None, {"b": {"upto": None}})
+    assert left() == ["at=t1", "at=t2", "at=t3"]
+    again = progress.Retention(spark, folder, "at", ["a", "b"], state)
+    again.seen("r", 0, None, {"b": {"upto": "t2"}})
+    assert left() == ["at=t3"]
+    again.seen("r", 0, None, {"b": {"upto": "t1"}})  # a repeated batch
+    again.seen("r", 1, None, {"b": {"upto": "t3"}})
+    assert left() == []
+
+
 def test_watermark_is_optional(spark, transactions, tmp_path):
     df = transactions([{}])
     df.write.parquet(str(tmp_path / "in"))

@@ -4,7 +4,7 @@ from tillstream.operators.enrich import enrich_country, enrich_product, with_lab
 from tillstream.operators.fraud import alert_text, fraud_alerts
 from tillstream.operators.kpi import kpi_summary, recent_log, recent_transactions
 from tillstream.operators.latest import latest_per_key
-from tillstream.operators.parse import classify_messages, parse_transactions
+from tillstream.operators.parse import classify_messages, parse_transactions, without_null_literals
 from tillstream.operators.project import (
     to_sink_columns,
     transaction_text,
@@ -19,6 +19,7 @@ from tillstream.operators.sales import (
 )
 from tillstream.session import configure
 from tillstream.sinks.documents import (
+    file_transport,
     publish,
     send_bulk,
     start_publish,
@@ -26,7 +27,7 @@ from tillstream.sinks.documents import (
     to_messages,
     write_bulk,
 )
-from tillstream.sinks.tables import FolderTables, JdbcTables
+from tillstream.sinks.tables import ConnectionTables, FolderTables, JdbcTables
 from tillstream.sources.dims import countries, country_map, customer_countries, products
 from tillstream.sources.messages import KAFKA_SEQ, file_source, kafka_source
 from tillstream.streaming.fraud import start_fraud_alerts
@@ -40,13 +41,17 @@ from tillstream.streaming.pipeline import (
     start_sales,
     text_alerts,
 )
+from tillstream.streaming.progress import ProgressStore, read_progress
 from tillstream.streaming.run import AVAILABLE_NOW
+from tillstream.streaming.running import start_running_totals
 
 __all__ = [
     "AVAILABLE_NOW",
+    "ConnectionTables",
     "FolderTables",
     "JdbcTables",
     "KAFKA_SEQ",
+    "ProgressStore",
     "Targets",
     "alert_text",
     "classify_messages",
@@ -58,6 +63,7 @@ __all__ = [
     "enrich_country",
     "enrich_product",
     "file_source",
+    "file_transport",
     "folder_alerts",
     "folder_targets",
     "fraud_alerts",
@@ -68,6 +74,7 @@ __all__ = [
     "products",
     "publish",
     "read_newest",
+    "read_progress",
     "recent_log",
     "recent_transactions",
     "running_totals",
@@ -80,6 +87,7 @@ __all__ = [
     "start_kpi",
     "start_publish",
     "start_recent",
+    "start_running_totals",
     "start_sales",
     "text_alerts",
     "to_documents",
@@ -89,5 +97,6 @@ __all__ = [
     "transactions_view",
     "with_labels",
     "with_total_amount",
+    "without_null_literals",
     "write_bulk",
 ]

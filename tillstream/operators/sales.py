@@ -23,6 +23,7 @@ from tillstream.session import scratch_folder
 
 _MODES = ("calendar", "as_written")
 _PARTS = ("_high", "_low", "_millionths", "_huge")
+RUNNING_PARTS = tuple(f"_running{part}" for part in _PARTS)
 
 
 def _check(mode: str) -> None:
@@ -105,10 +106,19 @@ def running_totals(
 ) -> DataFrame:
     """Add ``running_total``: the key's total up to and including the row, in ``seq`` order.
 
-    Batch only. The rows are range-partitioned by (key, seq) and written with their totals inside the piece; a row's
-    total is that plus what the key had when the piece began. One row per piece carries that over, so neither
-    heavy keys nor null keys meet in one task.
+    Batch; ``tillstream.streaming.running`` carries the totals from micro-batch to micro-batch. The rows are
+    range-partitioned by (key, seq) and written with their totals inside the piece; a row's total is that plus what
+    the key had when the piece began. One row per piece carries that over, so neither heavy keys nor null keys meet in
+    one task.
     """
+    rows = running_parts(df, key, seq, amount, ranges)
+    return rows.select(*df.columns, money_total(*(F.col(part) for part in RUNNING_PARTS)).alias("running_total"))
+
+
+def running_parts(
+    df: DataFrame, key: str, seq: str | Sequence[str], amount: str, ranges: int | None = None
+) -> DataFrame:
+    """``df`` with the exact parts of each row's running total (null as long as there is nothing to sum)."""
     names = [seq] if isinstance(seq, str) else list(seq)
     so_far = (
         W.partitionBy(PIECE, key).orderBy(*names).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -133,13 +143,10 @@ def running_totals(
     joined = rows.join(
         carried, (F.col(PIECE) == F.col("_next")) & F.col(key).eqNullSafe(F.col("k")), "left"
     )
-    nothing = F.lit(0).cast("bigint")
+    sums = [sum_of(F.col(part), F.col(f"_c{part}")).alias(name) for part, name in zip(_PARTS, RUNNING_PARTS)]
+    return joined.select(*df.columns, *sums)
 
-    def both(part: str) -> Column:
-        own, before = F.col(part), F.col(f"_c{part}")
-        if part == _PARTS[-1]:
-            return F.when(own.isNotNull() | before.isNotNull(), F.coalesce(own, F.lit(0.0)) + F.coalesce(before, F.lit(0.0)))
-        return F.when(own.isNotNull() | before.isNotNull(), F.coalesce(own, nothing) + F.coalesce(before, nothing))
 
-    total = money_total(*(both(part) for part in _PARTS)).alias("running_total")
-    return joined.select(*df.columns, total)
+def sum_of(a: Column, b: Column) -> Column:
+    """The sum of two parts, of which one or both may be missing."""
+    return F.coalesce(a + b, a, b)

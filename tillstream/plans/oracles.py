@@ -298,6 +298,18 @@ SELECT seq, CASE WHEN reason IS NULL THEN {_literal(text.SUCCESS_LABEL)}
     "recent_transactions": _RECENT,
     "latest_transactions": _LATEST,
     "stream_sales_per_day": _PER_DAY,
+    "stream_sales_per_day_late": _PER_DAY,
+    "stream_sales_per_month_late": f"""WITH {_DIMS}, e AS ({_E})
+        SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
+               CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+        FROM e GROUP BY ALL""",
+    "stream_running_totals": _running("product_category", "product_category"),
+    "stream_running_day_totals": _running("CAST(transaction_date AS DATE)", "day"),
+    "stream_progress": f"""{_WITH_R}
+        SELECT count(*) AS messages, count(reason) AS rejected FROM r""",
+    "bulk_delivery": f"""WITH {_DIMS}, e AS ({_E})
+        SELECT transaction_id AS doc_id, CASE WHEN product_quantity = 7 THEN 'refused' ELSE 'arrived' END AS outcome
+        FROM e""",
     "stream_sales_per_category": _PER_CATEGORY,
     "stream_sales_per_month": _PER_MONTH,
     "stream_sales_per_month_as_written": _PER_MONTH_AS_WRITTEN,

@@ -33,7 +33,7 @@ from tillstream.operators.sales import (
 )
 from tillstream.schema import COLUMNS
 from tillstream.session import configure, scratch_folder
-from tillstream.sinks.documents import to_bulk_lines, to_documents, to_messages
+from tillstream.sinks.documents import file_transport, send_bulk, to_bulk_lines, to_documents, to_messages
 from tillstream.sinks.tables import FolderTables
 from tillstream.sources import testdata
 from tillstream.sources.messages import file_source
@@ -41,6 +41,7 @@ from tillstream.sources.testdata import LINE_SEQ, PERTURBED_SEQ, table
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.headline import read_newest, start_kpi, start_recent
 from tillstream.streaming.pipeline import (
+    INGEST,
     folder_alerts,
     folder_targets,
     start_parse,
@@ -49,7 +50,9 @@ from tillstream.streaming.pipeline import (
     start_sales,
     text_alerts,
 )
+from tillstream.streaming.progress import ProgressStore, read_progress
 from tillstream.streaming.run import AVAILABLE_NOW, make_folder, run
+from tillstream.streaming.running import start_running_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -343,6 +346,90 @@ def q_stream_sales_per_month_as_written(spark, sf_dir):
     return _streamed_sales(spark, sf_dir, _order_parts, "sales_per_month", mode="as_written")
 
 
+# Longer than the events span, so that nothing is too late.
+REPLAYS = "5000 days"
+
+
+def _across_event_time(
+    spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame], object]
+) -> None:
+    """Parts that each span all dates, so the later ones are late; the last one repeats the rows of the first."""
+    nation, events = table(spark, sf_dir, "nation"), table(spark, sf_dir, "events")
+    part, source = F.pmod(F.col("event_id"), F.lit(PARTS)), f"{folder}/source"
+    for number in range(PARTS):
+        wanted = part == number
+        if number == PARTS - 1:
+            wanted = wanted | (part == 0)
+        events.where(F.coalesce(wanted, F.lit(number == 0))).write.mode("append").parquet(source)
+        start(testdata.event_transactions(file_source(spark, source, events.schema), nation))
+
+
+def q_stream_sales_per_day_late(spark, sf_dir):
+    """Late rows and rows that come again."""
+    return _streamed_sales(spark, sf_dir, _across_event_time, "sales_per_day", replays=REPLAYS)
+
+
+def q_stream_sales_per_month_late(spark, sf_dir):
+    return _streamed_sales(spark, sf_dir, _across_event_time, "sales_per_month", replays=REPLAYS)
+
+
+def _streamed_running(spark, sf_dir, key, parts):
+    folder = scratch_folder(spark, "stream_running")
+    out = f"{folder}/out"
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    parts(
+        spark, sf_dir, folder,
+        lambda rows: start_running_totals(rows, store, f"{folder}/work", key, trigger=AVAILABLE_NOW),
+    )
+    return spark.read.parquet(out).select("transaction_id", key, "running_total")
+
+
+def q_stream_running_totals(spark, sf_dir):
+    return _streamed_running(spark, sf_dir, "product_category", _event_parts)
+
+
+def q_stream_running_day_totals(spark, sf_dir):
+    def parts(spark, sf_dir, folder, start):
+        day = F.to_date("transaction_date")
+        _event_parts(spark, sf_dir, folder, lambda rows: start(rows.withColumn("day", day)))
+
+    return _streamed_running(spark, sf_dir, "day", parts)
+
+
+def q_stream_progress(spark, sf_dir):
+    """What the stored progress of the parsing query adds up to."""
+    folder = scratch_folder(spark, "stream_progress")
+    parsed, progress = f"{folder}/parsed", ProgressStore(spark, f"{folder}/progress", INGEST)
+    make_folder(spark, parsed)
+    spark.streams.addListener(progress)
+    try:
+        _message_parts(
+            spark, sf_dir, folder,
+            lambda messages: progress.wait_for([start_parse(messages, parsed, f"{folder}/checkpoint", AVAILABLE_NOW)]),
+        )
+    finally:
+        spark.streams.removeListener(progress)
+    found = read_progress(spark, f"{folder}/progress")
+    return found.agg(F.sum("messages").alias("messages"), F.sum("rejected").alias("rejected"))
+
+
+def q_bulk_delivery(spark, sf_dir):
+    """Documents sent in bulk requests of which every third one fails at first: what arrived, what was refused."""
+    folder = scratch_folder(spark, "bulk")
+    documents = to_documents(_events(spark, sf_dir))
+    send = file_transport(f"{folder}/sent", refuse='"productQuantity":7,', fail_every=3)
+    send_bulk(documents, send, rejects=f"{folder}/rejects", actions=200)
+    sent = spark.read.text(f"{folder}/sent").where(F.col("value").startswith('{"index"'))
+    doc_id = F.get_json_object("value", "$.index._id").alias("doc_id")
+    arrived = sent.select(doc_id, F.lit("arrived").alias("outcome"))
+    return arrived.unionByName(
+        spark.read.parquet(f"{folder}/rejects").select("doc_id", F.lit("refused").alias("outcome"))
+    )
+
+
 def _streamed_alerts(spark, sf_dir, target):
     folder = scratch_folder(spark, "stream_fraud")
     write = target(f"{folder}/alerts")

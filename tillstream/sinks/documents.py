@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import time
+import uuid
 from collections.abc import Callable, Iterator
-from itertools import islice
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +16,8 @@ from tillstream.schema import DOCUMENT_INDEX, FIELDS, TOPIC
 from tillstream.streaming.run import Trigger, run
 
 BULK_ACTIONS = 1000
+MAX_RETRIES = 5
+RETRY_SECONDS = 0.2
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -26,12 +31,17 @@ def to_documents(df: DataFrame) -> DataFrame:
     return df.select(F.col("transaction_id").alias("doc_id"), body.alias("body"))
 
 
-def to_bulk_lines(documents: DataFrame, index: str = DOCUMENT_INDEX) -> DataFrame:
-    """(value): the action line and the document line of each index request, newline between."""
+def bulk_line(index: str) -> Column:
+    """The action line and the document line of an index request, newline between."""
     action = F.to_json(
         F.struct(F.struct(F.lit(index).alias("_index"), F.col("doc_id").alias("_id")).alias("index"))
     )
-    return documents.select(F.concat_ws("\n", action, F.col("body")).alias("value"))
+    return F.concat_ws("\n", action, F.col("body"))
+
+
+def to_bulk_lines(documents: DataFrame, index: str = DOCUMENT_INDEX) -> DataFrame:
+    """(value): the two lines of each index request."""
+    return documents.select(bulk_line(index).alias("value"))
 
 
 def write_bulk(documents: DataFrame, path: str, index: str = DOCUMENT_INDEX) -> None:
@@ -41,20 +51,85 @@ def write_bulk(documents: DataFrame, path: str, index: str = DOCUMENT_INDEX) ->
 
 def send_bulk(
     documents: DataFrame,
-    send: Callable[[str], None],
+    send: Callable[[str], list[int] | None],
     index: str = DOCUMENT_INDEX,
     actions: int = BULK_ACTIONS,
+    rejects: str | None = None,
+    retries: int = MAX_RETRIES,
+    wait: float = RETRY_SECONDS,
 ) -> None:
     """Call ``send`` on the executors with one bulk body per ``actions`` documents.
 
-    A retried task sends its documents again; they overwrite themselves by id.
+    ``send`` returns a status per document, in order, or None if all were taken. Documents with status 429 or from 500
+    on are sent again, without the others, and so is the whole body if ``send`` fails; what is left after
+    ``retries`` makes the task fail. Documents with another status from 400 on are refused for good: they are stored in
+    ``rejects`` as (doc_id, status, value), and are an error without it. A retried task sends its documents again; they
+    overwrite themselves by id.
     """
 
-    def deliver(rows: Iterator[Row]) -> None:
-        while chunk := list(islice(rows, actions)):
-            send("".join(f"{row.value}\n" for row in chunk))
-
-    to_bulk_lines(documents, index).foreachPartition(deliver)
+    def taken(rows: list[tuple[str, str]]) -> list[tuple[str, int, str]]:
+        """Send some documents; those that are refused."""
+        refused = []
+        for attempt in range(retries + 1):
+            try:
+                statuses = send("".join(f"{value}\n" for _, value in rows))
+            except Exception:
+                if attempt == retries:
+                    raise
+                statuses = [503] * len(rows)
+            results = list(zip(rows, statuses or [200] * len(rows), strict=True))
+            rows = [row for row, status in results if status == 429 or status >= 500]
+            refused += [(i, status, v) for (i, v), status in results if 400 <= status < 500 and status != 429]
+            if not rows:
+                return refused
+            time.sleep(wait * 2**attempt)
+        raise RuntimeError(f"{len(rows)} documents were not taken")
+
+    def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(zip(*(column.to_pylist() for column in batch.columns), strict=True))
+            for at in range(0, len(rows), actions):
+                refused = taken(rows[at:at + actions])
+                if refused and rejects is None:
+                    raise RuntimeError(f"{len(refused)} documents were refused, the first with {refused[0][1]}")
+                ids, statuses, values = zip(*refused, strict=True) if refused else ((), (), ())
+                columns = [pa.array(ids, pa.string()), pa.array(statuses, pa.int32()), pa.array(values, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "status", "value"])
+
+    lines = documents.select("doc_id", bulk_line(index).alias("value"))
+    results = lines.mapInArrow(deliver, "doc_id string, status int, value string").write.mode("overwrite")
+    if rejects is None:
+        results.format("noop").save()
+    else:
+        results.parquet(rejects)
+
+
+def file_transport(folder: str, refuse: str | None = None, fail_every: int = 0) -> Callable[[str], list[int]]:
+    """A stand-in for a document index: a text file per request, in a folder that the executors can open.
+
+    Documents that contain ``refuse`` are refused (400); of every ``fail_every``-th request the later half is not taken
+    (503) and has to come again.
+    """
+    path = folder.removeprefix("file://") if folder.startswith("file://") else folder.removeprefix("file:")
+    requests = []
+
+    def send(body: str) -> list[int]:
+        requests.append(1)
+        lines = body.splitlines(keepends=True)
+        items = list(zip(lines[::2], lines[1::2], strict=True))
+        late = fail_every and len(requests) % fail_every == 0
+        statuses = [
+            400 if refuse and refuse in document else 503 if late and k >= len(items) // 2 else 200
+            for k, (_, document) in enumerate(items)
+        ]
+        os.makedirs(path, exist_ok=True)
+        name = uuid.uuid4().hex
+        with open(f"{path}/.{name}", "w", encoding="utf-8") as out:
+            out.writelines(line for item, status in zip(items, statuses, strict=True) if status == 200 for line in item)
+        os.replace(f"{path}/.{name}", f"{path}/{name}.txt")
+        return statuses
+
+    return send
 
 
 def to_messages(df: DataFrame, *extra: str) -> DataFrame:

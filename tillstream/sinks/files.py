@@ -51,3 +51,11 @@ class Files:
         finally:
             stream.close()
         return True
+
+
+def keep_newest(spark: SparkSession, folder: str, n: int) -> None:
+    """Of the folders ``batch_id=...`` keep the ``n`` with the greatest numbers."""
+    files = Files(spark, folder)
+    ids = sorted(int(name.split("=")[1]) for name in files.names(folder) if name.startswith("batch_id="))
+    for i in ids[:-n]:
+        files.delete(f"{folder}/batch_id={i}")

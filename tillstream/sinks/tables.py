@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -245,11 +245,108 @@ def merge_sql(table: str, staging: str, dialect: str = "postgresql") -> str:
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
+def chunk_writer(
+    send: Callable[[list], None],
+    rows: int = BATCH_ROWS,
+    seconds: float = FLUSH_SECONDS,
+    retries: int = MAX_RETRIES,
+    clock: Callable[[], float] = time.monotonic,
+    sleep: Callable[[float], None] = time.sleep,
+) -> Callable[[Iterable], None]:
+    """A writer of one partition's rows, chunk by chunk.
+
+    A chunk goes out when it has ``rows`` rows or its first row has waited for ``seconds``, whichever comes first;
+    the time is looked at with each row. A failed chunk is sent again up to ``retries`` times, the others are not.
+    """
+
+    def flush(chunk: list) -> None:
+        for attempt in range(retries + 1):
+            try:
+                return send(chunk)
+            except Exception:
+                if attempt == retries:
+                    raise
+                sleep(seconds * 2**attempt)
+
+    def write(partition: Iterable) -> None:
+        chunk, since = [], 0.0
+        for row in partition:
+            if not chunk:
+                since = clock()
+            chunk.append(row)
+            if len(chunk) >= rows or clock() - since >= seconds:
+                flush(chunk)
+                chunk = []
+        if chunk:
+            flush(chunk)
+
+    return write
+
+
+def upsert_sql(table: str, placeholder: str = "%s") -> str:
+    """One statement per row that inserts it or replaces the row of its key."""
+    definition = TABLES[table]
+    names = [name for name, _ in definition.columns]
+    updates = ", ".join(f"{c} = EXCLUDED.{c}" for c in names if c not in definition.keys)
+    return (
+        f"INSERT INTO {table} ({', '.join(names)}) VALUES ({', '.join([placeholder] * len(names))}) "
+        f"ON CONFLICT ({', '.join(definition.keys)}) DO UPDATE SET {updates}"
+    )
+
+
+class ConnectionTables:
+    """Tables in a relational database, written by the executors through Python connections.
+
+    ``connect`` opens a connection (with ``cursor``, ``commit`` and ``close``) and must be importable or a closure. Each
+    partition has one; its rows go out in chunks of BATCH_ROWS or FLUSH_SECONDS, each a transaction of its own. A chunk that
+    fails gets a new connection. A repeated batch writes the same rows again, and no two partitions hold the same key.
+    """
+
+    def __init__(self, connect: Callable[[], object], placeholder: str = "%s", **options):
+        self.connect, self.placeholder, self.options = connect, placeholder, options
+
+    def ensure_tables(self, spark: SparkSession) -> None:
+        connection = self.connect()
+        try:
+            for table in TABLES:
+                connection.cursor().execute(create_table_sql(table))
+            connection.commit()
+        finally:
+            connection.close()
+
+    def upsert(self, df: DataFrame, table: str, batch_id: int, seq: Sequence[str] = ()) -> None:
+        definition = TABLES[table]
+        rows = latest_per_key(df, definition.keys, seq) if seq else df
+        connect, statement = self.connect, upsert_sql(table, self.placeholder)
+        writer, options = chunk_writer, self.options
+
+        def write(partition: Iterable) -> None:
+            open_now = []
+
+            def send(chunk: list) -> None:
+                if not open_now:
+                    open_now.append(connect())
+                try:
+                    open_now[0].cursor().executemany(statement, [tuple(row) for row in chunk])
+                    open_now[0].commit()
+                except Exception:
+                    open_now.pop().close()
+                    raise
+
+            try:
+                writer(send, **options)(partition)
+            finally:
+                for connection in open_now:
+                    connection.close()
+
+        rows.select(*[name for name, _ in definition.columns]).foreachPartition(write)
+
+
 class JdbcTables:
     """Tables in a relational database.
 
-    The executors write a staging table in parallel; the driver then issues a single merge
-    statement. ``execute`` runs one statement and can be replaced, by default it goes through
+    The executors write a staging table of the batch in parallel; the driver then issues a single merge
+    statement and drops it. ``staging`` names the query, so that two queries never share one. ``execute`` runs one statement and can be replaced, by default it goes through
     the JVM's driver manager.
     """
 
@@ -260,10 +357,12 @@ class JdbcTables:
         dialect: str = "postgresql",
         execute: Callable[[SparkSession, str], None] | None = None,
         stage: Callable[[DataFrame, str], None] | None = None,
+        staging: str = "staging",
     ):
         self.url = url
         self.properties = properties
         self.dialect = dialect
+        self.staging = staging
         self._execute = execute or self._execute_jdbc
         self._stage = stage or self._stage_jdbc
 
@@ -278,11 +377,12 @@ class JdbcTables:
         definition = TABLES[table]
         # One row per key: a merge refuses to touch a row twice.
         rows = latest_per_key(df, definition.keys, seq) if seq else df
-        staging = f"{table}_staging"
+        staging = f"{table}_{self.staging}_{batch_id}"
         staged = rows.select(*[name for name, _ in definition.columns])
         self._retry(lambda: self._stage(staged, staging))
         merge = merge_sql(table, staging, self.dialect)
         self._retry(lambda: self._execute(df.sparkSession, merge))
+        self._retry(lambda: self._execute(df.sparkSession, f"DROP TABLE IF EXISTS {staging}"))
 
     @staticmethod
     def _retry(action: Callable[[], None]) -> None:

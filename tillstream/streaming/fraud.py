@@ -2,7 +2,7 @@
 
 Two chained queries. The first takes each micro-batch as a plain DataFrame: alerts inside it come
 from the batch operator (with its cutting of heavy customers), and per customer the first and last
-row go to a ``runs`` folder. The second keeps every customer's last row as state and compares it
+row go to a ``runs`` folder, from which they are deleted when the second query has read them. The second keeps every customer's last row as state and compares it
 with the first row of that customer's next run. So Python sees one row per active customer and
 micro-batch, however many transactions the customer made.
 
@@ -29,6 +29,7 @@ from tillstream.operators.fraud import (
     is_alert,
 )
 from tillstream.operators.latest import order_value
+from tillstream.sinks.files import keep_newest
 from tillstream.streaming.run import AVAILABLE_NOW, Trigger, make_folder, run
 
 WriteAlerts = Callable[[DataFrame, str, int], None]
@@ -199,9 +200,9 @@ def start_fraud_alerts(
         batch = batch.persist()
         try:
             write_alerts(fraud_alerts(batch, seq, max_minutes, ranges), "inside", batch_id)
-            customer_runs(batch, seq).write.mode("overwrite").parquet(
-                f"{folder}/runs/batch_id={batch_id}"
-            )
+            # A repeated batch adds runs that the state knows.
+            runs = customer_runs(batch, seq).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            runs.write.mode("append").parquet(f"{folder}/runs")
         finally:
             batch.unpersist()
 
@@ -210,6 +211,7 @@ def start_fraud_alerts(
         path = f"{folder}/links/batch_id={batch_id}"
         links.write.mode("overwrite").parquet(path)
         write_alerts(spark.read.schema(links.schema).parquet(path), "across", batch_id)
+        keep_newest(spark, f"{folder}/links", 2)
 
     make_folder(spark, f"{folder}/runs")
     inside = run(slim.writeStream.foreachBatch(inside_batch), f"{folder}/inside", trigger)
@@ -220,6 +222,8 @@ def start_fraud_alerts(
     runs = (
         spark.readStream.schema(schema)
         .option("ignoreMissingFiles", "true")
+        # What the state has taken in is deleted.
+        .option("cleanSource", "delete")
         .parquet(f"{folder}/runs")
     )
     alerts = link_runs(runs, order, max_minutes, forget_ms).where(is_alert("previous", "current", max_minutes))

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.kpi import kpi_summary, recent_transactions
+from tillstream.sinks.files import Files, keep_newest
 from tillstream.streaming.run import Trigger, run
 
 _BATCH = "batch_id"
+# The last one is the list; the one before it is what a repeated batch builds on. The others are for open readers.
+KEPT_BATCHES = 5
 
 
 def start_kpi(
@@ -21,6 +24,7 @@ def start_kpi(
 
     def store(figures: DataFrame, batch_id: int) -> None:
         figures.write.mode("overwrite").parquet(f"{folder}/{_BATCH}={batch_id}")
+        keep_newest(figures.sparkSession, folder, KEPT_BATCHES)
 
     figures = kpi_summary(classified, F.col("reason").isNull())
     return run(figures.writeStream.outputMode("complete").foreachBatch(store), checkpoint, trigger)
@@ -41,6 +45,7 @@ def start_recent(
         rows = batch if before is None else batch.unionByName(before)
         newest = recent_transactions(rows, n, seq)
         newest.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_BATCH}={batch_id}")
+        keep_newest(batch.sparkSession, folder, KEPT_BATCHES)
 
     return run(classified.writeStream.foreachBatch(store), checkpoint, trigger)
 
@@ -51,11 +56,7 @@ def read_newest(spark: SparkSession, folder: str) -> DataFrame | None:
 
 
 def _stored(spark: SparkSession, folder: str, before: int | None) -> DataFrame | None:
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    files = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path_of(folder)):
-        return None
-    names = [status.getPath().getName() for status in files.listStatus(path_of(folder))]
+    names = Files(spark, folder).names(folder)
     ids = [int(name.split("=")[1]) for name in names if name.startswith(f"{_BATCH}=")]
     ids = [i for i in ids if before is None or i < before]
     return spark.read.parquet(f"{folder}/{_BATCH}={max(ids)}") if ids else None

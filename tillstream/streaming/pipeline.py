@@ -29,8 +29,11 @@ from tillstream.sources.messages import file_source
 from tillstream.streaming.as_written import start_category_as_written, start_day_as_written
 from tillstream.streaming.fraud import WriteAlerts, start_fraud_alerts
 from tillstream.streaming.headline import start_kpi, start_recent
-from tillstream.streaming.run import Trigger, make_folder, run
+from tillstream.streaming.progress import ProgressStore, Retention
+from tillstream.streaming.run import AVAILABLE_NOW, Trigger, make_folder, run
 
+INGEST = "ingest"
+PARSED_AT = "parsed_at"
 WriteBatch = Callable[[DataFrame, int], None]
 SALES = {
     "sales_per_category": sales_per_category,
@@ -99,14 +102,23 @@ def start_sales(
     tables: FolderTables | JdbcTables,
     checkpoint: str,
     trigger: Trigger = "5 seconds",
+    replays: str | None = None,
     **options,
 ) -> StreamingQuery:
-    """Keep one sales table up to date; a repeated batch writes the same totals again."""
+    """Keep one sales table up to date; a repeated batch writes the same totals again.
+
+    ``replays`` (a time such as ``"7 days"``) counts a transaction that is sent again within that time of event time
+    once, by its id. The ids are state for that long, and a transaction that comes later than that is left out;
+    without ``replays`` each row counts, however late.
+    """
 
     def store(totals: DataFrame, batch_id: int) -> None:
         tables.upsert(totals, table, batch_id)
 
     mode, time_col = options.get("mode", "calendar"), options.get("time_col")
+    if replays:
+        marked = transactions.withWatermark(time_col or "transaction_date", replays)
+        transactions = marked.dropDuplicatesWithinWatermark(["transaction_id"])
     if mode == "as_written" and table in AS_WRITTEN:
         return AS_WRITTEN[table](transactions, store, checkpoint, time_col or "ingest_ts", trigger)
     totals = SALES[table](transactions, **options)
@@ -140,18 +152,20 @@ def start_raw(
 def start_parse(
     messages: DataFrame, folder: str, checkpoint: str, trigger: Trigger = "5 seconds"
 ) -> StreamingQuery:
-    """Parse each message once; counts and the newest date are reported per micro-batch.
+    """Parse each message once; counts and the newest date are reported per micro-batch (as ``INGEST``).
 
-    The message text is kept for rejects only.
+    The message text is kept for rejects only. Each micro-batch has a sub-folder, named by the time it was planned.
     """
     classified = classify_messages(messages).observe(
-        "ingest",
+        INGEST,
         F.count(F.lit(1)).alias("messages"),
         F.count_if(F.col("reason").isNotNull()).alias("rejected"),
         F.max("transaction_date").alias("newest"),
     )
     kept = classified.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
-    writer = kept.writeStream.format("parquet").option("path", folder)
+    # The time of a micro-batch is part of its plan: a repeated one has the same.
+    kept = kept.withColumn(PARSED_AT, F.date_format(F.current_timestamp(), "'t'yyyyMMddHHmmssSSS"))
+    writer = kept.writeStream.partitionBy(PARSED_AT).format("parquet").option("path", folder)
     return run(writer, checkpoint, trigger)
 
 
@@ -163,8 +177,12 @@ def start_pipeline(
     trigger: Trigger = "5 seconds",
     time_col: str = "transaction_date",
     mode: str = "calendar",
+    keep_parsed: bool = False,
 ) -> list[StreamingQuery]:
-    """Start every query; ``folder`` keeps the parsed messages and the checkpoints.
+    """Start every query; ``folder`` keeps the parsed messages, the checkpoints and the counts of each micro-batch.
+
+    Parsed messages are deleted when all queries have taken them in, unless ``keep_parsed``: a query that is added
+    later needs them. ``folder``/progress holds the counts of the parsing query (``read_progress``).
 
     ``messages`` is a stream with ``value`` and the ordering columns ``seq``, which must grow
     with arrival. A later query takes whole commits of the parsing one, never a part of one, so that the order
@@ -176,25 +194,44 @@ def start_pipeline(
     parsed = f"{folder}/parsed"
     targets.tables.ensure_tables(spark)
     make_folder(spark, parsed)
+
+    schema = classify_messages(messages).schema.add(PARSED_AT, "string")
+    progress = ProgressStore(spark, f"{folder}/progress", INGEST)
+    # Other pipelines of the session report, too.
+    readers = {name: f"{name} of {folder}" for name in ("raw", *SALES, "kpi", "recent", "fraud")}
+    retention = Retention(spark, parsed, PARSED_AT, list(readers.values()), f"{folder}/reached.json")
+    observers = [progress] if keep_parsed else [progress, retention]
+    for observer in observers:
+        spark.streams.addListener(observer)
     queries = [start_parse(messages, parsed, f"{folder}/checkpoints/parse", trigger)]
 
-    schema = classify_messages(messages).schema
-    classified = file_source(spark, parsed, schema)
-    transactions = accepted(classified)
-    queries.append(start_raw(classified, targets, f"{folder}/checkpoints/raw", seq, trigger))
+    def classified(name: str) -> DataFrame:
+        rows = file_source(spark, parsed, schema)
+        return rows.observe(readers[name], F.max(PARSED_AT).alias("upto")).drop(PARSED_AT)
+
+    queries.append(start_raw(classified("raw"), targets, f"{folder}/checkpoints/raw", seq, trigger))
     for table in SALES:
         checkpoint = f"{folder}/checkpoints/{table}"
         queries.append(
             start_sales(
-                transactions, table, targets.tables, checkpoint, trigger, time_col=time_col, mode=mode
+                accepted(classified(table)), table, targets.tables, checkpoint, trigger,
+                time_col=time_col, mode=mode,
             )
         )
     headline = f"{folder}/headline"
-    queries.append(start_kpi(classified, f"{headline}/kpi", f"{folder}/checkpoints/kpi", trigger))
     queries.append(
-        start_recent(classified, f"{headline}/recent", f"{folder}/checkpoints/recent", seq, trigger=trigger)
+        start_kpi(classified("kpi"), f"{headline}/kpi", f"{folder}/checkpoints/kpi", trigger)
+    )
+    queries.append(
+        start_recent(
+            classified("recent"), f"{headline}/recent", f"{folder}/checkpoints/recent", seq, trigger=trigger
+        )
     )
     queries += start_fraud_alerts(
-        transactions, targets.alerts, f"{folder}/fraud", seq, trigger
+        accepted(classified("fraud")), targets.alerts, f"{folder}/fraud", seq, trigger
     )
+    if trigger == AVAILABLE_NOW:
+        for observer in observers:
+            observer.wait_for(queries)
+            spark.streams.removeListener(observer)
     return queries
