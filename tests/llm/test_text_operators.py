@@ -106,6 +106,29 @@ def test_quality_thresholds_follow_the_group(spark):
     assert not kept[999] and all(kept[i] for i in range(150)) and all(kept[200 + i] for i in range(150))
 
 
+def test_quality_without_ceilings(spark):
+    """Groups that are uneven or unusual by nature stay, their own outliers go; thresholds come from the sketches."""
+    def text(i, letters, signs=0):
+        return " ".join(f"{i:04}{k:02}".ljust(letters, "x") + " #" * (signs > k % 4) for k in range(40))
+
+    rows = [(i, text(i, 5 + i % 3), "en", "a") for i in range(150)]
+    rows += [(1000 + i, text(1000 + i, 80 + i % 60), "ja", "a") for i in range(150)]  # no blanks between words
+    rows += [(2000 + i, text(2000 + i, 6, i % 5), "en", "tables") for i in range(150)]  # some rows full of signs
+    rows += [(3000 + i, text(3000 + i, 30), "fi", "a") for i in range(5)]  # too few to have thresholds of their own
+    bad = [(5000, text(5000, 40), "en", "a"), (5001, text(5001, 400), "ja", "a"), (5002, "# # # # # # # # " * 9, "en", "a")]
+    df = spark.createDataFrame(rows + bad, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.op2_quality_rules(df).collect()}
+    assert {i for i, k in kept.items() if not k} == {5000, 5001, 5002}
+
+
+def test_quality_thresholds_differ_between_groups(docs):
+    rated = quality.with_counts(docs, "_c_").where(~quality.base_failed("_c_")).withColumns(
+        {"_lang": docs["lang"], "_source": docs["source"], **{f"_{n}": r for n, r in quality.rates("_c_").items()}}
+    )
+    found = quality.thresholds(quality.sketches(rated.na.fill("", ["_lang", "_source"]))).toPandas()
+    assert found["_most_letter_rate"].nunique() > 2 and found["_most_repeat_rate"].nunique() > 1
+
+
 def test_quality_carries_columns(clashing):
     out = quality.judge(clashing)
     assert out.columns.count("kept") == 1 and "ids" in out.columns and out.count() == len(ODD)

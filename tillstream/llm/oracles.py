@@ -32,16 +32,16 @@ def kept_lines(documents: str) -> str:
 
 def quality_verdicts(documents: str) -> str:
     """Common table expressions up to verdicts(doc_id, the counts, base_failed, kept)."""
-    # (least, greatest threshold) of each rule, as the quality rules state them.
-    rules = {"symbol_rate": (50, 300), "line_rate": (300, 700), "repeat_rate": (100, 200), "letter_rate": (120, 400)}
+    # What each rule allows above the group's own 90 per cent quantile, at least.
+    rules = {"symbol_rate": 50, "line_rate": 300, "repeat_rate": 100, "letter_rate": 0}
     space = "[ \\t\\n\\x0B\\f\\r]"
-    levels = {"s": ("l, s, ", 100), "l": ("l, ", 100), "a": ("", 0)}
     fences = []
-    for name, (keys, least) in levels.items():
+    for name, keys in {"s": "l, s, ", "l": "l, ", "a": ""}.items():
         by = keys + "rule"
+        width = "(1 << greatest(length(bin(high)) - 5, 0))"
         picks = ", ".join(
-            f"max(CASE WHEN rule = '{r}' THEN least(greatest(mid + 4 * (high - mid), {a}), {b}) END) AS {r}"
-            for r, (a, b) in rules.items()
+            f"max(CASE WHEN rule = '{r}' THEN high + greatest(16 * {width}, {more}) END) AS {r}"
+            for r, more in rules.items()
         )
         group = f"GROUP BY {keys[:-2]}" if keys else ""
         fences.append(f"""
@@ -51,13 +51,16 @@ def quality_verdicts(documents: str) -> str:
         FROM sketch GROUP BY {by}, bucket
     ),
     limit_{name} AS (
-        SELECT {by}, max(docs) AS docs, min(bucket) FILTER (100 * upto >= 50 * docs) AS mid,
-               min(bucket) FILTER (100 * upto >= 75 * docs) AS high
+        SELECT {by}, max(docs) AS docs, min(bucket) FILTER (100 * upto >= 90 * docs) AS high
         FROM cut_{name} GROUP BY {by}
     ),
-    fence_{name} AS (SELECT {keys}{picks} FROM limit_{name} WHERE docs >= {least} {group})""")
-    fine = " AND ".join(f"r.{r} <= coalesce(fs.{r}, fl.{r}, fa.{r})" for r in rules)
-    long = " UNION ALL ".join(f"SELECT l, s, '{r}' AS rule, {r} AS v FROM rated" for r in rules)
+    fence_{name} AS (SELECT {keys}max(docs) AS docs, {picks} FROM limit_{name} {group})""")
+    fine = " AND ".join(
+        f"r.{r} <= CASE WHEN fs.docs >= 100 THEN fs.{r} WHEN fl.docs >= 100 THEN greatest(fs.{r}, fl.{r}) "
+        f"ELSE greatest(fs.{r}, fl.{r}, fa.{r}) END"
+        for r in rules
+    )
+    long = " UNION ALL ".join(f"SELECT l, s, '{r}' AS rule, {r} AS v FROM rated WHERE NOT base_failed" for r in rules)
     return f"""
     numbered AS (
         SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS l,

@@ -3,9 +3,12 @@
 Every document gets counts (words, symbols, repeated lines and words) and from them whole-number rates. Per language
 and source each rate is summarised by a mergeable quantile sketch: counts in log-linear buckets of a relative
 width of at most 1/16, so that sketches of tasks, sources or days merge by adding counts, and the result never
-depends on order. A rate is too high above median + SPREAD * (upper quartile - median), held within the rule's
-range. Groups of fewer than LEAST_DOCS documents use the sketch of their language, small languages that of
-all documents. The thresholds, one row per group, are then joined to the documents.
+depends on order. Documents that fail the base rule are left out. A rate is too high beyond the group's QUANTILE
+plus a margin: MARGIN widths of that quantile's bucket, which about doubles it, or the rule's allowance if that is
+more. No threshold has a ceiling: a group that is uneven or unusual by nature sets its own. Groups of
+fewer than LEAST_DOCS documents say little about rare values, so they take the greater of their own threshold and
+that of their language, small languages also that of all documents. The thresholds, one row per group, are then
+joined to the documents.
 
 The base rule does not adapt: fewer than 10 words, or over a fifth of the words in repeated five-word windows.
 Null and empty texts have no words and fail it. Null and empty lang or source are one group. Rows are judged
@@ -25,11 +28,12 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEAT = 20  # per cent
-SPREAD = 4
+QUANTILE = 90  # per cent
+MARGIN = 16
 LEAST_DOCS = 100
-# Rate -> least and greatest threshold: symbols per 1000 letters, repeated lines and words per 1000, tenths of
+# Rate -> allowance above the group's quantile: symbols per 1000 letters, repeated lines and words per 1000, tenths of
 # letters per word. Documents at the threshold stay.
-RANGES = {"symbol_rate": (50, 300), "line_rate": (300, 700), "repeat_rate": (100, 200), "letter_rate": (120, 400)}
+ALLOWANCES = {"symbol_rate": 50, "line_rate": 300, "repeat_rate": 100, "letter_rate": 0}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SPACE = " \\t\\n\\x0B\\f\\r"
 
@@ -100,7 +104,7 @@ def base_failed(prefix: str = "") -> Column:
 def sketches(rated: DataFrame) -> DataFrame:
     """(lang, source, rule, bucket, n); sketches merge by adding n."""
     long = rated.select(
-        "_lang", "_source", F.explode(F.create_map(*(x for r in RANGES for x in (F.lit(r), F.col("_" + r))))).alias("rule", "v")
+        "_lang", "_source", F.explode(F.create_map(*(x for r in ALLOWANCES for x in (F.lit(r), F.col("_" + r))))).alias("rule", "v")
     )
     # Only the five highest binary digits count: a bucket is named by its greatest value.
     cut = "greatest(length(bin(v)) - 5, 0)"
@@ -110,33 +114,35 @@ def sketches(rated: DataFrame) -> DataFrame:
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """(lang, source) -> one threshold per rule."""
-    groups = sketch.select("_lang", "_source").distinct()
-    total, own = "sum(n) over (partition by {0}, rule)", "sum(n) over (partition by {0}, rule order by bucket)"
-    found = {}
-    for level, keys in (("source", ["_lang", "_source"]), ("lang", ["_lang"]), ("all", [])):
-        by = ", ".join(keys) or "1"
-        merged = sketch.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
+    own, total = "sum(n) over (partition by {0}, rule order by bucket)", "sum(n) over (partition by {0}, rule)"
+    found = sketch.select("_lang", "_source").distinct()
+    for level, keys in (("source", ["_lang", "_source"]), ("lang", ["_lang"]), ("all", ["_every"])):
+        merged = sketch.withColumn("_every", F.lit(0)).groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
+        by = ", ".join(keys)
         cut = merged.select(
             *keys, "rule", "bucket", F.expr(total.format(by)).alias("docs"), F.expr(own.format(by)).alias("upto")
         )
-        quartile = {
-            q: F.min(F.when(100 * F.col("upto") >= p * F.col("docs"), F.col("bucket"))) for q, p in (("mid", 50), ("high", 75))
-        }
-        limits = cut.groupBy(*keys, "rule").agg(F.max("docs").alias("docs"), *(v.alias(k) for k, v in quartile.items()))
-        fence = F.col("mid") + SPREAD * (F.col("high") - F.col("mid"))
-        limits = limits.where(F.col("docs") >= (LEAST_DOCS if keys else 0)).groupBy(*keys).agg(*(
-            F.max(F.when(F.col("rule") == r, F.least(F.greatest(fence, F.lit(a)), F.lit(b)))).alias(f"{level}_{r}")
-            for r, (a, b) in RANGES.items()
-        ))
-        found[level] = limits
-    joined = (
-        groups.join(found["source"], ["_lang", "_source"], "left").join(found["lang"], ["_lang"], "left")
-        .join(found["all"].withColumn("_one", F.lit(1)), F.lit(1) == F.col("_one"), "left")
-    )
-    return joined.select(
-        "_lang", "_source",
-        *(F.coalesce(*(f"{level}_{r}" for level in ("source", "lang", "all"))).alias(f"_most_{r}") for r in RANGES),
-    )
+        high = F.min(F.when(100 * F.col("upto") >= QUANTILE * F.col("docs"), F.col("bucket"))).alias("high")
+        limits = cut.groupBy(*keys, "rule").agg(F.max("docs").alias("docs"), high)
+        width = F.expr("shiftleft(1L, greatest(length(bin(high)) - 5, 0))")
+        limits = limits.groupBy(*keys).agg(
+            F.max("docs").alias(f"{level}_docs"),
+            *(
+                F.max(F.when(F.col("rule") == r, F.col("high") + F.greatest(MARGIN * width, F.lit(a)))).alias(f"{level}_{r}")
+                for r, a in ALLOWANCES.items()
+            ),
+        )
+        found = found.withColumn("_every", F.lit(0)).join(limits, keys)
+    enough, language = F.col("source_docs") >= LEAST_DOCS, F.col("lang_docs") >= LEAST_DOCS
+
+    def threshold(rule: str) -> Column:
+        by_source, by_lang, by_all = (F.col(f"{level}_{rule}") for level in ("source", "lang", "all"))
+        return (
+            F.when(enough, by_source).when(language, F.greatest(by_source, by_lang))
+            .otherwise(F.greatest(by_source, by_lang, by_all)).alias(f"_most_{rule}")
+        )
+
+    return found.select("_lang", "_source", *map(threshold, ALLOWANCES))
 
 
 def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -149,14 +155,15 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     rated = with_counts(packed, "_c_").withColumns(keys)
     rated = rated.withColumns({"_" + name: rate for name, rate in rates("_c_").items()})
     # Counting is the costly part: it is done once, both the sketches and the verdicts read the table.
-    rated = rated.select("_row", *keys, *("_c_" + c for c in (*COUNTS, "n_lines")), *("_" + r for r in RANGES))
+    rated = rated.select("_row", *keys, *("_c_" + c for c in (*COUNTS, "n_lines")), *("_" + r for r in ALLOWANCES))
     folder = shared_folder(docs.sparkSession, "quality")
     rated = written(rated, f"{folder}/rated")
     # As a table the thresholds have a known size: few groups are broadcast, many are joined by a shuffle.
-    limits = written(thresholds(sketches(rated)), f"{folder}/thresholds")
-    joined = rated.join(limits, ["_lang", "_source"])
+    limits = written(thresholds(sketches(rated.where(~base_failed("_c_")))), f"{folder}/thresholds")
+    # A group whose documents all fail the base rule has no thresholds and needs none.
+    joined = rated.join(limits, ["_lang", "_source"], "left")
     fine = ~base_failed("_c_")
-    for rule in RANGES:
+    for rule in ALLOWANCES:
         fine = fine & (F.col("_" + rule) <= F.col("_most_" + rule))
     return joined.select(
         "_row.*", *(F.col("_c_" + c).alias(c) for c in COUNTS),
