@@ -10,7 +10,8 @@ A word's probability after u is (c(u w) - D(c)) / c(u) + g(u) * p(w), where p(w)
 of different words before w, and mixes with 1 / (V + 1), the unknown word included. After u v it is
 (c(u v w) - D(c)) / c(u v) + g(u v) * p(w | v), where p(w | v) counts, instead of v w, the different words before v w.
 The first token follows one and the second two places before the text. D1, D2 and D3 come from the numbers of
-trigrams, bigrams or continuations counted 1 to 4 times. After an unseen context the next shorter one is used alone.
+trigrams, bigrams or continuations counted 1 to 4 times. After an unseen context the next shorter one is used alone; after
+one of whose words none is discounted, the shorter one counts as one occurrence more, so every score is finite.
 
 Empty and null texts are one end token. Without any training document every token has probability 1 / (V + 1) = 1.
 Word numbers take 32 bits, so a vocabulary of 2^32 words or more is refused; bigram and word number together take 64.
@@ -145,7 +146,10 @@ class Model:
         if level.before:
             there, at = np.unique(place[place >= 0], return_inverse=True)
             count[place >= 0] = dense(level.before, self.block, there, ("before",))[0][at]
-        high = (count - level.discounts[np.minimum(count, 3)] + spread[back] * low) / np.maximum(context, 1)
+        share = spread[back]
+        high = (count - level.discounts[np.minimum(count, 3)] + share * low) / np.maximum(context, 1)
+        # Where no word is discounted, one occurrence more is left to the shorter context: no probability is 0.
+        high = np.where(share > 0, high, (count + low) / (context + 1))
         return np.where(context > 0, high, low)
 
 
