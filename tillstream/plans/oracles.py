@@ -303,6 +303,7 @@ SELECT seq, CASE WHEN reason IS NULL THEN {_literal(text.SUCCESS_LABEL)}
         SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
                CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
         FROM e GROUP BY ALL""",
+    "connection_tables": _PER_MONTH,
     "stream_running_totals": _running("product_category", "product_category"),
     "stream_running_day_totals": _running("CAST(transaction_date AS DATE)", "day"),
     "stream_progress": f"""{_WITH_R}

@@ -34,7 +34,7 @@ from tillstream.operators.sales import (
 from tillstream.schema import COLUMNS
 from tillstream.session import configure, scratch_folder
 from tillstream.sinks.documents import file_transport, send_bulk, to_bulk_lines, to_documents, to_messages
-from tillstream.sinks.tables import FolderTables
+from tillstream.sinks.tables import ConnectionTables, FolderTables, file_connections
 from tillstream.sources import testdata
 from tillstream.sources.messages import file_source
 from tillstream.sources.testdata import LINE_SEQ, PERTURBED_SEQ, table
@@ -430,6 +430,20 @@ def q_bulk_delivery(spark, sf_dir):
     )
 
 
+def q_connection_tables(spark, sf_dir):
+    """Upserts in small chunks through connections of which every third commit breaks at first; a later batch wins."""
+    folder = scratch_folder(spark, "connections")
+    target = ConnectionTables(file_connections(f"{folder}/rows", fail_every=3), "?", rows=5)
+    target.ensure_tables(spark)
+    orders = _orders(spark, sf_dir)
+    for batch_id, part in enumerate((orders.where(F.xxhash64("transaction_id") % 2 == 0), orders)):
+        target.upsert(sales_per_month(part), "sales_per_month", batch_id)
+    rows = spark.read.schema("at bigint, values array<string>").json(f"{folder}/rows")
+    kinds = {"year": "int", "month": "int", "total_sales": "double"}
+    columns = [F.col("values")[k].cast(kind).alias(name) for k, (name, kind) in enumerate(kinds.items())]
+    return latest_per_key(rows.select("at", *columns), ("year", "month"), "at").drop("at")
+
+
 def _streamed_alerts(spark, sf_dir, target):
     folder = scratch_folder(spark, "stream_fraud")
     write = target(f"{folder}/alerts")

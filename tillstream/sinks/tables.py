@@ -7,6 +7,7 @@ leaves the same table.
 from __future__ import annotations
 
 import json
+import os
 import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
@@ -297,9 +298,10 @@ def upsert_sql(table: str, placeholder: str = "%s") -> str:
 class ConnectionTables:
     """Tables in a relational database, written by the executors through Python connections.
 
-    ``connect`` opens a connection (with ``cursor``, ``commit`` and ``close``) and must be importable or a closure. Each
-    partition has one; its rows go out in chunks of BATCH_ROWS or FLUSH_SECONDS, each a transaction of its own. A chunk that
-    fails gets a new connection. A repeated batch writes the same rows again, and no two partitions hold the same key.
+    ``connect`` opens a connection (with ``cursor``, ``commit`` and ``close``) and must be importable or a closure.
+    Each partition has one; its rows go out in chunks of BATCH_ROWS or FLUSH_SECONDS, each a transaction of its own. A
+    chunk that fails gets a new connection. A repeated batch writes the same rows again, and no two partitions hold the
+    same key.
     """
 
     def __init__(self, connect: Callable[[], object], placeholder: str = "%s", **options):
@@ -342,11 +344,52 @@ class ConnectionTables:
         rows.select(*[name for name, _ in definition.columns]).foreachPartition(write)
 
 
+def file_connections(folder: str, fail_every: int = 0) -> Callable[[], object]:
+    """A stand-in for a database: each commit adds a file with lines of (at, values), ``at`` in nanoseconds.
+
+    The folder must be one that the executors can open. Of every ``fail_every`` commits of a task one breaks.
+    """
+    path = folder.removeprefix("file://") if folder.startswith("file://") else folder.removeprefix("file:")
+    commits = []
+
+    def connect() -> object:
+        class Connection:
+            rows = ()
+
+            def cursor(self) -> object:
+                return self
+
+            def execute(self, sql: str) -> None:
+                os.makedirs(path, exist_ok=True)
+
+            def executemany(self, sql: str, rows: list[tuple]) -> None:
+                self.rows = rows
+
+            def commit(self) -> None:
+                commits.append(1)
+                if fail_every and len(commits) % fail_every == 0:
+                    raise OSError("connection lost")
+                if self.rows:
+                    at, name = time.time_ns(), uuid.uuid4().hex
+                    with open(f"{path}/.{name}", "w", encoding="utf-8") as out:
+                        for row in self.rows:
+                            values = [None if value is None else str(value) for value in row]
+                            out.write(json.dumps({"at": at, "values": values}) + "\n")
+                    os.replace(f"{path}/.{name}", f"{path}/{name}.json")
+
+            def close(self) -> None:
+                pass
+
+        return Connection()
+
+    return connect
+
+
 class JdbcTables:
     """Tables in a relational database.
 
-    The executors write a staging table of the batch in parallel; the driver then issues a single merge
-    statement and drops it. ``staging`` names the query, so that two queries never share one. ``execute`` runs one statement and can be replaced, by default it goes through
+    The executors write a staging table of the batch in parallel; the driver then issues a single merge statement
+    and drops it. ``staging`` names the query, so that two queries never share one. ``execute`` runs one statement and can be replaced, by default it goes through
     the JVM's driver manager.
     """
 

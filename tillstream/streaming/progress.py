@@ -1,6 +1,7 @@
 """What queries have done, from their progress events: stored counts, and the deletion of what all readers have taken.
 
-Progress events come after a micro-batch is committed, in order, on a thread of the driver; they do not slow the queries.
+Progress events come after a micro-batch is committed, in order, on a thread of the driver; they do not slow the
+queries.
 """
 
 from __future__ import annotations
@@ -71,8 +72,8 @@ class Retention(Observer):
     """Deletes the parts of a folder that all of its readers have taken in.
 
     ``readers`` are the names under which the readers observe ``upto``, the greatest part they have seen. Parts are
-    sub-folders ``column=value`` whose values ascend in the order they were written, and readers take them in that order. What a
-    reader has reached is kept in a file, so an interrupted driver goes on where it was.
+    sub-folders ``column=value`` whose values ascend in the order they were written, and readers take them in that
+    order. What a reader has reached is kept in a file, so an interrupted driver goes on where it was.
     """
 
     def __init__(self, spark: SparkSession, folder: str, column: str, readers: list[str], state: str):

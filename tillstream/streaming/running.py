@@ -5,8 +5,8 @@ heavy key is no task of its own) and passes on one row per key: what the batch a
 total as state and says what a key had before a batch; the rows of that batch are then stored with their totals. So
 Python sees one row per active key and micro-batch.
 
-A row of a later micro-batch counts as a later arrival; inside a micro-batch ``seq`` decides. Totals travel as exact parts, as
-texts, since a whole number next to a missing one would become a double in pandas.
+A row of a later micro-batch counts as a later arrival; inside a micro-batch ``seq`` decides. Totals travel as exact
+parts, as texts, since a whole number next to a missing one would become a double in pandas.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def start_running_totals(
     trigger: Trigger = "5 seconds",
     ranges: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start both queries; ``store`` gets the transactions with ``running_total`` and a batch id, and must be safe to repeat.
+    """Start both queries; ``store`` gets the transactions with ``running_total`` and a batch id, and is safe to repeat.
 
     ``folder`` keeps the rows between the two, the sums and the checkpoints. What the second query has stored is
     deleted when it goes on to later batches.
