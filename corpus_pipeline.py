@@ -44,7 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and what the contract of the BPE query asks for."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path), "ids")
+    return bpe.digests(bpe.encode_and_decode(docs, path), "ids")
 
 
 STAGES = [
