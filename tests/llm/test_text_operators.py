@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -18,6 +19,7 @@ from tillstream.llm import (
     arrays, bpe, decontaminate, language, line_dedup, ngram_join, ngram_lm, oracles, quality, secret_scan, token_files,
     toxicity,
 )
+from tillstream.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD_BPE, BYTE_BPE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -70,7 +72,7 @@ def key(row):
 
 
 def rows(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=key)
+    return sorted((tuple(r) for r in df.select(*columns or df.columns).collect()), key=key)
 
 
 def texts(df):
@@ -409,6 +411,7 @@ def kneser_ney(train, asked):
             low = (before[w] - dw(before[w])) / n + spare
             c = bigrams[u, w]
             p = (c - db(c) + spread[u] * low) / context[u] if context[u] else low
+            p = p if spread[u] or not context[u] else (c + low) / (context[u] + 1)
             total += np.log10(p)
             base += np.log10((words_seen[w] + 0.1) / (sum(words_seen.values()) + 0.1 * (v + 1)))
         out.append((len(t), sum(w in words_seen for w in t), sum(words_seen.values()), base, total))
@@ -426,6 +429,7 @@ def test_language_model_against_brute_force(request, table, monkeypatch):
     got = sorted((tuple(r) for r in ngram_lm.op10_ngram_lm(df).drop("perplexity").collect()), key=lambda r: (key(r[:1])))
     assert [r[:2] for r in got] == [(i, held(i)) for i, _ in data]
     assert np.allclose(np.array([r[2:] for r in got], float), np.array(want, float), rtol=1e-9)
+    assert np.isfinite([r[-1] for r in got]).all()
 
 
 def test_language_model_is_a_distribution(spark):
@@ -466,7 +470,15 @@ def trigram_scores(train, asked):
         for (u, _), c in counts.items():
             context[u] += c
             spread[u] += cut(c)
-        return lambda u, w, low: (counts[u, w] - cut(counts[u, w]) + spread[u] * low) / context[u] if context[u] else low
+
+        def probability(u, w, low):
+            if not context[u]:
+                return low
+            if not spread[u]:
+                return (counts[u, w] + low) / (context[u] + 1)
+            return (counts[u, w] - cut(counts[u, w]) + spread[u] * low) / context[u]
+
+        return probability
 
     cut, spare = level(before)
     spare = spare / n / (v + 1) or 1 / (n + 1) / (v + 1)
@@ -669,3 +681,54 @@ def test_secret_scan(spark, empty, clashing):
     assert tokens["is_secret"].all() and not out[(out["start"] > 24) & (out["doc_id"] < 900)]["is_secret"].any()
     assert secret_scan.op4_secret_scan(empty).count() == 0
     assert secret_scan.op4_secret_scan(clashing).count() >= 2
+
+
+# Columns whose names the operators use themselves, for all of them
+
+
+@pytest.mark.parametrize("name", ["op3", "op6", "op7", "op8", "op10", "contamination"])
+def test_clashing_columns_change_nothing(odd, clashing, name, spark):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    items = spark.createDataFrame([(1, BASE)], "item_id long, text string")
+    operator = {
+        "op3": language.op3_language_id,
+        "op6": lambda df: bpe.op6_bpe(df, WORD_BPE),
+        "op7": lambda df: token_files.op7_token_files(df, BYTE_BPE),
+        "op8": lambda df: toxicity.score(df, toxicity.train(df, none)),
+        "op10": lambda df: ngram_lm.op10_ngram_lm(df, 3),
+        "contamination": lambda df: decontaminate.contamination(df, items),
+    }[name]
+    plain = operator(odd)
+    assert rows(operator(clashing), *plain.columns) == rows(plain)
+
+
+# Components in several tasks, and one Python stage for ids and text
+
+
+@pytest.mark.parametrize("most", [1_000_000, 7])
+def test_components_against_a_search(spark, most):
+    rnd = random.Random(most)
+    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(30)]
+    near, want = defaultdict(set), {}
+    for a, b in edges:
+        if a != b:
+            near[a].add(b)
+            near[b].add(a)
+    for start in sorted(near):
+        todo = [] if start in want else [start]
+        while todo:
+            node = todo.pop()
+            if node not in want:
+                want[node] = start
+                todo += near[node]
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(5), most)
+    assert dict(map(tuple, found.collect())) == want
+    assert components(spark.createDataFrame([], "a long, b long"), most).collect() == []
+
+
+def test_ids_and_text_in_one_stage(odd, docs):
+    for df in (odd, docs):
+        once = bpe.encode_and_decode(df, WORD_BPE)
+        twice = bpe.decode(bpe.encode(df, WORD_BPE), WORD_BPE)
+        assert rows(once) == rows(twice)
+        assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
