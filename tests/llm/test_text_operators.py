@@ -123,14 +123,6 @@ def test_quality_without_ceilings(spark):
     assert {i for i, k in kept.items() if not k} == {5000, 5001, 5002}
 
 
-def test_quality_thresholds_differ_between_groups(docs):
-    rated = quality.with_counts(docs, "_c_").where(~quality.base_failed("_c_")).withColumns(
-        {"_lang": docs["lang"], "_source": docs["source"], **{f"_{n}": r for n, r in quality.rates("_c_").items()}}
-    )
-    found = quality.thresholds(quality.sketches(rated.na.fill("", ["_lang", "_source"]))).toPandas()
-    assert found["_most_letter_rate"].nunique() > 2 and found["_most_repeat_rate"].nunique() > 1
-
-
 def test_quality_carries_columns(clashing):
     out = quality.judge(clashing)
     assert out.columns.count("kept") == 1 and "ids" in out.columns and out.count() == len(ODD)
