@@ -14,6 +14,7 @@ from tillstream.operators.latest import latest_per_key
 from tillstream.operators.parse import classify_messages, parse_transactions, without_null_literals
 from tillstream.operators.sales import running_totals, sales_per_category, sales_per_day
 from tillstream.schema import COLUMNS
+from tillstream.sources.messages import spread
 
 
 def plan(df):
@@ -107,3 +108,14 @@ def test_recent_messages_are_chosen_before_they_are_parsed(spark, tmp_path):
     assert text.index("from_json") < text.index("TakeOrdered")
     later = recent_transactions(classify_messages(stored), n=5)
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(map(tuple, later.collect()), key=repr)
+
+
+def test_spread_deals_a_single_task_to_all_cores(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/one")
+    one, cores = spark.read.parquet(f"{tmp_path}/one"), spark.sparkContext.defaultParallelism
+    dealt = spread(one)
+    assert one.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+    many = spark.range(0, 1000, 1, cores + 1)
+    assert spread(many) is many
+    assert spread(one.limit(0)).count() == 0

@@ -29,7 +29,7 @@ from tillstream.sinks.documents import (
 )
 from tillstream.sinks.tables import ConnectionTables, FolderTables, JdbcTables
 from tillstream.sources.dims import countries, country_map, customer_countries, products
-from tillstream.sources.messages import KAFKA_SEQ, file_source, kafka_source
+from tillstream.sources.messages import KAFKA_SEQ, file_source, kafka_source, spread
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.headline import read_newest, start_kpi, start_recent
 from tillstream.streaming.pipeline import (
@@ -82,6 +82,7 @@ __all__ = [
     "sales_per_day",
     "sales_per_month",
     "send_bulk",
+    "spread",
     "start_fraud_alerts",
     "start_pipeline",
     "start_kpi",

@@ -36,7 +36,7 @@ from tillstream.session import configure, scratch_folder
 from tillstream.sinks.documents import file_transport, send_bulk, to_bulk_lines, to_documents, to_messages
 from tillstream.sinks.tables import ConnectionTables, FolderTables, file_connections
 from tillstream.sources import testdata
-from tillstream.sources.messages import file_source
+from tillstream.sources.messages import file_source, spread
 from tillstream.sources.testdata import LINE_SEQ, PERTURBED_SEQ, table
 from tillstream.streaming.fraud import start_fraud_alerts
 from tillstream.streaming.headline import read_newest, start_kpi, start_recent
@@ -81,7 +81,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.raw_messages(_events(spark, sf_dir))
+    events = spread(table(spark, sf_dir, "events"))
+    return testdata.raw_messages(testdata.event_transactions(events, table(spark, sf_dir, "nation")))
 
 
 # A stream query reads its table in this many parts, each a micro-batch of a restarted query.

@@ -67,3 +67,12 @@ def file_source(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer tasks than there are cores, dealt out to all of them; any other scan as it is.
+
+    Parsing a message costs several times what sending it does, and one file or one broker partition is one task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
