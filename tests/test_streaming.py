@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import json
 import random
+import threading
 import time
 
 import pandas as pd
@@ -14,7 +15,7 @@ from test_fraud import at, random_rows
 
 from tillstream.operators.fraud import fraud_alerts
 from tillstream.operators.latest import latest_per_key
-from tillstream.operators.parse import parse_transactions
+from tillstream.operators.parse import accepted, parse_transactions
 from tillstream.operators.project import to_sink_columns, transactions_view
 from tillstream.operators.sales import running_totals, sales_per_category, sales_per_day, sales_per_month
 from tillstream.session import scratch_folder
@@ -528,3 +529,36 @@ def test_scratch_folder(spark):
     assert scratch_folder(shared, "x").startswith("hdfs://shared/x-")
     with pytest.raises(ValueError):
         scratch_folder(ClusterSession(), "x")
+
+
+def test_parts_of_events_have_small_files(spark, tmp_path, monkeypatch):
+    """A file is one task of the stream that reads it."""
+    from tillstream.plans import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 10)
+    table = str(tmp_path / "sf")
+    # One sorted file, as the events come.
+    events = spark.range(300).selectExpr("id AS event_id", "id AS user_id", "timestamp'2025-01-01' AS ts",
+                                         "1.0D AS value", "'{}' AS props")
+    events.coalesce(1).write.parquet(f"{table}/events.parquet")
+    spark.createDataFrame([(0, "X")], "n_nationkey int, n_name string").write.parquet(f"{table}/nation.parquet")
+    found = []
+    for parts in (queries._event_parts, queries._across_event_time):
+        folder = str(tmp_path / parts.__name__)
+        parts(spark, table, folder, lambda rows, at=folder: found.append(len(glob.glob(f"{at}/source/*.parquet"))))
+    assert found == [10, 20, 30, 10, 20, 40]
+
+
+def test_raw_keeps_the_text_of_rejects_only(spark, tmp_path, monkeypatch):
+    messages = spark.createDataFrame([('{"a":1}', 0), ("[]", 1), (json.dumps({
+        "transactionId": "t", "productCategory": "c", "customerId": "k", "transactionDate": "2025-01-01T00:00:00Z",
+    }), 2)], "value string, seq long")
+    messages.write.parquet(str(tmp_path / "in"))
+    seen = []
+    monkeypatch.setattr(pipeline, "accepted", lambda df: seen.append(df.collect()) or accepted(df))
+    rows = pipeline.classify_messages(file_source(spark, str(tmp_path / "in"), messages.schema))
+    targets = pipeline.folder_targets(str(tmp_path / "out"))
+    pipeline.start_raw(rows, targets, str(tmp_path / "checkpoint"), ["seq"], AVAILABLE_NOW)
+    [batch] = seen
+    assert {row.seq: row.value for row in batch} == {0: '{"a":1}', 1: "[]", 2: None}
+    assert spark.read.parquet(str(tmp_path / "out" / "rejects")).where("value IS NOT NULL").count() == 2

@@ -87,12 +87,17 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A stream query reads its table in this many parts, each a micro-batch of a restarted query.
 PARTS = 3
+# Rows in a file of events: a file is one task, and a part of a sorted table comes from few of the scan's tasks.
+FILE_ROWS = 20_000
 
 
 def _in_parts(
-    rows: DataFrame, order: Column, folder: str, start: Callable[[DataFrame], object]
+    rows: DataFrame, order: Column, folder: str, start: Callable[[DataFrame], object], file_rows: int = 0
 ) -> None:
-    """Stream the table in parts along ``order``: store a part, run the query on what is new, and so on."""
+    """Stream the table in parts along ``order``: store a part, run the query on what is new, and so on.
+
+    ``file_rows`` bounds the rows of a file (0: no bound), for rows that cost much more to work on than to store.
+    """
     shares = [i / PARTS for i in range(1, PARTS)]
     cuts = rows.agg(F.percentile_approx(order, shares, 1000)).first()[0] or []
     bounds = [None, *sorted(set(cuts)), None]
@@ -101,7 +106,7 @@ def _in_parts(
         above = F.lit(True) if low is None else order > low
         # A row without a position belongs to the first part.
         upto = F.lit(True) if high is None else F.coalesce(order <= high, F.lit(low is None))
-        rows.where(above & upto).write.mode("append").parquet(source)
+        rows.where(above & upto).write.mode("append").option("maxRecordsPerFile", file_rows).parquet(source)
         start(file_source(rows.sparkSession, source, rows.schema))
 
 
@@ -111,7 +116,7 @@ def _event_parts(
     nation = table(spark, sf_dir, "nation")
     _in_parts(
         table(spark, sf_dir, "events"), F.col("event_id"), folder,
-        lambda events: start(testdata.event_transactions(events, nation)),
+        lambda events: start(testdata.event_transactions(events, nation)), FILE_ROWS,
     )
 
 
@@ -361,7 +366,8 @@ def _across_event_time(
         wanted = part == number
         if number == PARTS - 1:
             wanted = wanted | (part == 0)
-        events.where(F.coalesce(wanted, F.lit(number == 0))).write.mode("append").parquet(source)
+        rows = events.where(F.coalesce(wanted, F.lit(number == 0)))
+        rows.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(source)
         start(testdata.event_transactions(file_source(spark, source, events.schema), nation))
 
 

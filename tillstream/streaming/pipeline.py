@@ -134,6 +134,10 @@ def start_raw(
 ) -> StreamingQuery:
     """Raw table, documents and rejects from one pass over each micro-batch."""
 
+    # The text of a message is kept for rejects only.
+    if "value" in classified.columns:
+        classified = classified.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         # Both the table and the index keep the last write per id.
