@@ -432,3 +432,21 @@ def test_bulk_gives_up(transactions):
 
     with pytest.raises(Exception, match="were not taken"):
         send_bulk(to_documents(transactions([{}])), send, retries=2, wait=0)
+
+
+def test_bulk_goes_on_while_documents_wait(transactions, tmp_path):
+    """What was not taken comes again later, at the head of a body; other documents need not wait for it."""
+    folder = str(tmp_path)
+
+    def send(body):
+        number = len(glob.glob(f"{folder}/*"))
+        ids = [json.loads(line)["index"]["_id"] for line in body.splitlines()[::2]]
+        with open(f"{folder}/{number}", "w") as request:
+            json.dump(ids, request)
+        return [503 if number == 0 else 200] * len(ids)
+
+    send_bulk(to_documents(transactions([{}] * 35)).coalesce(1), send, actions=10, wait=1)
+    requests = [json.load(open(f"{folder}/{k}")) for k in range(len(glob.glob(f"{folder}/*")))]
+    assert [len(ids) for ids in requests] == [10, 10, 10, 5, 10]
+    assert requests[4] == requests[0]
+    assert sorted(sum(requests[1:], [])) == sorted(f"t{i}" for i in range(35))

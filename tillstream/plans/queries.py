@@ -426,7 +426,8 @@ def q_stream_progress(spark, sf_dir):
 def q_bulk_delivery(spark, sf_dir):
     """Documents sent in bulk requests of which every third one fails at first: what arrived, what was refused."""
     folder = scratch_folder(spark, "bulk")
-    documents = to_documents(_events(spark, sf_dir))
+    events = spread(table(spark, sf_dir, "events"))
+    documents = to_documents(testdata.event_transactions(events, table(spark, sf_dir, "nation")))
     send = file_transport(f"{folder}/sent", refuse='"productQuantity":7,', fail_every=3)
     send_bulk(documents, send, rejects=f"{folder}/rejects", actions=200)
     sent = spark.read.text(f"{folder}/sent").where(F.col("value").startswith('{"index"'))

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import time
 import uuid
+from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,8 @@ from tillstream.streaming.run import Trigger, run
 BULK_ACTIONS = 1000
 MAX_RETRIES = 5
 RETRY_SECONDS = 0.2
+# Bodies of documents that a task holds back for a later attempt.
+WAITING = 32
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -62,38 +66,52 @@ def send_bulk(
 
     ``send`` returns a status per document, in order, or None if all were taken. Documents with status 429 or from 500
     on are sent again, without the others, and so is the whole body if ``send`` fails; what is left after
-    ``retries`` makes the task fail. Documents with another status from 400 on are refused for good: they are stored in
+    ``retries`` makes the task fail. While they wait for ``wait`` seconds (twice as long with each attempt) other
+    documents go out; then they lead the next body, and new ones fill it up. A task stops to wait when ``WAITING`` bodies
+    are held back or nothing else is left. Documents with another status from 400 on are refused for good: they are stored in
     ``rejects`` as (doc_id, status, value), and are an error without it. A retried task sends its documents again; they
     overwrite themselves by id.
     """
 
-    def taken(rows: list[tuple[str, str]]) -> list[tuple[str, int, str]]:
-        """Send some documents; those that are refused."""
-        refused = []
-        for attempt in range(retries + 1):
+    def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = chain.from_iterable(zip(*(column.to_pylist() for column in b.columns), strict=True) for b in batches)
+        # What was not taken, by the number of attempts so far: (when to send it again, document).
+        late = [deque() for _ in range(retries + 1)]
+        while True:
+            body = []
+            for attempt in range(retries, 0, -1):
+                while late[attempt] and len(body) < actions and late[attempt][0][0] <= time.monotonic():
+                    body.append((attempt, late[attempt].popleft()[1]))
+            if sum(map(len, late)) < WAITING * actions:
+                body += ((0, row) for row in islice(rows, actions - len(body)))
+            if not body:
+                due = [waiting[0][0] for waiting in late if waiting]
+                if not due:
+                    return
+                time.sleep(max(min(due) - time.monotonic(), 0))
+                continue
             try:
-                statuses = send("".join(f"{value}\n" for _, value in rows))
+                statuses = send("".join(f"{value}\n" for _, (_, value) in body)) or [200] * len(body)
             except Exception:
-                if attempt == retries:
+                if any(attempt == retries for attempt, _ in body):
                     raise
-                statuses = [503] * len(rows)
-            results = list(zip(rows, statuses or [200] * len(rows), strict=True))
-            rows = [row for row, status in results if status == 429 or status >= 500]
-            refused += [(i, status, v) for (i, v), status in results if 400 <= status < 500 and status != 429]
-            if not rows:
-                return refused
-            time.sleep(wait * 2**attempt)
-        raise RuntimeError(f"{len(rows)} documents were not taken")
-
-    def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = list(zip(*(column.to_pylist() for column in batch.columns), strict=True))
-            for at in range(0, len(rows), actions):
-                refused = taken(rows[at:at + actions])
-                if refused and rejects is None:
+                statuses = [503] * len(body)
+            refused, given_up = [], 0
+            for (attempt, row), status in zip(body, statuses, strict=True):
+                if status == 429 or status >= 500:
+                    if attempt == retries:
+                        given_up += 1
+                    else:
+                        late[attempt + 1].append((time.monotonic() + wait * 2**attempt, row))
+                elif status >= 400:
+                    refused.append((row[0], status, row[1]))
+            if given_up:
+                raise RuntimeError(f"{given_up} documents were not taken")
+            if refused:
+                if rejects is None:
                     raise RuntimeError(f"{len(refused)} documents were refused, the first with {refused[0][1]}")
-                ids, statuses, values = zip(*refused, strict=True) if refused else ((), (), ())
-                columns = [pa.array(ids, pa.string()), pa.array(statuses, pa.int32()), pa.array(values, pa.string())]
+                ids, codes, values = zip(*refused, strict=True)
+                columns = [pa.array(ids, pa.string()), pa.array(codes, pa.int32()), pa.array(values, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "status", "value"])
 
     lines = documents.select("doc_id", bulk_line(index).alias("value"))
