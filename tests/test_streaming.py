@@ -562,3 +562,21 @@ def test_raw_keeps_the_text_of_rejects_only(spark, tmp_path, monkeypatch):
     [batch] = seen
     assert {row.seq: row.value for row in batch} == {0: '{"a":1}', 1: "[]", 2: None}
     assert spark.read.parquet(str(tmp_path / "out" / "rejects")).where("value IS NOT NULL").count() == 2
+
+
+def test_running_parts_are_joined_in_place(spark, transactions):
+    """One row per piece is broadcast, whatever its size on paper; a stream's batches are not planned again."""
+    from tillstream.operators.sales import running_parts
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = transactions([{"customer_id": f"c{i % 3}"} for i in range(20)])
+        df = running_parts(rows, "customer_id", "seq", "total_amount", 4)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -139,7 +139,8 @@ def running_parts(
         "k",
         *(F.sum(part).over(earlier).alias(f"_c{part}") for part in _PARTS),
     )
-    carried = carried.where(F.col("_next").isNotNull())
+    # One row per piece at most; its size on paper grows with the rows, and a stream has no second look at it.
+    carried = F.broadcast(carried.where(F.col("_next").isNotNull()))
     joined = rows.join(
         carried, (F.col(PIECE) == F.col("_next")) & F.col(key).eqNullSafe(F.col("k")), "left"
     )
