@@ -450,3 +450,33 @@ def test_bulk_goes_on_while_documents_wait(transactions, tmp_path):
     assert [len(ids) for ids in requests] == [10, 10, 10, 5, 10]
     assert requests[4] == requests[0]
     assert sorted(sum(requests[1:], [])) == sorted(f"t{i}" for i in range(35))
+
+
+def test_rows_of_single_folders_stay_in_place(spark, tmp_path):
+    """Batches with one row per key are not grouped again: older ones lose the keys of newer ones, null keys too."""
+    target = FolderTables(str(tmp_path))
+    schema = "year int, month int, total_sales double, seq int"
+
+    def store(batch_id, rows, **options):
+        target.upsert(spark.createDataFrame(rows, schema), "sales_per_month", batch_id, **options)
+
+    def stored():
+        return sorted(map(tuple, target.read(spark, "sales_per_month").collect()), key=repr)
+
+    def plan(now):
+        return target._latest(spark, "sales_per_month", now)._jdf.queryExecution().executedPlan().toString()
+
+    store(0, [(2000, None, 1.0, 1), (2000, None, 2.0, 2), (2000, 1, 3.0, 1)], seq=["seq"])
+    only = plan(target.snapshot(spark, "sales_per_month"))
+    assert "Window" not in only and "Exchange" not in only
+    store(1, [(2000, None, 4.0, 1), (2001, 1, 5.0, 1), (2001, 1, 6.0, 2)], seq=["seq"])
+    want = sorted([(2000, None, 4.0), (2000, 1, 3.0), (2001, 1, 6.0)], key=repr)
+    assert stored() == want and "Window" not in plan(target.snapshot(spark, "sales_per_month"))
+    target.compact(spark, "sales_per_month")
+    assert stored() == want and "Window" not in plan(target.snapshot(spark, "sales_per_month"))
+    # Rows that were stored as they came may repeat a key.
+    target.upsert(spark.createDataFrame([(2000, 1, 7.0)] * 2, "year int, month int, total_sales double"),
+                  "sales_per_month", 2)
+    assert stored() == sorted([(2000, None, 4.0), (2000, 1, 7.0), (2001, 1, 6.0)], key=repr)
+    text = json.dumps({"version": 1, "schema": "", "base": None, "merged": -1, "batches": {}, "old": []})
+    assert tables.Snapshot.of(text).single == ()

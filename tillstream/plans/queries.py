@@ -134,8 +134,9 @@ def _line_parts(
     spark: SparkSession, sf_dir: str, folder: str, start: Callable[[DataFrame], object]
 ) -> None:
     part = table(spark, sf_dir, "part")
+    lines = table(spark, sf_dir, "lineitem").select(*testdata.LINE_COLUMNS)
     _in_parts(
-        table(spark, sf_dir, "lineitem"), F.unix_micros(F.col("l_shipdate").cast("timestamp")), folder,
+        lines, F.unix_micros(F.col("l_shipdate").cast("timestamp")), folder,
         lambda lines: start(testdata.line_transactions(lines, part)),
     )
 
@@ -478,10 +479,16 @@ def q_stream_latest_transactions(spark, sf_dir):
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = to_sink_columns(batch, *LINE_SEQ)
-        tables.upsert(rows, "transactions", batch_id, LINE_SEQ)
-        if batch_id == 1:
+        if batch_id != 1:
+            return tables.upsert(rows, "transactions", batch_id, LINE_SEQ)
+        # Both writes start from the same rows, which are joined and shuffled once.
+        rows = latest_per_key(rows, "transaction_id", LINE_SEQ).persist()
+        try:
+            tables.upsert(rows, "transactions", batch_id, LINE_SEQ)
             tables.compact(spark, "transactions")
             tables.upsert(rows, "transactions", batch_id, LINE_SEQ)
+        finally:
+            rows.unpersist()
 
     _line_parts(
         spark, sf_dir, folder,

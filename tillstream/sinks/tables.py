@@ -12,8 +12,9 @@ import time
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,6 +28,8 @@ MAX_RETRIES = 5
 FLUSH_SECONDS = 0.2
 GRACE_SECONDS = 600.0
 KEPT_VERSIONS = 20
+# Up to so many folders the older ones are joined with the keys of the newer ones; more of them are grouped together.
+JOINED_FOLDERS = 3
 
 
 @dataclass(frozen=True)
@@ -34,7 +37,8 @@ class Snapshot:
     """What a table consists of: a merged folder, and a folder for each later batch.
 
     ``merged`` is the last batch whose rows are in ``base``. ``old`` are folders of earlier snapshots that a
-    reader may still have open, with the time (in seconds) they were replaced.
+    reader may still have open, with the time (in seconds) they were replaced. ``single`` are the folders with one row
+    per key.
     """
 
     version: int = 0
@@ -43,9 +47,11 @@ class Snapshot:
     merged: int = -1
     batches: dict[int, str] = field(default_factory=dict)
     old: tuple[tuple[float, str], ...] = ()
+    single: tuple[str, ...] = ()
 
     def folders(self) -> list[str]:
-        return [*([self.base] if self.base else []), *self.batches.values()]
+        """Later batches come later."""
+        return [*([self.base] if self.base else []), *(self.batches[b] for b in sorted(self.batches))]
 
     def text(self) -> str:
         return json.dumps(asdict(self))
@@ -54,7 +60,8 @@ class Snapshot:
     def of(text: str) -> Snapshot:
         found = json.loads(text)
         batches = {int(k): v for k, v in found.pop("batches").items()}
-        return Snapshot(**found | {"batches": batches, "old": tuple(map(tuple, found["old"]))})
+        old, single = tuple(map(tuple, found["old"])), tuple(found.get("single", ()))
+        return Snapshot(**found | {"batches": batches, "old": old, "single": single})
 
 
 class FolderTables:
@@ -106,24 +113,26 @@ class FolderTables:
             if batch_id <= now.merged:
                 return replace(now, old=(*now.old, (self.clock(), folder)))
             gone = [(self.clock(), now.batches[batch_id])] if batch_id in now.batches else []
-            return replace(now, schema=schema, batches=now.batches | {batch_id: folder}, old=(*now.old, *gone))
+            single = (*now.single, folder) if seq else now.single
+            batches = now.batches | {batch_id: folder}
+            return replace(now, schema=schema, batches=batches, old=(*now.old, *gone), single=single)
 
         self._commit(spark, table, stored)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The table; a ValueError if nothing was ever stored."""
-        rows = self._rows(spark, table, self.snapshot(spark, table))
+        rows = self._latest(spark, table, self.snapshot(spark, table))
         if rows is None:
             raise ValueError(f"nothing is stored in {self.path(table)}")
-        return latest_per_key(rows, self.tables[table].keys, BATCH).drop(BATCH)
+        return rows.drop(BATCH)
 
     def read_before(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame | None:
         """The table as it was before a batch; None if nothing was stored. For targets that build on it."""
         now = self.snapshot(spark, table)
         if batch_id <= now.merged:
             raise ValueError(f"batch {batch_id} of {self.path(table)} is merged with later ones")
-        rows = self._rows(spark, table, replace(now, batches={b: f for b, f in now.batches.items() if b < batch_id}))
-        return None if rows is None else latest_per_key(rows, self.tables[table].keys, BATCH).drop(BATCH)
+        rows = self._latest(spark, table, replace(now, batches={b: f for b, f in now.batches.items() if b < batch_id}))
+        return None if rows is None else rows.drop(BATCH)
 
     def read_batch(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
         """What one batch stored; it must not be merged yet."""
@@ -151,11 +160,10 @@ class FolderTables:
         taken = {b: f for b, f in now.batches.items() if b < batch_id}
         if not taken:
             return
-        rows = self._rows(spark, table, replace(now, batches=taken))
+        rows = self._latest(spark, table, replace(now, batches=taken))
         folder = f"base-{uuid.uuid4().hex}"
-        keys = self.tables[table].keys
         # Sorted by the first key, so that a reader of some of its values skips the rest.
-        merged = latest_per_key(rows, keys, BATCH).sortWithinPartitions(keys[0])
+        merged = rows.sortWithinPartitions(self.tables[table].keys[0])
         merged.write.parquet(f"{self.path(table)}/{folder}")
 
         def stored(then: Snapshot) -> Snapshot:
@@ -167,10 +175,32 @@ class FolderTables:
             gone += [f for b, f in then.batches.items() if b in taken]
             left = {b: f for b, f in then.batches.items() if b not in taken}
             old = (*then.old, *((self.clock(), f) for f in gone))
-            return replace(then, base=folder, merged=max(taken), batches=left, old=old)
+            return replace(then, base=folder, merged=max(taken), batches=left, old=old, single=(*then.single, folder))
 
         self._commit(spark, table, stored)
 
+    def _latest(self, spark: SparkSession, table: str, now: Snapshot) -> DataFrame | None:
+        """The newest batch's row per key, with its number.
+
+        A folder with one row per key only loses the keys of later folders: the newest folder stays where it is, and the
+        later ones send their keys.
+        """
+        folders, keys = now.folders(), self.tables[table].keys
+        if len(folders) > JOINED_FOLDERS or not set(folders) <= set(now.single):
+            rows = self._rows(spark, table, now)
+            return None if rows is None else latest_per_key(rows, keys, BATCH)
+        parts = [self._rows(spark, table, replace(now, base=folder, batches={})) for folder in folders]
+        later, found = None, []
+        for part in reversed(parts):
+            own = part.select(*(F.col(key).alias(f"_later_{key}") for key in keys))
+            if later is not None:
+                same = [F.col(key).eqNullSafe(F.col(f"_later_{key}")) for key in keys]
+                # Keys take far more memory than their files say: they are no matter for a broadcast by size.
+                part = part.join(later.hint("merge"), reduce(Column.__and__, same), "left_anti")
+            found.append(part)
+            later = own if later is None else later.unionAll(own)
+        return reduce(DataFrame.unionAll, found) if found else None
+
     def _rows(self, spark: SparkSession, table: str, now: Snapshot) -> DataFrame | None:
         folders = [f"{self.path(table)}/{folder}" for folder in now.folders()]
         if not folders:
@@ -207,7 +237,8 @@ class FolderTables:
             for folder in due:
                 files.delete(f"{self.path(table)}/{folder}")
             new = change(now)
-            new = replace(new, version=version, old=tuple(x for x in new.old if x[1] not in due))
+            single = tuple(folder for folder in new.single if folder in new.folders())
+            new = replace(new, version=version, old=tuple(x for x in new.old if x[1] not in due), single=single)
             if files.create(self._manifest(table, version), new.text()):
                 break
         for old in versions:

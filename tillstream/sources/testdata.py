@@ -15,6 +15,10 @@ from tillstream.schema import COLUMNS, FIELDS
 from tillstream.sources import dims
 
 LINE_SEQ = ("seq_date", "seq_part", "seq_supplier")
+# What line_transactions takes of lineitem.
+LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
+)
 PERTURBED_SEQ = ("seq", "seq_tie")
 # Number of message variants; those not named in raw_messages are ordinary messages.
 VARIANTS = 32
