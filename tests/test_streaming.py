@@ -564,6 +564,30 @@ def test_raw_keeps_the_text_of_rejects_only(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "out" / "rejects")).where("value IS NOT NULL").count() == 2
 
 
+def test_readers_run_together(spark, tmp_path, monkeypatch):
+    """With a trigger that ends by itself several readers of the parsed messages are at work at a time."""
+    together = threading.Barrier(pipeline.TOGETHER, timeout=60)
+
+    def first_four(name, many=False):
+        def start(*args, **kwargs):
+            if name in ("raw", "sales"):
+                together.wait()
+            return [name] if many else name
+
+        return start
+
+    monkeypatch.setattr(pipeline, "start_parse", lambda *args: "parse")
+    for name in ("raw", "sales", "kpi", "recent"):
+        monkeypatch.setattr(pipeline, f"start_{name}", first_four(name))
+    monkeypatch.setattr(pipeline, "start_fraud_alerts", first_four("fraud", many=True))
+    monkeypatch.setattr(progress.Observer, "wait_for", lambda self, queries: None)
+    (tmp_path / "in").mkdir()
+    messages = file_source(spark, str(tmp_path / "in"), "value string, seq long")
+    targets = pipeline.folder_targets(str(tmp_path / "out"))
+    queries = pipeline.start_pipeline(messages, targets, str(tmp_path / "work"), trigger=AVAILABLE_NOW)
+    assert queries == ["parse", "raw", "sales", "sales", "sales", "kpi", "recent", "fraud"]
+
+
 def test_running_parts_are_joined_in_place(spark, transactions):
     """One row per piece is broadcast, whatever its size on paper; a stream's batches are not planned again."""
     from tillstream.operators.sales import running_parts

@@ -12,7 +12,9 @@ queries stream from that folder and read only the columns they need:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ from tillstream.streaming.run import AVAILABLE_NOW, Trigger, make_folder, run
 
 INGEST = "ingest"
 PARSED_AT = "parsed_at"
+# Readers of the parsed messages that run at the same time when they read what is there and stop.
+TOGETHER = 4
 WriteBatch = Callable[[DataFrame, int], None]
 SALES = {
     "sales_per_category": sales_per_category,
@@ -213,27 +217,31 @@ def start_pipeline(
         rows = file_source(spark, parsed, schema)
         return rows.observe(readers[name], F.max(PARSED_AT).alias("upto")).drop(PARSED_AT)
 
-    queries.append(start_raw(classified("raw"), targets, f"{folder}/checkpoints/raw", seq, trigger))
-    for table in SALES:
-        checkpoint = f"{folder}/checkpoints/{table}"
-        queries.append(
-            start_sales(
-                accepted(classified(table)), table, targets.tables, checkpoint, trigger,
-                time_col=time_col, mode=mode,
-            )
-        )
+    def raw() -> list[StreamingQuery]:
+        return [start_raw(classified("raw"), targets, f"{folder}/checkpoints/raw", seq, trigger)]
+
+    def sales(table: str) -> list[StreamingQuery]:
+        rows, checkpoint = accepted(classified(table)), f"{folder}/checkpoints/{table}"
+        return [start_sales(rows, table, targets.tables, checkpoint, trigger, time_col=time_col, mode=mode)]
+
     headline = f"{folder}/headline"
-    queries.append(
-        start_kpi(classified("kpi"), f"{headline}/kpi", f"{folder}/checkpoints/kpi", trigger)
-    )
-    queries.append(
-        start_recent(
-            classified("recent"), f"{headline}/recent", f"{folder}/checkpoints/recent", seq, trigger=trigger
-        )
-    )
-    queries += start_fraud_alerts(
-        accepted(classified("fraud")), targets.alerts, f"{folder}/fraud", seq, trigger
-    )
+
+    def kpi() -> list[StreamingQuery]:
+        return [start_kpi(classified("kpi"), f"{headline}/kpi", f"{folder}/checkpoints/kpi", trigger)]
+
+    def recent() -> list[StreamingQuery]:
+        checkpoint = f"{folder}/checkpoints/recent"
+        return [start_recent(classified("recent"), f"{headline}/recent", checkpoint, seq, trigger=trigger)]
+
+    def fraud() -> list[StreamingQuery]:
+        return start_fraud_alerts(accepted(classified("fraud")), targets.alerts, f"{folder}/fraud", seq, trigger)
+
+    starts = [raw, *(partial(sales, table) for table in SALES), kpi, recent, fraud]
+    # A query that ends by itself keeps its thread until then: one fills the cores that another leaves idle, as it
+    # is with a live trigger.
+    with ThreadPoolExecutor(TOGETHER if trigger == AVAILABLE_NOW else 1) as pool:
+        for started in pool.map(lambda start: start(), starts):
+            queries += started
     if trigger == AVAILABLE_NOW:
         for observer in observers:
             observer.wait_for(queries)
