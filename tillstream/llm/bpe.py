@@ -33,6 +33,8 @@ from tillstream.llm.words import by_chunk, id_and_bytes
 
 CHUNK_BYTES = 2 << 20
 DECODED_IDS = 1 << 20
+# Between the words of the constant vocabulary, and in the place of an id that has no word.
+SEPARATOR, MISSING = "\0", "\1"
 CACHED_PIECES = 120_000
 FINAL = 256  # added to the byte that ends a word
 NEVER = np.int64(1) << 40
@@ -319,24 +321,18 @@ def vocabulary(strings: dict[int, str]) -> pa.Array:
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """All columns and decoded, the text of ``ids``; null ids decode to null, an unknown id is an error."""
-    strings = encoded.sparkSession.sparkContext.broadcast(Codec(path).strings)
-    encoded = encoded.drop("decoded")
-    schema = T.StructType([*encoded.schema, T.StructField("decoded", T.StringType())])
-    at = encoded.columns.index("ids")
+    """All columns and decoded, the text of ``ids``; null ids decode to null, an unknown id is an error.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(strings.value)
-        for batch in batches:
-            sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-            part = np.cumsum(sizes, dtype=np.int64) // DECODED_IDS
-            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
-            for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True):
-                rows = batch.slice(a, b - a)
-                texts = joined(rows.column(at), words)
-                yield pa.RecordBatch.from_arrays([*rows.columns, texts], schema.names)
-
-    return encoded.mapInArrow(run, schema)
+    The vocabulary is one constant array, so the ids need no Python stage of their own.
+    """
+    strings = Codec(path).strings
+    if any(SEPARATOR in word or word == MISSING for word in strings.values()):
+        raise ValueError("a word of the vocabulary has the sign of a separator")
+    known = [strings.get(i, MISSING) for i in range(max(strings) + 1)]
+    words = F.split(F.lit(SEPARATOR.join(known)), SEPARATOR)
+    unknown = F.raise_error(F.lit("an id that is null or not in the vocabulary")).cast("string")
+    texts = F.transform("ids", lambda i: F.coalesce(F.nullif(F.get(words, i), F.lit(MISSING)), unknown))
+    return encoded.drop("decoded").withColumn("decoded", F.array_join(texts, " "))
 
 
 def joined(ids: pa.ListArray, words: pa.Array) -> pa.Array:
@@ -364,4 +360,4 @@ def digests(encoded: DataFrame, *more: str) -> DataFrame:
 
 
 def op6_bpe(docs: DataFrame, path: str) -> DataFrame:
-    return digests(encode_and_decode(docs, path))
+    return digests(decode(encode(docs, path), path))
