@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -19,6 +20,7 @@ from tillstream.llm import (
     arrays, bpe, decontaminate, language, line_dedup, ngram_join, ngram_lm, oracles, quality, secret_scan, token_files,
     toxicity,
 )
+from tillstream.llm import words as words_of
 from tillstream.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -503,6 +505,67 @@ def test_trigram_model_without_training(spark, empty):
     assert ngram_lm.op10_ngram_lm(empty, 3).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_files_are_small(spark, monkeypatch, tmp_path, order):
+    folders = []
+
+    def folder(_, name):
+        folders.append(f"{tmp_path}/{name}")
+        os.makedirs(folders[-1])
+        return folders[-1]
+
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(ngram_lm, "BLOCK", 1_000)
+    data = [(i, " ".join(f"w{w}" for w in rng.integers(0, 2_000, 400))) for i in range(100)]
+    df = spark.createDataFrame([*data, (-1, "one more " * 1_000)], "doc_id long, text string")
+    monkeypatch.setattr(arrays, "shared_folder", folder)
+    model = ngram_lm.train(df, order)
+    for level in model.levels:
+        files = os.listdir(level.grams.folder)
+        taken = sum(os.path.getsize(f"{level.grams.folder}/{f}") for f in files)
+        assert taken < 5.5 * len(level.grams)  # 10 bytes before, as one count is over 255
+    stats = [f"{f}/{n}" for f in folders if "stats" in f or "pairs" in f for n in os.listdir(f)]
+    assert max(os.path.getsize(f) for f in stats) < 1_300
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    name, session = arrays._CLEANUP, spark.newSession()
+    assert session.conf.get(name, "false") == "false"
+    with pytest.raises(ZeroDivisionError), arrays.shuffles_dropped(session):
+        assert session.conf.get(name) == "true"
+        1 / 0  # noqa: B018
+    assert session.conf.get(name, "false") == "false"
+
+
+@pytest.mark.parametrize("bits", [5, 32, 33, 38, 47, 64])
+def test_narrow_keys_are_found(tmp_path, bits):
+    rng = np.random.default_rng(bits)
+    numbers = np.unique(rng.integers(0, 1 << bits, 20_000, np.uint64))
+    keys = np.sort(words_of.mix_bits(numbers, bits))
+    assert (np.sort(words_of.unmix_bits(keys, bits)) == numbers).all()
+    counts = rng.integers(1, 300, len(keys))
+    held = np.sort(rng.permutation(len(keys))[: len(keys) // 2 + 1])
+    arrays.save_keys(f"{tmp_path}/0.keys", keys[held], bits)
+    arrays.save_small(f"{tmp_path}/0.counts", counts[held])
+    found = arrays.HashArrays(str(tmp_path), {0: len(held)}, 1, bits)
+    for asked in (keys, keys[:3], keys[-1:], keys[:0]):
+        place, count = found.find(asked)
+        inside = np.isin(asked, keys[held])
+        assert (place >= 0).tolist() == inside.tolist()
+        assert (found.keys_at(place[inside]) == asked[inside]).all()
+        assert (count == np.where(inside, counts[: len(keys)][np.searchsorted(keys, asked)], 0)).all()
+    everything = found.shard(0).all()
+    assert (everything[0] == keys[held]).all() and (everything[1] == counts[held]).all()
+
+
+@pytest.mark.parametrize("values", [[0], [5], [0, 1, 1 << 63], [3 << 20, 5 << 20, 1 << 40], [(1 << 64) - 1]])
+def test_packed_numbers_come_back(values):
+    numbers = np.array(values, np.uint64)
+    assert arrays.unpacked(arrays.packed(numbers)).tolist() == values
+    small = np.array([v % 70_000 for v in values])
+    assert arrays.unpacked_counts(arrays.packed_counts(small)).tolist() == small.tolist()
+
+
 # Decontamination
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tillstream.llm import arrays
 from tillstream.llm.arrays import HashArrays
 from tillstream.llm.words import (
-    CHUNK_WORDS, WordHashes, by_chunk, held_out, id_and_bytes, mix, starts_of, sums_by, text_bytes, unmix
+    CHUNK_WORDS, WordHashes, by_chunk, held_out, id_and_bytes, mix_bits, starts_of, sums_by, text_bytes, unmix_bits
 )
 
 END = b""  # no word is empty
@@ -63,21 +63,28 @@ def contexts(ids: np.ndarray, starts: np.ndarray, begin: int) -> np.ndarray:
     return before
 
 
-def gram_keys(before: np.ndarray, ids: np.ndarray, bits: int = 32) -> np.ndarray:
-    return mix((before.astype(np.uint64) << np.uint64(bits)) | ids.astype(np.uint64))
+@dataclass
+class Pair:
+    """How a context and a word number make a key: the bits they take, so that keys are sent and stored in few bytes."""
+
+    word: int
+    both: int
 
+    def keys(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return mix_bits((before.astype(np.uint64) << np.uint64(self.word)) | ids.astype(np.uint64), self.both)
 
-def split_keys(keys: np.ndarray, bits: int = 32) -> tuple[np.ndarray, np.ndarray]:
-    """Context and word numbers of the keys."""
-    pair = unmix(keys)
-    return (pair >> np.uint64(bits)).astype(np.int64), (pair & np.uint64((1 << bits) - 1)).astype(np.int64)
+    def split(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and word numbers of the keys."""
+        pair = unmix_bits(keys, self.both)
+        word = pair & np.uint64((1 << self.word) - 1)
+        return (pair >> np.uint64(self.word)).astype(np.int64), word.astype(np.int64)
 
 
-def found_grams(before: np.ndarray, ids: np.ndarray, grams: HashArrays, bits: int = 32) -> tuple[np.ndarray, np.ndarray]:
+def found_grams(before: np.ndarray, ids: np.ndarray, grams: HashArrays, pair: Pair) -> tuple[np.ndarray, np.ndarray]:
     """Place (-1 if unknown) and count of each context and token."""
     place, count = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
     known = (ids >= 0) & (before >= 0)
-    keys, back = np.unique(gram_keys(before[known], ids[known], bits), return_inverse=True)
+    keys, back = np.unique(pair.keys(before[known], ids[known]), return_inverse=True)
     places, counts = grams.find(keys)
     place[known], count[known] = places[back], counts[back]
     return place, count
@@ -90,8 +97,7 @@ def dense(folder: str, size: int, ids: np.ndarray, kinds: tuple[str, ...]) -> li
     cuts = np.flatnonzero(np.diff(block, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True):
         for values, kind in zip(out, kinds, strict=True):
-            path = f"{folder}/{block[a]}.{kind}"
-            values[a:b] = arrays.mapped(path, np.dtype(f"u{os.path.getsize(path) // size}"))[ids[a:b] % size]
+            values[a:b] = arrays.Small(f"{folder}/{block[a]}.{kind}")[ids[a:b] % size]
     return out
 
 
@@ -111,7 +117,7 @@ class Level:
     grams: HashArrays
     folder: str  # of the dense arrays of their contexts
     discounts: np.ndarray
-    bits: int = 32  # of the word number in a key
+    pair: Pair
     before: str = ""  # dense arrays whose numbers of words before take the place of the counts
 
 
@@ -142,7 +148,7 @@ class Model:
         context, once, twice, more = dense(level.folder, self.block, known, STATS[:4])
         spread = once * level.discounts[1] + twice * level.discounts[2] + more * level.discounts[3]
         context = np.where(before < 0, 0, context[back])
-        place, count = found_grams(np.where(context > 0, before, -1), ids, level.grams, level.bits)
+        place, count = found_grams(np.where(context > 0, before, -1), ids, level.grams, level.pair)
         if level.before:
             there, at = np.unique(place[place >= 0], return_inverse=True)
             count[place >= 0] = dense(level.before, self.block, there, ("before",))[0][at]
@@ -171,51 +177,47 @@ def count_words(docs: DataFrame, folder: str) -> tuple[HashArrays, int]:
     return HashArrays(folder, arrays.sizes_of(found), shards), arrays.total(found, "tokens")
 
 
-def contexts_of(
-    ids: np.ndarray, starts: np.ndarray, begin: int, bigrams: HashArrays | None
-) -> list[np.ndarray]:
+def contexts_of(ids: np.ndarray, starts: np.ndarray, begin: int, pairs: Level | None) -> list[np.ndarray]:
     """The context number of each token for each level: the word before it, and the bigram of the two before it."""
     before = contexts(ids, starts, begin)
-    if bigrams is None:
+    if pairs is None:
         return [before]
-    return [before, contexts(found_grams(before, ids, bigrams)[0], starts, len(bigrams))]
+    return [before, contexts(found_grams(before, ids, pairs.grams, pairs.pair)[0], starts, len(pairs.grams))]
 
 
 def count_grams(
-    docs: DataFrame, words: HashArrays, folder: str, bigrams: HashArrays | None = None, bits: int = 32
+    docs: DataFrame, words: HashArrays, folder: str, pair: Pair, pairs: Level | None = None
 ) -> tuple[HashArrays, list[int]]:
     """Bigrams, or with these the trigrams, and how many are counted 1 to 4 times."""
     begin, shards = len(words), words.shards
+    bits = arrays.stored_bits(pair.both, shards)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for rows in by_chunk(batches, CHUNK_BYTES):
             keys, starts = tokens(rows, hashes)
             ids, _ = numbered(keys, words)
-            yield from arrays.blocks(gram_keys(contexts_of(ids, starts, begin, bigrams)[-1], ids, bits), shards)
+            yield from arrays.blocks(pair.keys(contexts_of(ids, starts, begin, pairs)[-1], ids), shards)
 
     names = ["n1", "n2", "n3", "n4"]
     found = arrays.write_arrays(
-        id_and_bytes(docs).mapInArrow(blocks, arrays.BLOCKS), folder, 1, lambda _, c: count_of_counts(c), names
+        id_and_bytes(docs).mapInArrow(blocks, arrays.BLOCKS), folder, 1, lambda _, c: count_of_counts(c), names, bits
     )
-    return HashArrays(folder, arrays.sizes_of(found), shards), [arrays.total(found, n) for n in names]
+    return HashArrays(folder, arrays.sizes_of(found), shards, bits), [arrays.total(found, n) for n in names]
 
 
-def parts(place: np.ndarray, weight: list[np.ndarray], numbers: list[int], block: int) -> Iterator[tuple]:
-    """Sums of the weights by word number, cut into blocks of word numbers."""
+def parts(place: np.ndarray, weight: list[np.ndarray], first: int, block: int) -> Iterator[tuple]:
+    """Sums of the weights by context number, cut into blocks of numbers; the sums are the statistics from ``first`` on."""
     distinct, back = np.unique(place, return_inverse=True)
     sums = [np.bincount(back, w, len(distinct)).astype(np.int64) for w in weight]
     cuts = np.flatnonzero(np.diff(distinct // block, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(distinct)], strict=True):
-        at = (distinct[a:b] % block).astype(np.int32)
-        for k, s in zip(numbers, sums, strict=True):
-            some = np.flatnonzero(s[a:b])
-            values = arrays.narrow(s[a:b][some])
-            yield int(distinct[a] // block), k, at[some].tobytes(), values.dtype.str, values.tobytes()
+        at = arrays.packed((distinct[a:b] % block).astype(np.uint64))
+        yield int(distinct[a] // block), first, at, [arrays.packed_counts(s[a:b]) for s in sums]
 
 
 def context_stats(
-    spark: SparkSession, level: Level, n_contexts: int, begin: int = 0, bigrams: HashArrays | None = None
+    spark: SparkSession, level: Level, n_contexts: int, begin: int = 0, pairs: Level | None = None
 ) -> list[int]:
     """The dense arrays of a level's contexts, block by block; returns how many have 1 to 4 different words before them.
 
@@ -229,46 +231,49 @@ def context_stats(
             for shard in batch.column(0).to_pylist():
                 if not grams.sizes[shard]:
                     continue
-                keys, counts = grams.shard(shard)
+                keys, counts = grams.shard(shard).all()
                 if level.before:
                     places = np.arange(grams.starts[shard], grams.starts[shard + 1])
                     (counts,) = dense(level.before, size, places, ("before",))
-                before, after = split_keys(keys, level.bits)
-                if bigrams is not None:
+                before, after = level.pair.split(keys)
+                if pairs is not None:
                     # The last word of the context; the place before a text has no bigram and ends in its word number.
                     distinct, back = np.unique(before, return_inverse=True)
                     last = np.full(len(distinct), begin, np.int64)
-                    real = distinct < len(bigrams)
-                    last[real] = split_keys(bigrams.keys_at(distinct[real]))[1]
-                    after = found_grams(last[back], after, bigrams)[0]
+                    real = distinct < len(pairs.grams)
+                    last[real] = pairs.pair.split(pairs.grams.keys_at(distinct[real]))[1]
+                    after = found_grams(last[back], after, pairs.grams, pairs.pair)[0]
                 rows = [
-                    *parts(before, [counts, counts == 1, counts == 2, counts >= 3], [0, 1, 2, 3], size),
-                    *parts(after, [np.ones(len(after))], [4], size),
+                    *parts(before, [counts, counts == 1, counts == 2, counts >= 3], 0, size),
+                    *parts(after, [np.ones(len(after))], 4, size),
                 ]
-                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.binary())
+                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    ["block", "stat", "places", "kind", "sums"],
+                    ["block", "stat", "places", "sums"],
                 )
 
     def write(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
         values = np.zeros((len(STATS), size), np.int64)
-        for stat, at, kind, s in zip(*(table[c].to_pylist() for c in table.column_names[1:]), strict=True):
-            values[stat, np.frombuffer(at, np.int32)] += np.frombuffer(s, kind).astype(np.int64)
+        for stat, places, sums in zip(*(table[c].to_pylist() for c in table.column_names[1:]), strict=True):
+            at = arrays.unpacked(places).astype(np.int64)
+            for k, s in enumerate(sums, stat):
+                values[k, at] += arrays.unpacked_counts(s)
         for k, kind in enumerate(STATS):
-            arrays.save(f"{folder}/{block}.{kind}", arrays.narrow(values[k]))
+            arrays.save_small(f"{folder}/{block}.{kind}", values[k])
         return pa.table({f"n{k}": pa.array([n], pa.int64()) for k, n in enumerate(count_of_counts(values[4]), 1)})
 
-    found = (
-        shards.mapInArrow(sums, "block long, stat int, places binary, kind string, sums binary")
-        .groupBy("block").applyInArrow(write, "n1 long, n2 long, n3 long, n4 long").collect()
-    )
+    with arrays.shuffles_dropped(spark):
+        found = (
+            shards.mapInArrow(sums, "block long, stat int, places binary, sums array<binary>")
+            .groupBy("block").applyInArrow(write, "n1 long, n2 long, n3 long, n4 long").collect()
+        )
     written = -(-(n_contexts + 1) // size)
     for block in range(written):  # a block without any bigram cannot be, save at the very start token alone
         for kind in STATS:
             if not os.path.exists(f"{folder}/{block}.{kind}"):
-                arrays.save(f"{folder}/{block}.{kind}", np.zeros(size, np.uint8))
+                arrays.save_small(f"{folder}/{block}.{kind}", np.zeros(size, np.int64))
     return [arrays.total(found, f"n{k}") for k in (1, 2, 3, 4)]
 
 
@@ -280,15 +285,17 @@ def train(docs: DataFrame, order: int = 2) -> Model:
     words, n_tokens = count_words(docs, arrays.shared_folder(spark, "lm-words"))
     if len(words) >= 1 << 32:
         raise ValueError("the vocabulary has 2^32 words or more")
-    bigrams, n = count_grams(docs, words, arrays.shared_folder(spark, "lm-bigrams"))
-    levels = [Level(bigrams, arrays.shared_folder(spark, "lm-stats"), discounts(n))]
+    bits = max(1, len(words).bit_length())
+    pair = Pair(bits, 2 * bits)
+    bigrams, n = count_grams(docs, words, arrays.shared_folder(spark, "lm-bigrams"), pair)
+    levels = [Level(bigrams, arrays.shared_folder(spark, "lm-stats"), discounts(n), pair)]
     if order == 3:
-        bits = len(words).bit_length()
-        if bits + len(bigrams).bit_length() > 64:
+        pair = Pair(bits, bits + max(1, len(bigrams).bit_length()))
+        if pair.both > 64:
             raise ValueError("bigram and word number together take more than 64 bits")
-        trigrams, n = count_grams(docs, words, arrays.shared_folder(spark, "lm-trigrams"), bigrams, bits)
-        levels.append(Level(trigrams, arrays.shared_folder(spark, "lm-pairs"), discounts(n), bits))
-        n = context_stats(spark, levels[1], len(bigrams), len(words), bigrams)
+        trigrams, n = count_grams(docs, words, arrays.shared_folder(spark, "lm-trigrams"), pair, levels[0])
+        levels.append(Level(trigrams, arrays.shared_folder(spark, "lm-pairs"), discounts(n), pair))
+        n = context_stats(spark, levels[1], len(bigrams), len(words), levels[0])
         levels[0].discounts, levels[0].before = discounts(n), levels[1].folder
     m = context_stats(spark, levels[0], len(words))
     d = discounts(m)
@@ -305,7 +312,7 @@ def train(docs: DataFrame, order: int = 2) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out and the scores of each whole text."""
     words = model.words
-    bigrams = model.levels[0].grams if len(model.levels) > 1 else None
+    pairs = model.levels[0] if len(model.levels) > 1 else None
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -313,7 +320,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             keys, starts = tokens(rows, hashes)
             ids, count = numbered(keys, words)
             base = np.log10((count + BASE_ADD) / (model.tokens + BASE_ADD * (len(words) + 1)))
-            values = model.log10(ids, *contexts_of(ids, starts, len(words), bigrams))
+            values = model.log10(ids, *contexts_of(ids, starts, len(words), pairs))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
