@@ -233,6 +233,23 @@ def test_ngram_join_odd_rows(odd, empty, clashing):
     assert rows(ngram_join.op5_ngram_join(clashing), "doc_id", "n_shingles", "component_id") == got
 
 
+@pytest.mark.parametrize("bits", [6, 34])
+def test_ngram_join_with_shared_count_keys(spark, monkeypatch, bits):
+    monkeypatch.setattr(ngram_join, "counted_bits", lambda n: bits)
+    data = near_copies(7, 6, 10, 50)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.op5_ngram_join(df).collect()}
+    assert got == brute_components(data)
+
+
+def test_ngram_join_sends_few_bytes_for_a_shingle():
+    keys = np.random.default_rng(4).integers(0, 1 << 64, 300_000, np.uint64)
+    bits = ngram_join.counted_bits(len(keys))
+    sent = arrays.blocks(ngram_join.first_bits(keys, bits), 1)
+    # 12 bytes before: 8 of the key and 4 of the count.
+    assert sum(len(b.column(1)[0].as_py()) + len(b.column(2)[0].as_py()) for b in sent) < 6 * len(keys)
+
+
 def test_tree_finds_all_partners():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 40, rng.integers(3, 30))).astype(np.uint64) for _ in range(200)]
