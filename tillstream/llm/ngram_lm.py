@@ -19,19 +19,22 @@ Word numbers take 32 bits, so a vocabulary of 2^32 words or more is refused; big
 
 from __future__ import annotations
 
+import itertools
 import os
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import arrays
 from tillstream.llm.arrays import HashArrays
 from tillstream.llm.words import (
-    CHUNK_WORDS, WordHashes, by_chunk, held_out, id_and_bytes, mix_bits, starts_of, sums_by, text_bytes, unmix_bits
+    CHUNK_WORDS, by_chunk, held_out, id_and_bytes, mix_bits, starts_of, sums_by, text_bytes, unmix_bits
 )
 
 END = b""  # no word is empty
@@ -41,22 +44,46 @@ STATS = ("context", "once", "twice", "more", "before")
 BASE_ADD = 0.1
 
 
-def tokens(rows: list[tuple], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of the rows, one document after the other, and where each begins."""
+@dataclass
+class Ids:
+    """A number for each token: the different ones (the last ascending, -1 at most before them) and which a token has."""
+
+    distinct: np.ndarray
+    back: np.ndarray
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Ids:
+        return cls(*np.unique(ids, return_inverse=True))
+
+    @property
+    def ids(self) -> np.ndarray:
+        return self.distinct[self.back]
+
+    def shifted(self, starts: np.ndarray, begin: int) -> Ids:
+        """The number before each token; ``begin``, larger than all, at the start of a document."""
+        return Ids(np.append(self.distinct, begin), contexts(self.back, starts, len(self.distinct)))
+
+
+def tokens(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the rows' different tokens, which each token is, one document after the other, and where each begins."""
+    numbers = defaultdict(itertools.count().__next__)
     words = [[*(row[1] or b"").lower().split(), END] for row in rows]
     starts = starts_of(np.array([len(w) for w in words], np.int64))
-    return np.concatenate([hashes.of(w) for w in words]), starts
+    back = np.concatenate([np.fromiter(map(numbers.__getitem__, w), np.int64, len(w)) for w in words])
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers)), back, starts
 
 
-def numbered(keys: np.ndarray, words: HashArrays) -> tuple[np.ndarray, np.ndarray]:
-    """Word number (-1 if unknown) and count of each token."""
-    distinct, back = np.unique(keys, return_inverse=True)
-    place, count = words.find(distinct)
-    return place[back], count[back]
+def numbered(hashes: np.ndarray, back: np.ndarray, words: HashArrays) -> tuple[Ids, np.ndarray]:
+    """Word number (-1 if unknown) of each token, and the count of each different word number."""
+    hashes, order = np.unique(hashes, return_inverse=True)
+    place, count = words.find(hashes)
+    hit = place >= 0
+    which = np.where(hit, np.cumsum(hit), 0)
+    return Ids(np.append(-1, place[hit]), which[order][back]), np.append(0, count[hit])
 
 
 def contexts(ids: np.ndarray, starts: np.ndarray, begin: int) -> np.ndarray:
-    """The word number before each token; ``begin`` at the start of a document."""
+    """The number before each token; ``begin`` at the start of a document."""
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
     before[starts[:-1]] = begin
@@ -80,14 +107,15 @@ class Pair:
         return (pair >> np.uint64(self.word)).astype(np.int64), word.astype(np.int64)
 
 
-def found_grams(before: np.ndarray, ids: np.ndarray, grams: HashArrays, pair: Pair) -> tuple[np.ndarray, np.ndarray]:
-    """Place (-1 if unknown) and count of each context and token."""
-    place, count = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+def found_grams(before: np.ndarray, ids: np.ndarray, grams: HashArrays, pair: Pair) -> tuple[Ids, np.ndarray]:
+    """Place (-1 if unknown) of each context and token, and the count of each different place."""
     known = (ids >= 0) & (before >= 0)
     keys, back = np.unique(pair.keys(before[known], ids[known]), return_inverse=True)
-    places, counts = grams.find(keys)
-    place[known], count[known] = places[back], counts[back]
-    return place, count
+    place, count = grams.find(keys)
+    hit = place >= 0
+    which = np.zeros(len(ids), np.int64)
+    which[known] = np.where(hit, np.cumsum(hit), 0)[back]
+    return Ids(np.append(-1, place[hit]), which), np.append(0, count[hit])
 
 
 def dense(folder: str, size: int, ids: np.ndarray, kinds: tuple[str, ...]) -> list[np.ndarray]:
@@ -130,32 +158,36 @@ class Model:
     word_discounts: np.ndarray
     unknown: float  # probability that p(w) gives to a word without any predecessor
 
-    def log10(self, ids: np.ndarray, *before: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability after its contexts, a number for each level; unknown ones are -1."""
+    def log10(self, ids: np.ndarray | Ids, *before: np.ndarray | Ids, places: Ids | None = None) -> np.ndarray:
+        """log10 of each token's probability after its contexts, a number for each level; unknown ones are -1.
+
+        ``places`` are those of the bigrams, if they are known already.
+        """
+        ids, *before = (x if isinstance(x, Ids) else Ids.of(x) for x in (ids, *before))
         if not len(self.words):
-            return np.zeros(len(ids))
-        known, back = np.unique(np.maximum(ids, 0), return_inverse=True)
-        (seen,) = dense(self.levels[0].folder, self.block, known, ("before",))
-        seen = np.where(ids < 0, 0, seen[back])
+            return np.zeros(len(ids.back))
+        (seen,) = dense(self.levels[0].folder, self.block, np.maximum(ids.distinct, 0), ("before",))
+        seen = np.where(ids.distinct < 0, 0, seen)
         d = self.word_discounts[np.minimum(seen, 3)]
-        p = (seen - d) / max(1, len(self.levels[0].grams)) + self.unknown
+        p = ((seen - d) / max(1, len(self.levels[0].grams)) + self.unknown)[ids.back]
+        words = ids.ids
         for level, context in zip(self.levels, before, strict=True):
-            p = self.mixed(level, ids, context, p)
+            p = self.mixed(level, words, context, p, places if level is self.levels[0] and level.before else None)
         return np.log10(p)
 
-    def mixed(self, level: Level, ids: np.ndarray, before: np.ndarray, low: np.ndarray) -> np.ndarray:
-        known, back = np.unique(np.maximum(before, 0), return_inverse=True)
-        context, once, twice, more = dense(level.folder, self.block, known, STATS[:4])
+    def mixed(self, level: Level, ids: np.ndarray, before: Ids, low: np.ndarray, places: Ids | None) -> np.ndarray:
+        context, once, twice, more = dense(level.folder, self.block, np.maximum(before.distinct, 0), STATS[:4])
         spread = once * level.discounts[1] + twice * level.discounts[2] + more * level.discounts[3]
-        context = np.where(before < 0, 0, context[back])
-        place, count = found_grams(np.where(context > 0, before, -1), ids, level.grams, level.pair)
+        context = np.where(before.distinct < 0, 0, context)[before.back]
+        if places is None:
+            places, count = found_grams(before.ids, ids, level.grams, level.pair)
         if level.before:
-            there, at = np.unique(place[place >= 0], return_inverse=True)
-            count[place >= 0] = dense(level.before, self.block, there, ("before",))[0][at]
-        share = spread[back]
-        high = (count - level.discounts[np.minimum(count, 3)] + share * low) / np.maximum(context, 1)
+            (count,) = dense(level.before, self.block, np.maximum(places.distinct, 0), ("before",))
+            count[places.distinct < 0] = 0
+        share = spread[before.back]
+        high = ((count - level.discounts[np.minimum(count, 3)])[places.back] + share * low) / np.maximum(context, 1)
         # Where no word is discounted, one occurrence more is left to the shorter context: no probability is 0.
-        high = np.where(share > 0, high, (count + low) / (context + 1))
+        high = np.where(share > 0, high, (count[places.back] + low) / (context + 1))
         return np.where(context > 0, high, low)
 
 
@@ -167,9 +199,11 @@ def count_words(docs: DataFrame, folder: str) -> tuple[HashArrays, int]:
     shards = arrays.shard_count(text_bytes(docs) // 6)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for rows in by_chunk(batches, CHUNK_BYTES):
-            yield from arrays.blocks(tokens(rows, hashes)[0], shards)
+            hashes, back, _ = tokens(rows)
+            distinct, which = np.unique(hashes, return_inverse=True)
+            counts = np.bincount(which, np.bincount(back, minlength=len(hashes)), len(distinct))
+            yield from arrays.weighted_blocks(distinct, counts.astype(np.uint32), shards)
 
     found = arrays.write_arrays(
         id_and_bytes(docs).mapInArrow(blocks, arrays.BLOCKS), folder, 1, lambda _, c: [int(c.sum())], ["tokens"]
@@ -177,12 +211,16 @@ def count_words(docs: DataFrame, folder: str) -> tuple[HashArrays, int]:
     return HashArrays(folder, arrays.sizes_of(found), shards), arrays.total(found, "tokens")
 
 
-def contexts_of(ids: np.ndarray, starts: np.ndarray, begin: int, pairs: Level | None) -> list[np.ndarray]:
-    """The context number of each token for each level: the word before it, and the bigram of the two before it."""
-    before = contexts(ids, starts, begin)
+def contexts_of(ids: Ids, starts: np.ndarray, begin: int, pairs: Level | None) -> tuple[list[Ids], Ids | None]:
+    """The context number of each token for each level: the word before it, and the bigram of the two before it.
+
+    With the latter come the places of the tokens' own bigrams.
+    """
+    before = ids.shifted(starts, begin)
     if pairs is None:
-        return [before]
-    return [before, contexts(found_grams(before, ids, pairs.grams, pairs.pair)[0], starts, len(pairs.grams))]
+        return [before], None
+    places, _ = found_grams(before.ids, ids.ids, pairs.grams, pairs.pair)
+    return [before, places.shifted(starts, len(pairs.grams))], places
 
 
 def count_grams(
@@ -193,11 +231,14 @@ def count_grams(
     bits = arrays.stored_bits(pair.both, shards)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for rows in by_chunk(batches, CHUNK_BYTES):
-            keys, starts = tokens(rows, hashes)
-            ids, _ = numbered(keys, words)
-            yield from arrays.blocks(pair.keys(contexts_of(ids, starts, begin, pairs)[-1], ids), shards)
+            hashes, back, starts = tokens(rows)
+            ids = numbered(hashes, back, words)[0].ids
+            before = contexts(ids, starts, begin)
+            if pairs is not None:
+                places = found_grams(before, ids, pairs.grams, pairs.pair)[0].ids
+                before = contexts(places, starts, len(pairs.grams))
+            yield from arrays.blocks(pair.keys(before, ids), shards)
 
     names = ["n1", "n2", "n3", "n4"]
     found = arrays.write_arrays(
@@ -242,7 +283,7 @@ def context_stats(
                     last = np.full(len(distinct), begin, np.int64)
                     real = distinct < len(pairs.grams)
                     last[real] = pairs.pair.split(pairs.grams.keys_at(distinct[real]))[1]
-                    after = found_grams(last[back], after, pairs.grams, pairs.pair)[0]
+                    after = found_grams(last[back], after, pairs.grams, pairs.pair)[0].ids
                 rows = [
                     *parts(before, [counts, counts == 1, counts == 2, counts >= 3], 0, size),
                     *parts(after, [np.ones(len(after))], 4, size),
@@ -315,18 +356,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     pairs = model.levels[0] if len(model.levels) > 1 else None
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for rows in by_chunk(batches, CHUNK_BYTES):
-            keys, starts = tokens(rows, hashes)
-            ids, count = numbered(keys, words)
-            base = np.log10((count + BASE_ADD) / (model.tokens + BASE_ADD * (len(words) + 1)))
-            values = model.log10(ids, *contexts_of(ids, starts, len(words), pairs))
+            hashes, back, starts = tokens(rows)
+            ids, count = numbered(hashes, back, words)
+            base = np.log10((count + BASE_ADD) / (model.tokens + BASE_ADD * (len(words) + 1)))[ids.back]
+            before, places = contexts_of(ids, starts, len(words), pairs)
+            values = model.log10(ids, *before, places=places)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[2] for r in rows], pa.bool_()),
                     pa.array(np.diff(starts), pa.int64()),
-                    pa.array(sums_by(count > 0, starts).astype(np.int64), pa.int64()),
+                    pa.array(sums_by(ids.back > 0, starts).astype(np.int64), pa.int64()),
                     pa.array(np.full(len(rows), model.tokens), pa.int64()),
                     pa.array(np.add.reduceat(base, starts[:-1]), pa.float64()),
                     pa.array(np.add.reduceat(values, starts[:-1]), pa.float64()),
