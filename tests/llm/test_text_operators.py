@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -345,6 +346,35 @@ def test_token_files_against_the_library(docs, odd, empty, monkeypatch):
     assert token_files.op7_token_files(empty, BYTE_BPE).count() == 0
 
 
+def test_token_words_are_cut_as_by_the_pattern():
+    pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ɏ0-9]+|\s+(?!\S)|\s+")
+    rng = np.random.default_rng(3)
+    parts = [*"srtevlmd12!. \n\t'", "''", "'re", "'ll", "'s", "'ve", "é", "Ɏ", "  ", " '", " a"]
+    data = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(20_000)]
+    raw = [t.encode() for t in data]
+    first = np.cumsum([0, *map(len, raw)])
+    starts = token_files.word_starts(np.frombuffer(b"".join(raw), np.uint8), first[:-1])
+    assert starts.tolist() == np.cumsum([0, *(len(w.encode()) for t in data for w in pattern.findall(t))])[:-1].tolist()
+
+
+def test_token_words_go_to_the_model_together(monkeypatch):
+    with open(BYTE_BPE, encoding="utf-8") as file:
+        spec = file.read()
+    encoder = token_files.encoder_of(spec)
+    assert token_files.encoder_of(spec) is encoder
+    calls, merged = [], encoder.pieces.merged
+    monkeypatch.setattr(encoder.pieces, "merged", lambda words: calls.append(len(words)) or merged(words))
+    rng = np.random.default_rng(4)
+    data = [" ".join("".join(rng.choice([*"abcxyz'é"], 7)) for _ in range(300)) for _ in range(20)]
+    data[3:5] = ["日本 <|endoftext|>", ""]
+    library = Tokenizer.from_file(BYTE_BPE)
+    want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in data]
+    for _ in range(2):
+        ids, lengths = encoder.encode([t.encode() for t in data], 0)
+        assert ids.tolist() == [i for w in want for i in w] and lengths.tolist() == [len(w) for w in want]
+    assert sum(calls) > 3_000 and len(calls) < sum(calls) / 200
+
+
 def test_token_file_random_access(tmp_path):
     path = str(tmp_path / "x.tids")
     ids = np.random.default_rng(1).integers(0, 50_257, 3 * token_files.BLOCK_IDS + 77).astype(np.uint32)

@@ -15,11 +15,13 @@ Null and empty texts have the end id alone.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +32,29 @@ from tokenizers import Tokenizer
 
 from tillstream.llm.arrays import shared_folder
 from tillstream.llm.bpe import byte_letters
-from tillstream.llm.words import by_chunk, id_and_bytes, text_bytes
+from tillstream.llm.words import by_chunk, id_and_bytes, starts_of, text_bytes
 
 MAGIC = 0x31534449444B4F54
 BLOCK_IDS = 8192
 FILE_BYTES = 16 << 20  # of text
-CHUNK_BYTES = 1 << 20
-CACHED_PIECES = 300_000
+CHUNK_BYTES = 2 << 20
+CACHED_PIECES = 200_000
+MERGED_WORDS = 256
+MARK = b"\xff"
+# Settings of the library's model under which words between marks may not be merged like words alone.
+WORD_SETTINGS = ("ignore_merges", "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
 END_ID = 0
 
-# Where Python's regular expressions surely agree with the library's: ASCII text and Latin letters.
+# Where the word pattern of the file sees ASCII text and Latin letters only: there it is followed byte by byte.
 PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ɏ]*")
-# Fixed value: the file's own word pattern, for such text. A word's ids do not depend on its neighbours.
-PIECE = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ɏ0-9]+|\s+(?!\S)|\s+"
+# Of such text: each byte beyond ASCII belongs to a letter.
+LETTER, DIGIT, SIGN, SPACE = range(4)
+KINDS = np.array(
+    [
+        LETTER if b >= 0x80 or chr(b).isalpha() else DIGIT if chr(b).isdigit() else SPACE if chr(b).isspace() else SIGN
+        for b in range(256)
+    ],
+    np.uint8,
 )
 
 
@@ -69,7 +80,7 @@ class Writer:
         self.firsts, self.offsets, self.n = [0], [0], 0
         self.rest = np.zeros(0, np.uint32)
 
-    def add(self, doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> None:
+    def add(self, doc_ids: list[int | None], lengths: list[int] | np.ndarray, ids: np.ndarray) -> None:
         self.docs += doc_ids
         self.firsts += (self.n + np.cumsum(lengths)).tolist()
         self.n += len(ids)
@@ -123,27 +134,77 @@ class Reader:
         return np.concatenate(found)[start - first * BLOCK_IDS:stop - first * BLOCK_IDS]
 
 
-class Pieces(dict):
-    """Ids of a word as bytes, by the library's model. When full, it keeps one older generation to draw from."""
-
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
+def word_starts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the words of PLAIN texts begin, which lie one after the other and begin at ``first`` (ascending).
+
+    The file's own pattern: 's|'t|'re|'ve|'m|'ll|'d| ?letters| ?digits| ?signs|spaces(?!no space)|spaces. A word's ids do
+    not depend on its neighbours.
+    """
+    n = len(data)
+    kind = KINDS[data]
+    opens = np.zeros(n + 1, bool)  # a text or the end
+    opens[first] = opens[n] = True
+    run = opens.copy()  # a text or a run of one kind
+    run[1:n] |= kind[1:] != kind[:-1]
+    start = run.copy()
+    at = np.flatnonzero(run[:n] & ~opens[:n])
+    # After spaces: the last space is a word by itself or, if blank, the first sign of the next one.
+    after = at[(kind[at - 1] == SPACE) & (kind[at] != SPACE)]
+    start[after - 1] = True
+    start[after[data[after - 1] == ord(" ")]] = False
+    # An apostrophe that begins a word, and the letters after it.
+    quote = np.flatnonzero((data == ord("'")) & start[:n])
+    for ending in (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"):
+        hit = quote[quote + len(ending) < n]
+        for k, letter in enumerate(ending, 1):
+            hit = hit[(data[hit + k] == letter) & ~opens[hit + k]]
+        start[hit + 1] = False
+        start[hit + 1 + len(ending)] = True
+    return np.flatnonzero(start[:n])
+
+
+class Pieces:
+    """Ids of words as bytes, by the library's model. When full, the cache keeps one older generation to draw from."""
+
+    def __init__(self, tokenizer: Tokenizer, spec: str):
         self.model = tokenizer.model
         self.letters = byte_letters()
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.older = dict(self)
-            self.clear()
-        if piece in self.older:
-            value = self[piece] = self.older[piece]
-            return value
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        model = json.loads(spec)["model"]
+        # The letter of a byte that no text holds: as no merge has it, many words between such letters are merged at once.
+        mark = MARK.decode("latin-1").translate(self.letters)
+        self.mark = model["vocab"].get(mark)
+        merged = any(mark in letter for merge in model["merges"] for letter in merge)
+        self.step = 1 if merged or self.mark is None or any(map(model.get, WORD_SETTINGS)) else MERGED_WORDS
+
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of some different words."""
+        found = list(map(self.newer.get, words))
+        missing = []
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            found[k] = self.older.get(words[k])
+            if found[k] is None:
+                missing.append(k)
+            else:
+                self.newer[words[k]] = found[k]
+        for a in range(0, len(missing), self.step):
+            some = missing[a:a + self.step]
+            for k, ids in zip(some, self.merged([words[k] for k in some]), strict=True):
+                found[k] = self.newer[words[k]] = ids
+        if len(self.newer) >= CACHED_PIECES:
+            self.older, self.newer = self.newer, {}
+        return found
+
+    def merged(self, words: list[bytes]) -> list[bytes]:
         # The byte alphabet of the file: what its word splitter hands to the model.
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
-        ids = [token.id for token in self.model.tokenize(spelled)]
-        value = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return value
+        spelled = MARK.join(words).decode("latin-1").translate(self.letters)
+        ids = np.array([token.id for token in self.model.tokenize(spelled)], "<u4")
+        if len(words) == 1:
+            return [ids.tobytes()]
+        ends = np.append(np.flatnonzero(ids == self.mark), len(ids)).tolist()
+        data, starts = ids.tobytes(), [0, *(end + 1 for end in ends[:-1])]
+        return [data[4 * a:4 * b] for a, b in zip(starts, ends, strict=True)]
 
 
 class TextEncoder:
@@ -154,12 +215,41 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(self.tokenizer)
-
-    def encode(self, text: str) -> np.ndarray:
-        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            return np.frombuffer(b"".join(map(self.pieces.__getitem__, PIECE.findall(text))), "<u4")
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        self.pieces = Pieces(self.tokenizer, spec)
+
+    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the end id, and how many each has."""
+        whole = {}  # ids of texts that are not cut into words
+        for k, text in enumerate(t.decode() for t in texts):
+            if not PLAIN.fullmatch(text) or any(s in text for s in self.special):
+                whole[k] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        data = b"".join(b"" if k in whole else text for k, text in enumerate(texts))
+        first = starts_of(np.array([0 if k in whole else len(text) for k, text in enumerate(texts)], np.int64))
+        starts = word_starts(np.frombuffer(data, np.uint8), first[:-1])
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        words = words.dictionary_encode()
+        found = self.pieces.of(words.dictionary.to_pylist())
+        # Next to the words: the texts that are not cut, in their places, and the end of each text.
+        number = {k: len(found) + n for n, k in enumerate(whole)}
+        found += [*whole.values(), struct.pack("<I", end)]
+        ends = np.searchsorted(starts, first[1:])
+        places = np.concatenate([ends[list(whole)], ends])
+        more = np.concatenate([np.fromiter(number.values(), np.int64, len(number)), np.full(len(ends), len(found) - 1)])
+        order = np.argsort(np.concatenate([2 * np.array(list(whole), np.int64), 2 * np.arange(len(ends)) + 1]))
+        which = np.insert(words.indices.to_numpy().astype(np.int64), places[order], more[order])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        taken = sizes[which]
+        stops = np.cumsum(taken)
+        shift = (np.cumsum(sizes) - sizes)[which] - (stops - taken)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(shift, taken) + np.arange(taken.sum())]
+        return ids, np.diff(stops[which == len(found) - 1], prepend=0)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(spec: str) -> TextEncoder:
+    """A worker's encoder: its next task draws on the words of the tasks before."""
+    return TextEncoder(spec)
 
 
 def write_files(docs: DataFrame, path: str, folder: str) -> list[tuple[str, int, int]]:
@@ -171,12 +261,11 @@ def write_files(docs: DataFrame, path: str, folder: str) -> list[tuple[str, int,
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"{folder}/{TaskContext.get().partitionId():08d}.tids"
-        encoder, out, n = TextEncoder(spec.value), None, 0
+        encoder, out, n = encoder_of(spec.value), None, 0
         for rows in by_chunk(batches, CHUNK_BYTES):
             out = out or Writer(name, size)
-            end = np.array([END_ID], np.uint32)
-            found = [np.concatenate([encoder.encode((r[1] or b"").decode()), end]) for r in rows]
-            out.add([r[0] for r in rows], [len(f) for f in found], np.concatenate(found))
+            ids, lengths = encoder.encode([r[1] or b"" for r in rows], END_ID)
+            out.add([r[0] for r in rows], lengths, ids)
             n += len(rows)
         if out:
             out.close()
