@@ -423,6 +423,20 @@ def test_minimal_perfect_hash():
 # Language model
 
 
+def test_language_model_tokens_are_hashed_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    parts = [*(bytes([b]) for b in b"aB\0 \n\x0b\r\x1c\x85"), "é ".encode(), b"x" * 8, b"y" * 57, b"z" * 70]
+    rows = [(i, b"".join(rng.choice(np.array(parts, object), rng.integers(0, 12)))) for i in range(3_000)] + [(None, None)]
+    calls, digest = [], ngram_lm.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(ngram_lm.xxhash, "xxh3_64_intdigest", lambda word: calls.append(len(word)) or digest(word))
+    hashes, starts = ngram_lm.tokens(rows)
+    want = [[*(t or b"").lower().split(), b""] for _, t in rows]
+    assert starts.tolist() == np.cumsum([0, *map(len, want)]).tolist()
+    flat = [w for t in want for w in t]
+    assert len(set(zip(flat, hashes.tolist(), strict=True))) == len(set(flat)) == len(set(hashes.tolist()))
+    assert min(calls) > ngram_lm.LONG_WORD  # short words are not hashed one by one
+
+
 def kneser_ney(train, asked):
     """log10 scores by the formulas, with dictionaries."""
     bigrams, words_seen = Counter(), Counter()

@@ -19,9 +19,7 @@ Word numbers take 32 bits, so a vocabulary of 2^32 words or more is refused; big
 
 from __future__ import annotations
 
-import itertools
 import os
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,10 +32,14 @@ from pyspark.sql import functions as F
 from tillstream.llm import arrays
 from tillstream.llm.arrays import HashArrays
 from tillstream.llm.words import (
-    CHUNK_WORDS, by_chunk, held_out, id_and_bytes, mix_bits, starts_of, sums_by, text_bytes, unmix_bits
+    CHUNK_WORDS, SPACES, by_chunk, held_out, id_and_bytes, mix, mix_bits, starts_of, sums_by, text_bytes, unmix_bits
 )
 
-END = b""  # no word is empty
+END = np.uint64(xxhash.xxh3_64_intdigest(b""))  # no word is empty
+IS_SIGN = ~np.isin(np.arange(256), list(SPACES))
+LONG_WORD = 64  # bytes
+LANE_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+GAMMA = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 500_000
 CHUNK_BYTES = CHUNK_WORDS * 6
 STATS = ("context", "once", "twice", "more", "before")
@@ -64,22 +66,39 @@ class Ids:
         return Ids(np.append(self.distinct, begin), contexts(self.back, starts, len(self.distinct)))
 
 
-def tokens(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the rows' different tokens, which each token is, one document after the other, and where each begins."""
-    numbers = defaultdict(itertools.count().__next__)
-    words = [[*(row[1] or b"").lower().split(), END] for row in rows]
-    starts = starts_of(np.array([len(w) for w in words], np.int64))
-    back = np.concatenate([np.fromiter(map(numbers.__getitem__, w), np.int64, len(w)) for w in words])
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers)), back, starts
+def word_hashes(data: bytes, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at some places, eight bytes of all words at a time; long words one by one."""
+    # Eight bytes from each place on; what lies behind a word's end is masked.
+    lanes = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))
+    out = mix(size.astype(np.uint64) + GAMMA)
+    for at in range(0, LONG_WORD, 8):
+        more = np.flatnonzero(size > at) if at else slice(None)
+        lane = lanes[first[more] + at] & LANE_MASKS[np.minimum(size[more] - at, 8)]
+        out[more] = mix(out[more] * GAMMA + lane)
+    for k in np.flatnonzero(size > LONG_WORD):
+        out[k] = xxhash.xxh3_64_intdigest(data[first[k]:first[k] + size[k]])
+    return out
+
+
+def tokens(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the rows' tokens, one document after the other, and where each begins."""
+    texts = [row[1] or b"" for row in rows]
+    data = b"".join([part for text in texts for part in (text, b" ")]).lower()
+    # Words begin after a space or at the start, and end before a space, as each text does.
+    edges = np.flatnonzero(np.diff(IS_SIGN[np.frombuffer(data, np.uint8)], prepend=False))
+    first, last = edges[::2], edges[1::2]
+    ends = np.searchsorted(first, np.cumsum([len(text) + 1 for text in texts]))
+    hashes = np.insert(word_hashes(data, first, last - first), ends, END)
+    return hashes, starts_of(np.diff(ends, prepend=0) + 1)
 
 
-def numbered(hashes: np.ndarray, back: np.ndarray, words: HashArrays) -> tuple[Ids, np.ndarray]:
+def numbered(hashes: np.ndarray, words: HashArrays) -> tuple[Ids, np.ndarray]:
     """Word number (-1 if unknown) of each token, and the count of each different word number."""
-    hashes, order = np.unique(hashes, return_inverse=True)
+    hashes, back = np.unique(hashes, return_inverse=True)
     place, count = words.find(hashes)
     hit = place >= 0
     which = np.where(hit, np.cumsum(hit), 0)
-    return Ids(np.append(-1, place[hit]), which[order][back]), np.append(0, count[hit])
+    return Ids(np.append(-1, place[hit]), which[back]), np.append(0, count[hit])
 
 
 def contexts(ids: np.ndarray, starts: np.ndarray, begin: int) -> np.ndarray:
@@ -200,10 +219,7 @@ def count_words(docs: DataFrame, folder: str) -> tuple[HashArrays, int]:
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_chunk(batches, CHUNK_BYTES):
-            hashes, back, _ = tokens(rows)
-            distinct, which = np.unique(hashes, return_inverse=True)
-            counts = np.bincount(which, np.bincount(back, minlength=len(hashes)), len(distinct))
-            yield from arrays.weighted_blocks(distinct, counts.astype(np.uint32), shards)
+            yield from arrays.blocks(tokens(rows)[0], shards)
 
     found = arrays.write_arrays(
         id_and_bytes(docs).mapInArrow(blocks, arrays.BLOCKS), folder, 1, lambda _, c: [int(c.sum())], ["tokens"]
@@ -232,8 +248,8 @@ def count_grams(
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_chunk(batches, CHUNK_BYTES):
-            hashes, back, starts = tokens(rows)
-            ids = numbered(hashes, back, words)[0].ids
+            hashes, starts = tokens(rows)
+            ids = numbered(hashes, words)[0].ids
             before = contexts(ids, starts, begin)
             if pairs is not None:
                 places = found_grams(before, ids, pairs.grams, pairs.pair)[0].ids
@@ -357,8 +373,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in by_chunk(batches, CHUNK_BYTES):
-            hashes, back, starts = tokens(rows)
-            ids, count = numbered(hashes, back, words)
+            hashes, starts = tokens(rows)
+            ids, count = numbered(hashes, words)
             base = np.log10((count + BASE_ADD) / (model.tokens + BASE_ADD * (len(words) + 1)))[ids.back]
             before, places = contexts_of(ids, starts, len(words), pairs)
             values = model.log10(ids, *before, places=places)
