@@ -9,10 +9,11 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tillstream.llm import fim, hard_negatives, oracles, suffix_dedup
+from tillstream.llm import arrays, fim, hard_negatives, oracles, suffix_dedup
 from tillstream.llm.suffix_array import common_prefixes, suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -183,6 +184,15 @@ def test_suffix_arrays_against_sorting():
     assert suffix_array(text, 8).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
 
 
+def test_suffix_arrays_of_runs():
+    rnd = random.Random(10)
+    for _ in range(200):
+        text = np.array([c for _ in range(30) for c in [rnd.randrange(3)] * rnd.randrange(12)], np.uint16)
+        assert suffix_array(text, 3).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+    text = np.repeat(np.array([70_000, 5, 70_000, 69_999, 5], np.int32), 40)
+    assert suffix_array(text, 70_001).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
 def test_common_prefixes_against_comparing():
     rnd = random.Random(5)
     whole = "".join(rnd.choice("ab") for _ in range(300))
@@ -265,6 +275,66 @@ def test_dedup_of_long_texts_in_segments(spark, monkeypatch):
         assert total == sum(max(0, len(t) - 99) for _, t in chunk)
 
 
+class EveryPiece:
+    """Sends all pieces to the shards, also those that occur once."""
+
+    def pieces(self, segment):
+        return segment.pieces()
+
+
+def dedup_in_this_process(rows, folder, shards):
+    """The steps after the counting, by the driver's own functions; rows go in three chunks."""
+    rows = [(i, (t or "").encode()) for i, t in rows]
+    chunks = [rows[k::3] for k in range(3)]
+    sent = [b for c in chunks for s in suffix_dedup.segments(c) for b in suffix_dedup.sent(c, s, EveryPiece(), shards)]
+    table = pa.Table.from_batches(sent)
+    at = np.array(table["shard"].to_pylist())
+    for shard in np.unique(at):
+        suffix_dedup.build(table.filter(pa.array(at == shard)), str(folder))
+    marks = suffix_dedup.Marks(str(folder), shards)
+    found = [r for c in chunks for r in suffix_dedup.cut_rows(c, EveryPiece(), marks).to_pylist()]
+    rows = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(r["kept"])) for r in found]
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+@pytest.mark.parametrize("part", [2 << 20, 900])
+def test_dedup_sorts_whole_keys_in_parts(tmp_path, monkeypatch, part):
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", part)
+    rows = repeating_texts()
+    assert dedup_in_this_process(rows, tmp_path, 3) == plain_dedup(rows)
+
+
+def test_dedup_sorts_pieces_that_can_share_a_string_only(tmp_path, monkeypatch):
+    """Copies of whole texts are told by their pieces; a text that repeats itself and half copies are sorted."""
+    lengths, marked = [], suffix_dedup.marked
+    monkeypatch.setattr(suffix_dedup, "marked", lambda text, *more: lengths.append(len(text)) or marked(text, *more))
+    rnd = random.Random(8)
+    texts = [" ".join(str(rnd.random()) for _ in range(60)) for _ in range(20)]
+    copies = [(100 * k + j, t) for k, t in enumerate(texts) for j in range(4)]
+    (tmp_path / "copies").mkdir()
+    assert dedup_in_this_process(copies, tmp_path / "copies", 2) == plain_dedup(copies)
+    assert sum(lengths) == 0
+    rows = [*copies, (5, texts[3][:400] + "end"), (6, "start" + texts[4][500:]), (7, texts[0][:200] * 2), (8, "z" * 700)]
+    assert dedup_in_this_process(rows, tmp_path, 2) == plain_dedup(rows)
+    assert 0 < sum(lengths) < 10_000 < sum(map(len, texts))
+
+
+def test_dedup_opens_a_shard_once_in_a_task(tmp_path, monkeypatch):
+    opened, mapped = [], arrays.mapped
+    monkeypatch.setattr(arrays, "mapped", lambda path, kind: opened.append(path) or mapped(path, kind))
+    rnd = random.Random(9)
+    rows = [(i, " ".join(str(rnd.random()) for _ in range(400))) for i in range(30)]
+    rows += [(100 + i, text) for i, text in rows]
+    assert dedup_in_this_process(rows, tmp_path, 600) == plain_dedup(rows)
+    assert 256 < len(opened) <= 600
+
+
+def test_dedup_shards_grow_with_the_input():
+    """Every chunk looks into every shard: twelve times the input has not twelve times the shards."""
+    sizes = [suffix_dedup.shards_for(n) for n in (0, 100 << 20, 1 << 30, 12 << 30, 60 << 30)]
+    assert sizes == [1, 13, 128, 384, 1920]
+
+
 def test_dedup_of_a_very_long_text(spark):
     rnd = random.Random(7)
     line = " ".join(str(rnd.random()) for _ in range(60))

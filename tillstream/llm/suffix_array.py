@@ -5,7 +5,8 @@ substrings between leftmost small positions are sorted by one induction from the
 rank, and the shorter text of names is sorted in the same way, level after level, until the names differ. From the sorted
 leftmost small suffixes one pass over the buckets in ascending order places all large suffixes, and one in descending
 order all small ones. A bucket that the buckets before it have filled needs no look at its own entries, so runs of
-such buckets are handled together; that keeps the numpy calls few on the large alphabets of names.
+such buckets are handled together; that keeps the numpy calls few on the large alphabets of names. What a bucket places
+in itself are runs of one character, and these are placed together, too.
 """
 
 from __future__ import annotations
@@ -17,8 +18,19 @@ AHEAD = 4096
 
 def run_starts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of equal values begin, and how long they are."""
-    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-    return first, np.diff(np.append(first, len(values)))
+    first = np.flatnonzero(values[1:] != values[:-1]) + 1
+    ends = np.empty(len(first) + 2, first.dtype)
+    ends[0], ends[1:-1], ends[-1] = 0, first, len(values)
+    return ends[:-1], ends[1:] - ends[:-1]
+
+
+def runs_before(key: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """How many wanted suffixes in a row before each one begin with the same character."""
+    stop = np.arange(1, len(key), dtype=np.int32)
+    stop[(key[:-1] == key[1:]) & wanted[:-1]] = 0
+    out = np.arange(len(key), dtype=np.int32)
+    out[1:] -= np.maximum.accumulate(stop)
+    return out
 
 
 def induced(key: np.ndarray, wanted: np.ndarray, seeds: np.ndarray, size: int, first: int | None = None) -> np.ndarray:
@@ -30,6 +42,10 @@ def induced(key: np.ndarray, wanted: np.ndarray, seeds: np.ndarray, size: int, f
     free = base[:-1].copy()
     out = np.empty(base[-1], np.int32)
     cuts = np.searchsorted(key[seeds], np.arange(size + 1))
+    target_of = key.astype(np.int32)
+    target_of[~wanted] = -1
+    runs = runs_before(key, wanted)
+    sortable = np.uint16 if size <= 1 << 16 else np.int32  # short numbers are sorted by their digits
     if first is not None:
         out[free[key[first]]] = first
         free[key[first]] += 1
@@ -39,25 +55,26 @@ def induced(key: np.ndarray, wanted: np.ndarray, seeds: np.ndarray, size: int, f
         end = c + (len(full) if full.all() else int(full.argmin()))
         alone = end == c
         if alone:
-            # Suffixes of the bucket before suffixes of the same bucket, as long as there are any.
-            done, end = base[c], c + 1
-            while done < free[c]:
-                before = out[done:free[c]]
-                done = free[c]
-                before = before[before > 0] - 1
-                before = before[(key[before] == c) & wanted[before]]
-                out[done:done + len(before)] = before
+            # Suffixes of the bucket before suffixes of the same bucket: nearer ones first, each in the order of the last.
+            end = c + 1
+            last = out[base[c]:free[c]]
+            last = last[runs[last] > 0]
+            if len(last):
+                lengths = runs[last]
+                back = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                before = np.repeat(last, lengths) - 1 - back
+                before = before[np.argsort(back, kind="stable")]
+                out[free[c]:free[c] + len(before)] = before
                 free[c] += len(before)
         sources = np.concatenate((out[base[c]:base[end]], seeds[cuts[c]:cuts[end]]))
         if end > c + 1:
-            sources = sources[np.argsort(key[sources], kind="stable")]
+            sources = sources[np.argsort(key[sources].astype(sortable), kind="stable")]
         before = sources[sources > 0] - 1
-        before = before[wanted[before]]
-        if alone:
-            before = before[key[before] > c]
+        target = target_of[before]
+        live = target > (c if alone else -1)
+        before, target = before[live], target[live]
         if len(before):
-            target = key[before]
-            order = np.argsort(target, kind="stable")
+            order = np.argsort(target.astype(sortable), kind="stable")
             before, target = before[order], target[order]
             starts, lengths = run_starts(target)
             out[np.repeat(free[target[starts]] - starts, lengths) + np.arange(len(target))] = before
@@ -84,8 +101,8 @@ def types(text: np.ndarray) -> np.ndarray:
     step = np.empty(len(text), np.int8)
     step[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1]).astype(np.int8)
     step[-1] = -1
-    decided = np.flatnonzero(step)
-    return step[decided[np.searchsorted(decided, np.arange(len(text)))]] > 0
+    decided = np.where(step != 0, np.arange(len(text), dtype=np.int32), np.int32(len(text)))
+    return step[np.minimum.accumulate(decided[::-1])[::-1]] > 0
 
 
 def named(text: np.ndarray, leftmost: np.ndarray, order: np.ndarray) -> np.ndarray:

@@ -6,8 +6,10 @@
   occurs more than HOT times, its pieces are cut into single strings, keyed and counted by all their bytes: so the many
   texts around one hot passage neither meet in one task nor travel.
 * The pieces of repeated keys go to shards by key, equal ones of a chunk once. A shard keeps the first place
-  of each distinct piece, joins the pieces to one text, sorts its suffixes by induced sorting and takes the permuted common
-  prefixes. Suffixes in a row that share LEAST bytes are one string; all its places but the first are marked.
+  of each distinct piece. A piece that alone has its key, and whose gram occurs once, shares no string with another place
+  than its copies. The others are joined to texts of whole keys, the suffixes of each text are sorted by induced sorting, and
+  the permuted common prefixes taken. Suffixes in a row that share LEAST bytes are one string; all its places but the first
+  are marked.
 * Documents read the marks of their pieces from mapped files: a piece at its first place loses what the shard marked,
   its copies lose everything. No document is shuffled or joined.
 
@@ -40,11 +42,13 @@ HOT = 2_000
 CHUNK_BYTES = 3 << 20
 STEP = 1 << 17
 MATRIX_ROWS = 10_000
-SHARD_BYTES = 4 << 20  # of pieces sent to a shard
-OPEN_SHARDS = 256
+SHARDS = 200  # each chunk looks into all of them: rather larger ones, as far as they fit into a task
+SHARD_BYTES, MOST_SHARD_BYTES = 8 << 20, 32 << 20  # of pieces sent to a shard
+SORT_BYTES = 2 << 20  # of the texts whose suffixes are sorted
+OPEN_SHARDS = 4_000  # a map each
 NO_ID = np.iinfo(np.int64).max
 
-PIECES = "shard int, keys binary, prints binary, docs binary, starts binary, sizes binary, text binary"
+PIECES = "shard int, keys binary, prints binary, docs binary, starts binary, sizes binary, again binary, text binary"
 PARTS = {"names": np.uint64, "docs": np.int64, "starts": np.int64, "cuts": np.int64, "from": np.int16, "to": np.int16}
 FOUND = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -123,9 +127,8 @@ class Segment:
         place = np.repeat(place, parts) + k * MOST_STRINGS
         return mix(low[place]), place, count
 
-    def keys(self) -> np.ndarray:
-        """The key of each piece, twice where its gram occurs again inside: the piece may repeat itself."""
-        keys, place, count = self.pieces()
+    def again(self, place: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """True for pieces in which their gram occurs again: these may repeat themselves."""
         again, inside = np.zeros(len(place), bool), np.arange(PLACES)
         for a in range(0, len(place), MATRIX_ROWS):
             one = slice(a, a + MATRIX_ROWS)
@@ -135,7 +138,12 @@ class Segment:
             left = place[one] + first.argmin(axis=1)
             right = place[one] + count[one] - 1 + PLACES - 1 - last.argmin(axis=1)
             again[one] = left != right
-        return np.concatenate((keys, keys[again]))
+        return again
+
+    def keys(self) -> np.ndarray:
+        """The key of each piece, twice where the piece may repeat itself."""
+        keys, place, count = self.pieces()
+        return np.concatenate((keys, keys[self.again(place, count)]))
 
     def where(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and place in its text."""
@@ -263,21 +271,20 @@ def sent(rows: list[tuple], segment: Segment, repeated: Repeated, shards: int) -
     a, b = order[1:], order[:-1]
     same[1:] = (keys[a] == keys[b]) & (prints[a] == prints[b])
     kept = order[~same]
-    keys, prints, docs, start, places, sizes = (
-        x[kept] for x in (keys, prints, docs, start, places, count + LEAST - 1)
-    )
+    keys, prints, docs, start, places, count = (x[kept] for x in (keys, prints, docs, start, places, count))
+    again, sizes = segment.again(places, count), count + LEAST - 1
     shard = arrays.shards_of(keys, shards)
     cuts = np.append(run_starts(shard)[0], len(shard))
     ends = (places + sizes).tolist()
     texts = [segment.raw[a:b] for a, b in zip(places.tolist(), ends, strict=True)]
-    columns = {name: [] for name in ("shard", "keys", "prints", "docs", "starts", "sizes", "text")}
+    columns = {name: [] for name in ("shard", "keys", "prints", "docs", "starts", "sizes", "again", "text")}
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         columns["shard"].append(int(shard[a]))
-        for name, values in (("keys", keys), ("prints", prints), ("docs", docs), ("starts", start)):
+        for name, values in (("keys", keys), ("prints", prints), ("docs", docs), ("starts", start), ("again", again)):
             columns[name].append(values[a:b].tobytes())
         columns["sizes"].append(sizes[a:b].astype(np.int32).tobytes())
         columns["text"].append(b"".join(texts[a:b]))
-    kinds = [pa.int32(), *[pa.binary()] * 6]
+    kinds = [pa.int32(), *[pa.binary()] * 7]
     yield pa.RecordBatch.from_arrays(
         [pa.array(v, kind) for v, kind in zip(columns.values(), kinds, strict=True)], list(columns)
     )
@@ -311,6 +318,25 @@ def marked(text: np.ndarray, sizes: np.ndarray, docs: np.ndarray, starts: np.nda
     return piece[strings], offset[strings]
 
 
+def marked_in_parts(
+    keys: np.ndarray, again: np.ndarray, docs: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begins: np.ndarray,
+    text: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """What ``marked`` finds in distinct pieces in the order of their keys, sorted some whole keys at a time."""
+    length = run_starts(keys)[1]
+    asked = np.flatnonzero(again | np.repeat(length > 1, length))
+    found = [(np.zeros(0, np.int64),) * 2]
+    if len(asked):
+        first, length = run_starts(keys[asked])
+        before = np.cumsum(sizes[asked]) - sizes[asked]
+        cuts = run_starts(np.repeat(before[first] // SORT_BYTES, length))[0]
+        for part in np.split(asked, cuts[1:]):
+            joined = text[spread(begins[part], sizes[part])]
+            piece, string = marked(joined, sizes[part], docs[part], starts[part])
+            found.append((part[piece], string))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def build(table: pa.Table, folder: str) -> int:
     """Write what documents ask about the pieces of a shard: first place and marked strings of each."""
     shard = table["shard"][0].as_py()
@@ -320,29 +346,33 @@ def build(table: pa.Table, folder: str) -> int:
 
     keys, prints = column("keys", np.uint64), column("prints", np.uint64)
     docs, starts, sizes = column("docs", np.int64), column("starts", np.int64), column("sizes", np.int32)
-    text = column("text", np.uint8)
     begins = np.cumsum(sizes, dtype=np.int64) - sizes
     order = np.lexsort((starts, docs, prints, keys))
     new = np.ones(len(order), bool)
     new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (prints[order[1:]] != prints[order[:-1]])
     kept = order[new]
-    names = name_of(keys[kept], prints[kept])
-    kept = kept[np.argsort(names)]
-    docs, starts, sizes, begins = docs[kept], starts[kept], sizes[kept].astype(np.int64), begins[kept]
-    text = text[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
-    piece, string = marked(text, sizes, docs, starts)
+    keys, prints, docs, starts, begins = keys[kept], prints[kept], docs[kept], starts[kept], begins[kept]
+    sizes, again = sizes[kept].astype(np.int64), column("again", bool)[kept]
+    piece, string = marked_in_parts(keys, again, docs, starts, sizes, begins, column("text", np.uint8))
     new = np.ones(len(piece), bool)
     new[1:] = (piece[1:] != piece[:-1]) | (string[1:] != string[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(piece))[: len(first)] - 1
+    # Pieces are looked up by their names.
+    names = name_of(keys, prints)
+    order = np.argsort(names)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    owner = place[piece[first]]
+    runs = np.argsort(owner, kind="stable")
     found = {
-        "names": np.sort(names), "docs": docs, "starts": starts,
-        "cuts": np.searchsorted(piece[first], np.arange(len(kept) + 1)),
-        "from": string[first], "to": string[last],
+        "names": names[order], "docs": docs[order], "starts": starts[order],
+        "cuts": np.searchsorted(owner[runs], np.arange(len(order) + 1)),
+        "from": string[first[runs]], "to": string[last[runs]],
     }
-    for part, kind in PARTS.items():
-        arrays.save(f"{folder}/{shard}.{part}", found[part].astype(kind))
-    return len(kept)
+    parts = [np.array([len(order), len(runs)]), *(found[part].astype(kind) for part, kind in PARTS.items())]
+    arrays.save(f"{folder}/{shard}", np.concatenate([x.view(np.uint8) for x in parts]))
+    return len(order)
 
 
 class Marks:
@@ -359,7 +389,13 @@ class Marks:
         if s not in self.open:
             if len(self.open) >= OPEN_SHARDS:
                 self.open.popitem(last=False)
-            self.open[s] = {part: arrays.mapped(f"{self.folder}/{s}.{part}", kind) for part, kind in PARTS.items()}
+            raw = np.asarray(arrays.mapped(f"{self.folder}/{s}", np.uint8))
+            n, runs = raw[:16].view(np.int64).tolist()
+            ends = 16 + np.cumsum([8 * n, 8 * n, 8 * n, 8 * (n + 1), 2 * runs, 2 * runs])
+            self.open[s] = {
+                part: raw[a:b].view(kind)
+                for (part, kind), a, b in zip(PARTS.items(), [16, *ends[:-1]], ends, strict=True)
+            }
         self.open.move_to_end(s)
         return self.open[s]
 
@@ -370,19 +406,23 @@ class Marks:
         names = name_of(keys, prints)
         shard = arrays.shards_of(keys, self.shards)
         order = np.lexsort((names, shard))
-        found = [(np.zeros(0, np.int64),) * 3]
+        copy = np.zeros(len(order), bool)
+        found = []
         first, length = run_starts(shard[order]) if len(order) else ((), ())
         for a, n in zip(first, length, strict=True):
             asked = order[a:a + n]
             there = self.shard(int(shard[asked[0]]))
             at = np.searchsorted(there["names"], names[asked])
-            here = (there["docs"][at] == docs[asked]) & (there["starts"][at] == starts[asked])
-            copies = asked[~here]
-            found.append((copies, np.zeros(len(copies), np.int64), count[copies] - 1 + LEAST))
-            begin, end = there["cuts"][at[here]], there["cuts"][at[here] + 1]
-            runs = spread(begin, end - begin)
-            found.append((np.repeat(asked[here], end - begin), there["from"][runs].astype(np.int64),
-                          there["to"][runs].astype(np.int64) + LEAST))
+            copy[asked] = (there["docs"][at] != docs[asked]) | (there["starts"][at] != starts[asked])
+            begin, end = there["cuts"][at], there["cuts"][at + 1]
+            some = (begin < end) & ~copy[asked]
+            if some.any():
+                asked, begin, end = asked[some], begin[some], end[some]
+                runs = spread(begin, end - begin)
+                found.append((np.repeat(asked, end - begin), there["from"][runs].astype(np.int64),
+                              there["to"][runs].astype(np.int64) + LEAST))
+        copies = np.flatnonzero(copy)
+        found.append((copies, np.zeros(len(copies), np.int64), count[copies] - 1 + LEAST))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -427,11 +467,16 @@ def cut_rows(rows: list[tuple], repeated: Repeated, marks: Marks) -> pa.RecordBa
     )
 
 
+def shards_for(size: int) -> int:
+    """Shards for so many bytes of pieces."""
+    return max(1, -(-size // min(MOST_SHARD_BYTES, max(SHARD_BYTES, size // SHARDS))))
+
+
 def dedup_substrings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary: a cut may split a character) of each document."""
     spark, docs = docs.sparkSession, id_and_bytes(docs)
     repeated, bound = repeated_keys(docs, hot)
-    shards = max(1, -(-bound // SHARD_BYTES))
+    shards = shards_for(bound)
     folder = arrays.shared_folder(spark, "suffixes")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
